@@ -1,9 +1,8 @@
-"""Column expressions shared by the operators."""
+"""Scalar building blocks as SQL expression text, for ``selectExpr`` / ``where`` / ``expr``."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+SECOND = 1_000_000
 
 # Texts a CSV cell may hold to mean "missing".
 MISSING_TEXTS = [
@@ -12,99 +11,111 @@ MISSING_TEXTS = [
 ]
 LOCAL_ZONE = "Asia/Kolkata"
 
-_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$|^\s*[+-]?(?i:inf|infinity)\s*$"
-_DATE_FIRST = r"^\s*\d{4}(-|$)"
-_OFFSET = r"(?i)(Z|UTC|GMT|[+-]\d{2}(:?\d{2})?)\s*$"
-_TIME_THEN_OFFSET = r"(?i):\d{2}(:\d{2}(\.\d+)?)?\s*(Z|UTC|GMT|[+-]\d{2}(:?\d{2})?)\s*$"
+_NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+_DATE_FIRST = r"^\s*\d{4}(-|\s*$)"
+_TIME_WITH_OFFSET = r"(?i):\d{2}(:\d{2}(\.\d+)?)?\s*(Z|UTC|GMT|[+-]\d{2}(:?\d{2})?)\s*$"
 
 
-def micros(ts: Column | str) -> Column:
-    """Microseconds since 1970 of a naive timestamp (session zone must be UTC)."""
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.unix_micros(ts.cast("timestamp"))
+def text_list(values: list[str]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
 
 
-def ntz_from_micros(us: Column) -> Column:
-    return F.timestamp_micros(us).cast("timestamp_ntz")
+def micros(ts: str) -> str:
+    """Microseconds since 1970 of a naive timestamp (the session zone must be UTC)."""
+    return f"unix_micros(cast({ts} as timestamp))"
 
 
-def seconds_between(start: Column | str, end: Column | str) -> Column:
-    return (micros(end) - micros(start)) / F.lit(1e6)
+def ntz_from_micros(us: str) -> str:
+    return f"cast(timestamp_micros({us}) as timestamp_ntz)"
 
 
-def round2(x: Column) -> Column:
+def seconds_between(start: str, end: str) -> str:
+    return f"({micros(end)} - {micros(start)}) / 1e6D"
+
+
+def round2(x: str) -> str:
     """Two decimals, halves of the scaled binary value to even."""
-    return F.rint(x * 100.0) / 100.0
+    return f"rint(({x}) * 100D) / 100D"
+
 
+def strip(text: str) -> str:
+    """Without white space of any kind at the ends."""
+    return rf"regexp_replace({text}, r'^\s+|\s+$', '')"
 
-def strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
 
+def blank_missing(text: str) -> str:
+    return f"case when {text} not in ({text_list(MISSING_TEXTS)}) then {text} end"
 
-def blank_missing(text: Column) -> Column:
-    return F.when(~text.isin(MISSING_TEXTS), text)
 
+def no_nan(x: str) -> str:
+    """NaN to NULL: Spark sorts NaN above every number, so caps would turn it into a value."""
+    return f"case when not isnan({x}) then {x} end"
 
-def to_number(text: Column) -> Column:
+
+def to_number(text: str) -> str:
     """Text to double; NULL where it is no plain number, NaN included."""
-    return F.when(text.rlike(_NUMBER), F.trim(text).try_cast("double"))
+    return f"case when {text} rlike r'{_NUMBER}' then try_cast(trim({text}) as double) end"
 
 
-def parse_local(text: Column) -> Column:
+def parse_local(text: str) -> str:
     """Naive timestamp taken as written. Text with an offset has no naive meaning: NULL."""
-    ok = text.rlike(_DATE_FIRST) & ~text.rlike(_TIME_THEN_OFFSET)
-    return F.when(ok, F.trim(text).try_cast("timestamp_ntz"))
+    return (
+        f"case when {text} rlike r'{_DATE_FIRST}' and not {text} rlike r'{_TIME_WITH_OFFSET}' "
+        f"then try_cast(trim({text}) as timestamp_ntz) end"
+    )
 
 
-def parse_to_ist(text: Column) -> Column:
+def parse_to_ist(text: str) -> str:
     """Text read as UTC unless it names an offset, shifted to Indian wall clock."""
-    dated = F.regexp_replace(strip(text), r"\s*IST\+0530", "+05:30")
-    dated = F.regexp_replace(dated, r"(:\d{2}(?:\.\d+)?)\s*([+-]\d{2})(\d{2})$", "$1$2:$3")
-    zoned = F.when(dated.rlike(_TIME_THEN_OFFSET), dated).when(
-        dated.rlike(r":\d{2}"), F.concat(dated, F.lit("Z"))
-    ).otherwise(F.concat(dated, F.when(dated.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.lit("T00:00:00Z"))))
-    instant = F.when(dated.rlike(_DATE_FIRST), zoned.try_cast("timestamp"))
-    return F.convert_timezone(F.lit("UTC"), F.lit(LOCAL_ZONE), instant.cast("timestamp_ntz"))
+    dated = rf"regexp_replace({strip(text)}, r'\s*IST\+0530', '+05:30')"
+    colon = rf"regexp_replace({dated}, r'(:\d{{2}}(?:\.\d+)?)\s*([+-]\d{{2}})(\d{{2}})$', '$1$2:$3')"
+    zoned = (
+        f"case when {colon} rlike r'{_TIME_WITH_OFFSET}' then {colon} "
+        f"when {colon} rlike r':\\d{{2}}' then concat({colon}, 'Z') "
+        f"when {colon} rlike r'^\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}$' then concat({colon}, 'T00:00:00Z') "
+        f"else {colon} end"
+    )
+    instant = f"case when {text} rlike r'{_DATE_FIRST}' then try_cast({zoned} as timestamp) end"
+    return f"convert_timezone('UTC', '{LOCAL_ZONE}', cast({instant} as timestamp_ntz))"
 
 
-def parse_id_list(text: Column) -> Column:
+def parse_id_list(text: str) -> str:
     """List text (JSON or Python literal) to ``array<bigint>``; one bad element voids the list.
 
     Accepted: square brackets, round brackets or braces around comma separated whole numbers,
     decimals (truncated) or quoted whole numbers; a bare comma separated row too.
     """
     body = strip(text)
-    square = body.rlike(r"(?s)^\[.*\]$")
-    round_or_brace = body.rlike(r"(?s)^(\(.*\)|\{.*\})$")
-    inner = strip(F.when(square | round_or_brace, F.regexp_replace(body, r"(?s)^.|.$", "")).otherwise(body))
-    tuple_like = inner.contains(",") | (inner == "")
-    shaped = square | body.rlike(r"(?s)^\{.*\}$") | (tuple_like & (body != ""))
-    items = F.split(F.regexp_replace(inner, r",\s*$", ""), ",")
-    quoted_or_plain = r"""^\s*("\s*[+-]?\d+\s*"|'\s*[+-]?\d+\s*'|[+-]?\d+(\.\d*)?([eE][+-]?\d+)?)\s*$"""
-
-    def to_id(item: Column) -> Column:
-        bare = F.regexp_replace(item, r"""[\s"']""", "")
-        whole = F.when(bare.rlike(r"^[+-]?\d+$"), bare.try_cast("bigint"))
-        cut = bare.try_cast("double").try_cast("bigint")
-        return F.when(item.rlike(quoted_or_plain), F.coalesce(whole, cut))
-
-    ids = F.transform(items, to_id)
-    empty = F.array().cast("array<bigint>")
-    return F.when(shaped & (inner == ""), empty).when(
-        shaped & ~F.exists(ids, lambda x: x.isNull()), ids
+    bracketed = rf"{body} rlike r'(?s)^(\[.*\]|\(.*\)|\{{.*\}})$'"
+    inner = strip(rf"case when {bracketed} then regexp_replace({body}, r'(?s)^.|.$', '') else {body} end")
+    shaped = (
+        rf"({body} rlike r'(?s)^(\[.*\]|\{{.*\}})$' "
+        rf"or {body} rlike r'(?s)^\(\s*\)$' or ({body} <> '' and {inner} like '%,%'))"
+    )
+    item = r"""^\s*("\s*[+-]?\d+\s*"|\x27\s*[+-]?\d+\s*\x27|[+-]?\d+(\.\d*)?([eE][+-]?\d+)?)\s*$"""
+    bare = r"""regexp_replace(x, r'[\s"\x27]', '')"""
+    to_id = (
+        f"case when x rlike r'{item}' then coalesce(try_cast({bare} as bigint), "
+        f"try_cast(try_cast({bare} as double) as bigint)) end"
+    )
+    ids = rf"transform(split(regexp_replace({inner}, r',\s*$', ''), ','), x -> {to_id})"
+    return (
+        f"case when not {shaped} then null when {inner} = '' then cast(array() as array<bigint>) "
+        f"when not exists({ids}, x -> x is null) then {ids} end"
     )
 
 
-def python_quote(text: Column) -> Column:
+def python_quote(text: str) -> str:
     """Text in quotes, double ones only where it holds single but no double quotes."""
-    escaped = F.regexp_replace(text, r"\\", r"\\\\")
-    double = F.concat(F.lit('"'), escaped, F.lit('"'))
-    single = F.concat(F.lit("'"), F.regexp_replace(escaped, "'", r"\\'"), F.lit("'"))
-    return F.when(text.contains("'") & ~text.contains('"'), double).otherwise(single)
+    escaped = rf"replace({text}, r'\', r'\\')"
+    return (
+        rf"""case when contains({text}, "'") and not contains({text}, '"') then concat('"', {escaped}, '"') """
+        rf"""else concat("'", replace({escaped}, "'", r"\'"), "'") end"""
+    )
 
 
-def file_chunk(order_type: str, row_ord: Column) -> Column:
+def file_chunk(order_type: str, row_ord: str) -> str:
     """Coarse, order-keeping number of the stretch of input a row came from (below 2^43)."""
     if order_type.startswith("decimal"):
-        return F.shiftright(F.floor(row_ord / F.lit(10).cast("decimal(2,0)") ** 19).cast("bigint"), 20)
-    return F.shiftright(row_ord.cast("bigint"), 20)
+        return f"shiftright(cast(floor({row_ord} / 10000000000000000000) as bigint), 20)"
+    return f"shiftright({row_ord}, 20)"

@@ -6,53 +6,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampline.config import Params
-from ampline.functions.scalars import micros, ntz_from_micros, to_number
-from ampline.operators.cleaning import known_vehicles
-from ampline.operators.slices import SECOND, slice_start, slice_window
+from ampline.functions.scalars import SECOND, micros, ntz_from_micros, to_number
+from ampline.operators.slices import slice_start
 
 
 def charging_status(mapped: DataFrame) -> DataFrame:
     """Plug events with the two spellings of abort and complete made one."""
-    val = F.col("VAL")
-    event = F.when(val == "Aborted", "Abort").when(val == "Completed", "Complete").otherwise(val)
-    return mapped.where("NAME = 'EV_CHARGE_STATE' and vehicle_id is not null").select(
+    return mapped.where("NAME = 'EV_CHARGE_STATE' and vehicle_id is not null").selectExpr(
         "vehicle_id",
-        event.alias("event"),
-        F.col("CTS").alias("event_ts"),
-        F.col("PNID").alias("ord1"),
-        F.col("row_ord").alias("ord2"),
-    )
-
-
-def tlm_readings(clean: DataFrame) -> DataFrame:
-    return known_vehicles(clean).where(F.col("EV_BATTERY_LEVEL").isNotNull()).select(
-        F.col("VEHICLE_ID").alias("vehicle_id"),
-        F.col("TIMESTAMP").alias("ts"),
-        F.col("EV_BATTERY_LEVEL").alias("battery_pct"),
-        F.lit("TLM").alias("source"),
-        F.col("row_ord").alias("ord1"),
-        F.lit(0).cast("bigint").alias("ord2"),
-    )
-
-
-def trg_readings(mapped: DataFrame) -> DataFrame:
-    level = to_number(F.col("VAL"))
-    return (
-        mapped.where("NAME = 'CHARGE_STATE' and vehicle_id is not null")
-        .select(
-            "vehicle_id",
-            F.col("CTS").alias("ts"),
-            F.when(level > 100, 100.0).otherwise(level).alias("battery_pct"),
-            F.lit("TRG").alias("source"),
-            F.col("PNID").alias("ord1"),
-            F.col("row_ord").alias("ord2"),
-        )
-        .where(F.col("battery_pct").isNotNull())
+        "case VAL when 'Aborted' then 'Abort' when 'Completed' then 'Complete' else VAL end as event",
+        "CTS as event_ts", "PNID as ord1", "row_ord as ord2",
     )
 
 
 def battery_timeline(clean_tlm: DataFrame, mapped_trg: DataFrame) -> DataFrame:
-    return tlm_readings(clean_tlm).unionByName(trg_readings(mapped_trg))
+    tlm = clean_tlm.where("VEHICLE_ID is not null and EV_BATTERY_LEVEL is not null").selectExpr(
+        "VEHICLE_ID as vehicle_id", "TIMESTAMP as ts", "EV_BATTERY_LEVEL as battery_pct",
+        "'TLM' as source", "row_ord as ord1", "0L as ord2",
+    )
+    trg = mapped_trg.where("NAME = 'CHARGE_STATE' and vehicle_id is not null").selectExpr(
+        "vehicle_id", "CTS as ts", f"{to_number('VAL')} as battery_pct",
+        "'TRG' as source", "PNID as ord1", "row_ord as ord2",
+    ).where("battery_pct is not null")
+    capped = "if(battery_pct > 100, 100D, battery_pct) as battery_pct"
+    return tlm.unionByName(trg.selectExpr("vehicle_id", "ts", capped, "source", "ord1", "ord2"))
 
 
 def nearest_readings(events: DataFrame, timeline: DataFrame, p: Params) -> DataFrame:
@@ -68,62 +45,54 @@ def nearest_readings(events: DataFrame, timeline: DataFrame, p: Params) -> DataF
     window = p.battery_window_sec
     width = max(p.slice_sec, 4 * window)
     readings = (
-        timeline.select("vehicle_id", micros("ts").alias("us"), "battery_pct", "source", "ord1", "ord2")
+        timeline.selectExpr("vehicle_id", f"{micros('ts')} as us", "battery_pct", "source", "ord1", "ord2")
         .groupBy("vehicle_id", "us")
-        .agg(F.min_by("battery_pct", F.struct("source", "ord1", "ord2")).alias("battery_pct"))
-    )
-    wanted = events.select("vehicle_id", micros("event_ts").alias("event_us")).distinct()
-    border = lambda shift: slice_start(F.col("event_us") + shift * SECOND, width)
-    probes = wanted.withColumn(
-        "slice", F.explode(F.sequence(border(-window), border(window + 1), F.lit(width * SECOND)))
+        .agg(F.expr("min_by(battery_pct, struct(source, ord1, ord2)) as battery_pct"))
+        .selectExpr(
+            "vehicle_id", f"{slice_start('us', width)} as slice", "us", "cast(null as bigint) as event_us",
+            "struct(us, battery_pct) as reading",
+        )
     )
-    reading = F.struct(F.col("us").alias("us"), F.col("battery_pct").alias("battery_pct"))
-    line = readings.select(
-        "vehicle_id", slice_start(F.col("us"), width).alias("slice"), "us",
-        F.lit(None).cast("bigint").alias("event_us"), reading.alias("reading"),
-    ).unionByName(
-        probes.select(
-            "vehicle_id", "slice", F.col("event_us").alias("us"), "event_us",
-            F.lit(None).cast("struct<us:bigint,battery_pct:double>").alias("reading"),
+    first = slice_start(f"event_us - {window * SECOND}", width)
+    last = slice_start(f"event_us + {(window + 1) * SECOND}", width)
+    probes = (
+        events.selectExpr("vehicle_id", f"{micros('event_ts')} as event_us").distinct()
+        .selectExpr(
+            "vehicle_id", f"explode(sequence({first}, {last}, {width * SECOND}L)) as slice", "event_us as us",
+            "event_us", "cast(null as struct<us: bigint, battery_pct: double>) as reading",
         )
     )
-    # At equal times events sort before readings (a NULL reading is the smallest).
+    # At equal times events sort before readings.
     over = lambda at: f"over (partition by vehicle_id, slice order by {at}, event_us is null)"
-    e = F.col("event_us")
-    looked = line.select(
-        "*",
-        F.expr(f"lag(reading.us) ignore nulls {over('us')}").alias("before_us"),
-        F.expr(f"lead(reading) ignore nulls {over('us')}").alias("next"),
+    looked = (
+        readings.unionByName(probes)
+        .selectExpr(
+            "*",
+            f"lag(reading.us) ignore nulls {over('us')} as before_us",
+            f"lead(reading) ignore nulls {over('us')} as next",
+        )
+        .selectExpr(
+            "*",
+            f"(event_us - before_us + {SECOND - 1}) div {SECOND} as back",
+            f"(next.us - event_us) div {SECOND} as ahead",
+        )
+        .selectExpr("*", f"coalesce(event_us - back * {SECOND}, us) as at")
+        .selectExpr("*", f"lead(reading) ignore nulls {over('at')} as prior")
+        .where("event_us is not null")
     )
-    back = F.floor((e - F.col("before_us") + (SECOND - 1)) / SECOND).cast("bigint")
-    looked = looked.withColumn("back", back).withColumn(
-        "at", F.coalesce(e - F.col("back") * SECOND, F.col("us"))
+    choice = lambda distance, side, hit: (
+        f"if({distance} <= {window}, named_struct('distance', {distance}, 'side', {side}, "
+        f"'us', {hit}.us, 'battery_pct', {hit}.battery_pct), null)"
     )
-    found = looked.withColumn(
-        "prior", F.expr(f"lead(reading) ignore nulls {over('at')}")
-    ).where(e.isNotNull())
-    ahead = F.floor((F.col("next.us") - e) / SECOND).cast("bigint")
-
-    def choice(distance, side, hit):
-        return F.when(
-            distance <= window,
-            F.struct(
-                distance.alias("distance"), F.lit(side).alias("side"),
-                hit["us"].alias("us"), hit["battery_pct"].alias("battery_pct"),
-            ),
-        )
-
-    best = F.least(choice(ahead, 0, F.col("next")), choice(F.col("back"), 1, F.col("prior")))
     return (
-        found.select("vehicle_id", "event_us", best.alias("best"))
-        .where(F.col("best").isNotNull())
-        .groupBy("vehicle_id", "event_us")
-        .agg(F.min("best").alias("best"))
-        .select(
-            "vehicle_id",
-            ntz_from_micros(F.col("event_us")).alias("event_ts"),
-            F.col("best.battery_pct").alias("battery_pct"),
-            ntz_from_micros(F.col("best.us")).alias("battery_ts"),
+        looked.selectExpr(
+            "vehicle_id", "event_us", f"least({choice('ahead', 0, 'next')}, {choice('back', 1, 'prior')}) as best"
+        )
+        .where("best is not null")
+        .groupBy("vehicle_id", "event_us").agg(F.expr("min(best) as best"))
+        .selectExpr(
+            "vehicle_id", f"{ntz_from_micros('event_us')} as event_ts",
+            "best.battery_pct as battery_pct", f"{ntz_from_micros('best.us')} as battery_ts",
         )
     )
 
@@ -134,8 +103,6 @@ def attach_battery(events: DataFrame, timeline: DataFrame, p: Params) -> DataFra
 
 
 def association_rate(events: DataFrame) -> DataFrame:
-    return events.agg(
-        F.count("battery_pct").alias("associated"), F.count("*").alias("total")
-    ).withColumn(
-        "pct", F.when(F.col("total") > 0, 100 * F.col("associated") / F.col("total")).otherwise(0.0)
+    return events.selectExpr("count(battery_pct) as associated", "count(*) as total").selectExpr(
+        "*", "if(total > 0, 100 * associated / total, 0D) as pct"
     )

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampline.config import Params
-from ampline.functions.scalars import file_chunk, micros, round2, seconds_between
-from ampline.operators.slices import SECOND, HotCells, slice_window, with_context, with_slice
+from ampline.functions.scalars import SECOND, file_chunk, micros, round2, seconds_between
+from ampline.operators.slices import UP_TO_HERE, HotCells, in_slice, over_slices, with_context, with_slice
 from ampline.staging import stage
 
 ORDER = ["us", "kind", "prio", "ord1", "ord2"]
@@ -15,15 +15,14 @@ SESSION_COLUMNS = [
     "vehicle_id", "start_ts", "end_ts", "delta_battery_pct", "start_battery_pct",
     "end_battery_pct", "duration_sec", "ignition_state",
 ]
-STATES = ["unknown", "ignitionOn", "ignitionOff"]
+STATES = "array('unknown', 'ignitionOn', 'ignitionOff')"
 
 
 def event_sequence(ignition: DataFrame, status: DataFrame) -> DataFrame:
     """Ignition (kind 0) and status events (kind 1) of all vehicles with their tie order."""
     parts = ["vehicle_id", "event", "event_ts"]
-    ign = ignition.select(*parts, F.lit(0).alias("kind"), "prio", "ord1", "ord2")
-    cs = status.select(*parts, F.lit(1).alias("kind"), F.lit(0).alias("prio"), "ord1", "ord2")
-    return ign.unionByName(cs)
+    ign = ignition.selectExpr(*parts, "0 as kind", "prio", "ord1", "ord2")
+    return ign.unionByName(status.selectExpr(*parts, "1 as kind", "0 as prio", "ord1", "ord2"))
 
 
 def charge_pairs(candidates: DataFrame, hot: HotCells | None, p: Params) -> DataFrame:
@@ -32,89 +31,90 @@ def charge_pairs(candidates: DataFrame, hot: HotCells | None, p: Params) -> Data
     ``candidates``: an event sequence with ``battery_pct`` attached; without it, all levels are NULL.
     """
     if "battery_pct" not in candidates.columns:
-        candidates = candidates.withColumn("battery_pct", F.lit(None).cast("double"))
-    order_type = dict(candidates.dtypes)["ord1"]
-    chunk = F.shiftleft((F.col("kind") * 4 + F.col("prio")).cast("bigint"), 45) + file_chunk(
-        order_type, F.col("ord1")
+        candidates = candidates.selectExpr("*", "cast(null as double) as battery_pct")
+    chunk = (
+        "shiftleft(cast(kind * 4 + prio as bigint), 45) + "
+        f"{file_chunk(dict(candidates.dtypes)['ord1'], 'ord1')}"
     )
     placed = stage(
-        with_slice(candidates.withColumn("us", micros("event_ts")), chunk, hot, p), "candidates"
+        with_slice(candidates.selectExpr("*", f"{micros('event_ts')} as us"), chunk, hot, p), "candidates"
     )
-    me = F.struct("event_ts", "battery_pct")
-    ignition = F.when(F.col("kind") == 0, F.col("event"))
-    order = slice_window(*ORDER)
-    up_to_here = order.rowsBetween(Window.unboundedPreceding, 0)
-    paired = with_context(placed, ORDER, before={"state_before": ignition}, after={"first_after": me}).select(
+    me = "struct(event_ts, battery_pct)"
+    ignition = "if(kind = 0, event, null)"
+    paired = with_context(placed, ORDER, before={"state_before": ignition}, after={"first_after": me}).selectExpr(
         "vehicle_id", "event_ts", "battery_pct",
-        F.coalesce(F.lead(me).over(order), F.col("first_after")).alias("to"),
-        F.coalesce(F.last(ignition, ignorenulls=True).over(up_to_here), F.col("state_before")).alias("state"),
+        f"coalesce(lead({me}) {in_slice(ORDER)}, first_after) as to",
+        f"coalesce(last({ignition}) ignore nulls {in_slice(ORDER, frame=UP_TO_HERE)}, state_before, 'unknown') as state",
     )
     return paired.where(
-        F.col("battery_pct").isNotNull() & F.col("to.battery_pct").isNotNull() & (F.col("to.event_ts") > F.col("event_ts"))
-    ).select(
-        "vehicle_id",
-        F.col("event_ts").alias("start_ts"),
-        F.col("to.event_ts").alias("end_ts"),
-        F.col("battery_pct").alias("start_pct"),
-        F.col("to.battery_pct").alias("end_pct"),
-        (F.col("to.battery_pct") - F.col("battery_pct")).alias("delta_pct"),
-        seconds_between("event_ts", "to.event_ts").alias("duration_sec"),
-        F.coalesce("state", F.lit("unknown")).alias("ignition_state"),
+        "battery_pct is not null and to.battery_pct is not null and to.event_ts > event_ts"
+    ).selectExpr(
+        "vehicle_id", "event_ts as start_ts", "to.event_ts as end_ts",
+        "battery_pct as start_pct", "to.battery_pct as end_pct", "to.battery_pct - battery_pct as delta_pct",
+        f"{seconds_between('event_ts', 'to.event_ts')} as duration_sec", "state as ignition_state",
     )
 
 
 def sessions_before_merge(pairs: DataFrame, p: Params) -> DataFrame:
-    needed = F.when(F.col("ignition_state") == "ignitionOn", p.rise_ign_on).otherwise(p.rise_ign_off)
-    return pairs.where(F.col("delta_pct") >= needed).select(
+    needed = f"if(ignition_state = 'ignitionOn', {p.rise_ign_on}D, {p.rise_ign_off}D)"
+    return pairs.where(f"delta_pct >= {needed}").selectExpr(
         "vehicle_id", "start_ts", "end_ts",
-        round2(F.col("delta_pct")).alias("delta_battery_pct"),
-        round2(F.col("start_pct")).alias("start_battery_pct"),
-        round2(F.col("end_pct")).alias("end_battery_pct"),
+        f"{round2('delta_pct')} as delta_battery_pct",
+        f"{round2('start_pct')} as start_battery_pct",
+        f"{round2('end_pct')} as end_battery_pct",
         "duration_sec", "ignition_state",
     )
 
 
 def merge_sessions(raw: DataFrame, hot: HotCells | None, p: Params) -> DataFrame:
     """Join sessions at most ``merge_gap_sec`` apart. Delta and times of a joined one are
-    recomputed from its ends; its state is that of the first."""
+    recomputed from its ends; its state is that of the first.
+
+    ``raw``: sessions of a vehicle must not overlap, which neighbour pairs never do.
+    """
+    apart = p.merge_gap_sec * SECOND
     placed = stage(
         with_slice(
-            raw.withColumn("us", micros("start_ts")).withColumn("end_us", micros("end_ts")),
-            F.lit(0), hot, p,
+            raw.selectExpr("*", f"{micros('start_ts')} as us", f"{micros('end_ts')} as end_us"), "0", hot, p
         ),
         "sessions",
     )
-    order = slice_window("us")
-    seen = with_context(placed, ["us"], before={"carried_end": F.col("end_us")})
-    previous = F.coalesce(F.lag("end_us").over(order), F.col("carried_end"))
-    gap = F.col("us") - previous
-    opened = seen.withColumn(
-        "opened", F.when(gap.isNull() | (gap > p.merge_gap_sec * SECOND), F.col("us"))
-    ).drop("carried_end")
-    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
-    named = with_context(opened, ["us"], before={"carried_open": F.col("opened")}).withColumn(
-        "island", F.coalesce(F.last("opened", ignorenulls=True).over(so_far), F.col("carried_open"))
+    # ``opens``: start of a joined session, known inside a slice for all rows but its first.
+    inner = placed.selectExpr("*", f"lag(end_us) {in_slice(['us'])} as prev_end").selectExpr(
+        "*", f"if(us - prev_end > {apart}, us, null) as opens"
     )
-    code = F.array_position(F.array(*[F.lit(s) for s in STATES]), F.col("ignition_state"))
-    merged = named.withColumn("code", code).groupBy("vehicle_id", "island").agg(
-        F.count("*").alias("n"),
-        F.min("start_ts").alias("start_ts"),
-        F.max("end_ts").alias("end_ts"),
-        F.min_by("delta_battery_pct", "us").alias("delta"),
-        F.min_by("start_battery_pct", "us").alias("start_battery_pct"),
-        F.max_by("end_battery_pct", "us").alias("end_battery_pct"),
-        F.min_by("code", "us").alias("code"),
+    ends = inner.groupBy("vehicle_id", "slice").agg(
+        F.expr("min(us) as first_us"), F.expr("max(end_us) as last_end"), F.expr("max(opens) as last_opens")
     )
-    delta = F.when(F.col("n") == 1, F.col("delta")).otherwise(
-        round2(F.col("end_battery_pct") - F.col("start_battery_pct"))
+    context = (
+        ends.selectExpr("*", f"lag(last_end) {over_slices()} as carried_end")
+        .selectExpr("*", f"if(carried_end is null or first_us - carried_end > {apart}, first_us, null) as head_opens")
+        .selectExpr(
+            "vehicle_id", "slice", "head_opens",
+            f"last(coalesce(last_opens, head_opens)) ignore nulls "
+            f"{over_slices(frame='rows between unbounded preceding and 1 preceding')} as carried_opens",
+        )
     )
-    return (
-        merged.withColumn("delta_battery_pct", delta)
-        .withColumn("duration_sec", seconds_between("start_ts", "end_ts"))
-        .withColumn("ignition_state", F.element_at(F.array(*[F.lit(s) for s in STATES]), F.col("code").cast("int")))
-        .select(SESSION_COLUMNS)
+    seen = f"last(opens) ignore nulls {in_slice(['us'], frame=UP_TO_HERE)}"
+    merged = (
+        inner.join(context, ["vehicle_id", "slice"])
+        .selectExpr("*", f"coalesce({seen}, head_opens, carried_opens) as island")
+        .selectExpr("*", f"array_position({STATES}, ignition_state) as code")
+        .groupBy("vehicle_id", "island")
+        .agg(*[F.expr(x) for x in (
+            "count(*) as n", "min(us) as us", "max(end_us) as end_us", "min_by(delta_battery_pct, us) as delta",
+            "min_by(start_battery_pct, us) as start_battery_pct",
+            "max_by(end_battery_pct, us) as end_battery_pct", "min_by(code, us) as code",
+            "min(start_ts) as start_ts", "max(end_ts) as end_ts",
+        )])
+    )
+    return merged.selectExpr(
+        "vehicle_id", "start_ts", "end_ts",
+        f"if(n = 1, delta, {round2('end_battery_pct - start_battery_pct')}) as delta_battery_pct",
+        "start_battery_pct", "end_battery_pct", "(end_us - us) / 1e6D as duration_sec",
+        f"{STATES}[code - 1] as ignition_state",
     )
 
 
 def charging_events(merged: DataFrame, p: Params) -> DataFrame:
-    return merged.where(F.col("duration_sec") >= p.min_session_sec)
+    return merged.where(f"duration_sec >= {p.min_session_sec}")

@@ -16,119 +16,108 @@ def ignition_timeline(ignition: DataFrame) -> DataFrame:
 
 
 def _minutes(sessions: DataFrame) -> DataFrame:
-    return sessions.select((F.col("duration_sec") / 60).alias("minutes"))
+    return sessions.selectExpr("duration_sec / 60 as minutes")
 
 
 def duration_hist(sessions: DataFrame, p: Params) -> DataFrame:
     """Equal-width bins over the range; the last bin holds its right edge; empty bins stay."""
     minutes = _minutes(sessions)
-    lo, hi = F.min("minutes"), F.max("minutes")
-    flat = lo == hi
-    limits = minutes.agg(
-        F.when(flat, lo - 0.5).otherwise(lo).alias("lo"), F.when(flat, hi + 0.5).otherwise(hi).alias("hi")
-    ).where("lo is not null")
-    low, high = limits.select("lo").scalar(), limits.select("hi").scalar()
-    bin_no = F.least(F.width_bucket("minutes", low, high, F.lit(p.hist_bins)), F.lit(p.hist_bins)) - 1
-    counts = minutes.select(bin_no.cast("int").alias("bin")).groupBy("bin").agg(F.count("*").alias("n"))
-    step = (F.col("hi") - F.col("lo")) / p.hist_bins
-    bins = limits.select("lo", step.alias("step"), F.explode(F.sequence(F.lit(0), F.lit(p.hist_bins - 1))).alias("bin"))
-    return bins.join(counts, "bin", "left").select(
-        "bin",
-        (F.col("lo") + F.col("bin") * F.col("step")).alias("bin_start"),
-        (F.col("lo") + (F.col("bin") + 1) * F.col("step")).alias("bin_end"),
-        F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
+    # One row, read as scalar subqueries; a single value gets a range of one around it.
+    limits = minutes.selectExpr("min(minutes) as a", "max(minutes) as b").where("a is not null").selectExpr(
+        "if(a = b, a - 0.5D, a) as lo", "if(a = b, b + 0.5D, b) as hi"
+    )
+    last = p.hist_bins - 1
+    place = F.width_bucket("minutes", limits.select("lo").scalar(), limits.select("hi").scalar(), F.lit(p.hist_bins))
+    counts = (
+        minutes.select(place.alias("place")).selectExpr(f"cast(least(place - 1, {last}) as int) as bin")
+        .groupBy("bin").agg(F.expr("count(*) as n"))
+    )
+    bins = limits.selectExpr("lo", f"(hi - lo) / {p.hist_bins} as step", f"explode(sequence(0, {last})) as bin")
+    return bins.join(counts, "bin", "left").selectExpr(
+        "bin", "lo + bin * step as bin_start", "lo + (bin + 1) * step as bin_end", "coalesce(n, 0L) as n"
     )
 
 
 def duration_kde(sessions: DataFrame, p: Params) -> DataFrame:
     """Gaussian density on an even grid, scaled to the histogram's area."""
     minutes = _minutes(sessions)
-    stats = minutes.agg(
-        F.min("minutes").alias("lo"), F.max("minutes").alias("hi"),
-        F.count("minutes").alias("n"), F.stddev_samp("minutes").alias("sd"),
-    ).where("n >= 2 and sd > 0")
-    stat = lambda expr: stats.select(F.expr(expr)).scalar()
-    width = stat("sd * power(n, -0.2)")
-    grid = minutes.groupBy("minutes").agg(F.count("*").alias("copies")).select(
-        "minutes", "copies", F.explode(F.sequence(F.lit(0), F.lit(p.kde_points - 1))).alias("i")
-    ).withColumn("x", stat("lo") + F.col("i") * stat(f"(hi - lo) / {p.kde_points - 1}"))
-    z = (F.col("x") - F.col("minutes")) / width
-    scale = stat(f"(hi - lo) / {p.hist_bins}") / (width * F.sqrt(2 * F.pi()))
+    last = p.kde_points - 1
+    stats = minutes.selectExpr(
+        "min(minutes) as lo", "max(minutes) as hi", "count(minutes) as n", "stddev_samp(minutes) as sd"
+    ).where("n >= 2 and sd > 0").selectExpr(
+        f"struct(lo, (hi - lo) / {last} as step, sd * power(n, -0.2D) as width, (hi - lo) / {p.hist_bins} as bin) as s"
+    )
     return (
-        grid.where(width.isNotNull()).groupBy("i", "x")
-        .agg((F.sum(F.col("copies") * F.exp(-0.5 * z * z))).alias("kernels"))
-        .select("i", "x", (F.col("kernels") * scale).alias("density"))
+        minutes.groupBy("minutes").agg(F.expr("count(*) as copies"))
+        .withColumn("s", stats.scalar()).where("s is not null")
+        .selectExpr("minutes", "copies", "s", f"explode(sequence(0, {last})) as i")
+        .groupBy("i", "s").agg(
+            F.expr("sum(copies * exp(-0.5D * power((s.lo + i * s.step - minutes) / s.width, 2))) as kernels")
+        )
+        .selectExpr(
+            "i", "s.lo + i * s.step as x", "kernels / (s.width * sqrt(2 * pi())) * s.bin as density"
+        )
     )
 
 
 def _quartiles(sessions: DataFrame) -> DataFrame:
     # Deltas have two decimals, so the counted values are few whatever the number of sessions.
-    counted = sessions.groupBy(F.col("delta_battery_pct").alias("v")).agg(F.count("*").alias("n"))
-    q = counted.agg(
-        F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n")).alias("q")
-    ).where("q is not null")
-    return q.select(
-        F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3")
-    ).withColumn("reach", 1.5 * (F.col("q3") - F.col("q1")))
-
-
-def _fenced(sessions: DataFrame):
-    q = _quartiles(sessions)
-    inside = F.col("delta_battery_pct").between(
-        q.select(F.expr("q1 - reach")).scalar(), q.select(F.expr("q3 + reach")).scalar()
+    counted = sessions.groupBy("delta_battery_pct").agg(F.expr("count(*) as n"))
+    return counted.selectExpr("percentile(delta_battery_pct, array(0.25D, 0.5D, 0.75D), n) as q").where(
+        "q is not null"
+    ).selectExpr("q[0] as q1", "q[1] as median", "q[2] as q3", "1.5D * (q[2] - q[0]) as reach")
+
+
+def _outside(sessions: DataFrame) -> DataFrame:
+    fences = _quartiles(sessions).selectExpr("struct(q1 - reach as low, q3 + reach as high) as fences")
+    return sessions.withColumn("fences", fences.scalar()).selectExpr(
+        "*", "delta_battery_pct < fences.low or delta_battery_pct > fences.high as outside"
     )
-    return q, inside
 
 
 def gain_box(sessions: DataFrame) -> DataFrame:
     """Median, quartiles, whiskers at the outermost values within 1.5 quartile ranges."""
-    q, inside = _fenced(sessions)
-    ends = sessions.where(inside).agg(
-        F.min("delta_battery_pct").alias("whisker_low"), F.max("delta_battery_pct").alias("whisker_high")
-    )
-    return q.select(
-        "q1", "median", "q3",
-        ends.select("whisker_low").scalar().alias("whisker_low"),
-        ends.select("whisker_high").scalar().alias("whisker_high"),
-        sessions.agg(F.count("*")).scalar().alias("n"),
+    q = _quartiles(sessions).selectExpr("struct(q1, median, q3) as q")
+    return (
+        _outside(sessions)
+        .selectExpr(
+            "min(if(outside, null, delta_battery_pct)) as whisker_low",
+            "max(if(outside, null, delta_battery_pct)) as whisker_high", "count(*) as n",
+        )
+        .where("n > 0").withColumn("q", q.scalar())
+        .selectExpr("q.q1", "q.median", "q.q3", "whisker_low", "whisker_high", "n")
     )
 
 
 def gain_outliers(sessions: DataFrame) -> DataFrame:
-    _, inside = _fenced(sessions)
-    return sessions.where(~inside).select("vehicle_id", "start_ts", "delta_battery_pct")
+    return _outside(sessions).where("outside").select("vehicle_id", "start_ts", "delta_battery_pct")
 
 
 def sessions_per_vehicle(sessions: DataFrame) -> DataFrame:
-    return sessions.groupBy("vehicle_id").agg(F.count("*").alias("n_sessions")).orderBy(
+    return sessions.groupBy("vehicle_id").agg(F.expr("count(*) as n_sessions")).orderBy(
         F.desc("n_sessions"), "vehicle_id"
     )
 
 
 def duration_vs_gain(sessions: DataFrame) -> DataFrame:
-    return sessions.select(
-        "vehicle_id", (F.col("duration_sec") / 60).alias("duration_min"), "delta_battery_pct"
-    )
+    return sessions.selectExpr("vehicle_id", "duration_sec / 60 as duration_min", "delta_battery_pct")
 
 
 def hour_heatmap(sessions: DataFrame) -> DataFrame:
     """Sessions by vehicle and start hour, all 24 hours as columns h00 … h23."""
     hours = list(range(24))
-    counts = (
-        sessions.groupBy("vehicle_id", F.hour("start_ts").alias("hour")).agg(F.count("*").alias("n"))
-        .groupBy("vehicle_id").pivot("hour", hours).sum("n").fillna(0)
-    )
-    return counts.select("vehicle_id", *[F.col(str(h)).alias(f"h{h:02d}") for h in hours])
+    counts = sessions.selectExpr("vehicle_id", "hour(start_ts) as hour").groupBy("vehicle_id").pivot("hour", hours).count()
+    return counts.selectExpr("vehicle_id", *[f"coalesce(`{h}`, 0L) as h{h:02d}" for h in hours])
 
 
 def battery_points(sessions: DataFrame) -> DataFrame:
     """Start and end level of each session, in time order."""
-    point = lambda end: F.struct(
-        F.col(f"{end}_ts").alias("ts"), F.col(f"{end}_battery_pct").alias("battery")
+    point = lambda end: f"struct({end}_ts as ts, {end}_battery_pct as battery)"
+    return sessions.selectExpr("vehicle_id", f"inline(array({point('start')}, {point('end')}))").orderBy(
+        "ts", "vehicle_id"
     )
-    return sessions.select("vehicle_id", F.inline(F.array(point("start"), point("end")))).orderBy("ts")
 
 
 def battery_line(sessions: DataFrame) -> DataFrame:
     """Mean level per vehicle and time."""
-    return battery_points(sessions).groupBy("vehicle_id", "ts").agg(F.avg("battery").alias("battery"))
+    return battery_points(sessions).groupBy("vehicle_id", "ts").agg(F.expr("avg(battery) as battery"))

@@ -2,73 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from ampline.functions.scalars import strip, to_number
+from ampline.functions.scalars import no_nan, strip, text_list, to_number
 
 TRIGGER_NAMES = ["IGN_CYL", "CHARGE_STATE", "EV_CHARGE_STATE"]
 IGNITION_VALUES = ["ON", "OFF"]
 CHARGE_VALUES = ["Active", "Aborted", "Complete", "Completed"]
 
+STATUS = f"lower({strip('IGNITION_STATUS')})"
+BATTERY = no_nan("EV_BATTERY_LEVEL")
+SPEED = no_nan("SPEED")
 
-def no_nan(x: Column) -> Column:
-    """NaN to NULL: Spark sorts NaN above every number, so caps would turn it into a value."""
-    return F.when(~F.isnan(x), x)
-
-
-def status_text(raw: Column) -> Column:
-    return F.lower(strip(raw))
+# Why a trigger row with a valid time is rejected; NULL for a good one. The rules exclude each other.
+TRIGGER_FAULT = f"""case
+    when coalesce(NAME not in ({text_list(TRIGGER_NAMES)}), true) then 'name'
+    when NAME = 'IGN_CYL' and coalesce(VAL not in ({text_list(IGNITION_VALUES)}), true) then 'ignition'
+    when NAME = 'CHARGE_STATE' and ({to_number('VAL')}) is null then 'charge_level'
+    when NAME = 'EV_CHARGE_STATE' and coalesce(VAL not in ({text_list(CHARGE_VALUES)}), true) then 'charge_status'
+    end"""
 
 
 def clean_tlm(raw: DataFrame) -> DataFrame:
     """Valid times, normalised status, capped battery and speed, first row of each ID."""
-    battery, speed = no_nan(F.col("EV_BATTERY_LEVEL")), no_nan(F.col("SPEED"))
-    rows = raw.where(F.col("TIMESTAMP").isNotNull()).select(
-        "row_ord",
-        "ID",
-        "VEHICLE_ID",
-        "TIMESTAMP",
-        F.when(speed < 0, 0.0).otherwise(speed).alias("SPEED"),
-        F.nullif(status_text(F.col("IGNITION_STATUS")), F.lit("unknown")).alias("IGNITION_STATUS"),
-        F.when(battery > 100, 100.0).when(battery >= 0, battery).alias("EV_BATTERY_LEVEL"),
-        no_nan(F.col("ODOMETER")).alias("ODOMETER"),
+    rows = raw.where("TIMESTAMP is not null").selectExpr(
+        "row_ord", "ID", "VEHICLE_ID", "TIMESTAMP",
+        f"case when ({SPEED}) < 0 then 0D else {SPEED} end as SPEED",
+        f"nullif({STATUS}, 'unknown') as IGNITION_STATUS",
+        f"case when ({BATTERY}) > 100 then 100D when ({BATTERY}) >= 0 then {BATTERY} end as EV_BATTERY_LEVEL",
+        f"{no_nan('ODOMETER')} as ODOMETER",
+        # A rank filter: each map task forwards at most one row of an ID, so a hot ID stays small.
+        "row_number() over (partition by ID order by row_ord) as nth",
     )
-    # A rank filter: each map task forwards at most one row of an ID, so a hot ID stays small.
-    first = Window.partitionBy("ID").orderBy("row_ord")
-    return rows.withColumn("nth", F.row_number().over(first)).where("nth = 1").drop("nth")
-
-
-def known_vehicles(clean: DataFrame, column: str = "VEHICLE_ID") -> DataFrame:
-    return clean.where(F.col(column).isNotNull())
-
-
-def trigger_checks() -> dict[str, Column]:
-    """Rejections of a trigger row by rule; the rules exclude each other."""
-    name, val = F.col("NAME"), F.col("VAL")
-    named = F.coalesce(name.isin(TRIGGER_NAMES), F.lit(False))
-    one_of = lambda values: F.coalesce(val.isin(values), F.lit(False))
-    return {
-        "name": ~named,
-        "ignition": named & (name == "IGN_CYL") & ~one_of(IGNITION_VALUES),
-        "charge_level": named & (name == "CHARGE_STATE") & to_number(val).isNull(),
-        "charge_status": named & (name == "EV_CHARGE_STATE") & ~one_of(CHARGE_VALUES),
-    }
+    return rows.where("nth = 1").drop("nth")
 
 
 def valid_triggers(raw: DataFrame) -> DataFrame:
-    rejected = F.lit(False)
-    for check in trigger_checks().values():
-        rejected = rejected | check
-    return raw.where(F.col("CTS").isNotNull() & ~rejected)
+    return raw.where(f"CTS is not null and ({TRIGGER_FAULT}) is null")
 
 
 def clean_trg(raw: DataFrame) -> DataFrame:
     """Valid triggers, one row per (CTS, PNID, NAME, VAL), with its first place in the file."""
-    return valid_triggers(raw).groupBy("CTS", "PNID", "NAME", "VAL").agg(F.min("row_ord").alias("row_ord"))
+    return valid_triggers(raw).groupBy("CTS", "PNID", "NAME", "VAL").agg({"row_ord": "min"}).withColumnRenamed(
+        "min(row_ord)", "row_ord"
+    )
 
 
 def clean_syn(raw: DataFrame) -> DataFrame:
-    return raw.where(F.col("timestamp").isNotNull()).select(
-        "row_ord", F.col("vehicleId").alias("vehicle_id"), F.col("timestamp").alias("event_ts")
+    return raw.where("timestamp is not null").selectExpr(
+        "row_ord", "vehicleId as vehicle_id", "timestamp as event_ts"
     )

@@ -12,89 +12,61 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampline.config import Params
-from ampline.functions.scalars import file_chunk, micros
-from ampline.operators.slices import SECOND, HotCells, slice_window, with_context, with_slice
+from ampline.functions.scalars import SECOND, file_chunk, micros
+from ampline.operators.slices import UP_TO_HERE, HotCells, in_slice, over_slices, with_context, with_slice
 from ampline.staging import stage
 
-PRIORITY = {"TLM": 0, "TRG": 1, "SYN": 2}
+PRIORITY = "case source when 'TLM' then 0 when 'TRG' then 1 when 'SYN' then 2 end"
 ORDER = ["us", "prio", "ord1", "ord2"]
 
 
-def source_priority(source: Column) -> Column:
-    rank = F.lit(None).cast("int")
-    for name, value in PRIORITY.items():
-        rank = F.when(source == name, value).otherwise(rank)
-    return rank
-
-
 def _single_copies(events: DataFrame) -> DataFrame:
     """Equal synthetic events stand next to each other at their instant, so all but the first go.
 
     Done by a grouping, which shrinks a large group of copies before the shuffle.
     """
     syn = events.where("source = 'SYN'").groupBy("vehicle_id", "event", "event_ts", "source").agg(
-        F.min(F.struct("ord1", "ord2")).alias("first")
+        F.expr("min(struct(ord1, ord2)) as first")
     )
     return events.where("source <> 'SYN'").unionByName(
         syn.select("vehicle_id", "event", "event_ts", "source", "first.ord1", "first.ord2")
     )
 
 
-def keep_spaced(items: Column, last_us: Column, gap: int) -> Column:
+def keep_spaced(items: str, last_us: str, gap: int) -> str:
     """Items (sorted by time) at least ``gap`` microseconds after the previously kept one."""
-    start = F.struct(last_us.cast("bigint").alias("last"), F.slice(items, 1, 0).alias("kept"))
-
-    def step(state: Column, item: Column) -> Column:
-        far = state["last"].isNull() | (item["us"] - state["last"] >= gap)
-        taken = F.struct(
-            item["us"].alias("last"), F.concat(state["kept"], F.array(item)).alias("kept")
-        )
-        return F.when(far, taken).otherwise(state)
-
-    return F.aggregate(items, start, step, lambda state: state["kept"])
+    return (
+        f"aggregate({items}, named_struct('last', cast({last_us} as bigint), 'kept', slice({items}, 1, 0)), "
+        f"(s, x) -> if(s.last is null or x.us - s.last >= {gap}, "
+        f"named_struct('last', x.us, 'kept', concat(s.kept, array(x))), s), s -> s.kept)"
+    )
 
 
 def _pieces(events: DataFrame, hot: HotCells | None, p: Params) -> DataFrame:
     """vehicle_id, slice, piece, items, tail_us. Piece 0 goes on with the previous slice's run;
     its items are undecided, those of the others are the kept ones."""
     gap = p.near_dup_gap_sec * SECOND
-    single = _single_copies(events)
-    prio = source_priority(F.col("source"))
-    chunk = F.shiftleft(prio.cast("bigint"), 45) + file_chunk(dict(single.dtypes)["ord1"], F.col("ord1"))
-    placed = stage(
-        with_slice(
-            single.withColumn("us", micros("event_ts")).withColumn("prio", prio), chunk, hot, p
-        ),
-        "fusion-input",
-    )
-    me = F.struct("event", "us")
-    order = slice_window(*ORDER)
+    single = _single_copies(events).selectExpr("*", f"{micros('event_ts')} as us", f"{PRIORITY} as prio")
+    chunk = f"shiftleft(cast(prio as bigint), 45) + {file_chunk(dict(single.dtypes)['ord1'], 'ord1')}"
+    placed = stage(with_slice(single, chunk, hot, p), "fusion-input")
     runs = (
-        with_context(placed, ORDER, before={"carried": me})
-        .withColumn("prev", F.coalesce(F.lag(me).over(order), F.col("carried")))
-        .withColumn(
-            "opens",
-            F.col("prev").isNull()
-            | (F.col("prev.event") != F.col("event"))
-            | (F.col("us") - F.col("prev.us") >= gap),
-        )
-        .withColumn("piece", F.sum(F.col("opens").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        with_context(placed, ORDER, before={"carried": "struct(event, us)"})
+        .selectExpr("*", f"coalesce(lag(struct(event, us)) {in_slice(ORDER)}, carried) as prev")
+        .selectExpr("*", f"prev is null or prev.event <> event or us - prev.us >= {gap} as opens")
+        .selectExpr("*", f"sum(cast(opens as int)) {in_slice(ORDER, frame=UP_TO_HERE)} as piece")
     )
-    item = F.struct(*ORDER, "event", "event_ts", "source")
-    grouped = runs.groupBy("vehicle_id", "slice", "piece").agg(F.sort_array(F.collect_list(item)).alias("items"))
-    settled = F.when(F.col("piece") == 0, F.col("items")).when(
-        F.size("items") == 1, F.col("items")
-    ).otherwise(keep_spaced(F.col("items"), F.lit(None), gap))
-    return stage(
-        grouped.withColumn("items", settled).withColumn(
-            "tail_us", F.when(F.col("piece") > 0, F.element_at("items", -1)["us"])
-        ),
-        "fusion-pieces",
+    item = f"struct({', '.join(ORDER)}, event, event_ts, source)"
+    settled = f"if(piece = 0 or size(items) = 1, items, {keep_spaced('items', 'null', gap)})"
+    grouped = (
+        runs.groupBy("vehicle_id", "slice", "piece").agg(F.expr(f"sort_array(collect_list({item})) as items"))
+        .selectExpr("vehicle_id", "slice", "piece", f"{settled} as items")
+        .selectExpr("*", "if(piece > 0, element_at(items, -1).us, null) as tail_us")
     )
+    return stage(grouped, "fusion-pieces")
 
 
 def jump_table(us: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,45 +107,26 @@ def _walk(run: pd.DataFrame, gap: int) -> pd.DataFrame:
     return pd.DataFrame({"vehicle_id": run["vehicle_id"], "seq": run["seq"], "seed_us": seeds})
 
 
-def _seeds(pieces: DataFrame, gap: int) -> DataFrame:
-    """Last kept time before each slice that starts inside a run: vehicle_id, slice, seed_us."""
-    by_vehicle = Window.partitionBy("vehicle_id").orderBy("slice")
-    ends = pieces.groupBy("vehicle_id", "slice").agg(
-        (F.min("piece") == 0).alias("goes_on"),
-        (F.max("piece") == 0).alias("covered"),
-        F.max_by("tail_us", "piece").alias("tail_us"),
-    )
-    known = F.last("tail_us", ignorenulls=True).over(by_vehicle.rowsBetween(Window.unboundedPreceding, -1))
-    chain = ends.select(
-        "vehicle_id", "slice", "goes_on", "covered", known.alias("start_us"),
-        F.row_number().over(by_vehicle).cast("bigint").alias("seq"),
-        F.coalesce(F.lag(F.col("covered")).over(by_vehicle), F.lit(False)).alias("after_covered"),
-    )
-    direct = chain.where("goes_on and not after_covered").select(
-        "vehicle_id", "slice", F.col("start_us").alias("seed_us")
-    )
-    if pieces.groupBy("vehicle_id", "slice").agg(F.max("piece").alias("m")).where("m = 0").isEmpty():
-        return direct
-    # Slices filled by one unbroken run: what leaves them depends on what enters.
+def _through_covered(chain: DataFrame, pieces: DataFrame, gap: int) -> DataFrame:
+    """Seeds behind slices filled by one unbroken run: what leaves them depends on what enters."""
     chain = stage(chain, "fusion-chain")
-    covered = chain.where("covered").join(pieces, ["vehicle_id", "slice"])
-    tables = covered.select(
-        "vehicle_id", "seq", F.transform("items", lambda x: x["us"]).alias("times")
-    ).mapInPandas(
-        lambda batches: _jump_tables(batches, gap),
-        "vehicle_id string, seq bigint, entry_us array<bigint>, exit_us array<bigint>",
+    tables = (
+        chain.where("covered").join(pieces, ["vehicle_id", "slice"])
+        .selectExpr("vehicle_id", "seq", "transform(items, x -> x.us) as times")
+        .mapInPandas(
+            lambda batches: _jump_tables(batches, gap),
+            "vehicle_id string, seq bigint, entry_us array<bigint>, exit_us array<bigint>",
+        )
     )
-    links = chain.where("goes_on and (covered or after_covered)").join(tables, ["vehicle_id", "seq"], "left")
+    # A group is one run: its covered slices and the one after them, one row each.
     walked = (
-        links.select("vehicle_id", "seq", "start_us", "entry_us", "exit_us")
+        chain.where("goes_on and (covered or after_covered)").join(tables, ["vehicle_id", "seq"], "left")
+        .select("vehicle_id", "seq", "start_us", "entry_us", "exit_us")
         .groupBy("vehicle_id", "start_us")
-        .applyInPandas(
-            lambda key, run: _walk(run, gap), "vehicle_id string, seq bigint, seed_us bigint"
-        )
+        .applyInPandas(lambda run: _walk(run, gap), "vehicle_id string, seq bigint, seed_us bigint")
     )
-    return direct.unionByName(
-        chain.where("goes_on and after_covered").join(walked, ["vehicle_id", "seq"])
-        .select("vehicle_id", "slice", "seed_us")
+    return chain.where("goes_on and after_covered").join(walked, ["vehicle_id", "seq"]).select(
+        "vehicle_id", "slice", "seed_us"
     )
 
 
@@ -181,13 +134,28 @@ def fuse(events: DataFrame, hot: HotCells | None, p: Params) -> DataFrame:
     """Kept events: vehicle_id, event, event_ts, source and their place (prio, ord1, ord2)."""
     gap = p.near_dup_gap_sec * SECOND
     pieces = _pieces(events, hot, p)
+    ends = pieces.groupBy("vehicle_id", "slice").agg(
+        F.expr("min(piece) = 0 as goes_on"),
+        F.expr("max(piece) = 0 as covered"),
+        F.expr("max_by(tail_us, piece) as tail_us"),
+    )
+    any_open, any_covered = ends.agg(F.expr("max(goes_on)"), F.expr("max(covered)")).first()
     kept = pieces.where("piece > 0").select("vehicle_id", "items")
-    open_pieces = pieces.where("piece = 0")
-    if not open_pieces.isEmpty():
-        seeded = open_pieces.join(_seeds(pieces, gap), ["vehicle_id", "slice"])
+    if any_open:
+        earlier = over_slices(frame="rows between unbounded preceding and 1 preceding")
+        chain = ends.selectExpr(
+            "vehicle_id", "slice", "goes_on", "covered",
+            f"last(tail_us) ignore nulls {earlier} as start_us",
+            f"cast(row_number() {over_slices()} as bigint) as seq",
+            f"coalesce(lag(covered) {over_slices()}, false) as after_covered",
+        )
+        seeds = chain.where("goes_on and not after_covered").selectExpr("vehicle_id", "slice", "start_us as seed_us")
+        if any_covered:
+            seeds = seeds.unionByName(_through_covered(chain, pieces, gap))
         kept = kept.unionByName(
-            seeded.select("vehicle_id", keep_spaced(F.col("items"), F.col("seed_us"), gap).alias("items"))
+            pieces.where("piece = 0").join(seeds, ["vehicle_id", "slice"])
+            .selectExpr("vehicle_id", f"{keep_spaced('items', 'seed_us', gap)} as items")
         )
-    return kept.select("vehicle_id", F.inline("items")).select(
+    return kept.selectExpr("vehicle_id", "inline(items)").select(
         "vehicle_id", "event", "event_ts", "source", "prio", "ord1", "ord2"
     )

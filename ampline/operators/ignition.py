@@ -3,84 +3,55 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ampline.config import Params
 from ampline.functions.scalars import file_chunk, micros
-from ampline.operators.cleaning import known_vehicles
-from ampline.operators.slices import HotCells, slice_window, with_context, with_slice
+from ampline.operators.slices import HotCells, in_slice, with_context, with_slice
 from ampline.staging import stage
 
 EVENT_COLUMNS = ["vehicle_id", "event", "event_ts", "source", "ord1", "ord2"]
+SEQUENCE = ("vehicle_id", "source")
 
 
-def status_changes(rows: DataFrame, hot: HotCells | None, p: Params) -> DataFrame:
-    """Rows whose status differs from the vehicle's previous one; the first always counts.
+def tlm_status(clean: DataFrame) -> DataFrame:
+    return clean.where("VEHICLE_ID is not null and IGNITION_STATUS in ('on', 'off')").selectExpr(
+        "VEHICLE_ID as vehicle_id", "IGNITION_STATUS as status", "TIMESTAMP as event_ts",
+        "'TLM' as source", "row_ord as ord1", "0L as ord2",
+    )
+
+
+def trg_status(mapped: DataFrame) -> DataFrame:
+    """Per vehicle, so that several PNIDs of one vehicle interleave."""
+    return mapped.where("NAME = 'IGN_CYL' and vehicle_id is not null").selectExpr(
+        "vehicle_id", "lower(VAL) as status", "CTS as event_ts",
+        "'TRG' as source", "PNID as ord1", "row_ord as ord2",
+    )
+
 
-    ``rows``: vehicle_id, status (not null), event_ts, ord1, ord2, in the order of the last three.
+def ignition_changes(rows: DataFrame, hot: HotCells | None, p: Params) -> DataFrame:
+    """Rows whose status differs from the previous one of their (vehicle, source); the first
+    always counts.
+
+    ``rows``: vehicle_id, status (on or off), event_ts, source, ord1, ord2, in the order of time,
+    ord1, ord2.
     """
+    order = ["us", "ord1", "ord2"]
     placed = with_slice(
-        rows.withColumn("us", micros("event_ts")),
-        file_chunk(dict(rows.dtypes)["ord1"], F.col("ord1")), hot, p,
+        rows.selectExpr("*", f"{micros('event_ts')} as us"), file_chunk(dict(rows.dtypes)["ord1"], "ord1"), hot, p
     )
-    order = ["us", "ord1", "ord2"]
-    previous = F.lag("status").over(slice_window(*order))
     # Inside a slice the change is final; only the slice's first row still needs its context,
     # and the last row kept here holds the slice's last status.
-    local = (
-        placed.withColumn("previous", previous)
-        .where(F.col("previous").isNull() | (F.col("previous") != F.col("status")))
-        .withColumn("head", F.col("previous").isNull())
-        .drop("previous")
+    local = placed.selectExpr("*", f"lag(status) {in_slice(order, SEQUENCE)} as previous").where(
+        "previous is null or previous <> status"
     )
     kept = stage(local, "status-changes")
-    seen = with_context(kept, order, before={"carried": F.col("status")})
-    return seen.where(
-        ~F.col("head") | F.col("carried").isNull() | (F.col("carried") != F.col("status"))
-    ).select("vehicle_id", "status", "event_ts", "ord1", "ord2")
-
-
-def _events(changes: DataFrame, on: str, off: str, source: str) -> DataFrame:
-    event = F.when(F.col("status") == on, "ignitionOn").when(F.col("status") == off, "ignitionOff")
-    return changes.select("vehicle_id", event.alias("event"), "event_ts", F.lit(source).alias("source"), "ord1", "ord2")
-
-
-def tlm_status_rows(clean: DataFrame) -> DataFrame:
-    return known_vehicles(clean).where(F.col("IGNITION_STATUS").isin("on", "off")).select(
-        F.col("VEHICLE_ID").alias("vehicle_id"),
-        F.col("IGNITION_STATUS").alias("status"),
-        F.col("TIMESTAMP").alias("event_ts"),
-        F.col("row_ord").alias("ord1"),
-        F.lit(0).cast("bigint").alias("ord2"),
+    seen = with_context(kept, order, before={"carried": "status"}, key=SEQUENCE)
+    return seen.where("coalesce(previous, carried, '') <> status").selectExpr(
+        "vehicle_id", "if(status = 'on', 'ignitionOn', 'ignitionOff') as event", "event_ts", "source", "ord1", "ord2"
     )
 
 
-def tlm_ignition(clean: DataFrame, hot: HotCells | None, p: Params) -> DataFrame:
-    return _events(status_changes(tlm_status_rows(clean), hot, p), "on", "off", "TLM")
-
-
-def trg_ignition(mapped: DataFrame, hot: HotCells | None, p: Params) -> DataFrame:
-    """Changes per vehicle, so that several PNIDs of one vehicle interleave."""
-    rows = mapped.where("NAME = 'IGN_CYL' and vehicle_id is not null").select(
-        "vehicle_id",
-        F.col("VAL").alias("status"),
-        F.col("CTS").alias("event_ts"),
-        F.col("PNID").alias("ord1"),
-        F.col("row_ord").alias("ord2"),
-    )
-    return _events(status_changes(rows, hot, p), "ON", "OFF", "TRG")
-
-
 def syn_ignition(clean: DataFrame) -> DataFrame:
-    return known_vehicles(clean, "vehicle_id").select(
-        "vehicle_id",
-        F.lit("ignitionOff").alias("event"),
-        "event_ts",
-        F.lit("SYN").alias("source"),
-        F.col("row_ord").alias("ord1"),
-        F.lit(0).cast("bigint").alias("ord2"),
+    return clean.where("vehicle_id is not null").selectExpr(
+        "vehicle_id", "'ignitionOff' as event", "event_ts", "'SYN' as source", "row_ord as ord1", "0L as ord2"
     )
-
-
-def all_ignition(tlm: DataFrame, trg: DataFrame, syn: DataFrame) -> DataFrame:
-    return tlm.select(EVENT_COLUMNS).unionByName(trg.select(EVENT_COLUMNS)).unionByName(syn.select(EVENT_COLUMNS))

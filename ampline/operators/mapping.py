@@ -5,35 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampline.config import Params
 from ampline.functions.scalars import parse_id_list
 
 
 def parse_map(raw: DataFrame) -> DataFrame:
     """Last row of each vehicle with its parsed list: row_ord, ID, IDS, pnids (NULL where bad)."""
-    last = raw.groupBy("ID").agg(F.max("row_ord").alias("row_ord"), F.max_by("IDS", "row_ord").alias("IDS"))
-    return last.select("row_ord", "ID", "IDS", parse_id_list(F.col("IDS")).alias("pnids"))
+    last = raw.groupBy("ID").agg(F.expr("max(row_ord) as row_ord"), F.expr("max_by(IDS, row_ord) as IDS"))
+    return last.selectExpr("row_ord", "ID", "IDS", f"{parse_id_list('IDS')} as pnids")
 
 
 def claims(parsed: DataFrame) -> DataFrame:
     """One row per list entry: pnid, vehicle_id and its place in map order."""
-    return parsed.select("row_ord", F.col("ID").alias("vehicle_id"), F.posexplode("pnids").alias("pos", "pnid"))
+    return parsed.selectExpr("row_ord", "ID as vehicle_id", "posexplode(pnids) as (pos, pnid)")
 
 
 def pnid_map(parsed: DataFrame) -> DataFrame:
     """PNID to vehicle; the last claim in map order wins."""
     return claims(parsed).groupBy("pnid").agg(
-        F.max_by("vehicle_id", F.struct("row_ord", "pos")).alias("vehicle_id")
+        F.expr("max_by(vehicle_id, struct(row_ord, pos)) as vehicle_id")
     )
 
 
-def small_enough(table: DataFrame, p: Params) -> bool:
-    return table.limit(p.broadcast_rows + 1).count() <= p.broadcast_rows
+def with_vehicle(trg: DataFrame, pmap: DataFrame) -> DataFrame:
+    """Left lookup of the vehicle.
 
-
-def with_vehicle(trg: DataFrame, pmap: DataFrame, p: Params) -> DataFrame:
-    """Left lookup of the vehicle. A large map is joined by shuffle, where AQE splits hot PNIDs."""
-    lookup = pmap.select(F.col("pnid").alias("PNID"), "vehicle_id")
-    if small_enough(pmap, p):
-        lookup = F.broadcast(lookup)
-    return trg.join(lookup, "PNID", "left")
+    No hint: at run time AQE broadcasts the map if its measured size is below the broadcast
+    threshold, and otherwise splits the partitions of hot PNIDs.
+    """
+    return trg.join(pmap.withColumnRenamed("pnid", "PNID"), "PNID", "left")

@@ -1,237 +1,215 @@
 """Data-quality findings: one row per finding that fires, and the offending values behind them.
 
-Columns: stage and k1, k2 (report order), rule, item (vehicle, PNID or column, else empty),
+Columns: stage, k1 and k2 (report order), rule, item (vehicle, PNID or column, else empty),
 n_rows and detail (the report line).
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampline.config import Params
 from ampline.functions.scalars import file_chunk, python_quote
-from ampline.operators.cleaning import no_nan, status_text, trigger_checks, valid_triggers
+from ampline.operators.cleaning import BATTERY, SPEED, STATUS, TRIGGER_FAULT, valid_triggers
 from ampline.operators.mapping import claims
-from ampline.operators.slices import slice_window, with_context
+from ampline.operators.slices import in_slice, with_context
 
-FINDING = ["stage", "k1", "k2", "rule", "item", "n_rows", "detail"]
 CHECKED_COLUMNS = ["SPEED", "IGNITION_STATUS", "EV_BATTERY_LEVEL", "ODOMETER"]
-TRIGGER_RULES = {"name": (9, "DQ-9"), "ignition": (10, "DQ-10"), "charge_level": (11, "DQ-11"), "charge_status": (12, "DQ-12")}
-
-
-def _finding(rows: DataFrame, stage: int, rule: str, n: Column, detail: Column, item=None, k1=None, k2=None):
-    zero = F.lit(0)
-    return rows.select(
-        F.lit(stage).alias("stage"),
-        (zero if k1 is None else k1).cast("decimal(38,0)").alias("k1"),
-        (zero if k2 is None else k2).cast("bigint").alias("k2"),
-        F.lit(rule).alias("rule"),
-        (F.lit("") if item is None else item).cast("string").alias("item"),
-        n.cast("bigint").alias("n_rows"),
-        detail.alias("detail"),
+FAULT_STAGES = {"name": 9, "ignition": 10, "charge_level": 11, "charge_status": 12}
+DROPPED = "— dropped."
+
+
+def _finding(
+    rows: DataFrame, stage: int, n: str, detail: str,
+    item: str = "''", k1: str = "0", k2: str = "0", rule: str | None = None,
+) -> DataFrame:
+    return rows.selectExpr(
+        f"{stage} as stage", f"cast({k1} as decimal(38, 0)) as k1", f"cast({k2} as bigint) as k2",
+        f"'{rule or f'DQ-{stage}'}' as rule", f"cast({item} as string) as item",
+        f"cast({n} as bigint) as n_rows", f"{detail} as detail",
     )
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _counted(totals: DataFrame, entries: list[tuple[int, str, str, str]]) -> DataFrame:
-    """One finding per (stage, rule, count column, text with one %d), zero counts left out."""
-    as_struct = lambda stage, rule, name, text: F.struct(
-        F.lit(stage).alias("stage"), F.lit(0).cast("decimal(38,0)").alias("k1"),
-        F.lit(0).cast("bigint").alias("k2"), F.lit(rule).alias("rule"), F.lit("").alias("item"),
-        F.col(name).cast("bigint").alias("n_rows"), F.format_string(text, F.col(name)).alias("detail"),
+def _counted(totals: DataFrame, entries: list[tuple[int, str, str]]) -> DataFrame:
+    """One finding per (stage, count column, text with one %d), zero counts left out."""
+    rows = ", ".join(
+        f"""named_struct('stage', {stage}, 'k1', cast(0 as decimal(38, 0)), 'k2', 0L, 'rule', 'DQ-{stage}', 'item', '',
+            'n_rows', cast({count} as bigint), 'detail', format_string("{text}", {count}))"""
+        for stage, count, text in entries
     )
-    return totals.select(F.inline(F.array(*[as_struct(*e) for e in entries]))).where("n_rows > 0")
+    return totals.selectExpr(f"inline(array({rows}))").where("n_rows > 0")
 
 
 def tlm_findings(raw: DataFrame) -> DataFrame:
-    timed = F.col("TIMESTAMP").isNotNull()
-    battery, speed = no_nan(F.col("EV_BATTERY_LEVEL")), no_nan(F.col("SPEED"))
-    totals = raw.agg(
-        F.count_if(~timed).alias("bad_time"),
-        F.count_if(timed & (status_text(F.col("IGNITION_STATUS")) == "unknown")).alias("unknown"),
-        F.count_if(timed & (battery > 100)).alias("high"),
-        F.count_if(timed & (battery < 0)).alias("negative"),
-        F.count_if(timed & (speed < 0)).alias("slow"),
-        (
-            F.count_if(timed)
-            - F.count_distinct(F.when(timed, F.col("ID")))
-            - F.coalesce(F.max((timed & F.col("ID").isNull()).cast("int")), F.lit(0))
-        ).alias("repeated"),
+    totals = raw.selectExpr(
+        "TIMESTAMP is not null as timed", "ID", f"{STATUS} as status", f"{BATTERY} as battery", f"{SPEED} as speed"
+    ).selectExpr(
+        "count_if(not timed) as bad_time",
+        "count_if(timed and status = 'unknown') as unknown",
+        "count_if(timed and battery > 100) as high",
+        "count_if(timed and battery < 0) as negative",
+        "count_if(timed and speed < 0) as slow",
+        "count_if(timed) - count(distinct if(timed, ID, null)) "
+        "- coalesce(max(if(timed and ID is null, 1, 0)), 0) as repeated",
     )
     return _counted(totals, [
-        (1, "DQ-1", "bad_time", "TLM: %d rows with unparseable timestamps — dropped."),
-        (2, "DQ-2", "unknown", "TLM: %d rows have IGNITION_STATUS='unknown' — treated as missing."),
-        (3, "DQ-3", "high", "TLM: %d battery readings > 100 %% — capped at 100."),
-        (4, "DQ-4", "negative", "TLM: %d negative battery readings — set to NaN."),
-        (5, "DQ-5", "slow", "TLM: %d negative speed readings — set to 0."),
-        (6, "DQ-6", "repeated", "TLM: %d duplicate row IDs — deduplicated."),
+        (1, "bad_time", f"TLM: %d rows with unparseable timestamps {DROPPED}"),
+        (2, "unknown", "TLM: %d rows have IGNITION_STATUS='unknown' — treated as missing."),
+        (3, "high", "TLM: %d battery readings > 100 %% — capped at 100."),
+        (4, "negative", "TLM: %d negative battery readings — set to NaN."),
+        (5, "slow", "TLM: %d negative speed readings — set to 0."),
+        (6, "repeated", "TLM: %d duplicate row IDs — deduplicated."),
     ])
 
 
 def null_ratios(clean: DataFrame) -> DataFrame:
-    """column_name, n_null, n_rows, pct_null for the checked columns of the cleaned telemetry."""
-    totals = clean.agg(F.count("*").alias("n"), *[F.count(c).alias(c) for c in CHECKED_COLUMNS])
-    per_column = F.array(*[
-        F.struct(F.lit(i).alias("place"), F.lit(c).alias("column_name"), (F.col("n") - F.col(c)).alias("n_null"), F.col("n").alias("n_rows"))
+    """place, column_name, n_null, n_rows, pct_null for the checked columns of the cleaned telemetry."""
+    totals = clean.selectExpr("count(*) as n", *[f"count({c}) as {c}" for c in CHECKED_COLUMNS])
+    rows = ", ".join(
+        f"named_struct('place', {i}, 'column_name', '{c}', 'n_null', n - {c}, 'n_rows', n)"
         for i, c in enumerate(CHECKED_COLUMNS)
-    ])
-    return totals.select(F.inline(per_column)).where("n_rows > 0").withColumn(
-        "pct_null", 100 * F.col("n_null") / F.col("n_rows")
+    )
+    return totals.selectExpr(f"inline(array({rows}))").where("n_rows > 0").selectExpr(
+        "*", "100 * n_null / n_rows as pct_null"
     )
 
 
 def sparse_findings(clean: DataFrame, p: Params) -> DataFrame:
-    sparse = null_ratios(clean).where(F.col("pct_null") > p.null_alert_pct)
-    detail = F.format_string(
-        "TLM: Column '%s' is %.1f%% null (%s/%s) — sparse but usable.",
-        "column_name", F.rint(F.col("pct_null") * 10) / 10,
-        F.format_number("n_null", 0), F.format_number("n_rows", 0),
+    sparse = null_ratios(clean).where(f"pct_null > {p.null_alert_pct}")
+    detail = (
+        """format_string("TLM: Column '%s' is %.1f%% null (%s/%s) — sparse but usable.", column_name, """
+        "rint(pct_null * 10) / 10, format_number(n_null, 0), format_number(n_rows, 0))"
     )
-    return _finding(sparse, 7, "DQ-7", F.col("n_null"), detail, F.col("column_name"), F.col("place"))
+    return _finding(sparse, 7, "n_null", detail, "column_name", "place")
 
 
 def missing_vehicle_findings(clean_tlm: DataFrame, clean_syn: DataFrame) -> DataFrame:
-    """Rows without a vehicle id are dropped here; the original engine has no rule for them."""
+    """Rows without a vehicle id are dropped by this engine, so they get a finding of their own."""
     def one(rows: DataFrame, column: str, tag: str, stage: int) -> DataFrame:
-        n = rows.agg(F.count_if(F.col(column).isNull()).alias("n")).where("n > 0")
-        text = F.format_string(f"{tag}: %d rows without a vehicle id — dropped.", "n")
-        return _finding(n, stage, "NO-VEHICLE", F.col("n"), text, k1=F.lit(99))
+        n = rows.selectExpr(f"count_if({column} is null) as n").where("n > 0")
+        detail = f"format_string('{tag}: %d rows without a vehicle id {DROPPED}', n)"
+        return _finding(n, stage, "n", detail, k1="99", rule="NO-VEHICLE")
 
     return one(clean_tlm, "VEHICLE_ID", "TLM", 7).unionByName(one(clean_syn, "vehicle_id", "SYN", 17))
 
 
-def with_value_lists(counts: DataFrame, order: str, shown: Column, p: Params) -> DataFrame:
-    """Per rule: n_rows, n_values and the value list. ``counts``: rule, ``order`` column, n.
+def with_value_lists(counts: DataFrame, shown: str, p: Params) -> DataFrame:
+    """Per rule: n_rows, n_values and the sorted value list. ``counts``: rule, value, n.
 
     A list longer than ``listed_values`` shows its start and refers to the offending-values
     table, which always holds all of them.
     """
-    place = F.row_number().over(Window.partitionBy("rule").orderBy(F.col(order).asc_nulls_last()))
+    top = p.listed_values
     first = (
-        counts.withColumn("place", place).where(F.col("place") <= p.listed_values)
-        .groupBy("rule").agg(F.sort_array(F.collect_list(F.struct("place", shown.alias("shown")))).alias("first"))
+        counts.selectExpr("*", "row_number() over (partition by rule order by value asc nulls last) as place")
+        .where(f"place <= {top}")
+        .groupBy("rule").agg(F.expr(f"sort_array(collect_list(struct(place, {shown} as shown))) as first"))
+    )
+    totals = counts.groupBy("rule").agg(F.expr("sum(n) as n_rows"), F.expr("count(*) as n_values"))
+    rest = f"if(n_values > {top}, format_string(', … %d more in the offending values', n_values - {top}), '')"
+    return totals.join(first, "rule").selectExpr(
+        "rule", "n_rows", "n_values",
+        f"concat('[', array_join(transform(first, x -> x.shown), ', '), {rest}, ']') as listed",
     )
-    totals = counts.groupBy("rule").agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_values"))
-    joined = F.array_join(F.transform("first", lambda x: x["shown"]), ", ")
-    rest = F.format_string(", … %d more in the offending values", F.col("n_values") - p.listed_values)
-    listed = F.concat(F.lit("["), joined, F.when(F.col("n_values") > p.listed_values, rest).otherwise(""), F.lit("]"))
-    return totals.join(first, "rule").withColumn("listed", listed)
 
 
 def offending_triggers(raw: DataFrame) -> DataFrame:
     """rule, value, n for rejected trigger rows."""
-    checks = trigger_checks()
-    rule = reduce(lambda acc, kv: F.when(kv[1], kv[0]).otherwise(acc), checks.items(), F.lit(None).cast("string"))
-    value = F.when(F.col("rule") == "name", F.col("NAME")).otherwise(F.col("VAL"))
     return (
-        raw.where(F.col("CTS").isNotNull()).withColumn("rule", rule).where("rule is not null")
-        .groupBy("rule", value.alias("value")).agg(F.count("*").alias("n"))
+        raw.where("CTS is not null").selectExpr(f"{TRIGGER_FAULT} as rule", "NAME", "VAL")
+        .where("rule is not null").selectExpr("rule", "if(rule = 'name', NAME, VAL) as value")
+        .groupBy("rule", "value").agg(F.expr("count(*) as n"))
     )
 
 
 def trg_findings(raw: DataFrame, p: Params) -> DataFrame:
-    bad_time = raw.agg(F.count_if(F.col("CTS").isNull()).alias("bad_time"))
-    times = _counted(bad_time, [(8, "DQ-8", "bad_time", "TRG: %d rows with unparseable timestamps — dropped.")])
-    shown = F.coalesce(python_quote(F.col("value")), F.lit("nan"))
-    lists = with_value_lists(offending_triggers(raw), "value", shown, p)
-    texts = {
-        "name": ("TRG: %d rows with unexpected NAME values: %s — dropped.", True),
-        "ignition": ("TRG: %d IGN_CYL rows with unexpected VAL %s — dropped.", True),
-        "charge_level": ("TRG: %d CHARGE_STATE rows with non-numeric VAL — dropped.", False),
-        "charge_status": ("TRG: %d EV_CHARGE_STATE rows with unexpected VAL %s — dropped.", True),
-    }
-    rejected = [
-        _finding(
-            lists.where(F.col("rule") == key), *TRIGGER_RULES[key], F.col("n_rows"),
-            F.format_string(text, "n_rows", "listed") if has_list else F.format_string(text, "n_rows"),
-        )
-        for key, (text, has_list) in texts.items()
-    ]
-    keys = valid_triggers(raw).groupBy("CTS", "PNID", "NAME", "VAL").agg(F.count("*").alias("n"))
-    repeated = keys.agg((F.sum("n") - F.count("*")).alias("repeated"))
-    copies = _counted(repeated, [(13, "DQ-13", "repeated", "TRG: %d exact duplicate rows — deduplicated.")])
-    return _union([times, *rejected, copies])
+    bad_time = raw.selectExpr("count_if(CTS is null) as bad_time")
+    found = _counted(bad_time, [(8, "bad_time", f"TRG: %d rows with unparseable timestamps {DROPPED}")])
+    lists = with_value_lists(offending_triggers(raw), f"coalesce({python_quote('value')}, 'nan')", p)
+    stage = " ".join(f"when '{name}' then {number}" for name, number in FAULT_STAGES.items())
+    text = (
+        "case rule when 'name' then format_string('rows with unexpected NAME values: %s', listed) "
+        "when 'ignition' then format_string('IGN_CYL rows with unexpected VAL %s', listed) "
+        "when 'charge_level' then 'CHARGE_STATE rows with non-numeric VAL' "
+        "else format_string('EV_CHARGE_STATE rows with unexpected VAL %s', listed) end"
+    )
+    rejected = lists.selectExpr(
+        f"case rule {stage} end as stage", "cast(0 as decimal(38, 0)) as k1", "0L as k2",
+        f"concat('DQ-', case rule {stage} end) as rule", "'' as item", "n_rows",
+        f"format_string('TRG: %d %s {DROPPED}', n_rows, {text}) as detail",
+    )
+    keys = valid_triggers(raw).groupBy("CTS", "PNID", "NAME", "VAL").agg(F.expr("count(*) as n"))
+    repeated = keys.selectExpr("coalesce(sum(n) - count(*), 0) as repeated")
+    copies = _counted(repeated, [(13, "repeated", "TRG: %d exact duplicate rows — deduplicated.")])
+    return found.unionByName(rejected).unionByName(copies)
 
 
 def map_findings(parsed: DataFrame) -> DataFrame:
-    one = F.lit(1)
-    vehicle = F.coalesce("ID", F.lit("nan"))
-    missing = parsed.where("IDS is null")
-    unread = parsed.where("IDS is not null and pnids is null")
-    entries = claims(parsed)
-    entries = entries.withColumn("slice", file_chunk(dict(entries.dtypes)["row_ord"], F.col("row_ord")))
-    order = ["row_ord", "pos"]
-    me = F.struct(F.coalesce("vehicle_id", F.lit("nan")).alias("id"))
-    again = with_context(entries, order, before={"carried": me}, key="pnid").withColumn(
-        "previous", F.coalesce(F.lag(me).over(slice_window(*order, key="pnid")), F.col("carried"))
+    vehicle = "coalesce(ID, 'nan')"
+    missing = _finding(
+        parsed.where("IDS is null"), 14, "1",
+        f"format_string('MAP: Vehicle %s has no PNIDs — will get events only from TLM/SYN.', {vehicle})",
+        vehicle, "row_ord",
+    )
+    unread = _finding(
+        parsed.where("IDS is not null and pnids is null"), 14, "1",
+        f"format_string('MAP: Could not parse PNIDs for vehicle %s: %s', {vehicle}, {python_quote('IDS')})",
+        vehicle, "row_ord", rule="DQ-15",
+    )
+    entries = claims(parsed).selectExpr("row_ord", "pos", "pnid", "coalesce(vehicle_id, 'nan') as vehicle")
+    entries = entries.selectExpr("*", f"{file_chunk(dict(entries.dtypes)['row_ord'], 'row_ord')} as slice")
+    order, key = ["row_ord", "pos"], ("pnid",)
+    again = with_context(entries, order, before={"carried": "vehicle"}, key=key).selectExpr(
+        "*", f"coalesce(lag(vehicle) {in_slice(order, key)}, carried) as previous"
     ).where("previous is not null")
-    return _union([
-        _finding(
-            missing, 14, "DQ-14", one,
-            F.format_string("MAP: Vehicle %s has no PNIDs — will get events only from TLM/SYN.", vehicle),
-            vehicle, F.col("row_ord"),
-        ),
-        _finding(
-            unread, 14, "DQ-15", one,
-            F.format_string("MAP: Could not parse PNIDs for vehicle %s: %s", vehicle, python_quote(F.col("IDS"))),
-            vehicle, F.col("row_ord"),
-        ),
-        _finding(
-            again, 16, "DQ-16", one,
-            F.format_string(
-                "MAP: PNID %d maps to multiple vehicles: %s and %s. Using latest.",
-                "pnid", "previous.id", F.coalesce("vehicle_id", F.lit("nan")),
-            ),
-            F.col("pnid"), F.col("row_ord"), F.col("pos"),
-        ),
-    ])
+    overwritten = _finding(
+        again, 16, "1",
+        "format_string('MAP: PNID %d maps to multiple vehicles: %s and %s. Using latest.', pnid, previous, vehicle)",
+        "pnid", "row_ord", "pos",
+    )
+    return missing.unionByName(unread).unionByName(overwritten)
 
 
 def syn_findings(raw: DataFrame) -> DataFrame:
-    totals = raw.agg(F.count_if(F.col("timestamp").isNull()).alias("bad_time"))
-    return _counted(totals, [(17, "DQ-17", "bad_time", "SYN: %d rows with unparseable timestamps — dropped.")])
+    totals = raw.selectExpr("count_if(timestamp is null) as bad_time")
+    return _counted(totals, [(17, "bad_time", f"SYN: %d rows with unparseable timestamps {DROPPED}")])
 
 
 def unmapped_pnids(mapped: DataFrame) -> DataFrame:
     """rule (trigger name), value (PNID), n for ignition and plug triggers without a vehicle."""
     return (
         mapped.where("vehicle_id is null and NAME in ('IGN_CYL', 'EV_CHARGE_STATE')")
-        .groupBy(F.col("NAME").alias("rule"), F.col("PNID").alias("value")).agg(F.count("*").alias("n"))
+        .selectExpr("NAME as rule", "PNID as value").groupBy("rule", "value").agg(F.expr("count(*) as n"))
     )
 
 
 def unmapped_findings(mapped: DataFrame, p: Params) -> DataFrame:
-    shown = F.coalesce(F.col("value").cast("string"), F.lit("nan"))
-    lists = with_value_lists(unmapped_pnids(mapped), "value", shown, p)
-    entry = lambda name, stage, tag: _finding(
-        lists.where(F.col("rule") == name), stage, f"DQ-{stage}", F.col("n_rows"),
-        F.format_string(f"TRG→{tag}: %d {name} rows with unmapped PNIDs: %s — dropped.", "n_rows", "listed"),
+    lists = with_value_lists(unmapped_pnids(mapped), "coalesce(cast(value as string), 'nan')", p)
+    stage = "if(rule = 'IGN_CYL', 18, 20)"
+    tag = "if(rule = 'IGN_CYL', 'IGN', 'ChargeStatus')"
+    return lists.selectExpr(
+        f"{stage} as stage", "cast(0 as decimal(38, 0)) as k1", "0L as k2",
+        f"concat('DQ-', {stage}) as rule", "'' as item", "n_rows",
+        f"format_string('TRG→%s: %d %s rows with unmapped PNIDs: %s {DROPPED}', {tag}, n_rows, rule, listed) as detail",
     )
-    return entry("IGN_CYL", 18, "IGN").unionByName(entry("EV_CHARGE_STATE", 20, "ChargeStatus"))
 
 
 def fusion_findings(before: DataFrame, after: DataFrame) -> DataFrame:
-    sizes = before.agg(F.count("*").alias("n")).select(
-        (F.col("n") - after.agg(F.count("*")).scalar()).alias("removed")
+    sizes = before.agg(F.expr("count(*) as n")).select(
+        (F.col("n") - after.agg(F.expr("count(*)")).scalar()).alias("removed")
     )
     text = "Ignition fusion: %d near-duplicate events removed (same vehicle + event within 10 s)."
-    return _counted(sizes, [(19, "DQ-19", "removed", text)])
+    return _counted(sizes, [(19, "removed", text)])
 
 
 def offending_values(raw_trg: DataFrame, mapped: DataFrame) -> DataFrame:
     """All values named in findings: rule, value, n_rows."""
-    names = reduce(
-        lambda acc, kv: F.when(F.col("rule") == kv[0], kv[1][1]).otherwise(acc), TRIGGER_RULES.items(), F.col("rule")
+    stage = " ".join(f"when '{name}' then {number}" for name, number in FAULT_STAGES.items())
+    triggers = offending_triggers(raw_trg).selectExpr(
+        f"concat('DQ-', case rule {stage} end) as rule", "value", "n as n_rows"
     )
-    triggers = offending_triggers(raw_trg).select(names.alias("rule"), "value", F.col("n").alias("n_rows"))
-    pnid_rule = F.when(F.col("rule") == "IGN_CYL", "DQ-18").otherwise("DQ-20")
-    pnids = unmapped_pnids(mapped).select(
-        pnid_rule.alias("rule"), F.col("value").cast("string").alias("value"), F.col("n").alias("n_rows")
+    pnids = unmapped_pnids(mapped).selectExpr(
+        "if(rule = 'IGN_CYL', 'DQ-18', 'DQ-20') as rule", "cast(value as string) as value", "n as n_rows"
     )
     return triggers.unionByName(pnids)

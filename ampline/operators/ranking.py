@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampline.staging import stage
@@ -17,14 +17,16 @@ def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
     placed = stage(
         rows.repartitionByRange(*order).withColumn("range_no", F.spark_partition_id()), "numbered"
     )
-    sizes = placed.groupBy("range_no").agg(F.count("*").alias("n"))
-    # One row per partition: bounded by the shuffle partition count.
-    before = Window.orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("range_no", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    place = F.row_number().over(Window.partitionBy("range_no").orderBy(*order))
+    # One row per range: bounded by the shuffle partition count.
+    sizes = placed.groupBy("range_no").count()
+    offsets = sizes.selectExpr(
+        "range_no",
+        "coalesce(sum(count) over (order by range_no rows between unbounded preceding and 1 preceding), 0) as offset",
+    )
+    place = f"row_number() over (partition by range_no order by {', '.join(order)})"
     return (
-        placed.withColumn("place", place)
+        placed.selectExpr("*", f"{place} as place")
         .join(F.broadcast(offsets), "range_no")
-        .withColumn(name, F.col("offset") + F.col("place") - 1)
+        .selectExpr("*", f"offset + place - 1 as {name}")
         .drop("range_no", "place", "offset")
     )

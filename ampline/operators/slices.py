@@ -13,15 +13,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampline.config import Params
-from ampline.functions.scalars import micros
-from ampline.operators.mapping import small_enough
+from ampline.functions.scalars import SECOND, micros
 from ampline.staging import stage
 
-SECOND = 1_000_000
+VEHICLE = ("vehicle_id",)
 
 
 @dataclass(frozen=True)
@@ -30,67 +29,73 @@ class HotCells:
     broadcast: bool
 
 
-def slice_start(us: Column, seconds: int) -> Column:
-    return us - F.pmod(us, F.lit(seconds * SECOND))
+def slice_start(us: str, seconds: int) -> str:
+    return f"(({us}) - pmod({us}, {seconds * SECOND}L))"
 
 
 def find_hot_cells(rows: DataFrame, p: Params) -> HotCells | None:
     """Vehicle-hours with too many rows. ``rows``: vehicle_id, event_ts; counted map-side first."""
-    placed = rows.select("vehicle_id", micros("event_ts").alias("us")).withColumn(
-        "cell", slice_start(F.col("us"), p.slice_sec)
+    placed = rows.selectExpr("vehicle_id", f"{micros('event_ts')} as us").selectExpr(
+        "*", f"{slice_start('us', p.slice_sec)} as cell"
     )
-    crowded = F.col("n") > p.max_slice_rows
-    counts = placed.groupBy("vehicle_id", "cell").agg(F.count("*").alias("n"))
-    cells = stage(counts.where(crowded).select("vehicle_id", "cell"), "hot-cells")
-    if cells.isEmpty():
+    crowded = f"count > {p.max_slice_rows}"
+    counts = placed.groupBy("vehicle_id", "cell").count().where(crowded).select("vehicle_id", "cell")
+    if counts.isEmpty():
         return None
-    small = small_enough(cells, p)
+    cells = stage(counts, "hot-cells")
+    small = cells.count() <= p.broadcast_rows
     inside = placed.join(F.broadcast(cells) if small else cells, ["vehicle_id", "cell"])
     instants = (
-        inside.groupBy("vehicle_id", "cell", "us").agg(F.count("*").alias("n")).where(crowded)
-        .groupBy("vehicle_id", "cell").agg(F.sort_array(F.collect_set("us")).alias("instants"))
+        inside.groupBy("vehicle_id", "cell", "us").count().where(crowded)
+        .groupBy("vehicle_id", "cell").agg(F.expr("sort_array(collect_set(us)) as instants"))
     )
-    table = cells.join(instants, ["vehicle_id", "cell"], "left").withColumn(
-        "instants", F.coalesce("instants", F.array().cast("array<bigint>"))
+    table = cells.join(instants, ["vehicle_id", "cell"], "left").selectExpr(
+        "vehicle_id", "cell", "coalesce(instants, cast(array() as array<bigint>)) as instants"
     )
     return HotCells(stage(table, "hot-instants"), small)
 
 
-def with_slice(rows: DataFrame, chunk: Column, hot: HotCells | None, p: Params) -> DataFrame:
+def with_slice(rows: DataFrame, chunk: str, hot: HotCells | None, p: Params) -> DataFrame:
     """Add ``slice`` to rows with ``vehicle_id`` and ``us``.
 
     ``chunk`` must grow with the order of rows of equal time; only hot instants use it.
     """
-    us = F.col("us")
-    hour = slice_start(us, p.slice_sec)
+    hour = slice_start("us", p.slice_sec)
     if hot is None:
-        return rows.withColumn("slice", hour)
-    marked = rows.withColumn("cell", hour).withColumn("chunk", chunk).join(
+        return rows.selectExpr("*", f"{hour} as slice")
+    marked = rows.selectExpr("*", f"{hour} as cell", f"cast({chunk} as bigint) as chunk").join(
         F.broadcast(hot.table) if hot.broadcast else hot.table, ["vehicle_id", "cell"], "left"
     )
-    instants = F.col("instants")
-    at_hot = F.array_contains(instants, us)
-    step = 2 * F.size(F.filter(instants, lambda x: x < us)) + at_hot.cast("int")
-    part = lambda t, s, c: F.struct(
-        t.cast("bigint").alias("t"), s.cast("int").alias("step"), c.cast("bigint").alias("chunk")
+    at_hot = "array_contains(instants, us)"
+    step = f"2 * size(filter(instants, x -> x < us)) + cast({at_hot} as int)"
+    fine = (
+        f"named_struct('t', {slice_start('us', 1)}, 'step', {step}, 'chunk', if({at_hot}, chunk, 0L))"
     )
-    zero = F.lit(0)
-    fine = part(slice_start(us, 1), step, F.when(at_hot, F.col("chunk")).otherwise(zero))
-    return marked.withColumn(
-        "slice", F.when(instants.isNull(), part(hour, zero, zero)).otherwise(fine)
-    ).drop("cell", "chunk", "instants")
+    coarse = "named_struct('t', cell, 'step', 0, 'chunk', 0L)"
+    return marked.selectExpr("*", f"if(instants is null, {coarse}, {fine}) as slice").drop(
+        "cell", "chunk", "instants"
+    )
+
+
+def in_slice(order: list[str], key: tuple[str, ...] = VEHICLE, frame: str = "") -> str:
+    """The ``over (…)`` clause of a window inside a slice."""
+    return f"over (partition by {', '.join(key)}, slice order by {', '.join(order)} {frame})"
+
+
+UP_TO_HERE = "rows between unbounded preceding and current row"
 
 
-def slice_window(*order: str | Column, key: str = "vehicle_id"):
-    return Window.partitionBy(key, "slice").orderBy(*order)
+def over_slices(key: tuple[str, ...] = VEHICLE, frame: str = "") -> str:
+    """The ``over (…)`` clause of a window over the one-row-per-slice table."""
+    return f"over (partition by {', '.join(key)} order by slice {frame})"
 
 
 def with_context(
     rows: DataFrame,
     order: list[str],
-    before: dict[str, Column] | None = None,
-    after: dict[str, Column] | None = None,
-    key: str = "vehicle_id",
+    before: dict[str, str] | None = None,
+    after: dict[str, str] | None = None,
+    key: tuple[str, ...] = VEHICLE,
 ) -> DataFrame:
     """Add values from outside the slice: per name the last non-null one of the earlier slices
     (``before``) or the first of the later ones (``after``).
@@ -99,19 +104,15 @@ def with_context(
     span, not by the number of rows.
     """
     before, after = before or {}, after or {}
-    place = F.struct(*order)
-    ends = rows.groupBy(key, "slice").agg(
-        *[F.max_by(c, F.when(c.isNotNull(), place)).alias(n) for n, c in before.items()],
-        *[F.min_by(c, F.when(c.isNotNull(), place)).alias(n) for n, c in after.items()],
+    place = f"struct({', '.join(order)})"
+    end = lambda pick, name, value: F.expr(f"{pick}({value}, if(({value}) is not null, {place}, null)) as {name}")
+    ends = rows.groupBy(*key, "slice").agg(
+        *[end("max_by", n, v) for n, v in before.items()], *[end("min_by", n, v) for n, v in after.items()]
     )
-    earlier = Window.partitionBy(key).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    context = ends.select(
-        key,
-        "slice",
-        *[F.last(n, ignorenulls=True).over(earlier).alias(n) for n in before],
-        *[
-            F.expr(f"lead({n}) ignore nulls over (partition by {key} order by slice)").alias(n)
-            for n in after
-        ],
+    earlier = over_slices(key, "rows between unbounded preceding and 1 preceding")
+    context = ends.selectExpr(
+        *key, "slice",
+        *[f"last({n}) ignore nulls {earlier} as {n}" for n in before],
+        *[f"lead({n}) ignore nulls {over_slices(key)} as {n}" for n in after],
     )
-    return rows.join(context, [key, "slice"])
+    return rows.join(context, [*key, "slice"])

@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from ampline.config import Params
 from ampline.operators import battery, charts, quality
 from ampline.operators.charging import SESSION_COLUMNS
 from ampline.operators.ignition import EVENT_COLUMNS
@@ -22,8 +22,9 @@ def _query(build: Callable[[Flow], DataFrame], share: bool = False) -> Query:
     return lambda spark, sf_dir: build(Flow(derived_feeds(spark, sf_dir), share=share))
 
 
-def _on_sessions(build: Callable[[Flow], DataFrame]) -> Query:
-    return _query(build, share=True)
+def _on_sessions(build: Callable[[DataFrame, Params], DataFrame], passes: int = 1) -> Query:
+    """A chart of the sessions; they are written first where it reads them more than once."""
+    return _query(lambda f: build(f.sessions if passes == 1 else f.written_sessions, f.p), share=True)
 
 
 def _findings(build: Callable[[Flow], DataFrame], share: bool = False) -> Query:
@@ -31,14 +32,13 @@ def _findings(build: Callable[[Flow], DataFrame], share: bool = False) -> Query:
 
 
 def _map_parsed(flow: Flow) -> DataFrame:
-    return flow.parsed_map.select(
-        "row_ord", F.col("ID").alias("vehicle_id"), "IDS",
-        F.array_join(F.transform("pnids", lambda x: x.cast("string")), ",").alias("pnids"),
+    return flow.parsed_map.selectExpr(
+        "row_ord", "ID as vehicle_id", "IDS", "array_join(cast(pnids as array<string>), ',') as pnids"
     )
 
 
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: F.round(n, 6) for n in names})
+    return df.selectExpr(*[f"round({c}, 6) as {c}" if c in names else c for c in df.columns])
 
 
 QUERIES: dict[str, Query] = {
@@ -81,20 +81,16 @@ QUERIES: dict[str, Query] = {
     "run_summary": _query(lambda f: f.summary(), share=True),
     "viz_ignition_timeline": _query(lambda f: charts.ignition_timeline(f.fused), share=True),
     "viz_duration_hist": _on_sessions(
-        lambda f: _rounded(charts.duration_hist(f.sessions, f.p), "bin_start", "bin_end")
-    ),
-    "viz_duration_kde": _on_sessions(
-        lambda f: _rounded(charts.duration_kde(f.sessions, f.p), "x", "density")
+        lambda s, p: _rounded(charts.duration_hist(s, p), "bin_start", "bin_end"), passes=4
     ),
+    "viz_duration_kde": _on_sessions(lambda s, p: _rounded(charts.duration_kde(s, p), "x", "density"), passes=2),
     "viz_gain_box": _on_sessions(
-        lambda f: _rounded(charts.gain_box(f.sessions), "q1", "median", "q3", "whisker_low", "whisker_high")
-    ),
-    "viz_gain_outliers": _on_sessions(lambda f: charts.gain_outliers(f.sessions)),
-    "viz_sessions_per_vehicle": _on_sessions(lambda f: charts.sessions_per_vehicle(f.sessions)),
-    "viz_duration_vs_gain": _on_sessions(
-        lambda f: _rounded(charts.duration_vs_gain(f.sessions), "duration_min")
+        lambda s, p: _rounded(charts.gain_box(s), "q1", "median", "q3", "whisker_low", "whisker_high"), passes=3
     ),
-    "viz_hour_heatmap": _on_sessions(lambda f: charts.hour_heatmap(f.sessions)),
-    "viz_battery_points": _on_sessions(lambda f: charts.battery_points(f.sessions)),
-    "viz_battery_line": _on_sessions(lambda f: _rounded(charts.battery_line(f.sessions), "battery")),
+    "viz_gain_outliers": _on_sessions(lambda s, p: charts.gain_outliers(s), passes=2),
+    "viz_sessions_per_vehicle": _on_sessions(lambda s, p: charts.sessions_per_vehicle(s)),
+    "viz_duration_vs_gain": _on_sessions(lambda s, p: _rounded(charts.duration_vs_gain(s), "duration_min")),
+    "viz_hour_heatmap": _on_sessions(lambda s, p: charts.hour_heatmap(s)),
+    "viz_battery_points": _on_sessions(lambda s, p: charts.battery_points(s)),
+    "viz_battery_line": _on_sessions(lambda s, p: _rounded(charts.battery_line(s), "battery")),
 }

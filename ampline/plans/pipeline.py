@@ -17,7 +17,7 @@ from ampline.staging import stage
 
 
 class Flow:
-    """Lazily built stages of one run. ``share`` writes stages that several others read."""
+    """Lazily built steps of one run. ``share`` writes the cleaned feeds, which several steps read."""
 
     def __init__(self, feeds: Feeds, params: Params | None = None, share: bool = False):
         self.feeds = feeds
@@ -30,7 +30,16 @@ class Flow:
 
     @cached_property
     def tlm(self) -> DataFrame:
-        return self._shared(cleaning.clean_tlm(self.feeds.tlm), "tlm")
+        return cleaning.clean_tlm(self.feeds.tlm)
+
+    @cached_property
+    def signals(self) -> DataFrame:
+        """What later steps need of the telemetry: rows with an on/off status or a battery level."""
+        useful = self.tlm.where(
+            "VEHICLE_ID is not null and (IGNITION_STATUS in ('on', 'off') or EV_BATTERY_LEVEL is not null)"
+        )
+        columns = ["row_ord", "VEHICLE_ID", "TIMESTAMP", "IGNITION_STATUS", "EV_BATTERY_LEVEL"]
+        return self._shared(useful.select(columns), "signals")
 
     @cached_property
     def trg(self) -> DataFrame:
@@ -51,24 +60,29 @@ class Flow:
     @cached_property
     def mapped(self) -> DataFrame:
         """Triggers with their vehicle: one lookup for all three uses."""
-        return self._shared(mapping.with_vehicle(self.trg, self.pnid_map, self.p), "trg")
+        return self._shared(mapping.with_vehicle(self.trg, self.pnid_map), "triggers")
 
     @cached_property
     def hot(self) -> HotCells | None:
         """Crowded vehicle-hours, counted on the raw rows: an upper bound for every later step."""
-        status = cleaning.status_text(F.col("IGNITION_STATUS"))
-        rows = self.feeds.tlm.where(status.isin("on", "off") & F.col("TIMESTAMP").isNotNull()).select(
-            F.col("VEHICLE_ID").alias("vehicle_id"), F.col("TIMESTAMP").alias("event_ts")
+        rows = self.feeds.tlm.where(
+            f"{cleaning.STATUS} in ('on', 'off') and TIMESTAMP is not null and VEHICLE_ID is not null"
         )
-        return find_hot_cells(rows.where("vehicle_id is not null"), self.p)
+        return find_hot_cells(rows.selectExpr("VEHICLE_ID as vehicle_id", "TIMESTAMP as event_ts"), self.p)
+
+    @cached_property
+    def changes(self) -> DataFrame:
+        """Status changes of both recording sources, found in one pass."""
+        rows = ignition.tlm_status(self.signals).unionByName(ignition.trg_status(self.mapped))
+        return ignition.ignition_changes(rows, self.hot, self.p)
 
     @cached_property
     def tlm_ignition(self) -> DataFrame:
-        return ignition.tlm_ignition(self.tlm, self.hot, self.p)
+        return ignition.ignition_changes(ignition.tlm_status(self.tlm), self.hot, self.p)
 
     @cached_property
     def trg_ignition(self) -> DataFrame:
-        return ignition.trg_ignition(self.mapped, None, self.p)
+        return ignition.ignition_changes(ignition.trg_status(self.mapped), None, self.p)
 
     @cached_property
     def syn_ignition(self) -> DataFrame:
@@ -76,11 +90,11 @@ class Flow:
 
     @cached_property
     def all_ignition(self) -> DataFrame:
-        return ignition.all_ignition(self.tlm_ignition, self.trg_ignition, self.syn_ignition)
+        return self.changes.unionByName(self.syn_ignition)
 
     @cached_property
     def fused(self) -> DataFrame:
-        return self._shared(fusion.fuse(self.all_ignition, self.hot, self.p), "fused")
+        return fusion.fuse(self.all_ignition, self.hot, self.p)
 
     @cached_property
     def status_events(self) -> DataFrame:
@@ -88,7 +102,7 @@ class Flow:
 
     @cached_property
     def timeline(self) -> DataFrame:
-        return battery.battery_timeline(self.tlm, self.mapped)
+        return battery.battery_timeline(self.signals, self.mapped)
 
     @cached_property
     def ignition_with_battery(self) -> DataFrame:
@@ -118,7 +132,12 @@ class Flow:
 
     @cached_property
     def sessions(self) -> DataFrame:
-        return self._shared(charging.charging_events(self.merged_sessions, self.p), "charging-events")
+        return charging.charging_events(self.merged_sessions, self.p)
+
+    @cached_property
+    def written_sessions(self) -> DataFrame:
+        """The sessions for several readers."""
+        return stage(self.sessions, "charging-events")
 
     @cached_property
     def findings(self) -> DataFrame:
@@ -144,8 +163,8 @@ class Flow:
             ("trg", self.trg, "PNID"),
             ("map", self.pnid_map, "vehicle_id"),
             ("syn", self.syn, "vehicle_id"),
-            ("tlm_ignition", self.tlm_ignition, "vehicle_id"),
-            ("trg_ignition", self.trg_ignition, "vehicle_id"),
+            ("tlm_ignition", self.changes.where("source = 'TLM'"), "vehicle_id"),
+            ("trg_ignition", self.changes.where("source = 'TRG'"), "vehicle_id"),
             ("syn_ignition", self.syn_ignition, "vehicle_id"),
             ("fused_ignition", self.fused, "vehicle_id"),
             ("charging_status", self.status_events, "vehicle_id"),
@@ -187,7 +206,6 @@ def read_feeds(spark: SparkSession, tlm: str, trg: str, map_: str, syn: str) ->
 def run(feeds: Feeds, out_dir: str, params: Params | None = None, fmt: str = "csv") -> Flow:
     """Compute everything once and write the three tables, the report and its values."""
     flow = Flow(feeds, params, share=True)
-    flow.findings = stage(flow.findings, "findings")
     writers.write_events(flow.fused, ["prio", "ord1", "ord2"], f"{out_dir}/IgnitionEvents", fmt)
     writers.write_sessions(flow.sessions, f"{out_dir}/ChargingEvents", fmt)
     writers.write_events(flow.status_events, ["ord1", "ord2"], f"{out_dir}/ChargingStatusEvents", fmt)

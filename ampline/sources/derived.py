@@ -8,7 +8,6 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ampline.functions.scalars import micros, ntz_from_micros
 
@@ -23,122 +22,73 @@ class Feeds(NamedTuple):
     syn: DataFrame
 
 
-def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    since = micros("ts") - START_US
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        F.col("event_id").alias("e"),
-        F.col("user_id").alias("u"),
-        F.col("event_type").alias("kind"),
-        F.col("value").alias("value"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        (START_US + (since - F.pmod(since, F.lit(SQUEEZE))) / SQUEEZE).cast("bigint").alias("us"),
+def _base(events: DataFrame, kinds: str) -> DataFrame:
+    return events.where(f"event_type in ({kinds})").selectExpr(
+        "event_id as e", "user_id as u", "event_type as kind", "value",
+        "cast(get_json_object(props, '$.k') as int) as k",
+        f"{START_US} + ({micros('ts')} - {START_US}) div {SQUEEZE} as us",
     )
 
 
 def _copied(rows: DataFrame, every: int) -> DataFrame:
     """A second copy (d = 1) of each row whose number divides by ``every``."""
-    copies = F.when(F.col("e") % every == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return rows.withColumn("d", F.explode(copies))
-
-
-def _vehicle(prefix: str = "V"):
-    return F.concat(F.lit(prefix), F.col("u").cast("string"))
-
-
-def derived_tlm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e, kind, value = F.col("e"), F.col("kind"), F.col("value")
-    rows = _copied(_base(spark, sf_dir).where(kind.isin("click", "view", "purchase")), 50)
-    return rows.select(
-        (e * 2 + F.col("d")).alias("row_ord"),
-        e.cast("string").alias("ID"),
-        _vehicle().alias("VEHICLE_ID"),
-        F.when(e % 97 != 0, ntz_from_micros(F.col("us"))).alias("TIMESTAMP"),
-        F.when(kind == "view", value - 10).alias("SPEED"),
-        F.when(kind == "click", " On ")
-        .when(kind == "view", "OFF")
-        .when(e % 2 == 0, "Unknown")
-        .alias("IGNITION_STATUS"),
-        F.when(kind != "view", value - 5).alias("EV_BATTERY_LEVEL"),
-        F.when(e % 4 == 0, value * 100).alias("ODOMETER"),
+    return rows.selectExpr("*", f"explode(if(e % {every} = 0, array(0, 1), array(0))) as d")
+
+
+def derived_tlm(events: DataFrame) -> DataFrame:
+    return _copied(_base(events, "'click', 'view', 'purchase'"), 50).selectExpr(
+        "e * 2 + d as row_ord",
+        "cast(e as string) as ID",
+        "concat('V', u) as VEHICLE_ID",
+        f"if(e % 97 <> 0, {ntz_from_micros('us')}, null) as TIMESTAMP",
+        "if(kind = 'view', value - 10, null) as SPEED",
+        "case when kind = 'click' then ' On ' when kind = 'view' then 'OFF' "
+        "when e % 2 = 0 then 'Unknown' end as IGNITION_STATUS",
+        "if(kind <> 'view', value - 5, null) as EV_BATTERY_LEVEL",
+        "if(e % 4 = 0, value * 100, null) as ODOMETER",
     )
 
 
-def derived_trg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e, k, kind = F.col("e"), F.col("k"), F.col("kind")
-    rows = _copied(_base(spark, sf_dir).where(kind.isin("signup", "error")), 40)
-    name = (
-        F.when(kind == "signup", "CHARGE_STATE")
-        .when(k < 60, "IGN_CYL")
-        .when(k < 90, "EV_CHARGE_STATE")
-        .otherwise("DOOR")
-    )
-    plug = F.element_at(
-        F.array(*[F.lit(x) for x in ("Active", "Aborted", "Complete", "Completed", "Abort")]), k % 5 + 1
-    )
-    val = (
-        F.when((kind == "signup") & (k == 13), "n/a")
-        .when(kind == "signup", k.cast("string"))
-        .when(k == 31, "CRANK")
-        .when(k < 60, F.when(k % 2 == 0, "ON").otherwise("OFF"))
-        .when(k < 90, plug)
-        .otherwise("x")
-    )
-    return rows.select(
-        (e * 2 + F.col("d")).alias("row_ord"),
-        F.when(e % 89 != 0, ntz_from_micros(F.col("us"))).alias("CTS"),
-        (F.col("u") * 2 + e % 2).alias("PNID"),
-        name.alias("NAME"),
-        val.alias("VAL"),
+def derived_trg(events: DataFrame) -> DataFrame:
+    return _copied(_base(events, "'signup', 'error'"), 40).selectExpr(
+        "e * 2 + d as row_ord",
+        f"if(e % 89 <> 0, {ntz_from_micros('us')}, null) as CTS",
+        "u * 2 + e % 2 as PNID",
+        "case when kind = 'signup' then 'CHARGE_STATE' when k < 60 then 'IGN_CYL' "
+        "when k < 90 then 'EV_CHARGE_STATE' else 'DOOR' end as NAME",
+        "case when kind = 'signup' then if(k = 13, 'n/a', cast(k as string)) "
+        "when k = 31 then 'CRANK' when k < 60 then if(k % 2 = 0, 'ON', 'OFF') "
+        "when k < 90 then array('Active', 'Aborted', 'Complete', 'Completed', 'Abort')[k % 5] "
+        "else 'x' end as VAL",
     )
 
 
-def derived_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    users = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("user_id").alias("u")).distinct()
-    u = F.col("u")
-    pnids = lambda *shift: F.format_string(
-        "[" + ",".join(["%d"] * len(shift)) + "]", *[u * 2 + i for i in shift]
-    )
+def derived_map(events: DataFrame) -> DataFrame:
     ids = (
-        F.when(u % 15 == 14, F.lit(None).cast("string"))
-        .when(u % 15 == 13, "broken[")
-        .when(u % 15 == 4, pnids(0, 1, 2))
-        .otherwise(pnids(0, 1))
+        "case u % 15 when 14 then null when 13 then 'broken[' "
+        "when 4 then format_string('[%d,%d,%d]', u * 2, u * 2 + 1, u * 2 + 2) "
+        "else format_string('[%d,%d]', u * 2, u * 2 + 1) end"
     )
-    lines = F.array(F.struct((u * 2 + 1).alias("row_ord"), ids.alias("IDS")))
-    early = F.array(F.struct((u * 2).alias("row_ord"), F.lit("[]").alias("IDS")))
-    return users.select(
-        _vehicle().alias("ID"), F.inline(F.when(u % 15 == 3, F.concat(early, lines)).otherwise(lines))
-    ).select("row_ord", "ID", "IDS")
-
-
-def derived_syn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e, us = F.col("e"), F.col("us")
-    third = F.when(
-        e % 3 == 0,
-        F.struct(
-            (e * 2).alias("row_ord"),
-            F.when(e % 30 == 0, _vehicle("X")).otherwise(_vehicle()).alias("vehicleId"),
-            (us + 3000000).alias("us"),
-        ),
+    late = f"named_struct('row_ord', u * 2 + 1, 'IDS', {ids})"
+    early = "named_struct('row_ord', u * 2, 'IDS', '[]')"
+    return (
+        events.selectExpr("user_id as u").distinct()
+        .selectExpr("concat('V', u) as ID", f"inline(if(u % 15 = 3, array({early}, {late}), array({late})))")
+        .select("row_ord", "ID", "IDS")
     )
-    fifth = F.when(
-        e % 5 == 0,
-        F.struct(
-            (e * 2 + 1).alias("row_ord"),
-            _vehicle().alias("vehicleId"),
-            (us + (e % 20) * 1000000).alias("us"),
-        ),
+
+
+def derived_syn(events: DataFrame) -> DataFrame:
+    third = (
+        "named_struct('row_ord', e * 2, 'vehicleId', concat(if(e % 30 = 0, 'X', 'V'), u), 'us', us + 3000000)"
     )
-    both = F.filter(F.array(third, fifth), lambda x: x.isNotNull())
-    return _base(spark, sf_dir).where("kind = 'view'").select(F.inline(both)).select(
-        "row_ord", "vehicleId", ntz_from_micros(F.col("us")).alias("timestamp"), F.lit("ignitionOff").alias("type")
+    fifth = "named_struct('row_ord', e * 2 + 1, 'vehicleId', concat('V', u), 'us', us + (e % 20) * 1000000)"
+    both = f"array(if(e % 3 = 0, {third}, null), if(e % 5 = 0, {fifth}, null))"
+    return _base(events, "'view'").selectExpr(f"inline(filter({both}, x -> x is not null))").selectExpr(
+        "row_ord", "vehicleId", f"{ntz_from_micros('us')} as timestamp", "'ignitionOff' as type"
     )
 
 
 def derived_feeds(spark: SparkSession, sf_dir: str) -> Feeds:
-    return Feeds(
-        derived_tlm(spark, sf_dir),
-        derived_trg(spark, sf_dir),
-        derived_map(spark, sf_dir),
-        derived_syn(spark, sf_dir),
-    )
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return Feeds(derived_tlm(events), derived_trg(events), derived_map(events), derived_syn(events))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampline.functions.scalars import blank_missing, parse_local, parse_to_ist, to_number
@@ -15,7 +15,7 @@ SESSION_OUTPUT = (
 )
 
 
-def with_file_order(df: DataFrame, columns: list[Column]) -> DataFrame:
+def with_file_order(df: DataFrame, columns: list[str]) -> DataFrame:
     """Project ``columns`` and number rows in file order.
 
     One file: Spark's increasing row id. Several files: (file by name, block, row id) packed
@@ -23,24 +23,18 @@ def with_file_order(df: DataFrame, columns: list[Column]) -> DataFrame:
     """
     files = sorted(df.inputFiles())
     if len(files) <= 1:
-        return df.select(F.monotonically_increasing_id().alias("row_ord"), *columns)
-    spark = df.sparkSession
-    ranks = spark.createDataFrame(list(enumerate(files)), "file_rank bigint, file string")
+        return df.selectExpr("monotonically_increasing_id() as row_ord", *columns)
+    ranks = df.sparkSession.createDataFrame(list(enumerate(files)), "file_rank bigint, file string")
     if len(files) <= MAX_BROADCAST_FILES:
         ranks = F.broadcast(ranks)
-    rows = df.select(
-        F.input_file_name().alias("file"),
-        F.input_file_block_start().alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-        *columns,
+    rows = df.selectExpr(
+        "input_file_name() as file", "input_file_block_start() as block",
+        "monotonically_increasing_id() as row", *columns,
     )
-    place = F.shiftleft("file_rank", 43) + F.col("block")
-    row_ord = F.expr("cast(place as decimal(19,0)) * cast('10000000000000000000' as decimal(20,0)) + row")
-    return (
-        rows.join(ranks, "file")
-        .withColumn("place", place)
-        .withColumn("row_ord", row_ord.cast("decimal(38,0)"))
-        .drop("file", "file_rank", "block", "row", "place")
+    place = "cast(shiftleft(file_rank, 43) + block as decimal(19, 0))"
+    row_ord = f"cast({place} * cast('10000000000000000000' as decimal(20, 0)) + row as decimal(38, 0))"
+    return rows.join(ranks, "file").selectExpr("*", f"{row_ord} as row_ord").drop(
+        "file", "file_rank", "block", "row"
     )
 
 
@@ -49,34 +43,31 @@ def _csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.option("header", True).option("escape", '"').csv(path)
 
 
-def _text(name: str) -> Column:
-    return blank_missing(F.col(name))
+def _text(name: str) -> str:
+    return f"{blank_missing(name)} as {name}"
+
+
+def _cleaned(df: DataFrame, names: list[str], columns: list[str]) -> DataFrame:
+    return with_file_order(df, [_text(n) for n in names]).selectExpr("row_ord", *columns)
 
 
 def read_tlm(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    number = lambda name: to_number(_text(name)).alias(name)
-    return with_file_order(_csv(spark, path), [
-        _text("ID").alias("ID"),
-        _text("VEHICLE_ID").alias("VEHICLE_ID"),
-        parse_local(_text("TIMESTAMP")).alias("TIMESTAMP"),
-        number("SPEED"),
-        _text("IGNITION_STATUS").alias("IGNITION_STATUS"),
-        number("EV_BATTERY_LEVEL"),
-        number("ODOMETER"),
+    names = ["ID", "VEHICLE_ID", "TIMESTAMP", "SPEED", "IGNITION_STATUS", "EV_BATTERY_LEVEL", "ODOMETER"]
+    return _cleaned(_csv(spark, path), names, [
+        "ID", "VEHICLE_ID", f"{parse_local('TIMESTAMP')} as TIMESTAMP", f"{to_number('SPEED')} as SPEED",
+        "IGNITION_STATUS", f"{to_number('EV_BATTERY_LEVEL')} as EV_BATTERY_LEVEL",
+        f"{to_number('ODOMETER')} as ODOMETER",
     ])
 
 
 def read_trg(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return with_file_order(_csv(spark, path), [
-        parse_to_ist(_text("CTS")).alias("CTS"),
-        to_number(_text("PNID")).try_cast("bigint").alias("PNID"),
-        _text("NAME").alias("NAME"),
-        _text("VAL").alias("VAL"),
+    return _cleaned(_csv(spark, path), ["CTS", "PNID", "NAME", "VAL"], [
+        f"{parse_to_ist('CTS')} as CTS", f"try_cast({to_number('PNID')} as bigint) as PNID", "NAME", "VAL",
     ])
 
 
 def read_map(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return with_file_order(_csv(spark, path), [_text("ID").alias("ID"), _text("IDS").alias("IDS")])
+    return _cleaned(_csv(spark, path), ["ID", "IDS"], ["ID", "IDS"])
 
 
 def read_syn(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -85,11 +76,8 @@ def read_syn(spark: SparkSession, path: str | list[str]) -> DataFrame:
         .option("multiLine", True)
         .json(path)
     )
-    return with_file_order(raw, [
-        F.col("vehicleId"),
-        parse_to_ist(F.col("timestamp")).alias("timestamp"),
-        F.col("type"),
-    ])
+    columns = ["vehicleId", f"{parse_to_ist('timestamp')} as timestamp", "type"]
+    return with_file_order(raw, columns).select("row_ord", "vehicleId", "timestamp", "type")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
