@@ -17,7 +17,7 @@ from ampline.staging import stage
 
 
 class Flow:
-    """Lazily built steps of one run. ``share`` writes the cleaned feeds, which several steps read."""
+    """Lazily built steps of one run. ``share`` writes the tables that several steps read."""
 
     def __init__(self, feeds: Feeds, params: Params | None = None, share: bool = False):
         self.feeds = feeds
@@ -94,7 +94,7 @@ class Flow:
 
     @cached_property
     def fused(self) -> DataFrame:
-        return fusion.fuse(self.all_ignition, self.hot, self.p)
+        return self._shared(fusion.fuse(self.all_ignition, self.hot, self.p), "fused")
 
     @cached_property
     def status_events(self) -> DataFrame:
