@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+
 SECOND = 1_000_000
 
 # Texts a CSV cell may hold to mean "missing".
@@ -114,8 +116,8 @@ def python_quote(text: str) -> str:
     )
 
 
-def file_chunk(order_type: str, row_ord: str) -> str:
+def file_chunk(df: DataFrame, row_ord: str) -> str:
     """Coarse, order-keeping number of the stretch of input a row came from (below 2^43)."""
-    if order_type.startswith("decimal"):
+    if dict(df.dtypes)[row_ord].startswith("decimal"):
         return f"shiftright(cast(floor({row_ord} / 10000000000000000000) as bigint), 20)"
     return f"shiftright({row_ord}, 20)"

@@ -22,7 +22,7 @@ def charging_status(mapped: DataFrame) -> DataFrame:
 def battery_timeline(clean_tlm: DataFrame, mapped_trg: DataFrame) -> DataFrame:
     tlm = clean_tlm.where("VEHICLE_ID is not null and EV_BATTERY_LEVEL is not null").selectExpr(
         "VEHICLE_ID as vehicle_id", "TIMESTAMP as ts", "EV_BATTERY_LEVEL as battery_pct",
-        "'TLM' as source", "row_ord as ord1", "0L as ord2",
+        "'TLM' as source", "0L as ord1", "row_ord as ord2",
     )
     trg = mapped_trg.where("NAME = 'CHARGE_STATE' and vehicle_id is not null").selectExpr(
         "vehicle_id", "CTS as ts", f"{to_number('VAL')} as battery_pct",
@@ -46,11 +46,12 @@ def nearest_readings(events: DataFrame, timeline: DataFrame, p: Params) -> DataF
     width = max(p.slice_sec, 4 * window)
     readings = (
         timeline.selectExpr("vehicle_id", f"{micros('ts')} as us", "battery_pct", "source", "ord1", "ord2")
-        .groupBy("vehicle_id", "us")
-        .agg(F.expr("min_by(battery_pct, struct(source, ord1, ord2)) as battery_pct"))
+        # Copies of an instant shrink before the shuffle; one row per source and PNID is left.
+        .groupBy("vehicle_id", "us", "source", "ord1")
+        .agg(F.expr("min_by(battery_pct, ord2) as battery_pct"))
         .selectExpr(
             "vehicle_id", f"{slice_start('us', width)} as slice", "us", "cast(null as bigint) as event_us",
-            "struct(us, battery_pct) as reading",
+            "source", "ord1", "struct(us, battery_pct) as reading",
         )
     )
     first = slice_start(f"event_us - {window * SECOND}", width)
@@ -59,11 +60,12 @@ def nearest_readings(events: DataFrame, timeline: DataFrame, p: Params) -> DataF
         events.selectExpr("vehicle_id", f"{micros('event_ts')} as event_us").distinct()
         .selectExpr(
             "vehicle_id", f"explode(sequence({first}, {last}, {width * SECOND}L)) as slice", "event_us as us",
-            "event_us", "cast(null as struct<us: bigint, battery_pct: double>) as reading",
+            "event_us", "'' as source", "0L as ord1",
+            "cast(null as struct<us: bigint, battery_pct: double>) as reading",
         )
     )
-    # At equal times events sort before readings.
-    over = lambda at: f"over (partition by vehicle_id, slice order by {at}, event_us is null)"
+    # At equal times events (no source) sort before readings, and those in timeline order.
+    over = lambda at: f"over (partition by vehicle_id, slice order by {at}, source, ord1)"
     looked = (
         readings.unionByName(probes)
         .selectExpr(

@@ -32,10 +32,8 @@ def charge_pairs(candidates: DataFrame, hot: HotCells | None, p: Params) -> Data
     """
     if "battery_pct" not in candidates.columns:
         candidates = candidates.selectExpr("*", "cast(null as double) as battery_pct")
-    chunk = (
-        "shiftleft(cast(kind * 4 + prio as bigint), 45) + "
-        f"{file_chunk(dict(candidates.dtypes)['ord1'], 'ord1')}"
-    )
+    by_file = f"if(kind = 1 or prio = 1, 0L, {file_chunk(candidates, 'ord2')})"
+    chunk = f"shiftleft(cast(kind * 4 + prio as bigint), 45) + {by_file}"
     placed = stage(
         with_slice(candidates.selectExpr("*", f"{micros('event_ts')} as us"), chunk, hot, p), "candidates"
     )

@@ -47,13 +47,14 @@ def duration_kde(sessions: DataFrame, p: Params) -> DataFrame:
     ).where("n >= 2 and sd > 0").selectExpr(
         f"struct(lo, (hi - lo) / {last} as step, sd * power(n, -0.2D) as width, (hi - lo) / {p.hist_bins} as bin) as s"
     )
+    s = stats.scalar()
     return (
         minutes.groupBy("minutes").agg(F.expr("count(*) as copies"))
-        .withColumn("s", stats.scalar()).where("s is not null")
+        .withColumn("s", s).where("s is not null")
         .selectExpr("minutes", "copies", "s", f"explode(sequence(0, {last})) as i")
-        .groupBy("i", "s").agg(
-            F.expr("sum(copies * exp(-0.5D * power((s.lo + i * s.step - minutes) / s.width, 2))) as kernels")
-        )
+        .selectExpr("i", "copies * exp(-0.5D * power((s.lo + i * s.step - minutes) / s.width, 2)) as kernel")
+        .groupBy("i").agg(F.expr("sum(kernel) as kernels"))
+        .withColumn("s", s)
         .selectExpr(
             "i", "s.lo + i * s.step as x", "kernels / (s.width * sqrt(2 * pi())) * s.bin as density"
         )

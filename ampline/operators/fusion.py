@@ -24,17 +24,12 @@ PRIORITY = "case source when 'TLM' then 0 when 'TRG' then 1 when 'SYN' then 2 en
 ORDER = ["us", "prio", "ord1", "ord2"]
 
 
-def _single_copies(events: DataFrame) -> DataFrame:
+def _single_copies(synthetic: DataFrame) -> DataFrame:
     """Equal synthetic events stand next to each other at their instant, so all but the first go.
 
     Done by a grouping, which shrinks a large group of copies before the shuffle.
     """
-    syn = events.where("source = 'SYN'").groupBy("vehicle_id", "event", "event_ts", "source").agg(
-        F.expr("min(struct(ord1, ord2)) as first")
-    )
-    return events.where("source <> 'SYN'").unionByName(
-        syn.select("vehicle_id", "event", "event_ts", "source", "first.ord1", "first.ord2")
-    )
+    return synthetic.groupBy("vehicle_id", "event", "event_ts", "source", "ord1").agg(F.expr("min(ord2) as ord2"))
 
 
 def keep_spaced(items: str, last_us: str, gap: int) -> str:
@@ -46,12 +41,14 @@ def keep_spaced(items: str, last_us: str, gap: int) -> str:
     )
 
 
-def _pieces(events: DataFrame, hot: HotCells | None, p: Params) -> DataFrame:
+def _pieces(recorded: DataFrame, synthetic: DataFrame, hot: HotCells | None, p: Params) -> DataFrame:
     """vehicle_id, slice, piece, items, tail_us. Piece 0 goes on with the previous slice's run;
     its items are undecided, those of the others are the kept ones."""
     gap = p.near_dup_gap_sec * SECOND
-    single = _single_copies(events).selectExpr("*", f"{micros('event_ts')} as us", f"{PRIORITY} as prio")
-    chunk = f"shiftleft(cast(prio as bigint), 45) + {file_chunk(dict(single.dtypes)['ord1'], 'ord1')}"
+    single = recorded.unionByName(_single_copies(synthetic)).selectExpr(
+        "*", f"{micros('event_ts')} as us", f"{PRIORITY} as prio"
+    )
+    chunk = f"shiftleft(cast(prio as bigint), 45) + if(source = 'TRG', 0L, {file_chunk(single, 'ord2')})"
     placed = stage(with_slice(single, chunk, hot, p), "fusion-input")
     runs = (
         with_context(placed, ORDER, before={"carried": "struct(event, us)"})
@@ -130,10 +127,13 @@ def _through_covered(chain: DataFrame, pieces: DataFrame, gap: int) -> DataFrame
     )
 
 
-def fuse(events: DataFrame, hot: HotCells | None, p: Params) -> DataFrame:
-    """Kept events: vehicle_id, event, event_ts, source and their place (prio, ord1, ord2)."""
+def fuse(recorded: DataFrame, synthetic: DataFrame, hot: HotCells | None, p: Params) -> DataFrame:
+    """Kept events: vehicle_id, event, event_ts, source and their place (prio, ord1, ord2).
+
+    ``recorded``: events of TLM and TRG; ``synthetic``: those of SYN, all of one kind.
+    """
     gap = p.near_dup_gap_sec * SECOND
-    pieces = _pieces(events, hot, p)
+    pieces = _pieces(recorded, synthetic, hot, p)
     ends = pieces.groupBy("vehicle_id", "slice").agg(
         F.expr("min(piece) = 0 as goes_on"),
         F.expr("max(piece) = 0 as covered"),

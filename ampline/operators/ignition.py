@@ -16,7 +16,7 @@ SEQUENCE = ("vehicle_id", "source")
 def tlm_status(clean: DataFrame) -> DataFrame:
     return clean.where("VEHICLE_ID is not null and IGNITION_STATUS in ('on', 'off')").selectExpr(
         "VEHICLE_ID as vehicle_id", "IGNITION_STATUS as status", "TIMESTAMP as event_ts",
-        "'TLM' as source", "row_ord as ord1", "0L as ord2",
+        "'TLM' as source", "0L as ord1", "row_ord as ord2",
     )
 
 
@@ -32,13 +32,13 @@ def ignition_changes(rows: DataFrame, hot: HotCells | None, p: Params) -> DataFr
     """Rows whose status differs from the previous one of their (vehicle, source); the first
     always counts.
 
-    ``rows``: vehicle_id, status (on or off), event_ts, source, ord1, ord2, in the order of time,
-    ord1, ord2.
+    ``rows``: vehicle_id, status (on or off), event_ts, source, ord1 (PNID of a trigger, else 0)
+    and ord2 (file order); the order is time, ord1, ord2.
     """
     order = ["us", "ord1", "ord2"]
-    placed = with_slice(
-        rows.selectExpr("*", f"{micros('event_ts')} as us"), file_chunk(dict(rows.dtypes)["ord1"], "ord1"), hot, p
-    )
+    # Triggers of one instant are few, as exact duplicates are gone: at most ON and OFF per PNID.
+    chunk = f"if(source = 'TRG', 0L, {file_chunk(rows, 'ord2')})"
+    placed = with_slice(rows.selectExpr("*", f"{micros('event_ts')} as us"), chunk, hot, p)
     # Inside a slice the change is final; only the slice's first row still needs its context,
     # and the last row kept here holds the slice's last status.
     local = placed.selectExpr("*", f"lag(status) {in_slice(order, SEQUENCE)} as previous").where(
@@ -53,5 +53,5 @@ def ignition_changes(rows: DataFrame, hot: HotCells | None, p: Params) -> DataFr
 
 def syn_ignition(clean: DataFrame) -> DataFrame:
     return clean.where("vehicle_id is not null").selectExpr(
-        "vehicle_id", "'ignitionOff' as event", "event_ts", "'SYN' as source", "row_ord as ord1", "0L as ord2"
+        "vehicle_id", "'ignitionOff' as event", "event_ts", "'SYN' as source", "0L as ord1", "row_ord as ord2"
     )

@@ -41,18 +41,17 @@ def _counted(totals: DataFrame, entries: list[tuple[int, str, str]]) -> DataFram
     return totals.selectExpr(f"inline(array({rows}))").where("n_rows > 0")
 
 
-def tlm_findings(raw: DataFrame) -> DataFrame:
+def tlm_findings(raw: DataFrame, clean: DataFrame) -> DataFrame:
     totals = raw.selectExpr(
-        "TIMESTAMP is not null as timed", "ID", f"{STATUS} as status", f"{BATTERY} as battery", f"{SPEED} as speed"
+        "TIMESTAMP is not null as timed", f"{STATUS} as status", f"{BATTERY} as battery", f"{SPEED} as speed"
     ).selectExpr(
         "count_if(not timed) as bad_time",
         "count_if(timed and status = 'unknown') as unknown",
         "count_if(timed and battery > 100) as high",
         "count_if(timed and battery < 0) as negative",
         "count_if(timed and speed < 0) as slow",
-        "count_if(timed) - count(distinct if(timed, ID, null)) "
-        "- coalesce(max(if(timed and ID is null, 1, 0)), 0) as repeated",
-    )
+        "count_if(timed) as timed",
+    ).select("*", (F.col("timed") - clean.agg(F.expr("count(*)")).scalar()).alias("repeated"))
     return _counted(totals, [
         (1, "bad_time", f"TLM: %d rows with unparseable timestamps {DROPPED}"),
         (2, "unknown", "TLM: %d rows have IGNITION_STATUS='unknown' — treated as missing."),
@@ -158,7 +157,7 @@ def map_findings(parsed: DataFrame) -> DataFrame:
         vehicle, "row_ord", rule="DQ-15",
     )
     entries = claims(parsed).selectExpr("row_ord", "pos", "pnid", "coalesce(vehicle_id, 'nan') as vehicle")
-    entries = entries.selectExpr("*", f"{file_chunk(dict(entries.dtypes)['row_ord'], 'row_ord')} as slice")
+    entries = entries.selectExpr("*", f"{file_chunk(entries, 'row_ord')} as slice")
     order, key = ["row_ord", "pos"], ("pnid",)
     again = with_context(entries, order, before={"carried": "vehicle"}, key=key).selectExpr(
         "*", f"coalesce(lag(vehicle) {in_slice(order, key)}, carried) as previous"

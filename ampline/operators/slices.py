@@ -5,8 +5,9 @@ sequence is cut by time into slices, windows run per (vehicle, slice), and what
 know of its neighbours comes from one small row per slice. Every slice number grows with the
 sequence order, so neighbours in slice order are neighbours in time.
 
-A vehicle-hour with more than ``max_slice_rows`` rows is cut into seconds, and a single
-instant that is itself too large into stretches of input order.
+A vehicle-hour with more than ``max_slice_rows`` rows is cut into minutes, or into seconds
+where a minute is still too large, and a single instant that is itself too large into
+stretches of input order.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ VEHICLE = ("vehicle_id",)
 
 @dataclass(frozen=True)
 class HotCells:
-    table: DataFrame  # vehicle_id, cell, instants array<bigint>
+    table: DataFrame  # vehicle_id, cell, step_us, instants array<bigint>
     broadcast: bool
 
 
@@ -45,12 +46,17 @@ def find_hot_cells(rows: DataFrame, p: Params) -> HotCells | None:
     cells = stage(counts, "hot-cells")
     small = cells.count() <= p.broadcast_rows
     inside = placed.join(F.broadcast(cells) if small else cells, ["vehicle_id", "cell"])
-    instants = (
-        inside.groupBy("vehicle_id", "cell", "us").count().where(crowded)
-        .groupBy("vehicle_id", "cell").agg(F.expr("sort_array(collect_set(us)) as instants"))
-    )
-    table = cells.join(instants, ["vehicle_id", "cell"], "left").selectExpr(
-        "vehicle_id", "cell", "coalesce(instants, cast(array() as array<bigint>)) as instants"
+    # Crowded instants are few: each holds more than max_slice_rows rows.
+    table = (
+        inside.groupBy("vehicle_id", "cell", "us").count()
+        .selectExpr("*", f"{slice_start('us', 60)} as minute", f"if({crowded}, us, null) as instant")
+        .groupBy("vehicle_id", "cell", "minute")
+        .agg(F.expr("sum(if(instant is null, count, 0)) as n"), F.expr("collect_list(instant) as instants"))
+        .groupBy("vehicle_id", "cell")
+        .agg(
+            F.expr(f"if(max(n) > {p.max_slice_rows}, {SECOND}L, {60 * SECOND}L) as step_us"),
+            F.expr("sort_array(flatten(collect_list(instants))) as instants"),
+        )
     )
     return HotCells(stage(table, "hot-instants"), small)
 
@@ -67,13 +73,14 @@ def with_slice(rows: DataFrame, chunk: str, hot: HotCells | None, p: Params) ->
         F.broadcast(hot.table) if hot.broadcast else hot.table, ["vehicle_id", "cell"], "left"
     )
     at_hot = "array_contains(instants, us)"
-    step = f"2 * size(filter(instants, x -> x < us)) + cast({at_hot} as int)"
+    # Before, at, between and after the crowded instants of the cell: 0, 1, 2, 3, …
+    part = f"2 * size(filter(instants, x -> x < us)) + cast({at_hot} as int)"
     fine = (
-        f"named_struct('t', {slice_start('us', 1)}, 'step', {step}, 'chunk', if({at_hot}, chunk, 0L))"
+        f"named_struct('t', greatest(cell, us - pmod(us, step_us)), 'part', {part}, 'chunk', if({at_hot}, chunk, 0L))"
     )
-    coarse = "named_struct('t', cell, 'step', 0, 'chunk', 0L)"
+    coarse = "named_struct('t', cell, 'part', 0, 'chunk', 0L)"
     return marked.selectExpr("*", f"if(instants is null, {coarse}, {fine}) as slice").drop(
-        "cell", "chunk", "instants"
+        "cell", "chunk", "step_us", "instants"
     )
 
 

@@ -18,8 +18,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 FINDING_OUTPUT = ["rule", "item", "n_rows", "detail"]
 
 
-def _query(build: Callable[[Flow], DataFrame], share: bool = False) -> Query:
-    return lambda spark, sf_dir: build(Flow(derived_feeds(spark, sf_dir), share=share))
+def _query(build: Callable[[Flow], DataFrame], share: bool = False, whole: bool = False) -> Query:
+    return lambda spark, sf_dir: build(Flow(derived_feeds(spark, sf_dir), share=share, whole=whole))
 
 
 def _on_sessions(build: Callable[[DataFrame, Params], DataFrame], passes: int = 1) -> Query:
@@ -66,7 +66,7 @@ QUERIES: dict[str, Query] = {
     "charging_sessions_merged": _query(lambda f: f.merged_sessions, share=True),
     "charging_events": _query(lambda f: f.sessions.select(SESSION_COLUMNS), share=True),
     "dq_tlm": _findings(
-        lambda f: quality.tlm_findings(f.feeds.tlm).unionByName(quality.sparse_findings(f.tlm, f.p))
+        lambda f: quality.tlm_findings(f.feeds.tlm, f.tlm).unionByName(quality.sparse_findings(f.tlm, f.p))
         .unionByName(quality.missing_vehicle_findings(f.tlm, f.syn))
     ),
     "tlm_null_ratio": _query(lambda f: quality.null_ratios(f.tlm).drop("place")),
@@ -76,9 +76,9 @@ QUERIES: dict[str, Query] = {
     "dq_unmapped": _findings(lambda f: quality.unmapped_findings(f.mapped, f.p)),
     "dq_fusion": _findings(lambda f: quality.fusion_findings(f.all_ignition, f.fused), share=True),
     "dq_offending_values": _query(lambda f: quality.offending_values(f.feeds.trg, f.mapped)),
-    "dq_report": _query(lambda f: report_lines(f.findings), share=True),
-    "pipeline_counts": _query(lambda f: f.counts(), share=True),
-    "run_summary": _query(lambda f: f.summary(), share=True),
+    "dq_report": _query(lambda f: report_lines(f.findings), whole=True),
+    "pipeline_counts": _query(lambda f: f.counts(), whole=True),
+    "run_summary": _query(lambda f: f.summary(), whole=True),
     "viz_ignition_timeline": _query(lambda f: charts.ignition_timeline(f.fused), share=True),
     "viz_duration_hist": _on_sessions(
         lambda s, p: _rounded(charts.duration_hist(s, p), "bin_start", "bin_end"), passes=4

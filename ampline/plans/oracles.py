@@ -84,7 +84,7 @@ STEPS: dict[str, str] = {
     "mapped": "SELECT trg.*, vehicle_id FROM trg LEFT JOIN pnid_map ON trg.PNID = pnid_map.pnid",
     "tlm_ign": """
         SELECT VEHICLE_ID AS vehicle_id, CASE IGNITION_STATUS WHEN 'on' THEN 'ignitionOn' ELSE 'ignitionOff' END AS event,
-               "TIMESTAMP" AS event_ts, 'TLM' AS source, row_ord AS ord1, CAST(0 AS BIGINT) AS ord2
+               "TIMESTAMP" AS event_ts, 'TLM' AS source, CAST(0 AS BIGINT) AS ord1, row_ord AS ord2
         FROM tlm WHERE IGNITION_STATUS IS NOT NULL
         QUALIFY IGNITION_STATUS IS DISTINCT FROM
                 lag(IGNITION_STATUS) OVER (PARTITION BY VEHICLE_ID ORDER BY "TIMESTAMP", row_ord)""",
@@ -94,8 +94,8 @@ STEPS: dict[str, str] = {
         FROM mapped WHERE NAME = 'IGN_CYL' AND vehicle_id IS NOT NULL
         QUALIFY VAL IS DISTINCT FROM lag(VAL) OVER (PARTITION BY vehicle_id ORDER BY CTS, PNID, row_ord)""",
     "syn_ign": """
-        SELECT vehicle_id, 'ignitionOff' AS event, event_ts, 'SYN' AS source, row_ord AS ord1,
-               CAST(0 AS BIGINT) AS ord2
+        SELECT vehicle_id, 'ignitionOff' AS event, event_ts, 'SYN' AS source,
+               CAST(0 AS BIGINT) AS ord1, row_ord AS ord2
         FROM syn_raw""",
     "all_ign": "SELECT * FROM tlm_ign UNION ALL SELECT * FROM trg_ign UNION ALL SELECT * FROM syn_ign",
     "line": """
@@ -118,7 +118,7 @@ STEPS: dict[str, str] = {
         FROM mapped WHERE NAME = 'EV_CHARGE_STATE' AND vehicle_id IS NOT NULL""",
     "timeline": """
         SELECT VEHICLE_ID AS vehicle_id, "TIMESTAMP" AS ts, EV_BATTERY_LEVEL AS battery_pct, 'TLM' AS source,
-               row_ord AS ord1, CAST(0 AS BIGINT) AS ord2
+               CAST(0 AS BIGINT) AS ord1, row_ord AS ord2
         FROM tlm WHERE EV_BATTERY_LEVEL IS NOT NULL
         UNION ALL
         SELECT vehicle_id, CTS, CASE WHEN CAST(VAL AS DOUBLE) > 100 THEN 100 ELSE CAST(VAL AS DOUBLE) END, 'TRG', PNID, row_ord

@@ -17,12 +17,17 @@ from ampline.staging import stage
 
 
 class Flow:
-    """Lazily built steps of one run. ``share`` writes the tables that several steps read."""
+    """Lazily built steps of one run.
 
-    def __init__(self, feeds: Feeds, params: Params | None = None, share: bool = False):
+    ``share`` writes the tables that several steps read: of the telemetry the rows and columns
+    later steps need, or with ``whole`` all of the cleaned feed (for the quality findings).
+    """
+
+    def __init__(self, feeds: Feeds, params: Params | None = None, share: bool = False, whole: bool = False):
         self.feeds = feeds
         self.p = params or Params()
-        self._share = share
+        self._share = share or whole
+        self._whole = whole
         require_utc(feeds.tlm.sparkSession)
 
     def _shared(self, df: DataFrame, label: str) -> DataFrame:
@@ -30,7 +35,8 @@ class Flow:
 
     @cached_property
     def tlm(self) -> DataFrame:
-        return cleaning.clean_tlm(self.feeds.tlm)
+        clean = cleaning.clean_tlm(self.feeds.tlm)
+        return stage(clean, "tlm") if self._whole else clean
 
     @cached_property
     def signals(self) -> DataFrame:
@@ -39,7 +45,7 @@ class Flow:
             "VEHICLE_ID is not null and (IGNITION_STATUS in ('on', 'off') or EV_BATTERY_LEVEL is not null)"
         )
         columns = ["row_ord", "VEHICLE_ID", "TIMESTAMP", "IGNITION_STATUS", "EV_BATTERY_LEVEL"]
-        return self._shared(useful.select(columns), "signals")
+        return useful.select(columns) if self._whole else self._shared(useful.select(columns), "signals")
 
     @cached_property
     def trg(self) -> DataFrame:
@@ -64,7 +70,13 @@ class Flow:
 
     @cached_property
     def hot(self) -> HotCells | None:
-        """Crowded vehicle-hours, counted on the raw rows: an upper bound for every later step."""
+        """Crowded vehicle-hours of the telemetry's status rows.
+
+        Counted on written rows, or else on the raw ones, whose counts are an upper bound; any
+        cut is right, and later steps have fewer rows.
+        """
+        if self._share:
+            return find_hot_cells(ignition.tlm_status(self.signals), self.p)
         rows = self.feeds.tlm.where(
             f"{cleaning.STATUS} in ('on', 'off') and TIMESTAMP is not null and VEHICLE_ID is not null"
         )
@@ -94,7 +106,7 @@ class Flow:
 
     @cached_property
     def fused(self) -> DataFrame:
-        return self._shared(fusion.fuse(self.all_ignition, self.hot, self.p), "fused")
+        return self._shared(fusion.fuse(self.changes, self.syn_ignition, self.hot, self.p), "fused")
 
     @cached_property
     def status_events(self) -> DataFrame:
@@ -142,7 +154,7 @@ class Flow:
     @cached_property
     def findings(self) -> DataFrame:
         parts = [
-            quality.tlm_findings(self.feeds.tlm),
+            quality.tlm_findings(self.feeds.tlm, self.tlm),
             quality.sparse_findings(self.tlm, self.p),
             quality.missing_vehicle_findings(self.tlm, self.syn),
             quality.trg_findings(self.feeds.trg, self.p),
@@ -204,8 +216,12 @@ def read_feeds(spark: SparkSession, tlm: str, trg: str, map_: str, syn: str) ->
 
 
 def run(feeds: Feeds, out_dir: str, params: Params | None = None, fmt: str = "csv") -> Flow:
-    """Compute everything once and write the three tables, the report and its values."""
-    flow = Flow(feeds, params, share=True)
+    """Compute everything once and write the three tables, the report and its values.
+
+    The large text feeds are parsed once, into typed columns that later passes read selectively.
+    """
+    feeds = feeds._replace(tlm=stage(feeds.tlm, "raw-tlm"), trg=stage(feeds.trg, "raw-trg"))
+    flow = Flow(feeds, params, whole=True)
     writers.write_events(flow.fused, ["prio", "ord1", "ord2"], f"{out_dir}/IgnitionEvents", fmt)
     writers.write_sessions(flow.sessions, f"{out_dir}/ChargingEvents", fmt)
     writers.write_events(flow.status_events, ["ord1", "ord2"], f"{out_dir}/ChargingStatusEvents", fmt)

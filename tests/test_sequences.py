@@ -35,6 +35,10 @@ def frame(spark, rows, schema, time="us", name="event_ts"):
     return spark.createDataFrame(rows, schema).selectExpr("*", f"{ntz_from_micros(time)} as {name}").drop(time)
 
 
+def fuse_all(df, hot, p):
+    return fuse(df.where("source <> 'SYN'"), df.where("source = 'SYN'"), hot, p)
+
+
 def random_times(rng, n, span, grain):
     times, at = [], BASE
     for _ in range(n):
@@ -51,7 +55,8 @@ def test_status_changes(spark, p):
     for vehicle in "abc":
         for source in ("TLM", "TRG"):
             for i, us in enumerate(random_times(rng, 80, 8 * S, S // 2)):
-                rows.append((vehicle, source, us, i * 2**19, rng.randrange(3), rng.choice(["on", "off"])))
+                pnid = rng.randrange(3) if source == "TRG" else 0
+                rows.append((vehicle, source, us, pnid, i * 2**19, rng.choice(["on", "off"])))
     df = frame(spark, rows, "vehicle_id string, source string, us bigint, ord1 bigint, ord2 bigint, status string")
     got = ignition_changes(df, hot_cells(df, p), p).selectExpr(
         "vehicle_id", "source", f"{micros('event_ts')} as us", "ord1", "ord2", "if(event = 'ignitionOn', 'on', 'off')"
@@ -70,9 +75,9 @@ def test_fusion(spark, p, grain):
         ] * rng.choice([0, 1])
         for i, us in enumerate(random_times(rng, 60, rng.choice([4, 9, 14]) * S, grain)):
             event, source = rng.choice(pool)
-            rows.append((f"v{v}", event, us, source, i * 2**19, rng.randrange(2)))
+            rows.append((f"v{v}", event, us, source, rng.randrange(2) if source == "TRG" else 0, i * 2**19))
     df = frame(spark, rows, "vehicle_id string, event string, us bigint, source string, ord1 bigint, ord2 bigint")
-    got = fuse(df, hot_cells(df, p), p).selectExpr(
+    got = fuse_all(df, hot_cells(df, p), p).selectExpr(
         "vehicle_id", "event", f"{micros('event_ts')} as us", "source", "ord1", "ord2"
     ).collect()
     assert sorted(map(tuple, got)) == sorted(brute.fused(rows))
@@ -85,7 +90,9 @@ def test_nearest(spark, p, grain):
     readings, events = [], []
     for vehicle in "ab":
         for i, us in enumerate(random_times(rng, 150, 5 * S, grain)):
-            readings.append((vehicle, us, rng.choice(["TLM", "TRG"]), rng.randrange(4), i, float(rng.randrange(100))))
+            source = rng.choice(["TLM", "TRG"])
+            pnid = rng.randrange(4) if source == "TRG" else 0
+            readings.append((vehicle, us, source, pnid, i, float(rng.randrange(100))))
         for us in random_times(rng, 60, 12 * S, grain):
             events.append((vehicle, us + rng.choice([0, 1, S // 2, -S // 3])))
     events.append(("none", BASE))
@@ -112,7 +119,9 @@ def test_sessions(spark, p):
             kind = rng.randrange(2)
             event = rng.choice(["ignitionOn", "ignitionOff"]) if kind == 0 else "Active"
             pct = rng.choice([None, rng.randrange(1000) / 8, rng.randrange(10000) / 100])
-            rows.append((f"v{v}", us, kind, rng.randrange(3) if kind == 0 else 0, i, rng.randrange(2), event, pct))
+            prio = rng.randrange(3) if kind == 0 else 0
+            pnid = rng.randrange(3) if kind == 1 or prio == 1 else 0
+            rows.append((f"v{v}", us, kind, prio, pnid, i * 2**19, event, pct))
     df = frame(
         spark, rows,
         "vehicle_id string, us bigint, kind int, prio int, ord1 bigint, ord2 bigint, event string, battery_pct double",
@@ -130,24 +139,24 @@ def test_sessions(spark, p):
 
 def test_long_run_over_many_slices(spark):
     """Pulses every 7 s for hours: each slice is one unbroken run, so the chain decides all."""
-    rows = [("v", "ignitionOff", BASE + i * 7 * S, "SYN", i, 0) for i in range(2000)]
+    rows = [("v", "ignitionOff", BASE + i * 7 * S, "SYN", 0, i) for i in range(2000)]
     df = frame(spark, rows, "vehicle_id string, event string, us bigint, source string, ord1 bigint, ord2 bigint")
-    got = fuse(df, None, Params(slice_sec=100)).selectExpr(f"{micros('event_ts')} as us").collect()
+    got = fuse_all(df, None, Params(slice_sec=100)).selectExpr(f"{micros('event_ts')} as us").collect()
     assert sorted(r.us for r in got) == [r[2] for r in brute.fused(rows)]
 
 
 def test_copies_at_one_instant(spark):
     """A large group of copies at one instant collapses; alternating ones are all kept."""
     p = Params(max_slice_rows=100)
-    same = [("copy", "TLM", BASE, i, 0, "on") for i in range(3000)]
-    flip = [("flip", "TLM", BASE, i << 17, 0, ["on", "off"][i % 2]) for i in range(3000)]
+    same = [("copy", "TLM", BASE, 0, i, "on") for i in range(3000)]
+    flip = [("flip", "TLM", BASE, 0, i << 17, ["on", "off"][i % 2]) for i in range(3000)]
     df = frame(spark, same + flip, "vehicle_id string, source string, us bigint, ord1 bigint, ord2 bigint, status string")
     hot = hot_cells(df, p)
     assert {(r.vehicle_id, len(r.instants)) for r in hot.table.collect()} == {("copy", 1), ("flip", 1)}
     events = ignition_changes(df, hot, p)
     counts = {r.vehicle_id: r["count"] for r in events.groupBy("vehicle_id").count().collect()}
     assert counts == {"copy": 1, "flip": 3000}
-    kept = fuse(events, hot, p).groupBy("vehicle_id").count().collect()
+    kept = fuse_all(events, hot, p).groupBy("vehicle_id").count().collect()
     assert {r.vehicle_id: r["count"] for r in kept} == {"copy": 1, "flip": 3000}
 
 
