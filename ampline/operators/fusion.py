@@ -1,9 +1,10 @@
 """Fusion of ignition events: drop an event less than 10 s after the last kept one of its kind.
 
 A row with another event than its predecessor, or at least 10 s after it, is kept whatever came
-before, so it starts an independent run. Runs are cut at slice borders into pieces. A piece
-that starts a run is decided on its own; a piece that goes on with the run of the previous
-slice needs only the time of the last event kept there.
+before: it heads an independent run. The rows of a run less than 10 s after its head are dropped,
+so only the rest of longer runs need a walk from kept event to kept event. Runs are cut at
+slice borders; rows that go on with the run of the previous slice need only the time of the
+last event kept there.
 """
 
 from __future__ import annotations
@@ -41,29 +42,26 @@ def keep_spaced(items: str, last_us: str, gap: int) -> str:
     )
 
 
-def _pieces(recorded: DataFrame, synthetic: DataFrame, hot: HotCells | None, p: Params) -> DataFrame:
-    """vehicle_id, slice, piece, items, tail_us. Piece 0 goes on with the previous slice's run;
-    its items are undecided, those of the others are the kept ones."""
+def _open_rows(recorded: DataFrame, synthetic: DataFrame, hot: HotCells | None, p: Params) -> DataFrame:
+    """Heads of runs, and the rows that a head of their slice does not settle.
+
+    ``opens`` marks heads; ``head_us`` is the time of the run's head, NULL in a run that began
+    in an earlier slice.
+    """
     gap = p.near_dup_gap_sec * SECOND
     single = recorded.unionByName(_single_copies(synthetic)).selectExpr(
         "*", f"{micros('event_ts')} as us", f"{PRIORITY} as prio"
     )
     chunk = f"shiftleft(cast(prio as bigint), 45) + if(source = 'TRG', 0L, {file_chunk(single, 'ord2')})"
     placed = stage(with_slice(single, chunk, hot, p), "fusion-input")
-    runs = (
+    rows = (
         with_context(placed, ORDER, before={"carried": "struct(event, us)"})
         .selectExpr("*", f"coalesce(lag(struct(event, us)) {in_slice(ORDER)}, carried) as prev")
         .selectExpr("*", f"prev is null or prev.event <> event or us - prev.us >= {gap} as opens")
-        .selectExpr("*", f"sum(cast(opens as int)) {in_slice(ORDER, frame=UP_TO_HERE)} as piece")
-    )
-    item = f"struct({', '.join(ORDER)}, event, event_ts, source)"
-    settled = f"if(piece = 0 or size(items) = 1, items, {keep_spaced('items', 'null', gap)})"
-    grouped = (
-        runs.groupBy("vehicle_id", "slice", "piece").agg(F.expr(f"sort_array(collect_list({item})) as items"))
-        .selectExpr("vehicle_id", "slice", "piece", f"{settled} as items")
-        .selectExpr("*", "if(piece > 0, element_at(items, -1).us, null) as tail_us")
+        .selectExpr("*", f"last(if(opens, us, null)) ignore nulls {in_slice(ORDER, frame=UP_TO_HERE)} as head_us")
+        .where(f"opens or head_us is null or us - head_us >= {gap}")
     )
-    return stage(grouped, "fusion-pieces")
+    return stage(rows.drop("carried", "prev"), "fusion-rows")
 
 
 def jump_table(us: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,11 +102,11 @@ def _walk(run: pd.DataFrame, gap: int) -> pd.DataFrame:
     return pd.DataFrame({"vehicle_id": run["vehicle_id"], "seq": run["seq"], "seed_us": seeds})
 
 
-def _through_covered(chain: DataFrame, pieces: DataFrame, gap: int) -> DataFrame:
+def _through_covered(chain: DataFrame, groups: DataFrame, gap: int) -> DataFrame:
     """Seeds behind slices filled by one unbroken run: what leaves them depends on what enters."""
     chain = stage(chain, "fusion-chain")
     tables = (
-        chain.where("covered").join(pieces, ["vehicle_id", "slice"])
+        chain.where("covered").join(groups, ["vehicle_id", "slice"])
         .selectExpr("vehicle_id", "seq", "transform(items, x -> x.us) as times")
         .mapInPandas(
             lambda batches: _jump_tables(batches, gap),
@@ -127,35 +125,45 @@ def _through_covered(chain: DataFrame, pieces: DataFrame, gap: int) -> DataFrame
     )
 
 
+def _seeds(rows: DataFrame, kept: DataFrame, going_on: DataFrame, gap: int) -> DataFrame:
+    """Last kept time before each slice that goes on with a run: vehicle_id, slice, seed_us."""
+    tails = kept.groupBy("vehicle_id", "slice").agg(F.expr("max(us) as tail_us"))
+    ends = rows.groupBy("vehicle_id", "slice").agg(
+        F.expr("max(head_us is null) as goes_on"), F.expr("not max(opens) as covered")
+    )
+    earlier = over_slices(frame="rows between unbounded preceding and 1 preceding")
+    chain = ends.join(tails, ["vehicle_id", "slice"], "left").selectExpr(
+        "vehicle_id", "slice", "goes_on", "covered",
+        f"last(tail_us) ignore nulls {earlier} as start_us",
+        f"cast(row_number() {over_slices()} as bigint) as seq",
+        f"coalesce(lag(covered) {over_slices()}, false) as after_covered",
+    ).where("goes_on")
+    seeds = chain.where("not after_covered").selectExpr("vehicle_id", "slice", "start_us as seed_us")
+    if chain.where("covered").isEmpty():
+        return seeds
+    return seeds.unionByName(_through_covered(chain, going_on, gap))
+
+
 def fuse(recorded: DataFrame, synthetic: DataFrame, hot: HotCells | None, p: Params) -> DataFrame:
     """Kept events: vehicle_id, event, event_ts, source and their place (prio, ord1, ord2).
 
     ``recorded``: events of TLM and TRG; ``synthetic``: those of SYN, all of one kind.
     """
     gap = p.near_dup_gap_sec * SECOND
-    pieces = _pieces(recorded, synthetic, hot, p)
-    ends = pieces.groupBy("vehicle_id", "slice").agg(
-        F.expr("min(piece) = 0 as goes_on"),
-        F.expr("max(piece) = 0 as covered"),
-        F.expr("max_by(tail_us, piece) as tail_us"),
-    )
-    any_open, any_covered = ends.agg(F.expr("max(goes_on)"), F.expr("max(covered)")).first()
-    kept = pieces.where("piece > 0").select("vehicle_id", "items")
-    if any_open:
-        earlier = over_slices(frame="rows between unbounded preceding and 1 preceding")
-        chain = ends.selectExpr(
-            "vehicle_id", "slice", "goes_on", "covered",
-            f"last(tail_us) ignore nulls {earlier} as start_us",
-            f"cast(row_number() {over_slices()} as bigint) as seq",
-            f"coalesce(lag(covered) {over_slices()}, false) as after_covered",
-        )
-        seeds = chain.where("goes_on and not after_covered").selectExpr("vehicle_id", "slice", "start_us as seed_us")
-        if any_covered:
-            seeds = seeds.unionByName(_through_covered(chain, pieces, gap))
-        kept = kept.unionByName(
-            pieces.where("piece = 0").join(seeds, ["vehicle_id", "slice"])
-            .selectExpr("vehicle_id", f"{keep_spaced('items', 'seed_us', gap)} as items")
-        )
-    return kept.selectExpr("vehicle_id", "inline(items)").select(
-        "vehicle_id", "event", "event_ts", "source", "prio", "ord1", "ord2"
+    rows = _open_rows(recorded, synthetic, hot, p)
+    columns = ["vehicle_id", "slice", *ORDER, "event", "event_ts", "source"]
+    heads = rows.where("opens").select(columns)
+    item = f"struct({', '.join(columns[2:])})"
+    groups = rows.where("not opens").groupBy("vehicle_id", "slice", "head_us").agg(
+        F.expr(f"sort_array(collect_list({item})) as items")
     )
+
+    def walk(undecided: DataFrame, seed: str) -> DataFrame:
+        return undecided.selectExpr("vehicle_id", "slice", f"inline({keep_spaced('items', seed, gap)})")
+
+    kept = heads.unionByName(walk(groups.where("head_us is not null"), "head_us"))
+    if not rows.where("head_us is null").isEmpty():
+        going_on = groups.where("head_us is null")
+        seeded = going_on.join(_seeds(rows, kept, going_on, gap), ["vehicle_id", "slice"])
+        kept = kept.unionByName(walk(seeded, "seed_us"))
+    return kept.select("vehicle_id", "event", "event_ts", "source", "prio", "ord1", "ord2")
