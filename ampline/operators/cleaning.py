@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from ampline.functions.scalars import no_nan, strip, text_list, to_number
 
+# The trigger names and values that count as valid.
 TRIGGER_NAMES = ["IGN_CYL", "CHARGE_STATE", "EV_CHARGE_STATE"]
 IGNITION_VALUES = ["ON", "OFF"]
 CHARGE_VALUES = ["Active", "Aborted", "Complete", "Completed"]

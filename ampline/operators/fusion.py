@@ -21,6 +21,7 @@ from ampline.functions.scalars import SECOND, file_chunk, micros
 from ampline.operators.slices import UP_TO_HERE, HotCells, in_slice, over_slices, with_context, with_slice
 from ampline.staging import stage
 
+# At equal times the source with the lower number comes first.
 PRIORITY = "case source when 'TLM' then 0 when 'TRG' then 1 when 'SYN' then 2 end"
 ORDER = ["us", "prio", "ord1", "ord2"]
 
@@ -56,12 +57,15 @@ def _open_rows(recorded: DataFrame, synthetic: DataFrame, hot: HotCells | None,
     placed = stage(with_slice(single, chunk, hot, p), "fusion-input")
     rows = (
         with_context(placed, ORDER, before={"carried": "struct(event, us)"})
-        .selectExpr("*", f"coalesce(lag(struct(event, us)) {in_slice(ORDER)}, carried) as prev")
-        .selectExpr("*", f"prev is null or prev.event <> event or us - prev.us >= {gap} as opens")
+        .selectExpr(
+            "*", f"coalesce(lag(event) {in_slice(ORDER)}, carried.event) as prev_event",
+            f"coalesce(lag(us) {in_slice(ORDER)}, carried.us) as prev_us",
+        )
+        .selectExpr("*", f"prev_us is null or prev_event <> event or us - prev_us >= {gap} as opens")
         .selectExpr("*", f"last(if(opens, us, null)) ignore nulls {in_slice(ORDER, frame=UP_TO_HERE)} as head_us")
         .where(f"opens or head_us is null or us - head_us >= {gap}")
     )
-    return stage(rows.drop("carried", "prev"), "fusion-rows")
+    return stage(rows.drop("carried", "prev_event", "prev_us"), "fusion-rows")
 
 
 def jump_table(us: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray]:

@@ -15,6 +15,7 @@ from ampline.operators.cleaning import BATTERY, SPEED, STATUS, TRIGGER_FAULT, va
 from ampline.operators.mapping import claims
 from ampline.operators.slices import in_slice, with_context
 
+# Fixed values, here and in the texts below: checked columns, rule numbers, wording of the report.
 CHECKED_COLUMNS = ["SPEED", "IGNITION_STATUS", "EV_BATTERY_LEVEL", "ODOMETER"]
 FAULT_STAGES = {"name": 9, "ignition": 10, "charge_level": 11, "charge_status": 12}
 DROPPED = "— dropped."
