@@ -81,18 +81,17 @@ def parse_to_ist(text: str) -> str:
     return f"convert_timezone('UTC', '{LOCAL_ZONE}', cast({instant} as timestamp_ntz))"
 
 
-def parse_id_list(text: str) -> str:
-    """List text (JSON or Python literal) to ``array<bigint>``; one bad element voids the list.
+def with_id_list(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Add list text (JSON or Python literal) as ``array<bigint>``; one bad element voids the list.
 
     Accepted: square brackets, round brackets or braces around comma separated whole numbers,
     decimals (truncated) or quoted whole numbers; a bare comma separated row too.
     """
-    body = strip(text)
-    bracketed = rf"{body} rlike r'(?s)^(\[.*\]|\(.*\)|\{{.*\}})$'"
-    inner = strip(rf"case when {bracketed} then regexp_replace({body}, r'(?s)^.|.$', '') else {body} end")
+    bracketed = r"body rlike r'(?s)^(\[.*\]|\(.*\)|\{.*\})$'"
+    inner = strip(rf"if({bracketed}, regexp_replace(body, r'(?s)^.|.$', ''), body)")
+    # Round brackets or none make a list only with a comma, or as an empty pair.
     shaped = (
-        rf"({body} rlike r'(?s)^(\[.*\]|\{{.*\}})$' "
-        rf"or {body} rlike r'(?s)^\(\s*\)$' or ({body} <> '' and {inner} like '%,%'))"
+        r"body rlike r'(?s)^(\[.*\]|\{.*\}|\(\s*\))$' or (body <> '' and inner like '%,%')"
     )
     item = r"""^\s*("\s*[+-]?\d+\s*"|\x27\s*[+-]?\d+\s*\x27|[+-]?\d+(\.\d*)?([eE][+-]?\d+)?)\s*$"""
     bare = r"""regexp_replace(x, r'[\s"\x27]', '')"""
@@ -100,10 +99,15 @@ def parse_id_list(text: str) -> str:
         f"case when x rlike r'{item}' then coalesce(try_cast({bare} as bigint), "
         f"try_cast(try_cast({bare} as double) as bigint)) end"
     )
-    ids = rf"transform(split(regexp_replace({inner}, r',\s*$', ''), ','), x -> {to_id})"
+    ids = (
+        "if(inner = '', cast(array() as array<bigint>), "
+        rf"transform(split(regexp_replace(inner, r',\s*$', ''), ','), x -> {to_id}))"
+    )
     return (
-        f"case when not {shaped} then null when {inner} = '' then cast(array() as array<bigint>) "
-        f"when not exists({ids}, x -> x is null) then {ids} end"
+        df.selectExpr("*", f"{strip(text)} as body")
+        .selectExpr("*", f"{inner} as inner")
+        .selectExpr("*", f"if({shaped}, {ids}, null) as parsed")
+        .selectExpr(*df.columns, f"if(exists(parsed, x -> x is null), null, parsed) as {name}")
     )
 
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampline.functions.scalars import parse_id_list
+from ampline.functions.scalars import with_id_list
 
 
 def parse_map(raw: DataFrame) -> DataFrame:
     """Last row of each vehicle with its parsed list: row_ord, ID, IDS, pnids (NULL where bad)."""
     last = raw.groupBy("ID").agg(F.expr("max(row_ord) as row_ord"), F.expr("max_by(IDS, row_ord) as IDS"))
-    return last.selectExpr("row_ord", "ID", "IDS", f"{parse_id_list('IDS')} as pnids")
+    return with_id_list(last, "IDS", "pnids").select("row_ord", "ID", "IDS", "pnids")
 
 
 def claims(parsed: DataFrame) -> DataFrame:

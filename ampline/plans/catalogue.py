@@ -12,14 +12,14 @@ from ampline.operators.charging import SESSION_COLUMNS
 from ampline.operators.ignition import EVENT_COLUMNS
 from ampline.plans.pipeline import Flow
 from ampline.sinks.writers import report_lines
-from ampline.sources.derived import derived_feeds
+from ampline.sources.derived import DerivedFeeds
 
 Query = Callable[[SparkSession, str], DataFrame]
 FINDING_OUTPUT = ["rule", "item", "n_rows", "detail"]
 
 
 def _query(build: Callable[[Flow], DataFrame], share: bool = False, whole: bool = False) -> Query:
-    return lambda spark, sf_dir: build(Flow(derived_feeds(spark, sf_dir), share=share, whole=whole))
+    return lambda spark, sf_dir: build(Flow(DerivedFeeds(spark, sf_dir), share=share, whole=whole))
 
 
 def _on_sessions(build: Callable[[DataFrame, Params], DataFrame], passes: int = 1) -> Query:

@@ -11,10 +11,12 @@ from ampline.config import Params, require_utc
 from ampline.operators import battery, charging, cleaning, fusion, ignition, mapping, quality
 from ampline.operators.slices import HotCells, find_hot_cells
 from ampline.sinks import writers
-from ampline.sources import readers
-from ampline.sources.derived import Feeds
+from ampline.sources.derived import DerivedFeeds
+from ampline.sources.readers import Feeds, read_feeds
 from ampline.staging import stage
 
+__all__ = ["Flow", "read_feeds", "run"]
+
 
 class Flow:
     """Lazily built steps of one run.
@@ -23,12 +25,12 @@ class Flow:
     later steps need, or with ``whole`` all of the cleaned feed (for the quality findings).
     """
 
-    def __init__(self, feeds: Feeds, params: Params | None = None, share: bool = False, whole: bool = False):
+    def __init__(self, feeds: Feeds | DerivedFeeds, params: Params | None = None, share: bool = False, whole: bool = False):
         self.feeds = feeds
         self.p = params or Params()
         self._share = share or whole
         self._whole = whole
-        require_utc(feeds.tlm.sparkSession)
+        require_utc(SparkSession.active())
 
     def _shared(self, df: DataFrame, label: str) -> DataFrame:
         return stage(df, label) if self._share else df
@@ -208,13 +210,6 @@ class Flow:
         return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
-def read_feeds(spark: SparkSession, tlm: str, trg: str, map_: str, syn: str) -> Feeds:
-    return Feeds(
-        readers.read_tlm(spark, tlm), readers.read_trg(spark, trg),
-        readers.read_map(spark, map_), readers.read_syn(spark, syn),
-    )
-
-
 def run(feeds: Feeds, out_dir: str, params: Params | None = None, fmt: str = "csv") -> Flow:
     """Compute everything once and write the three tables, the report and its values.
 

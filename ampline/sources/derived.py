@@ -5,7 +5,7 @@ Time is compressed by 240, so that the 10 s and 300 s rules meet real neighbours
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,17 +15,9 @@ START_US = 1704067200000000
 SQUEEZE = 240
 
 
-class Feeds(NamedTuple):
-    tlm: DataFrame
-    trg: DataFrame
-    map: DataFrame
-    syn: DataFrame
-
-
 def _base(events: DataFrame, kinds: str) -> DataFrame:
     return events.where(f"event_type in ({kinds})").selectExpr(
-        "event_id as e", "user_id as u", "event_type as kind", "value",
-        "cast(get_json_object(props, '$.k') as int) as k",
+        "event_id as e", "user_id as u", "event_type as kind", "value", "props",
         f"{START_US} + ({micros('ts')} - {START_US}) div {SQUEEZE} as us",
     )
 
@@ -50,7 +42,12 @@ def derived_tlm(events: DataFrame) -> DataFrame:
 
 
 def derived_trg(events: DataFrame) -> DataFrame:
-    return _copied(_base(events, "'signup', 'error'"), 40).selectExpr(
+    # k comes out of the generator, so that filters on it do not parse the JSON text again.
+    k = "cast(get_json_object(props, '$.k') as int) as k"
+    rows = _base(events, "'signup', 'error'").selectExpr(
+        "*", f"inline(transform(if(e % 40 = 0, array(0, 1), array(0)), d -> struct(d, {k})))"
+    )
+    return rows.selectExpr(
         "e * 2 + d as row_ord",
         f"if(e % 89 <> 0, {ntz_from_micros('us')}, null) as CTS",
         "u * 2 + e % 2 as PNID",
@@ -89,6 +86,24 @@ def derived_syn(events: DataFrame) -> DataFrame:
     )
 
 
-def derived_feeds(spark: SparkSession, sf_dir: str) -> Feeds:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return Feeds(derived_tlm(events), derived_trg(events), derived_map(events), derived_syn(events))
+class DerivedFeeds:
+    """The four feeds, each defined when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._events = spark.read.parquet(f"{sf_dir}/events.parquet")
+
+    @cached_property
+    def tlm(self) -> DataFrame:
+        return derived_tlm(self._events)
+
+    @cached_property
+    def trg(self) -> DataFrame:
+        return derived_trg(self._events)
+
+    @cached_property
+    def map(self) -> DataFrame:
+        return derived_map(self._events)
+
+    @cached_property
+    def syn(self) -> DataFrame:
+        return derived_syn(self._events)

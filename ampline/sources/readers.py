@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,13 @@ SESSION_OUTPUT = (
 )
 
 
+class Feeds(NamedTuple):
+    tlm: DataFrame
+    trg: DataFrame
+    map: DataFrame
+    syn: DataFrame
+
+
 def with_file_order(df: DataFrame, columns: list[str]) -> DataFrame:
     """Project ``columns`` and number rows in file order.
 
@@ -80,6 +89,10 @@ def read_syn(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return with_file_order(raw, columns).select("row_ord", "vehicleId", "timestamp", "type")
 
 
+def read_feeds(spark: SparkSession, tlm: str, trg: str, map_: str, syn: str) -> Feeds:
+    return Feeds(read_tlm(spark, tlm), read_trg(spark, trg), read_map(spark, map_), read_syn(spark, syn))
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)

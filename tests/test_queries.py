@@ -6,7 +6,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from ampline.config import Params
 from ampline.operators.charging import SESSION_COLUMNS
 from ampline.plans.pipeline import Flow
-from ampline.sources.derived import derived_feeds
+from ampline.sources.derived import DerivedFeeds
 from tests.compare import DATA, differences, oracle_rows, spark_rows
 
 SQL = oracle_sql()
@@ -25,7 +25,7 @@ def test_entry(spark):
 @pytest.mark.parametrize("p", [Params(slice_sec=60), Params(slice_sec=600, max_slice_rows=2)])
 def test_slicing_does_not_change_the_result(spark, p):
     sf_dir = f"{DATA}/sf0.01"
-    flow = Flow(derived_feeds(spark, sf_dir), p, share=True)
+    flow = Flow(DerivedFeeds(spark, sf_dir), p, share=True)
     assert differences(spark_rows(flow.sessions.select(SESSION_COLUMNS)), oracle_rows(sf_dir, SQL["charging_events"])) == ""
 
 
@@ -43,6 +43,6 @@ def test_session_zone_must_be_utc(spark):
     spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
     try:
         with pytest.raises(ValueError):
-            Flow(derived_feeds(spark, f"{DATA}/sf0.001"))
+            Flow(DerivedFeeds(spark, f"{DATA}/sf0.001"))
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -5,7 +5,7 @@ import json
 
 import pytest
 
-from ampline.functions.scalars import parse_id_list, parse_local, parse_to_ist, python_quote, to_number
+from ampline.functions.scalars import parse_local, parse_to_ist, python_quote, to_number, with_id_list
 from ampline.operators import cleaning, mapping, quality
 from ampline.plans.pipeline import read_feeds, run
 from ampline.sources import readers
@@ -52,7 +52,8 @@ def test_numbers(spark):
     ('["7.9"]', None), (None, None), ("", None), ("[9007199254740993]", [9007199254740993]),
 ])
 def test_id_lists(spark, text, ids):
-    assert one(spark, parse_id_list, [text]) == [ids]
+    df = spark.createDataFrame([(text,)], "v string")
+    assert with_id_list(df, "v", "x").first().x == ids
 
 
 def test_quotes(spark):
