@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ampline.config import Params
 from ampline.functions.scalars import SECOND, micros, ntz_from_micros, to_number
-from ampline.operators.slices import slice_start
+from ampline.operators.slices import HotCells, find_hot_cells, slice_start
+
+LOOKUP_STEP = 60 * SECOND
 
 
 def charging_status(mapped: DataFrame) -> DataFrame:
@@ -32,6 +34,15 @@ def battery_timeline(clean_tlm: DataFrame, mapped_trg: DataFrame) -> DataFrame:
     return tlm.unionByName(trg.selectExpr("vehicle_id", "ts", capped, "source", "ord1", "ord2"))
 
 
+def _placed(rows: DataFrame, slices: str, hot: HotCells | None) -> DataFrame:
+    """Turn the ``cell`` of rows into their look-up slices; ``slices`` names those of a crowded cell."""
+    if hot is None:
+        return rows.withColumnRenamed("cell", "slice")
+    crowded = hot.table.select("vehicle_id", "cell", F.lit(True).alias("crowded"))
+    marked = rows.join(F.broadcast(crowded) if hot.broadcast else crowded, ["vehicle_id", "cell"], "left")
+    return marked.selectExpr("*", f"explode(if(crowded, {slices}, array(cell))) as slice").drop("cell", "crowded")
+
+
 def nearest_readings(events: DataFrame, timeline: DataFrame, p: Params) -> DataFrame:
     """Nearest reading per distinct (vehicle_id, event_ts) that has one in the window.
 
@@ -40,35 +51,41 @@ def nearest_readings(events: DataFrame, timeline: DataFrame, p: Params) -> DataF
     it; the winner before is the first reading of the whole second (counted back from the
     event) that holds the last reading before it. Both are neighbours in one sorted sequence
     of readings and events, so no pairs are formed. An event near a slice border is looked up
-    in both slices.
+    in both slices; crowded vehicle-hours are cut into minutes.
     """
     window = p.battery_window_sec
-    width = max(p.slice_sec, 4 * window)
+    hot = find_hot_cells(timeline.selectExpr("vehicle_id", "ts as event_ts"), p)
+    cell = lambda us: slice_start(us, p.slice_sec)
     readings = (
         timeline.selectExpr("vehicle_id", f"{micros('ts')} as us", "battery_pct", "source", "ord1", "ord2")
         # Copies of an instant shrink before the shuffle; one row per source and PNID is left.
         .groupBy("vehicle_id", "us", "source", "ord1")
         .agg(F.expr("min_by(battery_pct, ord2) as battery_pct"))
         .selectExpr(
-            "vehicle_id", f"{slice_start('us', width)} as slice", "us", "cast(null as bigint) as event_us",
+            "vehicle_id", f"{cell('us')} as cell", "us", "cast(null as bigint) as event_us",
             "source", "ord1", "struct(us, battery_pct) as reading",
         )
     )
-    first = slice_start(f"event_us - {window * SECOND}", width)
-    last = slice_start(f"event_us + {(window + 1) * SECOND}", width)
+    first, last = f"event_us - {window * SECOND}", f"event_us + {(window + 1) * SECOND}"
     probes = (
         events.selectExpr("vehicle_id", f"{micros('event_ts')} as event_us").distinct()
         .selectExpr(
-            "vehicle_id", f"explode(sequence({first}, {last}, {width * SECOND}L)) as slice", "event_us as us",
-            "event_us", "'' as source", "0L as ord1",
+            "vehicle_id", f"explode(sequence({cell(first)}, {cell(last)}, {p.slice_sec * SECOND}L)) as cell",
+            "event_us as us", "event_us", "'' as source", "0L as ord1",
             "cast(null as struct<us: bigint, battery_pct: double>) as reading",
         )
     )
+    own = f"array(us - pmod(us - cell, {LOOKUP_STEP}L))"
+    begin = f"greatest({first}, cell)"
+    reached = (
+        f"sequence({begin} - pmod({begin} - cell, {LOOKUP_STEP}L), "
+        f"least({last}, cell + {p.slice_sec * SECOND - 1}L), {LOOKUP_STEP}L)"
+    )
+    line = _placed(readings, own, hot).unionByName(_placed(probes, reached, hot))
     # At equal times events (no source) sort before readings, and those in timeline order.
     over = lambda at: f"over (partition by vehicle_id, slice order by {at}, source, ord1)"
     looked = (
-        readings.unionByName(probes)
-        .selectExpr(
+        line.selectExpr(
             "*",
             f"lag(reading.us) ignore nulls {over('us')} as before_us",
             f"lead(reading) ignore nulls {over('us')} as next",

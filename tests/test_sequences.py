@@ -84,7 +84,10 @@ def test_fusion(spark, p, grain):
 
 
 @pytest.mark.parametrize("grain", [S, S // 10, 137_003])
-@pytest.mark.parametrize("p", [Params(), Params(slice_sec=10, battery_window_sec=6), Params(slice_sec=1, battery_window_sec=2)])
+@pytest.mark.parametrize("p", [
+    Params(), Params(slice_sec=10, battery_window_sec=6), Params(slice_sec=1, battery_window_sec=2),
+    Params(max_slice_rows=20), Params(slice_sec=130, max_slice_rows=3, broadcast_rows=0),
+])
 def test_nearest(spark, p, grain):
     rng = random.Random(3)
     readings, events = [], []
