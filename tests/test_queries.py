@@ -5,6 +5,7 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from ampline.config import Params
 from ampline.operators.charging import SESSION_COLUMNS
+from ampline.plans.catalogue import QUERIES
 from ampline.plans.pipeline import Flow
 from ampline.sources.derived import DerivedFeeds
 from tests.compare import DATA, differences, oracle_rows, spark_rows
@@ -12,7 +13,7 @@ from tests.compare import DATA, differences, oracle_rows, spark_rows
 SQL = oracle_sql()
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, name):
     sf_dir = f"{DATA}/sf0.001"
     assert differences(spark_rows(queries()[name](spark, sf_dir)), oracle_rows(sf_dir, SQL[name])) == ""
