@@ -35,12 +35,11 @@ def ship(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
-    package = Path(__file__).resolve().parent
+    package = Path(__file__).resolve().parent.parent
     target = Path(tempfile.mkdtemp(prefix="ampline-py-")) / f"ampline-{context.applicationId}.zip"
     with zipfile.ZipFile(target, "w") as archive:
-        archive.write(package.parent / "__init__.py", "ampline/__init__.py")
-        for path in sorted(package.glob("*.py")):
-            archive.write(path, f"ampline/llm/{path.name}")
+        for path in sorted(package.rglob("*.py")):
+            archive.write(path, path.relative_to(package.parent))
     context.addPyFile(str(target))
     _shipped.add(context.applicationId)
 
