@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from ampline.llm.op2_bpe import op2_bpe
+from ampline.llm.op5_pfor import op5_pfor
+from ampline.llm.op10_quality import op10_quality
 
 QUERIES = {
     "op2_bpe": op2_bpe,
+    "op5_pfor": op5_pfor,
+    "op10_quality": op10_quality,
 }
 
 ORACLES: dict[str, str] = {}
