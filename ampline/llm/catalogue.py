@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from ampline.llm.op2_bpe import op2_bpe
 from ampline.llm.op5_pfor import op5_pfor
+from ampline.llm.op9_dedup import ORACLE_SQL as OP9_SQL
+from ampline.llm.op9_dedup import op9_dedup
 from ampline.llm.op10_quality import op10_quality
 
 QUERIES = {
     "op2_bpe": op2_bpe,
     "op5_pfor": op5_pfor,
+    "op9_dedup": op9_dedup,
     "op10_quality": op10_quality,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_dedup": OP9_SQL,
+}
