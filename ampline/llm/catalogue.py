@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from ampline.llm.op1_pii import op1_pii
 from ampline.llm.op2_bpe import op2_bpe
 from ampline.llm.op5_pfor import op5_pfor
 from ampline.llm.op6_language import op6_language
+from ampline.llm.op7_secrets import op7_secrets
 from ampline.llm.op8_simhash import op8_simhash
 from ampline.llm.op9_dedup import ORACLE_SQL as OP9_SQL
 from ampline.llm.op9_dedup import op9_dedup
 from ampline.llm.op10_quality import op10_quality
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_bpe": op2_bpe,
     "op5_pfor": op5_pfor,
     "op6_language": op6_language,
+    "op7_secrets": op7_secrets,
     "op8_simhash": op8_simhash,
     "op9_dedup": op9_dedup,
     "op10_quality": op10_quality,
