@@ -25,7 +25,10 @@ from ampline.llm.common import documents
 from ampline.staging import stage, stage_root
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else each partition reserves megabytes of disk
+}
 BATCH_BYTES = str(64 << 30)  # of digest files in a micro-batch
 ROWS_PER_COPY = 1000  # a checked text is copied once per so many rows of its group
 
@@ -52,9 +55,9 @@ def located(docs: DataFrame) -> tuple[DataFrame, bool]:
 
 def update_state(spark: SparkSession, digests: str, schema, checkpoint: str) -> None:
     """Run the stream over all digest files that its checkpoint has not seen."""
-    conf, key = spark.conf, "spark.sql.streaming.stateStore.providerClass"
-    before = conf.get(key, None)
-    conf.set(key, STATE_STORE)
+    before = {key: spark.conf.get(key, None) for key in STATE_CONF}
+    for key, value in STATE_CONF.items():
+        spark.conf.set(key, value)
     try:
         rows = spark.readStream.schema(schema).option("maxBytesPerTrigger", BATCH_BYTES).parquet(digests)
         entries = rows.groupBy("digest").agg(
@@ -64,7 +67,8 @@ def update_state(spark: SparkSession, digests: str, schema, checkpoint: str) ->
             availableNow=True
         ).start().awaitTermination()
     finally:
-        conf.set(key, before) if before else conf.unset(key)
+        for key, value in before.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)
 
 
 def entries(spark: SparkSession, checkpoint: str) -> DataFrame:
