@@ -36,7 +36,7 @@ SHINGLE_WORDS = 4
 DISTANCE = 4
 SEED = 42
 SEGMENTS = 32
-EQUAL_GROUPS = 3
+EQUAL_GROUPS = 4
 CELL_POINTS = 20_000
 SMALL_CELL = 64  # cells up to this size are compared many at a time
 BLOCK = 1024  # points of a larger cell compared with each other at a time
