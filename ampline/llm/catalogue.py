@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ampline.llm.op1_pii import op1_pii
 from ampline.llm.op2_bpe import op2_bpe
+from ampline.llm.op3_repeats import op3_repeats
 from ampline.llm.op4_mixing import op4_mixing
 from ampline.llm.op5_pfor import op5_pfor
 from ampline.llm.op6_language import op6_language
@@ -16,6 +17,7 @@ from ampline.llm.op10_quality import op10_quality
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_bpe": op2_bpe,
+    "op3_repeats": op3_repeats,
     "op4_mixing": op4_mixing,
     "op5_pfor": op5_pfor,
     "op6_language": op6_language,

@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from ampline.llm.common import documents, ragged, ship, string_column, text_slices
+from ampline.llm.common import documents, ragged, ship, string_column, text_slices, with_fields
 from ampline.llm.tokenizer import public_path
 from ampline.llm.words import Memo, split_words
 
@@ -197,7 +197,7 @@ def quality_report(docs: DataFrame, path: str, rules: Rules = Rules()) -> DataFr
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(figures[n]) for n in names]], names=["doc_id", *names])
 
     ship(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(report, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {RESULT}")
+    return docs.select("doc_id", "text").mapInArrow(report, with_fields(docs.select("doc_id"), RESULT))
 
 
 def keep_good(docs: DataFrame, path: str, rules: Rules = Rules()) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ampline.llm.common import documents, ship, string_column, text_slices
+from ampline.llm.common import documents, ship, string_column, text_slices, with_fields
 from ampline.llm.words import split_words
 from ampline.staging import stage
 
@@ -202,8 +202,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             names, score = classify(shared.value, string_column(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+    return docs.select("doc_id", "text").mapInArrow(run, with_fields(docs.select("doc_id"), "lang_pred string, score double"))
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:

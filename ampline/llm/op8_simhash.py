@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampline.llm.common import documents, ship, string_column, text_slices
+from ampline.llm.common import documents, ship, string_column, text_slices, with_fields
 from ampline.staging import stage
 
 SHINGLE_WORDS = 4
@@ -75,8 +75,7 @@ def _fingerprinted(docs: DataFrame, row, words_per_shingle: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["row", "fp"])
 
     ship(docs.sparkSession)
-    kind = source.schema["row"].dataType.simpleString()
-    return source.mapInArrow(compute, f"row {kind}, fp bigint")
+    return source.mapInArrow(compute, with_fields(source.select("row"), "fp bigint"))
 
 
 # ---- links between distinct fingerprints --------------------------------------------------------------------------
