@@ -209,7 +209,7 @@ def thinned(docs: DataFrame, labels: DataFrame, shares: dict[str, float] = SHARE
     """The rows of ``docs`` drawn at their rates times ``headroom``, at most once each, so that documents of a domain that
     keeps its tokens stay in spite of small posteriors of other domains."""
     model = fit_classifier(docs, labels)
-    rows = figures(with_words(docs), model.lists)
+    rows = stage(figures(with_words(docs), model.lists), "figures")  # else a filter on rates computes figures many times
     steps = fit_rates(rows, model, shares)
     return mixed(rows, model, steps).where(F.col("draw") < F.col("rate") * headroom).select("row.*")
 
