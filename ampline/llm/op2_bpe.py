@@ -28,6 +28,7 @@ from ampline.llm.common import documents, ragged, ship, string_column, text_slic
 from ampline.llm.tokenizer import id_lists, open_tokenizer, public_path
 from ampline.llm.transducer import Transducer, compile_words
 from ampline.llm.words import Memo, Words, split_spaces
+from ampline.staging import stage
 
 TOKENIZER = "byte_bpe_50k.json"
 LEXICON_WORDS = 1 << 16  # capacity of the lexicon; it changes the speed, never the ids
@@ -46,7 +47,7 @@ def _pieces(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, Words, np.ndar
 
 
 def lexicon_words(docs: DataFrame, most: int = LEXICON_WORDS) -> DataFrame:
-    """The most frequent pieces over all texts: piece, n."""
+    """The most frequent pieces over all texts, at most ``most``, those of equal frequency all or none: piece, n."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
@@ -61,10 +62,16 @@ def lexicon_words(docs: DataFrame, most: int = LEXICON_WORDS) -> DataFrame:
 
     ship(docs.sparkSession)
     counted = docs.select("text").mapInArrow(count, "piece string, n bigint")
-    return (
-        counted.groupBy("piece").agg(F.sum("n").alias("n")).where("n > 1")
-        .orderBy(F.desc("n"), "piece").limit(most)
-    )
+    counted = stage(counted.groupBy("piece").agg(F.sum("n").alias("n")).where("n > 1"), "pieces")
+    # Steps of an eighth of a doubling: a few hundred rows tell the least count that at most ``most`` pieces reach.
+    step = F.floor(F.log2("n") * 8).alias("step")
+    room, least = most, None
+    for row in counted.groupBy(step).agg(F.count(F.lit(1)).alias("pieces")).orderBy(F.desc("step")).collect():
+        room -= row.pieces
+        if room < 0:
+            break
+        least = row.step
+    return counted.where(step >= least) if least is not None else counted.limit(0)
 
 
 def publish_lexicon(docs: DataFrame, path: str, most: int = LEXICON_WORDS) -> str:
