@@ -49,11 +49,24 @@ def with_words(docs: DataFrame) -> DataFrame:
     return docs.select(row, text.alias("text")).select("*", F.array_remove(F.split(F.lower("text"), r"\s+"), "").alias("words"))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """domain, half (0 or 1) and text of at most SAMPLE_ROWS labelled documents of each domain."""
-    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "poor").when(F.col("quality") == 1, "clean")
+def _domain() -> Column:
+    return F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "poor").when(F.col("quality") == 1, "clean")
+
+
+def _domain_sizes(labels: DataFrame) -> dict[str, int]:
+    known = labels.select(_domain().alias("domain")).where("domain IS NOT NULL")
+    return {r.domain: r.n for r in known.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, sizes: dict[str, int]) -> DataFrame:
+    """domain, half (0 or 1) and text of at most SAMPLE_ROWS labelled documents of each domain, by hash of the id."""
+    share = F.lit(0.0)
+    for domain, n in sizes.items():
+        share = F.when(F.col("domain") == domain, 1.2 * SAMPLE_ROWS / n).otherwise(share)
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
     rank = F.row_number().over(Window.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    known = labels.select("doc_id", domain.alias("domain")).where("domain IS NOT NULL AND doc_id IS NOT NULL")
+    known = labels.select("doc_id", _domain().alias("domain")).where("domain IS NOT NULL AND doc_id IS NOT NULL")
+    known = known.where(draw < share)  # so that a frequent domain sends few rows to its rank
     known = known.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_ROWS)
     known = known.groupBy(F.col("doc_id").alias("id")).agg(F.max("domain").alias("domain"))
     # The hint holds at most SAMPLE_ROWS rows of each domain.
@@ -117,13 +130,13 @@ class Model:
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame) -> Model:
-    sample = stage(labelled_sample(docs, labels), "labelled-sample")
+    shares = _domain_sizes(labels)
+    sample = stage(labelled_sample(docs, labels, shares), "labelled-sample")
     lists = indicator_words(sample)
     second = figures(with_words(sample.where("half = 1")), lists)
     stacked = F.explode(F.array(*[F.struct(F.lit(n).alias("figure"), F.col(f"bin_{n}").alias("bin")) for n in BINS])).alias("f")
     counts = second.select(F.col("row.domain").alias("domain"), stacked).groupBy("domain", "f.figure", "f.bin").agg(F.count(F.lit(1)).alias("n"))
     found = {(r.domain, r.figure, r.bin): r.n for r in counts.collect()}  # at most domains * bins
-    shares = {r.domain: r.n for r in _domain_sizes(labels).collect()}
     total = sum(shares.values())
     priors = {d: (shares.get(d, 0) + (d == "clean")) / (total + 1) for d in DOMAINS}
     bins = {}
@@ -134,11 +147,6 @@ def fit_classifier(docs: DataFrame, labels: DataFrame) -> Model:
     return Model(lists, {d: log(p) if p else float("-inf") for d, p in priors.items()}, bins)
 
 
-def _domain_sizes(labels: DataFrame) -> DataFrame:
-    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "poor").when(F.col("quality") == 1, "clean")
-    return labels.select(domain.alias("domain")).where("domain IS NOT NULL").groupBy("domain").agg(F.count(F.lit(1)).alias("n"))
-
-
 def posteriors(model: Model) -> dict[str, Column]:
     """Of a row of figures, the posterior of each domain, rounded so that equal bins have equal ones everywhere."""
     known = [d for d in DOMAINS if model.priors[d] > float("-inf")]

@@ -133,16 +133,18 @@ def is_held_out(doc_id) -> F.Column:
 def training_sample(docs: DataFrame) -> DataFrame:
     """lang, n (labelled texts), place, text: at most TRAIN_TEXTS texts of each of the MAX_LANGUAGES most frequent labels, by hash of the id.
 
-    Ids are chosen without reading texts. Rank filters keep at most so many rows per task and language before the
-    shuffle, so a language with most of the rows is no hot group.
+    Ids are chosen without reading texts, and thinned by hash before they are ranked, so that a language with most of the
+    rows sends few to its rank.
     """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~is_held_out(F.col("doc_id")))
     most = labelled.groupBy(F.col("lang").alias("known")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "known").limit(MAX_LANGUAGES)
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = labelled.select("lang", "doc_id").withColumn("rank", rank).where(F.col("rank") <= TRAIN_TEXTS)
-    ids = ids.join(most, F.col("lang") == F.col("known"))
+    ids = labelled.select("lang", "doc_id").join(F.broadcast(most), F.col("lang") == F.col("known"))  # MAX_LANGUAGES rows
+    ids = ids.where(draw < 1.5 * TRAIN_TEXTS / F.col("n")).withColumn("rank", rank).where(F.col("rank") <= TRAIN_TEXTS)
     ids = ids.select(F.col("lang").alias("of"), F.col("doc_id").alias("id"), "n").distinct()
-    return labelled.join(ids, (F.col("lang") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id"))).select(
+    # The hint holds at most TRAIN_TEXTS rows of each language.
+    return labelled.join(F.broadcast(ids), (F.col("lang") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id"))).select(
         "lang", "n", F.xxhash64("doc_id").alias("place"), F.substring("text", 1, SAMPLE_CHARS).alias("text")
     )
 
