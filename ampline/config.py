@@ -24,7 +24,6 @@ class Params:
     slice_sec: int = 3600
     max_slice_rows: int = 2_000_000
     broadcast_rows: int = 500_000
-    listed_values: int = 1000
 
 
 UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00"}

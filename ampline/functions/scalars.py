@@ -41,8 +41,8 @@ def round2(x: str) -> str:
 
 
 def strip(text: str) -> str:
-    """Without white space of any kind at the ends."""
-    return rf"regexp_replace({text}, r'^\s+|\s+$', '')"
+    """Without white space of any kind at the ends, that of Unicode included."""
+    return rf"regexp_replace({text}, r'(?U)^\s+|\s+$', '')"
 
 
 def blank_missing(text: str) -> str:
@@ -59,15 +59,22 @@ def to_number(text: str) -> str:
     return f"case when {text} rlike r'{_NUMBER}' then try_cast(trim({text}) as double) end"
 
 
-def parse_local(text: str) -> str:
+def _in_formats(text: str, parsed: str, formats: tuple[str, ...]) -> str:
+    """``parsed``, or else the text read by the first format (a Spark datetime pattern) that fits it."""
+    others = [f"cast(try_to_timestamp({text}, '{f}') as timestamp_ntz)" for f in formats]
+    return f"coalesce({', '.join([parsed, *others])})" if others else parsed
+
+
+def parse_local(text: str, formats: tuple[str, ...] = ()) -> str:
     """Naive timestamp taken as written. Text with an offset has no naive meaning: NULL."""
-    return (
+    parsed = (
         f"case when {text} rlike r'{_DATE_FIRST}' and not {text} rlike r'{_TIME_WITH_OFFSET}' "
         f"then try_cast(trim({text}) as timestamp_ntz) end"
     )
+    return _in_formats(strip(text), parsed, formats)
 
 
-def parse_to_ist(text: str) -> str:
+def parse_to_ist(text: str, formats: tuple[str, ...] = ()) -> str:
     """Text read as UTC unless it names an offset, shifted to Indian wall clock."""
     dated = rf"regexp_replace({strip(text)}, r'\s*IST\+0530', '+05:30')"
     colon = rf"regexp_replace({dated}, r'(:\d{{2}}(?:\.\d+)?)\s*([+-]\d{{2}})(\d{{2}})$', '$1$2:$3')"
@@ -78,7 +85,8 @@ def parse_to_ist(text: str) -> str:
         f"else {colon} end"
     )
     instant = f"case when {text} rlike r'{_DATE_FIRST}' then try_cast({zoned} as timestamp) end"
-    return f"convert_timezone('UTC', '{LOCAL_ZONE}', cast({instant} as timestamp_ntz))"
+    utc = _in_formats(strip(text), f"cast({instant} as timestamp_ntz)", formats)
+    return f"convert_timezone('UTC', '{LOCAL_ZONE}', {utc})"
 
 
 def with_id_list(df: DataFrame, text: str, name: str) -> DataFrame:
@@ -120,8 +128,25 @@ def python_quote(text: str) -> str:
     )
 
 
-def file_chunk(df: DataFrame, row_ord: str) -> str:
-    """Coarse, order-keeping number of the stretch of input a row came from (below 2^43)."""
-    if dict(df.dtypes)[row_ord].startswith("decimal"):
-        return f"shiftright(cast(floor({row_ord} / 10000000000000000000) as bigint), 20)"
-    return f"shiftright({row_ord}, 20)"
+def _is_place(df: DataFrame, row_ord: str) -> bool:
+    return dict(df.dtypes)[row_ord].startswith("struct")
+
+
+def no_chunk(prio: str = "0") -> str:
+    return f"named_struct('prio', cast({prio} as int), 'file', '', 'block', 0L)"
+
+
+def file_chunk(df: DataFrame, row_ord: str, prio: str = "0") -> str:
+    """Coarse, order-keeping place of the stretch of input a row came from, behind a source's priority."""
+    if _is_place(df, row_ord):
+        return f"named_struct('prio', cast({prio} as int), 'file', {row_ord}.file, 'block', {row_ord}.block)"
+    return f"named_struct('prio', cast({prio} as int), 'file', '', 'block', shiftright({row_ord}, 20))"
+
+
+def file_place(df: DataFrame, row_ord: str) -> str:
+    """A row's place as the text readers give it, whatever kind of number the feed has."""
+    return row_ord if _is_place(df, row_ord) else as_place(row_ord)
+
+
+def as_place(number: str) -> str:
+    return f"named_struct('file', '', 'block', 0L, 'row', cast({number} as bigint))"

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampline.config import Params
-from ampline.functions.scalars import SECOND, file_chunk, micros, round2, seconds_between
+from ampline.functions.scalars import SECOND, file_chunk, micros, no_chunk, round2, seconds_between
 from ampline.operators.slices import UP_TO_HERE, HotCells, in_slice, over_slices, with_context, with_slice
 from ampline.staging import stage
 
@@ -32,8 +32,8 @@ def charge_pairs(candidates: DataFrame, hot: HotCells | None, p: Params) -> Data
     """
     if "battery_pct" not in candidates.columns:
         candidates = candidates.selectExpr("*", "cast(null as double) as battery_pct")
-    by_file = f"if(kind = 1 or prio = 1, 0L, {file_chunk(candidates, 'ord2')})"
-    chunk = f"shiftleft(cast(kind * 4 + prio as bigint), 45) + {by_file}"
+    prio = "kind * 4 + prio"
+    chunk = f"if(kind = 1 or prio = 1, {no_chunk(prio)}, {file_chunk(candidates, 'ord2', prio)})"
     placed = stage(
         with_slice(candidates.selectExpr("*", f"{micros('event_ts')} as us"), chunk, hot, p), "candidates"
     )

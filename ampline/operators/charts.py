@@ -111,14 +111,33 @@ def hour_heatmap(sessions: DataFrame) -> DataFrame:
     return counts.selectExpr("vehicle_id", *[f"coalesce(`{h}`, 0L) as h{h:02d}" for h in hours])
 
 
+def _points(sessions: DataFrame) -> DataFrame:
+    point = lambda end: f"struct({end}_ts as ts, {end}_battery_pct as battery)"
+    return sessions.selectExpr("vehicle_id", f"inline(array({point('start')}, {point('end')}))")
+
+
 def battery_points(sessions: DataFrame) -> DataFrame:
     """Start and end level of each session, in time order."""
-    point = lambda end: f"struct({end}_ts as ts, {end}_battery_pct as battery)"
-    return sessions.selectExpr("vehicle_id", f"inline(array({point('start')}, {point('end')}))").orderBy(
-        "ts", "vehicle_id"
-    )
+    return _points(sessions).orderBy("ts", "vehicle_id")
 
 
 def battery_line(sessions: DataFrame) -> DataFrame:
     """Mean level per vehicle and time."""
-    return battery_points(sessions).groupBy("vehicle_id", "ts").agg(F.expr("avg(battery) as battery"))
+    return _points(sessions).groupBy("vehicle_id", "ts").agg(F.expr("avg(battery) as battery"))
+
+
+def chart_tables(results: dict[str, DataFrame], p: Params) -> dict[str, DataFrame]:
+    """All chart tables that the result tables at hand allow, by name."""
+    tables = {}
+    if "IgnitionEvents" in results:
+        tables["ignition_timeline"] = ignition_timeline(results["IgnitionEvents"])
+    if "ChargingEvents" in results:
+        sessions = results["ChargingEvents"]
+        tables |= {
+            "duration_hist": duration_hist(sessions, p), "duration_kde": duration_kde(sessions, p),
+            "gain_box": gain_box(sessions), "gain_outliers": gain_outliers(sessions),
+            "sessions_per_vehicle": sessions_per_vehicle(sessions), "duration_vs_gain": duration_vs_gain(sessions),
+            "hour_heatmap": hour_heatmap(sessions), "battery_points": battery_points(sessions),
+            "battery_line": battery_line(sessions),
+        }
+    return tables

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampline.config import Params
-from ampline.functions.scalars import SECOND, file_chunk, micros
+from ampline.functions.scalars import SECOND, file_chunk, micros, no_chunk
 from ampline.operators.slices import UP_TO_HERE, HotCells, in_slice, over_slices, with_context, with_slice
 from ampline.staging import stage
 
@@ -53,7 +53,7 @@ def _open_rows(recorded: DataFrame, synthetic: DataFrame, hot: HotCells | None,
     single = recorded.unionByName(_single_copies(synthetic)).selectExpr(
         "*", f"{micros('event_ts')} as us", f"{PRIORITY} as prio"
     )
-    chunk = f"shiftleft(cast(prio as bigint), 45) + if(source = 'TRG', 0L, {file_chunk(single, 'ord2')})"
+    chunk = f"if(source = 'TRG', {no_chunk('prio')}, {file_chunk(single, 'ord2', 'prio')})"
     placed = stage(with_slice(single, chunk, hot, p), "fusion-input")
     rows = (
         with_context(placed, ORDER, before={"carried": "struct(event, us)"})

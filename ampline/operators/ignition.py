@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ampline.config import Params
-from ampline.functions.scalars import file_chunk, micros
+from ampline.functions.scalars import file_chunk, micros, no_chunk
 from ampline.operators.slices import HotCells, in_slice, with_context, with_slice
 from ampline.staging import stage
 
@@ -37,7 +37,7 @@ def ignition_changes(rows: DataFrame, hot: HotCells | None, p: Params) -> DataFr
     """
     order = ["us", "ord1", "ord2"]
     # Triggers of one instant are few, as exact duplicates are gone: at most ON and OFF per PNID.
-    chunk = f"if(source = 'TRG', 0L, {file_chunk(rows, 'ord2')})"
+    chunk = f"if(source = 'TRG', {no_chunk()}, {file_chunk(rows, 'ord2')})"
     placed = with_slice(rows.selectExpr("*", f"{micros('event_ts')} as us"), chunk, hot, p)
     # Inside a slice the change is final; only the slice's first row still needs its context,
     # and the last row kept here holds the slice's last status.

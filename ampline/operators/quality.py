@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampline.config import Params
-from ampline.functions.scalars import file_chunk, python_quote
+from ampline.functions.scalars import as_place, file_chunk, file_place, python_quote
 from ampline.operators.cleaning import BATTERY, SPEED, STATUS, TRIGGER_FAULT, valid_triggers
 from ampline.operators.mapping import claims
 from ampline.operators.slices import in_slice, with_context
@@ -23,10 +23,10 @@ DROPPED = "— dropped."
 
 def _finding(
     rows: DataFrame, stage: int, n: str, detail: str,
-    item: str = "''", k1: str = "0", k2: str = "0", rule: str | None = None,
+    item: str = "''", k1: str | None = None, k2: str = "0", rule: str | None = None,
 ) -> DataFrame:
     return rows.selectExpr(
-        f"{stage} as stage", f"cast({k1} as decimal(38, 0)) as k1", f"cast({k2} as bigint) as k2",
+        f"{stage} as stage", f"{k1 or as_place('0')} as k1", f"cast({k2} as bigint) as k2",
         f"'{rule or f'DQ-{stage}'}' as rule", f"cast({item} as string) as item",
         f"cast({n} as bigint) as n_rows", f"{detail} as detail",
     )
@@ -35,7 +35,7 @@ def _finding(
 def _counted(totals: DataFrame, entries: list[tuple[int, str, str]]) -> DataFrame:
     """One finding per (stage, count column, text with one %d), zero counts left out."""
     rows = ", ".join(
-        f"""named_struct('stage', {stage}, 'k1', cast(0 as decimal(38, 0)), 'k2', 0L, 'rule', 'DQ-{stage}', 'item', '',
+        f"""named_struct('stage', {stage}, 'k1', {as_place('0')}, 'k2', 0L, 'rule', 'DQ-{stage}', 'item', '',
             'n_rows', cast({count} as bigint), 'detail', format_string("{text}", {count}))"""
         for stage, count, text in entries
     )
@@ -81,7 +81,7 @@ def sparse_findings(clean: DataFrame, p: Params) -> DataFrame:
         """format_string("TLM: Column '%s' is %.1f%% null (%s/%s) — sparse but usable.", column_name, """
         "rint(pct_null * 10) / 10, format_number(n_null, 0), format_number(n_rows, 0))"
     )
-    return _finding(sparse, 7, "n_null", detail, "column_name", "place")
+    return _finding(sparse, 7, "n_null", detail, "column_name", as_place("place"))
 
 
 def missing_vehicle_findings(clean_tlm: DataFrame, clean_syn: DataFrame) -> DataFrame:
@@ -89,29 +89,14 @@ def missing_vehicle_findings(clean_tlm: DataFrame, clean_syn: DataFrame) -> Data
     def one(rows: DataFrame, column: str, tag: str, stage: int) -> DataFrame:
         n = rows.selectExpr(f"count_if({column} is null) as n").where("n > 0")
         detail = f"format_string('{tag}: %d rows without a vehicle id {DROPPED}', n)"
-        return _finding(n, stage, "n", detail, k1="99", rule="NO-VEHICLE")
+        return _finding(n, stage, "n", detail, k1=as_place("99"), rule="NO-VEHICLE")
 
     return one(clean_tlm, "VEHICLE_ID", "TLM", 7).unionByName(one(clean_syn, "vehicle_id", "SYN", 17))
 
 
-def with_value_lists(counts: DataFrame, shown: str, p: Params) -> DataFrame:
-    """Per rule: n_rows, n_values and the sorted value list. ``counts``: rule, value, n.
-
-    A list longer than ``listed_values`` shows its start and refers to the offending-values
-    table, which always holds all of them.
-    """
-    top = p.listed_values
-    first = (
-        counts.selectExpr("*", "row_number() over (partition by rule order by value asc nulls last) as place")
-        .where(f"place <= {top}")
-        .groupBy("rule").agg(F.expr(f"sort_array(collect_list(struct(place, {shown} as shown))) as first"))
-    )
-    totals = counts.groupBy("rule").agg(F.expr("sum(n) as n_rows"), F.expr("count(*) as n_values"))
-    rest = f"if(n_values > {top}, format_string(', … %d more in the offending values', n_values - {top}), '')"
-    return totals.join(first, "rule").selectExpr(
-        "rule", "n_rows", "n_values",
-        f"concat('[', array_join(transform(first, x -> x.shown), ', '), {rest}, ']') as listed",
-    )
+def value_totals(counts: DataFrame) -> DataFrame:
+    """Per rule: n_rows and n_values. ``counts``: rule, value, n; the values themselves stay rows."""
+    return counts.groupBy("rule").agg(F.expr("sum(n) as n_rows"), F.expr("count(*) as n_values"))
 
 
 def offending_triggers(raw: DataFrame) -> DataFrame:
@@ -123,19 +108,19 @@ def offending_triggers(raw: DataFrame) -> DataFrame:
     )
 
 
-def trg_findings(raw: DataFrame, p: Params) -> DataFrame:
+def trg_findings(raw: DataFrame) -> DataFrame:
     bad_time = raw.selectExpr("count_if(CTS is null) as bad_time")
     found = _counted(bad_time, [(8, "bad_time", f"TRG: %d rows with unparseable timestamps {DROPPED}")])
-    lists = with_value_lists(offending_triggers(raw), f"coalesce({python_quote('value')}, 'nan')", p)
+    totals = value_totals(offending_triggers(raw))
     stage = " ".join(f"when '{name}' then {number}" for name, number in FAULT_STAGES.items())
     text = (
-        "case rule when 'name' then format_string('rows with unexpected NAME values: %s', listed) "
-        "when 'ignition' then format_string('IGN_CYL rows with unexpected VAL %s', listed) "
+        "case rule when 'name' then format_string('rows with unexpected NAME values (%d different)', n_values) "
+        "when 'ignition' then format_string('IGN_CYL rows with unexpected VAL (%d different)', n_values) "
         "when 'charge_level' then 'CHARGE_STATE rows with non-numeric VAL' "
-        "else format_string('EV_CHARGE_STATE rows with unexpected VAL %s', listed) end"
+        "else format_string('EV_CHARGE_STATE rows with unexpected VAL (%d different)', n_values) end"
     )
-    rejected = lists.selectExpr(
-        f"case rule {stage} end as stage", "cast(0 as decimal(38, 0)) as k1", "0L as k2",
+    rejected = totals.selectExpr(
+        f"case rule {stage} end as stage", f"{as_place('0')} as k1", "0L as k2",
         f"concat('DQ-', case rule {stage} end) as rule", "'' as item", "n_rows",
         f"format_string('TRG: %d %s {DROPPED}', n_rows, {text}) as detail",
     )
@@ -146,16 +131,16 @@ def trg_findings(raw: DataFrame, p: Params) -> DataFrame:
 
 
 def map_findings(parsed: DataFrame) -> DataFrame:
-    vehicle = "coalesce(ID, 'nan')"
+    vehicle, place = "coalesce(ID, 'nan')", file_place(parsed, "row_ord")
     missing = _finding(
         parsed.where("IDS is null"), 14, "1",
         f"format_string('MAP: Vehicle %s has no PNIDs — will get events only from TLM/SYN.', {vehicle})",
-        vehicle, "row_ord",
+        vehicle, place,
     )
     unread = _finding(
         parsed.where("IDS is not null and pnids is null"), 14, "1",
         f"format_string('MAP: Could not parse PNIDs for vehicle %s: %s', {vehicle}, {python_quote('IDS')})",
-        vehicle, "row_ord", rule="DQ-15",
+        vehicle, place, rule="DQ-15",
     )
     entries = claims(parsed).selectExpr("row_ord", "pos", "pnid", "coalesce(vehicle_id, 'nan') as vehicle")
     entries = entries.selectExpr("*", f"{file_chunk(entries, 'row_ord')} as slice")
@@ -166,7 +151,7 @@ def map_findings(parsed: DataFrame) -> DataFrame:
     overwritten = _finding(
         again, 16, "1",
         "format_string('MAP: PNID %d maps to multiple vehicles: %s and %s. Using latest.', pnid, previous, vehicle)",
-        "pnid", "row_ord", "pos",
+        "pnid", place, "pos",
     )
     return missing.unionByName(unread).unionByName(overwritten)
 
@@ -184,14 +169,14 @@ def unmapped_pnids(mapped: DataFrame) -> DataFrame:
     )
 
 
-def unmapped_findings(mapped: DataFrame, p: Params) -> DataFrame:
-    lists = with_value_lists(unmapped_pnids(mapped), "coalesce(cast(value as string), 'nan')", p)
+def unmapped_findings(mapped: DataFrame) -> DataFrame:
+    totals = value_totals(unmapped_pnids(mapped))
     stage = "if(rule = 'IGN_CYL', 18, 20)"
     tag = "if(rule = 'IGN_CYL', 'IGN', 'ChargeStatus')"
-    return lists.selectExpr(
-        f"{stage} as stage", "cast(0 as decimal(38, 0)) as k1", "0L as k2",
+    return totals.selectExpr(
+        f"{stage} as stage", f"{as_place('0')} as k1", "0L as k2",
         f"concat('DQ-', {stage}) as rule", "'' as item", "n_rows",
-        f"format_string('TRG→%s: %d %s rows with unmapped PNIDs: %s {DROPPED}', {tag}, n_rows, rule, listed) as detail",
+        f"format_string('TRG→%s: %d %s rows with unmapped PNIDs (%d different) {DROPPED}', {tag}, n_rows, rule, n_values) as detail",
     )
 
 
@@ -213,3 +198,9 @@ def offending_values(raw_trg: DataFrame, mapped: DataFrame) -> DataFrame:
         "if(rule = 'IGN_CYL', 'DQ-18', 'DQ-20') as rule", "cast(value as string) as value", "n as n_rows"
     )
     return triggers.unionByName(pnids)
+
+
+def shown_values(offending: DataFrame) -> DataFrame:
+    """rule, shown, n_rows: offending values as the report shows them, texts in quotes."""
+    text = f"if(rule in ('DQ-18', 'DQ-20'), value, {python_quote('value')})"
+    return offending.selectExpr("rule", f"coalesce({text}, 'nan') as shown", "n_rows")

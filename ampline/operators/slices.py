@@ -5,9 +5,9 @@ sequence is cut by time into slices, windows run per (vehicle, slice), and what
 know of its neighbours comes from one small row per slice. Every slice number grows with the
 sequence order, so neighbours in slice order are neighbours in time.
 
-A vehicle-hour with more than ``max_slice_rows`` rows is cut into minutes, or into seconds
-where a minute is still too large, and a single instant that is itself too large into
-stretches of input order.
+A vehicle-hour with more than ``max_slice_rows`` rows is cut into minutes, or into the coarsest of
+seconds, milliseconds and microseconds whose pieces are small enough, and a single instant that is
+itself too large into stretches of input order.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampline.config import Params
-from ampline.functions.scalars import SECOND, micros
+from ampline.functions.scalars import SECOND, micros, no_chunk
 from ampline.staging import stage
 
 VEHICLE = ("vehicle_id",)
@@ -49,12 +49,22 @@ def find_hot_cells(rows: DataFrame, p: Params) -> HotCells | None:
     # Crowded instants are few: each holds more than max_slice_rows rows.
     table = (
         inside.groupBy("vehicle_id", "cell", "us").count()
-        .selectExpr("*", f"{slice_start('us', 60)} as minute", f"if({crowded}, us, null) as instant")
-        .groupBy("vehicle_id", "cell", "minute")
-        .agg(F.expr("sum(if(instant is null, count, 0)) as n"), F.expr("collect_list(instant) as instants"))
+        .selectExpr("*", f"if({crowded}, us, null) as instant", f"if({crowded}, 0L, count) as n")
+        .groupBy("vehicle_id", "cell", F.expr("us - pmod(us, 1000L) as ms"))
+        .agg(F.expr("sum(n) as n"), F.expr("collect_list(instant) as instants"))
+        .groupBy("vehicle_id", "cell", F.expr(f"{slice_start('ms', 1)} as second"))
+        .agg(F.expr("sum(n) as n"), F.expr("max(n) as n_ms"), F.expr("flatten(collect_list(instants)) as instants"))
+        .groupBy("vehicle_id", "cell", F.expr(f"{slice_start('second', 60)} as minute"))
+        .agg(
+            F.expr("sum(n) as n"), F.expr("max(n) as n_second"), F.expr("max(n_ms) as n_ms"),
+            F.expr("flatten(collect_list(instants)) as instants"),
+        )
         .groupBy("vehicle_id", "cell")
         .agg(
-            F.expr(f"if(max(n) > {p.max_slice_rows}, {SECOND}L, {60 * SECOND}L) as step_us"),
+            F.expr(
+                f"case when max(n_ms) > {p.max_slice_rows} then 1L when max(n_second) > {p.max_slice_rows} then 1000L "
+                f"when max(n) > {p.max_slice_rows} then {SECOND}L else {60 * SECOND}L end as step_us"
+            ),
             F.expr("sort_array(flatten(collect_list(instants))) as instants"),
         )
     )
@@ -69,16 +79,16 @@ def with_slice(rows: DataFrame, chunk: str, hot: HotCells | None, p: Params) ->
     hour = slice_start("us", p.slice_sec)
     if hot is None:
         return rows.selectExpr("*", f"{hour} as slice")
-    marked = rows.selectExpr("*", f"{hour} as cell", f"cast({chunk} as bigint) as chunk").join(
+    marked = rows.selectExpr("*", f"{hour} as cell", f"{chunk} as chunk").join(
         F.broadcast(hot.table) if hot.broadcast else hot.table, ["vehicle_id", "cell"], "left"
     )
     at_hot = "array_contains(instants, us)"
     # Before, at, between and after the crowded instants of the cell: 0, 1, 2, 3, …
     part = f"2 * size(filter(instants, x -> x < us)) + cast({at_hot} as int)"
     fine = (
-        f"named_struct('t', greatest(cell, us - pmod(us, step_us)), 'part', {part}, 'chunk', if({at_hot}, chunk, 0L))"
+        f"named_struct('t', greatest(cell, us - pmod(us, step_us)), 'part', {part}, 'chunk', if({at_hot}, chunk, {no_chunk()}))"
     )
-    coarse = "named_struct('t', cell, 'part', 0, 'chunk', 0L)"
+    coarse = f"named_struct('t', cell, 'part', 0, 'chunk', {no_chunk()})"
     return marked.selectExpr("*", f"if(instants is null, {coarse}, {fine}) as slice").drop(
         "cell", "chunk", "step_us", "instants"
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,10 @@ from ampline.operators import battery, charts, quality
 from ampline.operators.charging import SESSION_COLUMNS
 from ampline.operators.ignition import EVENT_COLUMNS
 from ampline.plans.pipeline import Flow
-from ampline.sinks.writers import report_lines
+from ampline.sinks import writers
 from ampline.sources.derived import DerivedFeeds
+from ampline.sources.readers import read_results
+from ampline.staging import stage_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 FINDING_OUTPUT = ["rule", "item", "n_rows", "detail"]
@@ -31,6 +34,26 @@ def _findings(build: Callable[[Flow], DataFrame], share: bool = False) -> Query:
     return _query(lambda flow: build(flow).select(FINDING_OUTPUT), share)
 
 
+def _round_trip(name: str, write: Callable[[Flow, str, str], None], fmt: str) -> Query:
+    """A result table written to the shared folder and read back."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out = f"{stage_root(spark)}/ampline/results-{uuid.uuid4().hex}"
+        write(Flow(DerivedFeeds(spark, sf_dir), share=True), f"{out}/{name}", fmt)
+        return read_results(spark, out, fmt)[name]
+
+    return query
+
+
+def _line_from_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chart table made and written from a result folder, and read back."""
+    out = f"{stage_root(spark)}/ampline/results-{uuid.uuid4().hex}"
+    flow = Flow(DerivedFeeds(spark, sf_dir), share=True)
+    writers.write_sessions(flow.sessions, f"{out}/ChargingEvents", "parquet")
+    writers.write_chart_tables(read_results(spark, out, "parquet"), f"{out}/charts", flow.p, "parquet")
+    return _rounded(spark.read.parquet(f"{out}/charts/battery_line"), "battery")
+
+
 def _map_parsed(flow: Flow) -> DataFrame:
     return flow.parsed_map.selectExpr(
         "row_ord", "ID as vehicle_id", "IDS", "array_join(cast(pnids as array<string>), ',') as pnids"
@@ -70,15 +93,22 @@ QUERIES: dict[str, Query] = {
         .unionByName(quality.missing_vehicle_findings(f.tlm, f.syn))
     ),
     "tlm_null_ratio": _query(lambda f: quality.null_ratios(f.tlm).drop("place")),
-    "dq_trg": _findings(lambda f: quality.trg_findings(f.feeds.trg, f.p)),
+    "dq_trg": _findings(lambda f: quality.trg_findings(f.feeds.trg)),
     "dq_map": _findings(lambda f: quality.map_findings(f.parsed_map)),
     "dq_syn": _findings(lambda f: quality.syn_findings(f.feeds.syn)),
-    "dq_unmapped": _findings(lambda f: quality.unmapped_findings(f.mapped, f.p)),
+    "dq_unmapped": _findings(lambda f: quality.unmapped_findings(f.mapped)),
     "dq_fusion": _findings(lambda f: quality.fusion_findings(f.all_ignition, f.fused), share=True),
     "dq_offending_values": _query(lambda f: quality.offending_values(f.feeds.trg, f.mapped)),
-    "dq_report": _query(lambda f: report_lines(f.findings), whole=True),
+    "dq_report": _query(lambda f: f.report(), whole=True),
     "pipeline_counts": _query(lambda f: f.counts(), whole=True),
     "run_summary": _query(lambda f: f.summary(), whole=True),
+    "results_round_trip_csv": _round_trip(
+        "IgnitionEvents", lambda f, path, fmt: writers.write_events(f.fused, ["prio", "ord1", "ord2"], path, fmt), "csv"
+    ),
+    "results_round_trip_parquet": _round_trip(
+        "ChargingEvents", lambda f, path, fmt: writers.write_sessions(f.sessions, path, fmt), "parquet"
+    ),
+    "charts_from_results": _line_from_results,
     "viz_ignition_timeline": _query(lambda f: charts.ignition_timeline(f.fused), share=True),
     "viz_duration_hist": _on_sessions(
         lambda s, p: _rounded(charts.duration_hist(s, p), "bin_start", "bin_end"), passes=4

@@ -212,18 +212,17 @@ STEPS: dict[str, str] = {
         FROM trg_raw WHERE CTS IS NOT NULL AND row_ord NOT IN (SELECT row_ord FROM trg_valid)
         GROUP BY ALL""",
     "bad_trg_rules": """
-        SELECT rule, sum(n_rows) AS n_rows, string_agg('''' || value || '''', ', ' ORDER BY value) AS list
-        FROM bad_trg GROUP BY rule""",
+        SELECT rule, sum(n_rows) AS n_rows, count(*) AS n_values FROM bad_trg GROUP BY rule""",
     "dq_trg": """
         SELECT 8 AS stage, 'DQ-8' AS rule, '' AS item, count(*) AS n_rows,
                'TRG: ' || count(*) || ' rows with unparseable timestamps — dropped.' AS detail
         FROM trg_raw WHERE CTS IS NULL HAVING count(*) > 0
         UNION ALL
         SELECT CAST(rule[4:] AS INTEGER), rule, '', n_rows, 'TRG: ' || n_rows || CASE rule
-               WHEN 'DQ-9' THEN ' rows with unexpected NAME values: [' || list || ']'
-               WHEN 'DQ-10' THEN ' IGN_CYL rows with unexpected VAL [' || list || ']'
+               WHEN 'DQ-9' THEN ' rows with unexpected NAME values (' || n_values || ' different)'
+               WHEN 'DQ-10' THEN ' IGN_CYL rows with unexpected VAL (' || n_values || ' different)'
                WHEN 'DQ-11' THEN ' CHARGE_STATE rows with non-numeric VAL'
-               ELSE ' EV_CHARGE_STATE rows with unexpected VAL [' || list || ']' END || ' — dropped.'
+               ELSE ' EV_CHARGE_STATE rows with unexpected VAL (' || n_values || ' different)' END || ' — dropped.'
         FROM bad_trg_rules
         UNION ALL
         SELECT 13, 'DQ-13', '', a - b, 'TRG: ' || (a - b) || ' exact duplicate rows — deduplicated.'
@@ -248,7 +247,7 @@ STEPS: dict[str, str] = {
         SELECT CASE rule WHEN 'IGN_CYL' THEN 18 ELSE 20 END AS stage,
                CASE rule WHEN 'IGN_CYL' THEN 'DQ-18' ELSE 'DQ-20' END AS rule, '' AS item, sum(n) AS n_rows,
                CASE rule WHEN 'IGN_CYL' THEN 'TRG→IGN: ' ELSE 'TRG→ChargeStatus: ' END || sum(n) || ' ' || rule
-               || ' rows with unmapped PNIDs: [' || string_agg(CAST(value AS VARCHAR), ', ' ORDER BY value) || '] — dropped.' AS detail
+               || ' rows with unmapped PNIDs (' || count(*) || ' different) — dropped.' AS detail
         FROM unmapped AS m GROUP BY m.rule""",
     "dq_fusion": """
         SELECT 19 AS stage, 'DQ-19' AS rule, '' AS item, a - b AS n_rows,
@@ -262,6 +261,11 @@ STEPS: dict[str, str] = {
         SELECT stage, list_position(['SPEED', 'IGNITION_STATUS', 'EV_BATTERY_LEVEL', 'ODOMETER'], item), 0,
                rule, item, n_rows, detail FROM dq_tlm WHERE stage = 7
         UNION ALL SELECT * FROM dq_map""",
+    "numbered": "SELECT *, row_number() OVER (ORDER BY stage, k1, k2, rule, item) AS nth FROM findings",
+    "shown_values": """
+        SELECT rule, '''' || value || '''' AS shown, n_rows FROM bad_trg WHERE rule <> 'DQ-11'
+        UNION ALL
+        SELECT CASE rule WHEN 'IGN_CYL' THEN 'DQ-18' ELSE 'DQ-20' END, CAST(value AS VARCHAR), n FROM unmapped""",
     "minutes": "SELECT duration_sec / 60 AS x FROM sessions",
     "fences": """
         SELECT q1, med, q3, q1 - 1.5 * (q3 - q1) AS low, q3 + 1.5 * (q3 - q1) AS high
@@ -314,8 +318,10 @@ FINALS: dict[str, str] = {
         UNION ALL
         SELECT CASE rule WHEN 'IGN_CYL' THEN 'DQ-18' ELSE 'DQ-20' END, CAST(value AS VARCHAR), n FROM unmapped""",
     "dq_report": """
-        SELECT nth - 1 AS line_no, nth || '. ' || detail || chr(10) AS value
-        FROM (SELECT *, row_number() OVER (ORDER BY stage, k1, k2, rule, item) AS nth FROM findings)""",
+        SELECT row_number() OVER (ORDER BY nth, shown) - 1 AS line_no, value FROM (
+            SELECT nth, '' AS shown, nth || '. ' || detail || chr(10) AS value FROM numbered
+            UNION ALL
+            SELECT nth, shown, '    ' || shown || ' (' || v.n_rows || ' rows)' FROM shown_values AS v JOIN numbered USING (rule))""",
     "pipeline_counts": "\nUNION ALL\n".join(
         _COUNT.format(*x)
         for x in [
@@ -331,6 +337,9 @@ FINALS: dict[str, str] = {
         UNION ALL SELECT 'Charging Status Events', count(*) FROM status
         UNION ALL SELECT 'Charging Events', count(*) FROM sessions
         UNION ALL SELECT 'Data Quality Findings', count(*) FROM findings""",
+    "results_round_trip_csv": "SELECT vehicle_id, event, event_ts FROM fused",
+    "results_round_trip_parquet": "SELECT * FROM sessions",
+    "charts_from_results": "SELECT vehicle_id, ts, round(avg(battery), 6) AS battery FROM points GROUP BY ALL",
     "viz_ignition_timeline": """
         SELECT event_ts, vehicle_id, dense_rank() OVER (ORDER BY vehicle_id) - 1 AS vehicle_index, event FROM fused""",
     "viz_duration_hist": """

@@ -72,13 +72,18 @@ class Flow:
 
     @cached_property
     def hot(self) -> HotCells | None:
-        """Crowded vehicle-hours of the telemetry's status rows.
+        """Crowded vehicle-hours of all rows that are put in order: status rows of both recording sources,
+        synthetic events without copies, and plug events. Any cut is right; later steps have fewer rows."""
+        rows = ignition.tlm_status(self.signals).unionByName(ignition.trg_status(self.mapped))
+        synthetic = self.syn_ignition.select("vehicle_id", "event_ts").distinct()
+        everything = rows.select("vehicle_id", "event_ts").unionByName(synthetic).unionByName(
+            self.status_events.select("vehicle_id", "event_ts")
+        )
+        return find_hot_cells(everything, self.p)
 
-        Counted on written rows, or else on the raw ones, whose counts are an upper bound; any
-        cut is right, and later steps have fewer rows.
-        """
-        if self._share:
-            return find_hot_cells(ignition.tlm_status(self.signals), self.p)
+    @cached_property
+    def hot_tlm(self) -> HotCells | None:
+        """Of the telemetry alone; counted on raw rows, whose counts are an upper bound."""
         rows = self.feeds.tlm.where(
             f"{cleaning.STATUS} in ('on', 'off') and TIMESTAMP is not null and VEHICLE_ID is not null"
         )
@@ -92,11 +97,12 @@ class Flow:
 
     @cached_property
     def tlm_ignition(self) -> DataFrame:
-        return ignition.ignition_changes(ignition.tlm_status(self.tlm), self.hot, self.p)
+        return ignition.ignition_changes(ignition.tlm_status(self.tlm), self.hot_tlm, self.p)
 
     @cached_property
     def trg_ignition(self) -> DataFrame:
-        return ignition.ignition_changes(ignition.trg_status(self.mapped), None, self.p)
+        rows = ignition.trg_status(self.mapped)
+        return ignition.ignition_changes(rows, find_hot_cells(rows, self.p), self.p)
 
     @cached_property
     def syn_ignition(self) -> DataFrame:
@@ -159,10 +165,10 @@ class Flow:
             quality.tlm_findings(self.feeds.tlm, self.tlm),
             quality.sparse_findings(self.tlm, self.p),
             quality.missing_vehicle_findings(self.tlm, self.syn),
-            quality.trg_findings(self.feeds.trg, self.p),
+            quality.trg_findings(self.feeds.trg),
             quality.map_findings(self.parsed_map),
             quality.syn_findings(self.feeds.syn),
-            quality.unmapped_findings(self.mapped, self.p),
+            quality.unmapped_findings(self.mapped),
             quality.fusion_findings(self.all_ignition, self.fused),
         ]
         everything = parts[0]
@@ -170,6 +176,13 @@ class Flow:
             everything = everything.unionByName(part)
         return everything
 
+    @cached_property
+    def offending(self) -> DataFrame:
+        return self._shared(quality.offending_values(self.feeds.trg, self.mapped), "offending")
+
+    def report(self) -> DataFrame:
+        return writers.report_lines(self.findings, quality.shown_values(self.offending))
+
     def counts(self) -> DataFrame:
         """Rows and distinct entities per step: step, n_rows, n_entities."""
         steps = [
@@ -220,8 +233,6 @@ def run(feeds: Feeds, out_dir: str, params: Params | None = None, fmt: str = "cs
     writers.write_events(flow.fused, ["prio", "ord1", "ord2"], f"{out_dir}/IgnitionEvents", fmt)
     writers.write_sessions(flow.sessions, f"{out_dir}/ChargingEvents", fmt)
     writers.write_events(flow.status_events, ["ord1", "ord2"], f"{out_dir}/ChargingStatusEvents", fmt)
-    writers.write_report(flow.findings, f"{out_dir}/data_quality_report")
-    writers.write_table(
-        quality.offending_values(feeds.trg, flow.mapped), f"{out_dir}/offending_values", fmt
-    )
+    writers.write_report(flow.findings, quality.shown_values(flow.offending), f"{out_dir}/data_quality_report")
+    writers.write_table(flow.offending, f"{out_dir}/offending_values", fmt)
     return flow

@@ -1,15 +1,17 @@
-"""Readers of the four raw feeds. Each adds ``row_ord``, a number that follows file order."""
+"""Readers of the four raw feeds. Each adds ``row_ord``, a place that follows file order.
+
+Times are read in ISO forms; ``formats`` names further forms (Spark datetime patterns) that are tried in turn.
+"""
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ampline.functions.scalars import blank_missing, parse_local, parse_to_ist, to_number
 
-MAX_BROADCAST_FILES = 100_000
+TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 EVENT_OUTPUT = "vehicle_id string, event string, event_ts timestamp_ntz"
 SESSION_OUTPUT = (
     "vehicle_id string, start_ts timestamp_ntz, end_ts timestamp_ntz, delta_battery_pct double, "
@@ -25,26 +27,15 @@ class Feeds(NamedTuple):
 
 
 def with_file_order(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Project ``columns`` and number rows in file order.
+    """Project ``columns`` and give each row its place: file by name, block in the file, row id.
 
-    One file: Spark's increasing row id. Several files: (file by name, block, row id) packed
-    into one decimal, so that every later sort still compares a single value.
+    The kind of the place is the same for one file or many, and every sort compares it field by field.
     """
-    files = sorted(df.inputFiles())
-    if len(files) <= 1:
-        return df.selectExpr("monotonically_increasing_id() as row_ord", *columns)
-    ranks = df.sparkSession.createDataFrame(list(enumerate(files)), "file_rank bigint, file string")
-    if len(files) <= MAX_BROADCAST_FILES:
-        ranks = F.broadcast(ranks)
-    rows = df.selectExpr(
-        "input_file_name() as file", "input_file_block_start() as block",
-        "monotonically_increasing_id() as row", *columns,
-    )
-    place = "cast(shiftleft(file_rank, 43) + block as decimal(19, 0))"
-    row_ord = f"cast({place} * cast('10000000000000000000' as decimal(20, 0)) + row as decimal(38, 0))"
-    return rows.join(ranks, "file").selectExpr("*", f"{row_ord} as row_ord").drop(
-        "file", "file_rank", "block", "row"
+    place = (
+        "named_struct('file', _metadata.file_path, 'block', _metadata.file_block_start, "
+        "'row', monotonically_increasing_id()) as row_ord"
     )
+    return df.selectExpr(place, *columns)
 
 
 def _csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -60,18 +51,18 @@ def _cleaned(df: DataFrame, names: list[str], columns: list[str]) -> DataFrame:
     return with_file_order(df, [_text(n) for n in names]).selectExpr("row_ord", *columns)
 
 
-def read_tlm(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_tlm(spark: SparkSession, path: str | list[str], formats: tuple[str, ...] = ()) -> DataFrame:
     names = ["ID", "VEHICLE_ID", "TIMESTAMP", "SPEED", "IGNITION_STATUS", "EV_BATTERY_LEVEL", "ODOMETER"]
     return _cleaned(_csv(spark, path), names, [
-        "ID", "VEHICLE_ID", f"{parse_local('TIMESTAMP')} as TIMESTAMP", f"{to_number('SPEED')} as SPEED",
+        "ID", "VEHICLE_ID", f"{parse_local('TIMESTAMP', formats)} as TIMESTAMP", f"{to_number('SPEED')} as SPEED",
         "IGNITION_STATUS", f"{to_number('EV_BATTERY_LEVEL')} as EV_BATTERY_LEVEL",
         f"{to_number('ODOMETER')} as ODOMETER",
     ])
 
 
-def read_trg(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_trg(spark: SparkSession, path: str | list[str], formats: tuple[str, ...] = ()) -> DataFrame:
     return _cleaned(_csv(spark, path), ["CTS", "PNID", "NAME", "VAL"], [
-        f"{parse_to_ist('CTS')} as CTS", f"try_cast({to_number('PNID')} as bigint) as PNID", "NAME", "VAL",
+        f"{parse_to_ist('CTS', formats)} as CTS", f"try_cast({to_number('PNID')} as bigint) as PNID", "NAME", "VAL",
     ])
 
 
@@ -79,13 +70,16 @@ def read_map(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return _cleaned(_csv(spark, path), ["ID", "IDS"], ["ID", "IDS"])
 
 
-def read_syn(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_syn(
+    spark: SparkSession, path: str | list[str], formats: tuple[str, ...] = (), lines: bool = False
+) -> DataFrame:
+    """A JSON array per file, or with ``lines`` one object per line, which lets large files be split."""
     raw = (
         spark.read.schema("vehicleId string, timestamp string, type string")
-        .option("multiLine", True)
+        .option("multiLine", not lines)
         .json(path)
     )
-    columns = ["vehicleId", f"{parse_to_ist('timestamp')} as timestamp", "type"]
+    columns = ["vehicleId", f"{parse_to_ist('timestamp', formats)} as timestamp", "type"]
     return with_file_order(raw, columns).select("row_ord", "vehicleId", "timestamp", "type")
 
 
@@ -93,12 +87,22 @@ def read_feeds(spark: SparkSession, tlm: str, trg: str, map_: str, syn: str) ->
     return Feeds(read_tlm(spark, tlm), read_trg(spark, trg), read_map(spark, map_), read_syn(spark, syn))
 
 
+def table_options(fmt: str) -> dict[str, str]:
+    """Options by which result tables are written and read: quotes are doubled and outer spaces kept."""
+    if fmt != "csv":
+        return {}
+    return {
+        "header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+        "timestampNTZFormat": TIME_FORMAT, "multiLine": "true", "emptyValue": '""',
+    }
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
-def read_results(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+def read_results(spark: SparkSession, out_dir: str, fmt: str = "csv") -> dict[str, DataFrame]:
     """Read back the written result tables; a table that does not exist is left out."""
     tables = {
         "IgnitionEvents": EVENT_OUTPUT,
@@ -109,8 +113,5 @@ def read_results(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
     for name, schema in tables.items():
         path = f"{out_dir}/{name}"
         if _exists(spark, path):
-            found[name] = (
-                spark.read.schema(schema).option("header", True)
-                .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
-            )
+            found[name] = spark.read.schema(schema).options(**table_options(fmt)).format(fmt).load(path)
     return found

@@ -30,14 +30,22 @@ def test_slicing_does_not_change_the_result(spark, p):
     assert differences(spark_rows(flow.sessions.select(SESSION_COLUMNS)), oracle_rows(sf_dir, SQL["charging_events"])) == ""
 
 
-def test_value_lists_stay_whole(spark):
-    """Beyond the display limit the report names the rest, and the values table holds all."""
-    from ampline.operators.quality import with_value_lists
-
-    counts = spark.createDataFrame([("name", f"v{i}", 1) for i in range(9)], "rule string, value string, n bigint")
-    row = with_value_lists(counts, "value", Params(listed_values=3)).first()
-    assert (row.n_rows, row.n_values) == (9, 9)
-    assert row.listed == "[v0, v1, v2, … 6 more in the offending values]"
+def test_every_offending_value_is_a_line(spark):
+    """However many values a finding has, its row holds counts only, and the report shows each value."""
+    from ampline.operators import quality
+    from ampline.sinks.writers import report_lines
+
+    rows = [(i, "2024-01-01", 1, f"NAME{i}" if i < 1500 else "IGN_CYL", "x") for i in range(1502)]
+    raw = spark.createDataFrame(rows, "row_ord bigint, CTS string, PNID bigint, NAME string, VAL string").selectExpr(
+        "row_ord", "cast(CTS as timestamp_ntz) as CTS", "PNID", "NAME", "VAL"
+    )
+    findings = quality.trg_findings(raw)
+    found = {r.rule: r for r in findings.collect()}
+    assert found["DQ-9"].detail == "TRG: 1500 rows with unexpected NAME values (1500 different) — dropped."
+    counts = quality.offending_triggers(raw).selectExpr("if(rule = 'name', 'DQ-9', 'DQ-10') as rule", "value", "n as n_rows")
+    lines = [r.value for r in report_lines(findings, quality.shown_values(counts)).orderBy("line_no").collect()]
+    names = sorted(f"    'NAME{i}' (1 rows)" for i in range(1500))
+    assert lines == [f"1. {found['DQ-9'].detail}\n", *names, f"2. {found['DQ-10'].detail}\n", "    'x' (2 rows)"]
 
 
 def test_session_zone_must_be_utc(spark):

@@ -150,16 +150,20 @@ def test_whole_run(spark, feed_dir, tmp_path):
         "6. TLM: 1 duplicate row IDs — deduplicated.",
         "7. TLM: 1 rows without a vehicle id — dropped.",
         "8. TRG: 1 rows with unparseable timestamps — dropped.",
-        "9. TRG: 1 rows with unexpected NAME values: ['HORN'] — dropped.",
-        "10. TRG: 1 IGN_CYL rows with unexpected VAL ['CRANK'] — dropped.",
+        "9. TRG: 1 rows with unexpected NAME values (1 different) — dropped.",
+        "    'HORN' (1 rows)",
+        "10. TRG: 1 IGN_CYL rows with unexpected VAL (1 different) — dropped.",
+        "    'CRANK' (1 rows)",
         "11. TRG: 1 CHARGE_STATE rows with non-numeric VAL — dropped.",
-        "12. TRG: 1 EV_CHARGE_STATE rows with unexpected VAL ['Abort'] — dropped.",
+        "12. TRG: 1 EV_CHARGE_STATE rows with unexpected VAL (1 different) — dropped.",
+        "    'Abort' (1 rows)",
         "13. TRG: 1 exact duplicate rows — deduplicated.",
         "14. MAP: Vehicle C has no PNIDs — will get events only from TLM/SYN.",
         "15. MAP: Could not parse PNIDs for vehicle D: 'oops['",
         "16. MAP: PNID 4 maps to multiple vehicles: B and A. Using latest.",
         "17. SYN: 1 rows with unparseable timestamps — dropped.",
-        "18. TRG→IGN: 1 IGN_CYL rows with unmapped PNIDs: [99] — dropped.",
+        "18. TRG→IGN: 1 IGN_CYL rows with unmapped PNIDs (1 different) — dropped.",
+        "    99 (1 rows)",
         "19. Ignition fusion: 2 near-duplicate events removed (same vehicle + event within 10 s).",
     ]
 
@@ -206,3 +210,101 @@ def test_run_on_several_files(spark, feed_dir, tmp_path):
     assert readers.read_results(spark, out)["ChargingEvents"].count() == 1
     same = lambda feeds: [r[1:] for r in cleaning.clean_tlm(feeds.tlm).orderBy("row_ord").collect()]
     assert same(cut) == same(whole)
+
+
+def test_file_order_has_one_kind(spark, feed_dir, tmp_path):
+    """One file or many, places have one kind, so feeds of either layout go into one sequence."""
+    from ampline.config import Params
+    from ampline.operators import slices
+    from ampline.operators.ignition import ignition_changes
+    from ampline.plans.pipeline import Flow
+
+    parts = tmp_path / "tlm-parts"
+    parts.mkdir()
+    head = "ID,VEHICLE_ID,TIMESTAMP,SPEED,IGNITION_STATUS,EV_BATTERY_LEVEL,ODOMETER\n"
+    for i in range(6):  # a stuck clock: all at one instant, in files of 20 rows
+        rows = "".join(f"{i}-{j},A,2024-01-01 00:00:00,1,{'on' if (i + j) % 2 else 'off'},50,1\n" for j in range(20))
+        (parts / f"{i}.csv").write_text(head + rows)
+    one = feeds_of(spark, feed_dir)
+    many = one._replace(tlm=readers.read_tlm(spark, str(parts)))
+    assert many.tlm.schema["row_ord"].dataType == one.tlm.schema["row_ord"].dataType == one.syn.schema["row_ord"].dataType
+    p = Params(max_slice_rows=30)
+    flow = Flow(many, p)
+    rows = flow.feeds.tlm.selectExpr(
+        "VEHICLE_ID as vehicle_id", "IGNITION_STATUS as status", "TIMESTAMP as event_ts", "'TLM' as source", "0L as ord1", "row_ord as ord2"
+    )
+    assert flow.hot_tlm is not None
+    placed = slices.with_slice(rows.selectExpr("*", f"{slices.micros('event_ts')} as us"), slices_chunk(rows), flow.hot_tlm, p)
+    assert max(r["count"] for r in placed.groupBy("slice").count().collect()) == 20
+    assert ignition_changes(rows, flow.hot_tlm, p).count() == ignition_changes(rows, None, Params()).count()
+
+
+def slices_chunk(rows):
+    from ampline.functions.scalars import file_chunk
+
+    return file_chunk(rows, "ord2")
+
+
+@pytest.mark.parametrize("feed", ["syn", "trg", "plug"])
+def test_hours_crowded_in_any_feed_are_cut(spark, feed):
+    """The largest group of an ordered step stays small wherever the rows come from."""
+    from ampline.config import Params
+    from ampline.operators import slices
+
+    n = 600
+    rows = spark.range(n).selectExpr("'A' as vehicle_id", "timestamp_micros(1704067200000000 + id * 1000) as t")
+    rows = rows.selectExpr("vehicle_id", "cast(t as timestamp_ntz) as event_ts")
+    p = Params(max_slice_rows=100)
+    hot = slices.find_hot_cells(rows, p)
+    placed = slices.with_slice(rows.selectExpr("*", f"{slices.micros('event_ts')} as us"), slices.no_chunk(), hot, p)
+    assert max(r["count"] for r in placed.groupBy("slice").count().collect()) <= 100
+    flow = crowded_flow(spark, feed, n, p)
+    assert flow.hot is not None and flow.hot.table.first().step_us <= 1000
+
+
+def crowded_flow(spark, feed, n, p):
+    """Feeds with ``n`` rows of one vehicle within a second, in one of them."""
+    from ampline.plans.pipeline import Flow
+    from ampline.sources.readers import Feeds
+
+    ids = spark.range(n).selectExpr("id", "cast(timestamp_micros(1704067200000000 + id * 1000) as timestamp_ntz) as t")
+    none = lambda df, on: df if feed in on else df.where("false")
+    tlm = ids.where("false").selectExpr(
+        "id as row_ord", "cast(id as string) as ID", "'A' as VEHICLE_ID", "t as TIMESTAMP", "1D as SPEED",
+        "'on' as IGNITION_STATUS", "50D as EV_BATTERY_LEVEL", "1D as ODOMETER",
+    )
+    name, value = ("'EV_CHARGE_STATE'", "'Aborted'") if feed == "plug" else ("'IGN_CYL'", "if(id % 2 = 0, 'ON', 'OFF')")
+    trg = none(ids, ("trg", "plug")).selectExpr("id as row_ord", "t as CTS", "1L as PNID", f"{name} as NAME", f"{value} as VAL")
+    maps = spark.createDataFrame([(0, "A", "[1]")], "row_ord bigint, ID string, IDS string")
+    syn = none(ids, ("syn",)).selectExpr("id as row_ord", "'A' as vehicleId", "t as timestamp", "'ignitionOff' as type")
+    return Flow(Feeds(tlm, trg, maps, syn), p)
+
+
+def test_times_in_named_formats(spark, tmp_path):
+    (tmp_path / "t.csv").write_text(
+        "ID,VEHICLE_ID,TIMESTAMP,SPEED,IGNITION_STATUS,EV_BATTERY_LEVEL,ODOMETER\n"
+        "a,A,2024/01/02 03:04:05,1,\u00a0on ,50,1\nb,A,02-01-2024 03:04,1,on,50,1\nc,A,20240102,1,on,50,1\nd,A,2024-01-02 03:04:05,1,on,50,1\n"
+    )
+    formats = ("yyyy/MM/dd HH:mm:ss", "dd-MM-yyyy HH:mm", "yyyyMMdd")
+    rows = readers.read_tlm(spark, str(tmp_path / "t.csv"), formats).orderBy("ID").collect()
+    assert [r.TIMESTAMP for r in rows] == [T(2024, 1, 2, 3, 4, 5), T(2024, 1, 2, 3, 4), T(2024, 1, 2), T(2024, 1, 2, 3, 4, 5)]
+    assert [r.TIMESTAMP is None for r in readers.read_tlm(spark, str(tmp_path / "t.csv")).orderBy("ID").collect()] == [True, True, True, False]
+    clean = cleaning.clean_tlm(readers.read_tlm(spark, str(tmp_path / "t.csv"), formats)).where("ID = 'a'").first()
+    assert clean.IGNITION_STATUS == "on"  # a no-break space is stripped as well
+    (tmp_path / "s.json").write_text('{"vehicleId": "A", "timestamp": "2024/01/01 18:30:00", "type": "x"}\n{"vehicleId": "B"}\n')
+    syn = readers.read_syn(spark, str(tmp_path / "s.json"), ("yyyy/MM/dd HH:mm:ss",), lines=True).orderBy("vehicleId").collect()
+    assert [(r.vehicleId, r.timestamp) for r in syn] == [("A", T(2024, 1, 2)), ("B", None)]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_odd_texts_survive_the_sink(spark, tmp_path, fmt):
+    from ampline.config import Params
+    from ampline.sinks import writers
+
+    odd = [" a ", 'he said "x"', "a,b", "two\nlines", "\\", "é", '"']
+    rows = spark.createDataFrame([(v, "e", T(2024, 1, 1, 0, 0, 0, 5)) for v in odd], readers.EVENT_OUTPUT)
+    writers.write_table(rows, str(tmp_path / "IgnitionEvents"), fmt)
+    back = readers.read_results(spark, str(tmp_path), fmt)
+    assert sorted(map(tuple, back["IgnitionEvents"].collect())) == sorted(map(tuple, rows.collect()))
+    writers.write_chart_tables(back, str(tmp_path / "charts"), Params(), fmt)
+    assert (tmp_path / "charts" / "ignition_timeline").exists()
