@@ -12,7 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-SLICE_BYTES = 16 << 20  # text bytes that a Python worker handles at a time; one longer text is a slice of its own
+ARROW_ROWS = 2500       # rows of a batch between the JVM and Python, at most, as texts are long
+SLICE_BYTES = 6 << 20   # text bytes that a Python worker handles at a time; one longer text is a slice of its own
 
 _shipped: set[str] = set()
 
@@ -31,7 +32,10 @@ def with_fields(df: DataFrame, outputs: str) -> T.StructType:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per Spark application."""
+    """Send this package to the Python workers, once per Spark application, and keep the session's batches small."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
+        spark.conf.set(key, str(ARROW_ROWS))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
@@ -64,7 +68,10 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indexes start, start + 1, ... of each piece, one piece after the other."""
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
-    return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
+    kind = np.int32 if total < 1 << 30 and (not len(starts) or starts.max() < 1 << 30) else np.int64
+    out = np.repeat((starts - (ends - lengths)).astype(kind), lengths)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 def string_column(texts: pa.Array) -> pa.Array:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ampline.llm.common import documents, ragged, ship, string_column, text_slices, with_fields
 from ampline.llm.tokenizer import public_path
-from ampline.llm.words import Memo, split_words
+from ampline.llm.words import Memo, flattened, split_words
 
 TOKENIZER = "piece_bpe_32k.model"
 SYMBOLS = r"[#*$%&|<>]"
@@ -65,7 +65,7 @@ def _memo(path: str) -> tuple[Memo, np.ndarray]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     single = np.array([model.is_byte(i) for i in range(model.get_piece_size())])
-    return Memo(lambda words: model.encode(words, num_threads=1)), single
+    return Memo(lambda words: flattened(model.encode(words, num_threads=1))), single
 
 
 def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:

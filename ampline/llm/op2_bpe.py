@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from ampline.llm.common import documents, ragged, ship, string_column, text_slices, with_fields
 from ampline.llm.tokenizer import id_lists, open_tokenizer, public_path
 from ampline.llm.transducer import Transducer, compile_words
-from ampline.llm.words import Memo, Words, split_spaces
+from ampline.llm.words import Memo, Words, flattened, split_spaces
 from ampline.staging import stage
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -92,7 +92,8 @@ def _lexicon(name: str) -> Transducer:
 
 @lru_cache(maxsize=2)
 def _memo(path: str) -> Memo:
-    return Memo(id_lists(path))
+    encode = id_lists(path)
+    return Memo(lambda pieces: flattened(encode(pieces)))
 
 
 @lru_cache(maxsize=2)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ampline.llm.common import documents, ragged, ship, string_column, text_slices
 from ampline.llm.tokenizer import open_tokenizer, public_path
-from ampline.llm.words import Memo, split_words
+from ampline.llm.words import Memo, flattened, split_words
 from ampline.staging import stage
 
 TOKENIZER = "word_bpe_49k.json"
@@ -120,35 +120,43 @@ def unpack_ids(starts: list[int], payload: bytes) -> np.ndarray:
 # ---- encoding -----------------------------------------------------------------------------------------------------
 
 PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+([.,;:!?*#$%&|<>()-]*)")
-JOINED = 64
+JOINED = 128
 
 
 def word_encoder(path: str):
-    """Ids by word. Words of letters and closing marks only, which the tokenizer cuts into one or two parts, are sent
+    """A function from words to all their ids and their number by word. Words of letters and closing marks only, which the tokenizer cuts into one or two parts, are sent
     many in one text, as each part's last token is marked as such; other words are sent one by one."""
     tokenizer = open_tokenizer(path)
     closing = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), bool)
     for token, i in tokenizer.get_vocab(with_added_tokens=False).items():
         closing[i] = token.endswith("</w>")
 
-    def encode(words: list[str]) -> list[list[int]]:
-        out: list = [None] * len(words)
+    def alone(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return flattened([e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)])
+
+    def together(words: list[str], parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        chunks = ["\n".join(words[a : a + JOINED]) for a in range(0, len(words), JOINED)]
+        ids, sizes = alone(chunks)
+        ends = np.flatnonzero(closing[ids]) + 1
+        begins = np.arange(0, len(words), JOINED)
+        if not np.array_equal(np.searchsorted(ends, np.cumsum(sizes), "right"), np.cumsum(np.add.reduceat(parts, begins))):
+            return alone(words)  # a part without a marked end
+        ends = ends[np.cumsum(parts) - 1]
+        return ids, np.diff(ends, prepend=0)
+
+    def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [PLAIN.fullmatch(w) for w in words]
-        plain = [i for i, m in enumerate(found) if m]
-        chunks = [plain[a : a + JOINED] for a in range(0, len(plain), JOINED)]
-        joined = tokenizer.encode_batch_fast(["\n".join([words[i] for i in c]) for c in chunks], add_special_tokens=False)
-        for chunk, encoding in zip(chunks, joined, strict=True):
-            ids = encoding.ids
-            parts = np.cumsum([1 + bool(found[i][1]) for i in chunk])
-            ends = np.flatnonzero(closing[ids]) + 1
-            if len(ends) == parts[-1] and ends[-1] == len(ids):
-                low = 0
-                for i, high in zip(chunk, ends[parts - 1].tolist()):
-                    out[i], low = ids[low:high], high
-        rest = [i for i, ids in enumerate(out) if ids is None]
-        for i, encoding in zip(rest, tokenizer.encode_batch_fast([words[i] for i in rest], add_special_tokens=False), strict=True):
-            out[i] = encoding.ids
-        return out
+        plain = np.array([m is not None for m in found], bool)
+        joined = [w for w, m in zip(words, found) if m]
+        others = [w for w, m in zip(words, found) if not m]
+        parts = np.array([1 + (m.end() > m.start(1)) for m in found if m], np.int64)
+        lengths = np.zeros(len(words), np.int64)
+        first, lengths[plain] = together(joined, parts) if joined else flattened([])
+        second, lengths[~plain] = alone(others)
+        ids, starts = np.empty(int(lengths.sum()), np.uint32), np.cumsum(lengths) - lengths
+        ids[ragged(starts[plain], lengths[plain])] = first
+        ids[ragged(starts[~plain], lengths[~plain])] = second
+        return ids, lengths
 
     return encode
 

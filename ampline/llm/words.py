@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MEMO_WORDS = 400_000  # words whose ids a Python worker keeps; the first ones seen, which are mostly the frequent ones
+MEMO_WORDS = 700_000  # words whose ids a Python worker keeps; the first ones seen, which are mostly the frequent ones
 
 
 @dataclass
@@ -44,7 +45,10 @@ def split_spaces(texts: pa.Array) -> Words:
 
 
 class Memo:
-    """Token ids by piece, as bytes of little-endian unsigned 32-bit integers; bounded, and exact when full."""
+    """Token ids by piece, as bytes of little-endian unsigned 32-bit integers; bounded, and exact when full.
+
+    ``encode_batch`` takes pieces and gives all their ids in one array and their number by piece.
+    """
 
     def __init__(self, encode_batch, most: int = MEMO_WORDS):
         self.encode_batch, self.most, self.known = encode_batch, most, {}
@@ -54,8 +58,17 @@ class Memo:
         missing = [i for i, x in enumerate(out) if x is None]
         for low in range(0, len(missing), 20_000):
             part = missing[low : low + 20_000]
-            for i, ids in zip(part, self.encode_batch([pieces[i] for i in part]), strict=True):
-                out[i] = np.array(ids, "<u4").tobytes()
-                if len(self.known) < self.most:
-                    self.known[pieces[i]] = out[i]
+            ids, lengths = self.encode_batch([pieces[i] for i in part])
+            data = ids.astype("<u4").tobytes()
+            ends = (4 * np.cumsum(lengths)).tolist()
+            for i, a, b in zip(part, [0, *ends], ends):
+                out[i] = data[a:b]
+            room = max(0, self.most - len(self.known))
+            self.known.update((pieces[i], out[i]) for i in part[:room])
         return out
+
+
+def flattened(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of ids as one array and their lengths."""
+    lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.uint32, int(lengths.sum())), lengths
