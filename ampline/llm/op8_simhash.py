@@ -62,20 +62,24 @@ def fingerprint(text: bytes, words_per_shingle: int = SHINGLE_WORDS) -> int:
 
 def fingerprints(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS) -> DataFrame:
     """All columns of ``docs`` in ``row``, and fp, the fingerprint as a signed 64-bit integer."""
-    return _fingerprinted(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]), words_per_shingle)
+    fps = _fingerprinted(docs, docs.columns, words_per_shingle)
+    return fps.select(F.struct(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]).alias("row"), "fp")
 
 
-def _fingerprinted(docs: DataFrame, row, words_per_shingle: int) -> DataFrame:
-    source = docs.select(row.alias("row"), F.col("text"))
+def _fingerprinted(docs: DataFrame, kept: list[str], words_per_shingle: int) -> DataFrame:
+    """The columns ``kept`` as c0, c1 and so on, and fp. The text goes to Python once."""
+    names = [f"c{i}" for i in range(len(kept))]
+    source = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(kept, names)], *([] if "text" in kept else ["text"]))
+    place = names[kept.index("text")] if "text" in kept else "text"
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
-            texts = string_column(batch.column(1)).cast(pa.binary()).to_pylist()
-            fps = np.array([fingerprint(t, words_per_shingle) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["row", "fp"])
+        for batch in text_slices(batches, place):
+            texts = string_column(batch.column(batch.schema.get_field_index(place))).cast(pa.binary())
+            fps = np.array([fingerprint(t.as_py(), words_per_shingle) for t in texts], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(fps)], names=[*names, "fp"])
 
     ship(docs.sparkSession)
-    return source.mapInArrow(compute, with_fields(source.select("row"), "fp bigint"))
+    return source.mapInArrow(compute, with_fields(source.select(*names), "fp bigint"))
 
 
 # ---- links between distinct fingerprints --------------------------------------------------------------------------
@@ -93,6 +97,11 @@ def embed(fps: np.ndarray) -> np.ndarray:
     return bits.reshape(len(fps), SEGMENTS, -1).sum(axis=2, dtype=np.uint8)
 
 
+def _dealt(points: DataFrame) -> DataFrame:
+    """Fingerprints over as many tasks as a shuffle has, as each becomes many rows."""
+    return points.select("fp").repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+
+
 def grid_cells(points: DataFrame, distance: int) -> DataFrame:
     """Each fp with the cells of all projections: the projection's number and the counts on its axes, packed."""
     groups = axis_groups(distance)
@@ -114,7 +123,7 @@ def grid_cells(points: DataFrame, distance: int) -> DataFrame:
                     cell = cell << width * (groups[g][1] - groups[g][0]) | packed[g]
                 yield pa.RecordBatch.from_arrays([pa.array(cell), batch.column(0)], names=["cell", "fp"])
 
-    return points.select("fp").mapInArrow(place, "cell bigint, fp bigint")
+    return _dealt(points).mapInArrow(place, "cell bigint, fp bigint")
 
 
 def _within(left: np.ndarray, right: np.ndarray, distance: int) -> np.ndarray:
@@ -214,7 +223,7 @@ def midpoint_links(points: DataFrame, distance: int) -> DataFrame:
                     [pa.array(values.view(np.int64)), pa.array(np.repeat(part, len(flips)).view(np.int64))], names=["value", "fp"]
                 )
 
-    spread = points.select("fp").mapInArrow(around, "value bigint, fp bigint")
+    spread = _dealt(points).mapInArrow(around, "value bigint, fp bigint")
     least = spread.groupBy("value").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").select("value", "a")
     return spread.join(least, "value").where("fp != a").select("a", F.col("fp").alias("b")).distinct()
 
@@ -273,7 +282,7 @@ def classes(rows: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    rows = stage(_fingerprinted(docs, F.struct("doc_id"), SHINGLE_WORDS).select("row.doc_id", "fp"), "fingerprints")
+    rows = stage(_fingerprinted(docs, ["doc_id"], SHINGLE_WORDS).select(F.col("c0").alias("doc_id"), "fp"), "fingerprints")
     found = classes(rows).select(F.col("fp").alias("of"), "component_id")
     joined = rows.join(found, rows["fp"] == found["of"])
     return joined.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MEMO_WORDS = 700_000  # words whose ids a Python worker keeps; the first ones seen, which are mostly the frequent ones
+MEMO_WORDS = 400_000  # words whose ids a Python worker keeps; the first ones seen, which are mostly the frequent ones
 
 
 @dataclass
@@ -47,13 +47,20 @@ def split_spaces(texts: pa.Array) -> Words:
 class Memo:
     """Token ids by piece, as bytes of little-endian unsigned 32-bit integers; bounded, and exact when full.
 
-    ``encode_batch`` takes pieces and gives all their ids in one array and their number by piece.
+    ``encode_batch`` takes pieces and gives all their ids in one array and their number by piece. A process keeps one
+    memo filled: another tokenizer's turn empties it.
     """
 
+    filled: Memo | None = None
+
     def __init__(self, encode_batch, most: int = MEMO_WORDS):
         self.encode_batch, self.most, self.known = encode_batch, most, {}
 
     def __call__(self, pieces: list[str]) -> list[bytes]:
+        if Memo.filled is not self:
+            if Memo.filled:
+                Memo.filled.known.clear()
+            Memo.filled = self
         out = list(map(self.known.get, pieces))
         missing = [i for i, x in enumerate(out) if x is None]
         for low in range(0, len(missing), 20_000):
