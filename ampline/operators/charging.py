@@ -73,7 +73,7 @@ def merge_sessions(raw: DataFrame, hot: HotCells | None, p: Params) -> DataFrame
     apart = p.merge_gap_sec * SECOND
     placed = stage(
         with_slice(
-            raw.selectExpr("*", f"{micros('start_ts')} as us", f"{micros('end_ts')} as end_us"), "0", hot, p
+            raw.selectExpr("*", f"{micros('start_ts')} as us", f"{micros('end_ts')} as end_us"), no_chunk(), hot, p
         ),
         "sessions",
     )
