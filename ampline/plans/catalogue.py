@@ -8,13 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ampline.config import Params
-from ampline.operators import battery, charts, quality
+from ampline.operators import battery, charts, cleaning, mapping, quality
 from ampline.operators.charging import SESSION_COLUMNS
 from ampline.operators.ignition import EVENT_COLUMNS
 from ampline.plans.pipeline import Flow
 from ampline.sinks import writers
 from ampline.sources.derived import DerivedFeeds
 from ampline.sources.readers import read_results
+from ampline.sources.text_feeds import TextFeeds
 from ampline.staging import stage_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +103,13 @@ QUERIES: dict[str, Query] = {
     "dq_report": _query(lambda f: f.report(), whole=True),
     "pipeline_counts": _query(lambda f: f.counts(), whole=True),
     "run_summary": _query(lambda f: f.summary(), whole=True),
+    "tlm_text_clean": lambda spark, sf_dir: cleaning.clean_tlm(TextFeeds(spark, sf_dir).tlm).drop("row_ord"),
+    "trg_text_clean": lambda spark, sf_dir: cleaning.clean_trg(TextFeeds(spark, sf_dir).trg).drop("row_ord"),
+    "syn_text_clean": lambda spark, sf_dir: cleaning.clean_syn(TextFeeds(spark, sf_dir).syn).drop("row_ord"),
+    "syn_lines_clean": lambda spark, sf_dir: cleaning.clean_syn(TextFeeds(spark, sf_dir).syn_lines).drop("row_ord"),
+    "map_text_parsed": lambda spark, sf_dir: mapping.parse_map(TextFeeds(spark, sf_dir).map).selectExpr(
+        "ID as vehicle_id", "array_join(cast(pnids as array<string>), ',') as pnids"
+    ),
     "results_round_trip_csv": _round_trip(
         "IgnitionEvents", lambda f, path, fmt: writers.write_events(f.fused, ["prio", "ord1", "ord2"], path, fmt), "csv"
     ),

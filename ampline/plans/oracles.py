@@ -28,7 +28,7 @@ STEPS: dict[str, str] = {
                u * 2 + e % 2 AS PNID,
                CASE WHEN kind = 'signup' THEN 'CHARGE_STATE' WHEN k < 60 THEN 'IGN_CYL'
                     WHEN k < 90 THEN 'EV_CHARGE_STATE' ELSE 'DOOR' END AS NAME,
-               CASE WHEN kind = 'signup' THEN CASE WHEN k = 13 THEN 'n/a' ELSE CAST(k AS VARCHAR) END
+               CASE WHEN kind = 'signup' THEN CASE k WHEN 13 THEN 'n/a' WHEN 17 THEN '120.5' WHEN 19 THEN '-3' ELSE CAST(k AS VARCHAR) END
                     WHEN k = 31 THEN 'CRANK'
                     WHEN k < 60 THEN CASE WHEN k % 2 = 0 THEN 'ON' ELSE 'OFF' END
                     WHEN k < 90 THEN CASE k % 5 WHEN 0 THEN 'Active' WHEN 1 THEN 'Aborted'
@@ -46,11 +46,12 @@ STEPS: dict[str, str] = {
         SELECT u * 2, 'V' || u, '[]' FROM (SELECT DISTINCT u FROM ev) WHERE u % 15 = 3""",
     "syn_raw": """
         SELECT e * 2 AS row_ord, CASE WHEN e % 30 = 0 THEN 'X' ELSE 'V' END || u AS vehicle_id,
-               make_timestamp(us + 3000000) AS event_ts
+               CASE WHEN e * 2 % 74 <> 0 THEN make_timestamp(us + 3000000) END AS event_ts
         FROM ev WHERE kind = 'view' AND e % 3 = 0
         UNION ALL
         SELECT e * 2 + 1, 'V' || u, make_timestamp(us + (e % 20) * 1000000)
         FROM ev WHERE kind = 'view' AND e % 5 = 0""",
+    "syn": "SELECT * FROM syn_raw WHERE event_ts IS NOT NULL",
     "tlm": """
         SELECT row_ord, ID, VEHICLE_ID, "TIMESTAMP", CASE WHEN SPEED < 0 THEN 0.0 ELSE SPEED END AS SPEED,
                CASE lower(trim(IGNITION_STATUS)) WHEN 'on' THEN 'on' WHEN 'off' THEN 'off' END AS IGNITION_STATUS,
@@ -96,7 +97,7 @@ STEPS: dict[str, str] = {
     "syn_ign": """
         SELECT vehicle_id, 'ignitionOff' AS event, event_ts, 'SYN' AS source,
                CAST(0 AS BIGINT) AS ord1, row_ord AS ord2
-        FROM syn_raw""",
+        FROM syn""",
     "all_ign": "SELECT * FROM tlm_ign UNION ALL SELECT * FROM trg_ign UNION ALL SELECT * FROM syn_ign",
     "line": """
         SELECT *, row_number() OVER (PARTITION BY vehicle_id ORDER BY event_ts, prio, ord1, ord2) AS nth
@@ -260,7 +261,10 @@ STEPS: dict[str, str] = {
         UNION ALL
         SELECT stage, list_position(['SPEED', 'IGNITION_STATUS', 'EV_BATTERY_LEVEL', 'ODOMETER'], item), 0,
                rule, item, n_rows, detail FROM dq_tlm WHERE stage = 7
-        UNION ALL SELECT * FROM dq_map""",
+        UNION ALL SELECT * FROM dq_map
+        UNION ALL
+        SELECT 17, 0, 0, 'DQ-17', '', count(*), 'SYN: ' || count(*) || ' rows with unparseable timestamps — dropped.'
+        FROM syn_raw WHERE event_ts IS NULL HAVING count(*) > 0""",
     "numbered": "SELECT *, row_number() OVER (ORDER BY stage, k1, k2, rule, item) AS nth FROM findings",
     "shown_values": """
         SELECT rule, '''' || value || '''' AS shown, n_rows FROM bad_trg WHERE rule <> 'DQ-11'
@@ -326,7 +330,7 @@ FINALS: dict[str, str] = {
         _COUNT.format(*x)
         for x in [
             ("tlm", "tlm", "VEHICLE_ID"), ("trg", "trg", "PNID"), ("map", "pnid_map", "vehicle_id"),
-            ("syn", "syn_raw", "vehicle_id"), ("tlm_ignition", "tlm_ign", "vehicle_id"),
+            ("syn", "syn", "vehicle_id"), ("tlm_ignition", "tlm_ign", "vehicle_id"),
             ("trg_ignition", "trg_ign", "vehicle_id"), ("syn_ignition", "syn_ign", "vehicle_id"),
             ("fused_ignition", "fused", "vehicle_id"), ("charging_status", "status", "vehicle_id"),
             ("battery_timeline", "timeline", "vehicle_id"), ("charging_events", "sessions", "vehicle_id"),
@@ -337,6 +341,11 @@ FINALS: dict[str, str] = {
         UNION ALL SELECT 'Charging Status Events', count(*) FROM status
         UNION ALL SELECT 'Charging Events', count(*) FROM sessions
         UNION ALL SELECT 'Data Quality Findings', count(*) FROM findings""",
+    "tlm_text_clean": "SELECT * EXCLUDE (row_ord) FROM tlm",
+    "trg_text_clean": "SELECT * EXCLUDE (row_ord) FROM trg",
+    "syn_text_clean": "SELECT vehicle_id, event_ts FROM syn_raw WHERE event_ts IS NOT NULL",
+    "syn_lines_clean": "SELECT vehicle_id, event_ts FROM syn_raw WHERE event_ts IS NOT NULL",
+    "map_text_parsed": "SELECT vehicle_id, pnids FROM map_parsed",
     "results_round_trip_csv": "SELECT vehicle_id, event, event_ts FROM fused",
     "results_round_trip_parquet": "SELECT * FROM sessions",
     "charts_from_results": "SELECT vehicle_id, ts, round(avg(battery), 6) AS battery FROM points GROUP BY ALL",

@@ -53,7 +53,8 @@ def derived_trg(events: DataFrame) -> DataFrame:
         "u * 2 + e % 2 as PNID",
         "case when kind = 'signup' then 'CHARGE_STATE' when k < 60 then 'IGN_CYL' "
         "when k < 90 then 'EV_CHARGE_STATE' else 'DOOR' end as NAME",
-        "case when kind = 'signup' then if(k = 13, 'n/a', cast(k as string)) "
+        "case when kind = 'signup' then case k when 13 then 'n/a' when 17 then '120.5' when 19 then '-3' "
+        "else cast(k as string) end "
         "when k = 31 then 'CRANK' when k < 60 then if(k % 2 = 0, 'ON', 'OFF') "
         "when k < 90 then array('Active', 'Aborted', 'Complete', 'Completed', 'Abort')[k % 5] "
         "else 'x' end as VAL",
@@ -82,7 +83,7 @@ def derived_syn(events: DataFrame) -> DataFrame:
     fifth = "named_struct('row_ord', e * 2 + 1, 'vehicleId', concat('V', u), 'us', us + (e % 20) * 1000000)"
     both = f"array(if(e % 3 = 0, {third}, null), if(e % 5 = 0, {fifth}, null))"
     return _base(events, "'view'").selectExpr(f"inline(filter({both}, x -> x is not null))").selectExpr(
-        "row_ord", "vehicleId", f"{ntz_from_micros('us')} as timestamp", "'ignitionOff' as type"
+        "row_ord", "vehicleId", f"if(row_ord % 74 <> 0, {ntz_from_micros('us')}, null) as timestamp", "'ignitionOff' as type"
     )
 
 
