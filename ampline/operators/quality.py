@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ampline.config import Params
 from ampline.functions.scalars import as_place, file_chunk, file_place, python_quote
-from ampline.operators.cleaning import BATTERY, SPEED, STATUS, TRIGGER_FAULT, valid_triggers
+from ampline.operators.cleaning import BATTERY, SPEED, STATUS, TRIGGER_FAULT
 from ampline.operators.mapping import claims
 from ampline.operators.slices import in_slice, with_context
 
@@ -32,17 +32,24 @@ def _finding(
     )
 
 
-def _counted(totals: DataFrame, entries: list[tuple[int, str, str]]) -> DataFrame:
-    """One finding per (stage, count column, text with one %d), zero counts left out."""
-    rows = ", ".join(
-        f"""named_struct('stage', {stage}, 'k1', {as_place('0')}, 'k2', 0L, 'rule', 'DQ-{stage}', 'item', '',
-            'n_rows', cast({count} as bigint), 'detail', format_string("{text}", {count}))"""
-        for stage, count, text in entries
+def _entry(stage: int, count: str, detail: str, item: str = "", place: int = 0, rule: str | None = None) -> str:
+    return (
+        f"named_struct('stage', {stage}, 'k1', {as_place(str(place))}, 'k2', 0L, 'rule', '{rule or f'DQ-{stage}'}', "
+        f"'item', '{item}', 'n_rows', cast({count} as bigint), 'detail', {detail})"
     )
-    return totals.selectExpr(f"inline(array({rows}))").where("n_rows > 0")
 
 
-def tlm_findings(raw: DataFrame, clean: DataFrame) -> DataFrame:
+def _counted(totals: DataFrame, entries: list[tuple[int, str, str]], more: list[str] = []) -> DataFrame:  # noqa: B006
+    """One finding per (stage, count column, text with one %d) and further entry, zero counts left out."""
+    rows = [_entry(stage, count, f'format_string("{text}", {count})') for stage, count, text in entries]
+    return totals.selectExpr(f"inline(array({', '.join([*rows, *more])}))").where("n_rows > 0")
+
+
+def tlm_findings(raw: DataFrame, clean: DataFrame, p: Params) -> DataFrame:
+    """Findings of the telemetry, from one aggregate of the raw rows and one of the cleaned ones."""
+    cleaned = clean.selectExpr(
+        "count(*) as n", "count_if(VEHICLE_ID is null) as no_vehicle", *[f"count({c}) as {c}" for c in CHECKED_COLUMNS]
+    ).selectExpr("struct(*) as c")
     totals = raw.selectExpr(
         "TIMESTAMP is not null as timed", f"{STATUS} as status", f"{BATTERY} as battery", f"{SPEED} as speed"
     ).selectExpr(
@@ -52,7 +59,16 @@ def tlm_findings(raw: DataFrame, clean: DataFrame) -> DataFrame:
         "count_if(timed and battery < 0) as negative",
         "count_if(timed and speed < 0) as slow",
         "count_if(timed) as timed",
-    ).select("*", (F.col("timed") - clean.agg(F.expr("count(*)")).scalar()).alias("repeated"))
+    ).select("*", cleaned.scalar().alias("c")).selectExpr("*", "timed - c.n as repeated", "c.no_vehicle as no_vehicle")
+    sparse = [
+        _entry(
+            7, f"if(100 * (c.n - c.{name}) / nullif(c.n, 0) > {p.null_alert_pct}, c.n - c.{name}, 0)",
+            f"""format_string("TLM: Column '{name}' is %.1f%% null (%s/%s) — sparse but usable.", """
+            f"rint(1000 * (c.n - c.{name}) / nullif(c.n, 0)) / 10, format_number(c.n - c.{name}, 0), format_number(c.n, 0))",
+            name, place,
+        )
+        for place, name in enumerate(CHECKED_COLUMNS)
+    ]
     return _counted(totals, [
         (1, "bad_time", f"TLM: %d rows with unparseable timestamps {DROPPED}"),
         (2, "unknown", "TLM: %d rows have IGNITION_STATUS='unknown' — treated as missing."),
@@ -60,7 +76,13 @@ def tlm_findings(raw: DataFrame, clean: DataFrame) -> DataFrame:
         (4, "negative", "TLM: %d negative battery readings — set to NaN."),
         (5, "slow", "TLM: %d negative speed readings — set to 0."),
         (6, "repeated", "TLM: %d duplicate row IDs — deduplicated."),
-    ])
+    ], [*sparse, _no_vehicle("TLM", 7)])
+
+
+def _no_vehicle(tag: str, stage: int) -> str:
+    """Rows without a vehicle id are dropped by this engine, so they get a finding of their own."""
+    detail = f"format_string('{tag}: %d rows without a vehicle id {DROPPED}', no_vehicle)"
+    return _entry(stage, "no_vehicle", detail, place=99, rule="NO-VEHICLE")
 
 
 def null_ratios(clean: DataFrame) -> DataFrame:
@@ -75,25 +97,6 @@ def null_ratios(clean: DataFrame) -> DataFrame:
     )
 
 
-def sparse_findings(clean: DataFrame, p: Params) -> DataFrame:
-    sparse = null_ratios(clean).where(f"pct_null > {p.null_alert_pct}")
-    detail = (
-        """format_string("TLM: Column '%s' is %.1f%% null (%s/%s) — sparse but usable.", column_name, """
-        "rint(pct_null * 10) / 10, format_number(n_null, 0), format_number(n_rows, 0))"
-    )
-    return _finding(sparse, 7, "n_null", detail, "column_name", as_place("place"))
-
-
-def missing_vehicle_findings(clean_tlm: DataFrame, clean_syn: DataFrame) -> DataFrame:
-    """Rows without a vehicle id are dropped by this engine, so they get a finding of their own."""
-    def one(rows: DataFrame, column: str, tag: str, stage: int) -> DataFrame:
-        n = rows.selectExpr(f"count_if({column} is null) as n").where("n > 0")
-        detail = f"format_string('{tag}: %d rows without a vehicle id {DROPPED}', n)"
-        return _finding(n, stage, "n", detail, k1=as_place("99"), rule="NO-VEHICLE")
-
-    return one(clean_tlm, "VEHICLE_ID", "TLM", 7).unionByName(one(clean_syn, "vehicle_id", "SYN", 17))
-
-
 def value_totals(counts: DataFrame) -> DataFrame:
     """Per rule: n_rows and n_values. ``counts``: rule, value, n; the values themselves stay rows."""
     return counts.groupBy("rule").agg(F.expr("sum(n) as n_rows"), F.expr("count(*) as n_values"))
@@ -108,9 +111,15 @@ def offending_triggers(raw: DataFrame) -> DataFrame:
     )
 
 
-def trg_findings(raw: DataFrame) -> DataFrame:
-    bad_time = raw.selectExpr("count_if(CTS is null) as bad_time")
-    found = _counted(bad_time, [(8, "bad_time", f"TRG: %d rows with unparseable timestamps {DROPPED}")])
+def trg_findings(raw: DataFrame, clean: DataFrame) -> DataFrame:
+    """``clean``: the triggers without bad rows and copies, with or without their vehicles."""
+    rows = raw.selectExpr(
+        "count_if(CTS is null) as bad_time", f"count_if(CTS is not null and ({TRIGGER_FAULT}) is null) as valid"
+    ).select("*", (F.col("valid") - clean.agg(F.expr("count(*)")).scalar()).alias("repeated"))
+    found = _counted(rows, [
+        (8, "bad_time", f"TRG: %d rows with unparseable timestamps {DROPPED}"),
+        (13, "repeated", "TRG: %d exact duplicate rows — deduplicated."),
+    ])
     totals = value_totals(offending_triggers(raw))
     stage = " ".join(f"when '{name}' then {number}" for name, number in FAULT_STAGES.items())
     text = (
@@ -124,10 +133,7 @@ def trg_findings(raw: DataFrame) -> DataFrame:
         f"concat('DQ-', case rule {stage} end) as rule", "'' as item", "n_rows",
         f"format_string('TRG: %d %s {DROPPED}', n_rows, {text}) as detail",
     )
-    keys = valid_triggers(raw).groupBy("CTS", "PNID", "NAME", "VAL").agg(F.expr("count(*) as n"))
-    repeated = keys.selectExpr("coalesce(sum(n) - count(*), 0) as repeated")
-    copies = _counted(repeated, [(13, "repeated", "TRG: %d exact duplicate rows — deduplicated.")])
-    return found.unionByName(rejected).unionByName(copies)
+    return found.unionByName(rejected)
 
 
 def map_findings(parsed: DataFrame) -> DataFrame:
@@ -157,8 +163,11 @@ def map_findings(parsed: DataFrame) -> DataFrame:
 
 
 def syn_findings(raw: DataFrame) -> DataFrame:
-    totals = raw.selectExpr("count_if(timestamp is null) as bad_time")
-    return _counted(totals, [(17, "bad_time", f"SYN: %d rows with unparseable timestamps {DROPPED}")])
+    totals = raw.selectExpr(
+        "count_if(timestamp is null) as bad_time", "count_if(timestamp is not null and vehicleId is null) as no_vehicle"
+    )
+    bad = [(17, "bad_time", f"SYN: %d rows with unparseable timestamps {DROPPED}")]
+    return _counted(totals, bad, [_no_vehicle("SYN", 17)])
 
 
 def unmapped_pnids(mapped: DataFrame) -> DataFrame:

@@ -90,11 +90,10 @@ QUERIES: dict[str, Query] = {
     "charging_sessions_merged": _query(lambda f: f.merged_sessions, share=True),
     "charging_events": _query(lambda f: f.sessions.select(SESSION_COLUMNS), share=True),
     "dq_tlm": _findings(
-        lambda f: quality.tlm_findings(f.feeds.tlm, f.tlm).unionByName(quality.sparse_findings(f.tlm, f.p))
-        .unionByName(quality.missing_vehicle_findings(f.tlm, f.syn))
+        lambda f: quality.tlm_findings(f.feeds.tlm, f.tlm, f.p)
     ),
     "tlm_null_ratio": _query(lambda f: quality.null_ratios(f.tlm).drop("place")),
-    "dq_trg": _findings(lambda f: quality.trg_findings(f.feeds.trg)),
+    "dq_trg": _findings(lambda f: quality.trg_findings(f.feeds.trg, f.trg)),
     "dq_map": _findings(lambda f: quality.map_findings(f.parsed_map)),
     "dq_syn": _findings(lambda f: quality.syn_findings(f.feeds.syn)),
     "dq_unmapped": _findings(lambda f: quality.unmapped_findings(f.mapped)),

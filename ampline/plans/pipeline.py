@@ -162,10 +162,8 @@ class Flow:
     @cached_property
     def findings(self) -> DataFrame:
         parts = [
-            quality.tlm_findings(self.feeds.tlm, self.tlm),
-            quality.sparse_findings(self.tlm, self.p),
-            quality.missing_vehicle_findings(self.tlm, self.syn),
-            quality.trg_findings(self.feeds.trg),
+            quality.tlm_findings(self.feeds.tlm, self.tlm, self.p),
+            quality.trg_findings(self.feeds.trg, self.mapped),
             quality.map_findings(self.parsed_map),
             quality.syn_findings(self.feeds.syn),
             quality.unmapped_findings(self.mapped),

@@ -32,14 +32,14 @@ def test_slicing_does_not_change_the_result(spark, p):
 
 def test_every_offending_value_is_a_line(spark):
     """However many values a finding has, its row holds counts only, and the report shows each value."""
-    from ampline.operators import quality
+    from ampline.operators import cleaning, quality
     from ampline.sinks.writers import report_lines
 
     rows = [(i, "2024-01-01", 1, f"NAME{i}" if i < 1500 else "IGN_CYL", "x") for i in range(1502)]
     raw = spark.createDataFrame(rows, "row_ord bigint, CTS string, PNID bigint, NAME string, VAL string").selectExpr(
         "row_ord", "cast(CTS as timestamp_ntz) as CTS", "PNID", "NAME", "VAL"
     )
-    findings = quality.trg_findings(raw)
+    findings = quality.trg_findings(raw, cleaning.clean_trg(raw))
     found = {r.rule: r for r in findings.collect()}
     assert found["DQ-9"].detail == "TRG: 1500 rows with unexpected NAME values (1500 different) — dropped."
     counts = quality.offending_triggers(raw).selectExpr("if(rule = 'name', 'DQ-9', 'DQ-10') as rule", "value", "n as n_rows")
