@@ -34,12 +34,12 @@ def _single_copies(synthetic: DataFrame) -> DataFrame:
     return synthetic.groupBy("vehicle_id", "event", "event_ts", "source", "ord1").agg(F.expr("min(ord2) as ord2"))
 
 
-def keep_spaced(items: str, last_us: str, gap: int) -> str:
-    """Items (sorted by time) at least ``gap`` microseconds after the previously kept one."""
+def keep_spaced(times: str, last_us: str, gap: int) -> str:
+    """Times (sorted) at least ``gap`` microseconds after the previously kept one; few, as they are so far apart."""
     return (
-        f"aggregate({items}, named_struct('last', cast({last_us} as bigint), 'kept', slice({items}, 1, 0)), "
-        f"(s, x) -> if(s.last is null or x.us - s.last >= {gap}, "
-        f"named_struct('last', x.us, 'kept', concat(s.kept, array(x))), s), s -> s.kept)"
+        f"aggregate({times}, named_struct('last', cast({last_us} as bigint), 'kept', slice({times}, 1, 0)), "
+        f"(s, x) -> if(s.last is null or x - s.last >= {gap}, "
+        f"named_struct('last', x, 'kept', concat(s.kept, array(x))), s), s -> s.kept)"
     )
 
 
@@ -111,7 +111,7 @@ def _through_covered(chain: DataFrame, groups: DataFrame, gap: int) -> DataFrame
     chain = stage(chain, "fusion-chain")
     tables = (
         chain.where("covered").join(groups, ["vehicle_id", "slice"])
-        .selectExpr("vehicle_id", "seq", "transform(items, x -> x.us) as times")
+        .select("vehicle_id", "seq", "times")
         .mapInPandas(
             lambda batches: _jump_tables(batches, gap),
             "vehicle_id string, seq bigint, entry_us array<bigint>, exit_us array<bigint>",
@@ -157,13 +157,15 @@ def fuse(recorded: DataFrame, synthetic: DataFrame, hot: HotCells | None, p: Par
     rows = _open_rows(recorded, synthetic, hot, p)
     columns = ["vehicle_id", "slice", *ORDER, "event", "event_ts", "source"]
     heads = rows.where("opens").select(columns)
-    item = f"struct({', '.join(columns[2:])})"
-    groups = rows.where("not opens").groupBy("vehicle_id", "slice", "head_us").agg(
-        F.expr(f"sort_array(collect_list({item})) as items")
-    )
+    # Of the rows of one time only the first can be kept, and runs share no time, so times are enough to walk.
+    item = f"struct({', '.join(ORDER[1:])}, event, event_ts, source)"
+    firsts = rows.where("not opens").groupBy("vehicle_id", "slice", "head_us", "us").agg(F.expr(f"min({item}) as item"))
+    firsts = stage(firsts, "fusion-times")
+    groups = firsts.groupBy("vehicle_id", "slice", "head_us").agg(F.expr("sort_array(collect_list(us)) as times"))
 
     def walk(undecided: DataFrame, seed: str) -> DataFrame:
-        return undecided.selectExpr("vehicle_id", "slice", f"inline({keep_spaced('items', seed, gap)})")
+        times = undecided.selectExpr("vehicle_id", "slice", f"explode({keep_spaced('times', seed, gap)}) as us")
+        return times.join(firsts, ["vehicle_id", "slice", "us"]).selectExpr("vehicle_id", "slice", "us", "item.*").select(columns)
 
     kept = heads.unionByName(walk(groups.where("head_us is not null"), "head_us"))
     if not rows.where("head_us is null").isEmpty():
