@@ -33,7 +33,7 @@ SAMPLE_ROWS = 2000   # labelled rows of each domain that are learnt from, at mos
 LIST_WORDS = 150     # indicator words of each domain, at most
 LEAST_SHARE = 0.05   # of a domain's sampled texts that an indicator word occurs in, at least, so that it is no copied text's
 LEAST_GAIN = 12.0    # evidence for an indicator word, at least; words by chance rarely have it
-STEPS = 60
+STEPS = 30
 MISFIT = 2e-3       # steps end when every domain is within this share of all tokens of its target
 HEADROOM = 1.25
 BINS = {  # upper ends of all but the last bin of each figure
@@ -46,7 +46,7 @@ def with_words(docs: DataFrame) -> DataFrame:
     """``row`` (all columns of ``docs``), text without nulls and its words in lower case."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(row, text.alias("text")).select("*", F.array_remove(F.split(F.lower("text"), r"\s+"), "").alias("words"))
+    return docs.select(row, text.alias("text")).select("*", F.array_remove(F.split(F.lower("text"), r"[\s.,;:]+"), "").alias("words"))
 
 
 def _domain() -> Column:
@@ -76,21 +76,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sizes: dict[str, int]) -
 
 
 def indicator_words(sample: DataFrame) -> dict[str, list[str]]:
-    """Of the sample's first half, the words by which each domain differs most from the others."""
+    """Of the sample's first half, the words by which each domain differs most from every other one."""
     first = with_words(sample.where("half = 0"))
     sizes = {r.domain: r.n for r in first.groupBy("row.domain").agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(sizes.values())
     words = first.select(F.col("row.domain").alias("domain"), F.explode(F.array_distinct("words")).alias("word"))
     counts = words.groupBy("word").pivot("domain", list(DOMAINS)).count().na.fill(0)
-    counts = counts.withColumn("n", sum(F.col(d) for d in DOMAINS))
     lists = {}
     for domain in DOMAINS:
         inside = sizes.get(domain, 0)
-        # Twice the log-likelihood ratio of the word's count inside against that by chance, where it is the larger one.
-        chance = F.col("n") * (inside / max(1, total))
+        # What the domain would have at the share of the other domain that has the word most often.
+        others = [(F.col(d) + 0.5) / (sizes.get(d, 0) + 1) for d in DOMAINS if d != domain]
+        chance = inside * F.greatest(*others)
+        # Twice the log-likelihood ratio of the count inside against that.
         gain = 2 * (F.col(domain) * F.log(F.col(domain) / chance) - F.col(domain) + chance)
-        telling = counts.where((F.col(domain) > chance) & (F.col(domain) >= max(3, LEAST_SHARE * inside))).select("word", gain.alias("gain")).where(F.col("gain") >= LEAST_GAIN)
-        best = telling.orderBy(F.desc("gain"), "word").limit(LIST_WORDS)
+        telling = counts.where((F.col(domain) > 2 * chance) & (F.col(domain) >= max(3, LEAST_SHARE * inside)))
+        best = telling.select("word", gain.alias("gain")).where(F.col("gain") >= LEAST_GAIN).orderBy(F.desc("gain"), "word").limit(LIST_WORDS)
         lists[domain] = [r.word for r in best.collect()]
     return lists
 
