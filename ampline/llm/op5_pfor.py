@@ -163,7 +163,7 @@ def word_encoder(path: str):
 
 @lru_cache(maxsize=2)
 def _memo(path: str) -> Memo:
-    return Memo(word_encoder(path))
+    return Memo(word_encoder(path), most=600_000)
 
 
 def encode_texts(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MEMO_WORDS = 400_000  # words whose ids a Python worker keeps; the first ones seen, which are mostly the frequent ones
+MEMO_WORDS = 200_000  # words whose ids a Python worker keeps; the first ones seen, which are mostly the frequent ones
 
 
 @dataclass
