@@ -35,7 +35,7 @@ from ampline.staging import stage
 
 CROWD = 4000             # contexts of a k-gram that one index takes, at most
 SHARD_BYTES = 1 << 20
-BLOCK_BYTES = 2 << 20    # text hashed at a time; one longer text is a block of its own
+BLOCK_BYTES = 2 << 20    # text hashed at a time; longer texts are cut
 SEPARATOR = b"\xff"      # in no UTF-8 text
 RUNS = "file bigint, at bigint, first int, last int, gram bigint, context bigint"
 
@@ -53,18 +53,31 @@ def placed(docs: DataFrame) -> DataFrame:
 # ---- runs ---------------------------------------------------------------------------------------------------------
 
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """First and last row, bytes and bounds of some texts at a time; the batch's last column is the text."""
-    texts = string_column(batch.column(batch.num_columns - 1)).cast(pa.binary()).to_pylist()
-    low = 0
-    while low < len(texts):
-        high, size = low, 0
-        while high < len(texts) and (high == low or size + len(texts[high]) <= BLOCK_BYTES):
-            size += len(texts[high])
-            high += 1
-        bounds = np.concatenate(([0], np.cumsum([len(t) for t in texts[low:high]]))).astype(np.int64)
-        yield low, high, np.frombuffer(b"".join(texts[low:high]), np.uint8), bounds
-        low = high
+def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Row and offset of some pieces of texts, their bytes and bounds; the batch's last column is the text.
+
+    A long text is cut into pieces that overlap by a window less a byte, so that each window lies in one piece. A run
+    that is cut there becomes two, which costs a comparison more and changes no result.
+    """
+    pieces: list[tuple[int, int, bytes]] = []
+    size = 0
+    for row, text in enumerate(string_column(batch.column(batch.num_columns - 1)).cast(pa.binary())):
+        text = text.as_py()
+        for start in range(0, max(1, len(text) - WINDOW + 1), BLOCK_BYTES):
+            piece = text[start : start + BLOCK_BYTES + WINDOW - 1]
+            if pieces and size + len(piece) > BLOCK_BYTES:
+                yield _joined(pieces)
+                pieces, size = [], 0
+            pieces.append((row, start, piece))
+            size += len(piece)
+    if pieces:
+        yield _joined(pieces)
+
+
+def _joined(pieces: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    rows, starts, parts = zip(*pieces)
+    bounds = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int64)
+    return np.array(rows), np.array(starts), np.frombuffer(b"".join(parts), np.uint8), bounds
 
 
 def runs_of(rows: DataFrame) -> DataFrame:
@@ -73,12 +86,13 @@ def runs_of(rows: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
             file, at = np.asarray(batch.column(0)), np.asarray(batch.column(1))
-            for low, _, data, bounds in _blocks(batch):
+            for row, start, data, bounds in _blocks(batch):
                 runs = find_runs(data, bounds, Hashes(data))
                 owner = np.searchsorted(bounds, runs.first, "right") - 1
+                shift = start[owner] - bounds[owner]
                 columns = [
-                    pa.array(file[low + owner]), pa.array(at[low + owner]),
-                    pa.array((runs.first - bounds[owner]).astype(np.int32)), pa.array((runs.last - bounds[owner]).astype(np.int32)),
+                    pa.array(file[row[owner]]), pa.array(at[row[owner]]),
+                    pa.array((runs.first + shift).astype(np.int32)), pa.array((runs.last + shift).astype(np.int32)),
                     pa.array(runs.gram.view(np.int64)), pa.array(runs.context.view(np.int64)),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["file", "at", "first", "last", "gram", "context"])

@@ -15,7 +15,7 @@ import numpy as np
 
 WINDOW = 200
 GRAM = 64
-PLACE_BITS = 28  # of a key that orders k-grams by hash, then place
+PLACE_BITS = 24  # of a key that orders k-grams by hash, then place
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93
@@ -81,7 +81,7 @@ def find_runs(data: np.ndarray, bounds: np.ndarray, hashes: Hashes) -> Runs:
     if len(data) < WINDOW:
         return Runs(none, none, none, none.view(np.uint64), none.view(np.uint64))
     if len(data) >> PLACE_BITS:
-        raise ValueError(f"texts of {1 << PLACE_BITS} bytes and more are not handled")
+        raise ValueError(f"cut texts into blocks of less than {1 << PLACE_BITS} bytes")
     mask = np.uint64((1 << PLACE_BITS) - 1)
     grams = hashes.grams(GRAM)
     keys = (grams & ~mask) | np.arange(len(grams), dtype=np.uint64)

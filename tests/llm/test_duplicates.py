@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from ampline.llm import op3_repeats, op8_simhash, op9_dedup
 from ampline.llm.common import documents
 from ampline.llm.run_index import matching_statistics, suffix_array
-from ampline.llm.windows import GRAM, WINDOW
+from ampline.llm.windows import GRAM, WINDOW, Hashes, find_runs
 from tests.compare import differences, oracle_rows, spark_rows
 from tests.llm.data import ROWS, SMALL, frame, odd_docs, texts_of
 
@@ -188,6 +189,20 @@ def passages():
     return rows
 
 
+@pytest.mark.parametrize("size", [300, 1000, 1 << 21])
+def test_blocks_hold_each_window_once(monkeypatch, size):
+    monkeypatch.setattr(op3_repeats, "BLOCK_BYTES", size)
+    texts = ["".join(np.random.default_rng(n).choice(list("abcdé "), n)) for n in (0, 5, 199, 200, 201, 1000, 5000)]
+    seen = Counter()
+    for row, start, data, bounds in op3_repeats._blocks(pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])):
+        runs = find_runs(data, bounds, Hashes(data))
+        owner = np.searchsorted(bounds, runs.first, "right") - 1
+        for first, last, k in zip(runs.first, runs.last, owner):
+            seen.update((row[k], p - bounds[k] + start[k]) for p in range(first, last + 1))
+    assert set(seen.values()) == {1}
+    assert len(seen) == sum(max(0, len(t.encode()) - WINDOW + 1) for t in texts)
+
+
 @pytest.mark.parametrize("crowd", [4000, 1])
 def test_repeats_equal_brute_force(spark, monkeypatch, crowd):
     monkeypatch.setattr(op3_repeats, "CROWD", crowd)
