@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ampline.functions.scalars import blank_missing, parse_local, parse_to_ist, to_number
@@ -97,11 +98,6 @@ def table_options(fmt: str) -> dict[str, str]:
     }
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
-
-
 def read_results(spark: SparkSession, out_dir: str, fmt: str = "csv") -> dict[str, DataFrame]:
     """Read back the written result tables; a table that does not exist is left out."""
     tables = {
@@ -111,7 +107,10 @@ def read_results(spark: SparkSession, out_dir: str, fmt: str = "csv") -> dict[st
     }
     found = {}
     for name, schema in tables.items():
-        path = f"{out_dir}/{name}"
-        if _exists(spark, path):
-            found[name] = spark.read.schema(schema).options(**table_options(fmt)).format(fmt).load(path)
+        reader = spark.read.schema(schema).options(**table_options(fmt)).format(fmt)
+        try:
+            found[name] = reader.load(f"{out_dir}/{name}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
     return found

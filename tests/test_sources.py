@@ -308,3 +308,10 @@ def test_odd_texts_survive_the_sink(spark, tmp_path, fmt):
     assert sorted(map(tuple, back["IgnitionEvents"].collect())) == sorted(map(tuple, rows.collect()))
     writers.write_chart_tables(back, str(tmp_path / "charts"), Params(), fmt)
     assert (tmp_path / "charts" / "ignition_timeline").exists()
+
+
+def test_missing_result_tables_are_left_out(spark, tmp_path):
+    from ampline.sinks import writers
+
+    writers.write_table(spark.createDataFrame([], readers.SESSION_OUTPUT), str(tmp_path / "ChargingEvents"))
+    assert list(readers.read_results(spark, str(tmp_path))) == ["ChargingEvents"]
