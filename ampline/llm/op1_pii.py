@@ -2,8 +2,8 @@
 
 Base kinds are email, ip, card and phone; a card passes Luhn, an address has parts up to 255, a phone number 9 to 15
 digits. The method adds iban (mod-97 confirms it) and ssn (no checksum, so only context words can lift it to the
-threshold). A span's score is its kind's prior, plus CONTEXT_GAIN if a word for its kind is within CONTEXT_CHARS. Base
-spans always stay; an added span stays from THRESHOLD on.
+threshold). A span's score is its kind's prior, plus CONTEXT_GAIN if a word for its kind is within CONTEXT_CHARS before or
+after, up to the neighbouring match of its pattern. Base spans always stay; an added span stays from THRESHOLD on.
 
 Patterns are written so that a search takes linear time on long texts without separators; they match what the plain
 patterns match. Null texts count as empty and have no spans. Rows are handled one by one, repeated ones too.
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampline.llm.common import documents
-from ampline.llm.spans import around, count_of, merged, spans, spelled
+from ampline.llm.spans import count_of, merged, spans, spelled
 
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
 N_BASE = 4
@@ -79,18 +79,17 @@ def mod97(hit: Column) -> Column:
 
 def find(text: Column) -> tuple[Column, Column]:
     """Base spans and added candidates of a text without nulls."""
-    base = merged(
-        spans(text, EMAIL, 0), spans(text, IP, 1, ip_parts), spans(text, CARD, 2, luhn), spans(text, PHONE, 3, phone_digits)
-    )
-    return base, F.concat(spans(text, IBAN, 4, mod97), spans(text, SSN, 5))
+    patterns = ((EMAIL, None), (IP, ip_parts), (CARD, luhn), (PHONE, phone_digits), (IBAN, mod97), (SSN, None))
+    found = [spans(text, pattern, kind, valid, CONTEXT_CHARS) for kind, (pattern, valid) in enumerate(patterns)]
+    return merged(*found[:N_BASE]), F.concat(*found[N_BASE:])
 
 
-def scored(text: Column, found: Column) -> Column:
+def scored(found: Column) -> Column:
     """Spans with their score."""
     priors, words = F.array(*[F.lit(p) for p in PRIORS]), F.array(*[F.lit(c) for c in CONTEXT])
 
     def score(span: Column) -> Column:
-        gain = F.when(F.regexp_like(around(text, span, CONTEXT_CHARS), F.get(words, span["kind"])), CONTEXT_GAIN).otherwise(0.0)
+        gain = F.when(F.regexp_like(span["near"], F.get(words, span["kind"])), CONTEXT_GAIN).otherwise(0.0)
         total = F.round(F.get(priors, span["kind"]) + gain, 2)
         return F.struct(span["start"], span["kind"], span["end"], span["hit"], F.least(total, F.lit(1.0)).alias("score"))
 
@@ -103,7 +102,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     base, more = find(text)
     rows = rows.select("row", base.alias("base"), more.alias("more"))
-    rows = rows.select("row", scored(text, F.col("base")).alias("base"), scored(text, F.col("more")).alias("more"))
+    rows = rows.select("row", scored(F.col("base")).alias("base"), scored(F.col("more")).alias("more"))
     strong = F.filter("more", lambda s: s["score"] >= THRESHOLD)
     return rows.select("row", "base", merged(F.col("base"), strong).alias("all"))
 

@@ -73,8 +73,8 @@ def linked(rows: DataFrame) -> DataFrame:
         F.col("its_strong") | (F.lit(KINDS.index("key")) + KINDS.index("user") == F.col("kind") + F.col("its_kind"))
     )
     apart = (F.col("end") <= F.col("its_start")) | (F.col("its_end") <= F.col("start"))
-    found = left.join(right, near & complementary & apart, "left_semi").select("at", "start", "kind", "end", "hit").distinct()
-    return found.groupBy("at").agg(F.collect_list(F.struct("start", "kind", "end", "hit")).alias("linked"))
+    found = left.join(right, near & complementary & apart, "left_semi").select("at", "start", "kind", "end", "hit", "near").distinct()
+    return found.groupBy("at").agg(F.collect_list(F.struct("start", "kind", "end", "hit", "near")).alias("linked"))
 
 
 def secrets(docs: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Spans of pattern matches in whole texts, as SQL expressions.
 
 A text is cut at the matches, and the matches are taken as well; the running length of both gives the places. Spans are
-structs of start, kind (a place in a list of names), end and hit, in code points, end exclusive. Texts without a match
-cost one search. Patterns must not match the empty text.
+structs of start, kind (a place in a list of names), end, hit and near (the text around, in lower case), in code points,
+end exclusive. Texts without a match cost one search. Patterns must not match the empty text.
 """
 
 from __future__ import annotations
@@ -12,30 +12,57 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SPAN = "array<struct<start:int,kind:int,end:int,hit:string>>"
+PART = 512  # matches placed together
+SPAN = "array<struct<start:int,kind:int,end:int,hit:string,near:string>>"
 
 
 def no_spans() -> Column:
     return F.array().cast(SPAN)
 
 
-def spans(text: Column, pattern: str, kind: int, valid: Callable[[Column], Column] | None = None) -> Column:
-    """Leftmost non-overlapping matches of a Java pattern that pass ``valid``; failing ones are dropped."""
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits))
-    steps = F.zip_with(gaps, hits, lambda gap, hit: F.struct(F.char_length(gap).alias("gap"), hit.alias("hit")))
-    begin = F.struct(F.lit(0).alias("at"), no_spans().alias("found"))
+def spans(text: Column, pattern: str, kind: int, valid: Callable[[Column], Column] | None = None, width: int = 0) -> Column:
+    """Leftmost non-overlapping matches of a Java pattern that pass ``valid``; failing ones are dropped.
+
+    ``near`` has up to ``width`` characters before and after the match, not beyond the neighbouring matches.
+    """
+
+    def stepped(gaps: Column, hits: Column) -> Column:
+        after = F.slice(gaps, F.lit(2), F.size(hits))
+        sides = F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), after, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        around = lambda side: F.lower(F.concat_ws(" ", F.right(side["a"], F.lit(width)), F.left(side["b"], F.lit(width))))
+        return F.zip_with(sides, hits, lambda side, hit: F.struct(
+            F.char_length(side["a"]).alias("gap"), hit.alias("hit"), (around(side) if width else F.lit("")).alias("near")
+        ))
 
     def add(done: Column, step: Column) -> Column:
         start = done["at"] + step["gap"]
         end = start + F.char_length(step["hit"])
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), step["hit"].alias("hit"))
+        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), step["hit"].alias("hit"), step["near"].alias("near"))
         found = F.concat(done["found"], F.array(span))
         if valid:
             found = F.when(valid(step["hit"]), found).otherwise(done["found"])
         return F.struct(end.alias("at"), found.cast(SPAN).alias("found"))
 
-    return F.when(text.rlike(pattern), F.aggregate(steps, begin, add, lambda done: done["found"])).otherwise(no_spans())
+    def from_place(at: Column, part: Column) -> Column:
+        begin = F.struct(at.alias("at"), no_spans().alias("found"))
+        return F.aggregate(part, begin, add, lambda done: done["found"])
+
+    def in_parts(steps: Column) -> Column:
+        """Arrays grow by copying, so many matches are placed in parts, whose places come first."""
+        cuts = F.sequence(F.lit(0), F.size(steps) - 1, F.lit(PART))
+        parts = F.transform(cuts, lambda cut: F.slice(steps, cut + 1, F.lit(PART)))
+        length = lambda part: F.aggregate(part, F.lit(0), lambda n, s: n + s["gap"] + F.char_length(s["hit"]))
+        first = F.array(F.lit(0))
+        ends = F.aggregate(F.transform(parts, length), first, lambda ends, n: F.concat(ends, F.array(F.element_at(ends, -1) + n)))
+        return F.flatten(F.zip_with(F.slice(ends, F.lit(1), F.size(parts)), parts, from_place))
+
+    def once(value: Column, use: Callable[[Column], Column]) -> Column:
+        """A variable of a function over a list of one holds the value, which is then computed once."""
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    placed = once(F.split(text, pattern, -1), lambda gaps: once(hits, lambda found: once(stepped(gaps, found), in_parts)))
+    return F.when(text.rlike(pattern), placed).otherwise(no_spans())
 
 
 def merged(*lists: Column) -> Column:
@@ -52,9 +79,3 @@ def spelled(found: Column, names: tuple[str, ...]) -> Column:
 
 def count_of(found: Column, kind: int) -> Column:
     return F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("bigint")
-
-
-def around(text: Column, span: Column, width: int) -> Column:
-    """The text from ``width`` characters before the span to as many after it, in lower case."""
-    low = F.greatest(span["start"] - width, F.lit(0))
-    return F.lower(F.substring(text, low + 1, span["end"] + width - low))

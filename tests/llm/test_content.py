@@ -46,7 +46,7 @@ PII_PARTS = [*"ab@.-_ 12+()é\n%𝒳", "12", "255", "256", "4111 1111 1111 1111"
 
 def test_base_pii(spark):
     rows = texts_of(PII_PARTS, 1500, 40, 3) + [(i, t) for i, t in enumerate(
-        [None, "", "1" * 20_000, "a" * 100_000 + "@", "1." * 20_000, "+1" + "(" * 20_000, "a.b@c.d " * 500], 2000)]
+        [None, "", "1" * 20_000, "a" * 100_000 + "@", "1." * 20_000, "+1" + "(" * 20_000, "a.b@c.d " * 1500, "1.2.3.4 é" * 1024, "+1234567890 x" * 513], 2000)]
     found = op1_pii.personal_data(frame(spark, rows)).select("row.doc_id", spelled(F.col("base"), op1_pii.KINDS).alias("s")).collect()
     assert {r.doc_id: r.s for r in found} == {i: joined(plain_pii(t), op1_pii.KINDS) for i, t in rows}
 
@@ -114,7 +114,7 @@ SECRET_PARTS = [
 
 
 def test_secrets(spark):
-    rows = texts_of(SECRET_PARTS, 1500, 40, 3) + [(2000, None), (2001, ""), (2002, "AKIA" * 20_000), (2003, "token= " * 5000), (2004, "password" + " " * 50_000)]
+    rows = texts_of(SECRET_PARTS, 1500, 40, 3) + [(2000, None), (2001, ""), (2002, "AKIA" * 20_000), (2003, "token= " * 5000), (2005, "token=abcdef " * 1700), (2004, "password" + " " * 50_000)]
     found = op7_secrets.secrets(frame(spark, rows)).select("row.doc_id", spelled(F.col("all"), op7_secrets.KINDS).alias("s")).collect()
     assert {r.doc_id: r.s for r in found} == {i: joined(plain_secrets(t), op7_secrets.KINDS) for i, t in rows}
 
