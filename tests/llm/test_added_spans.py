@@ -1,0 +1,33 @@
+"""Added personal data among other codes, words and numbers."""
+
+import random
+
+from pyspark.sql import functions as F
+
+from ampline.llm import op1_pii
+from ampline.llm.spans import spelled
+from tests.llm.data import frame
+
+DE, GB, NO = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO9386011117947"
+
+
+def ibans_in(spark, texts):
+    rows = op1_pii.personal_data(frame(spark, list(enumerate(texts)))).select("row.doc_id", spelled(F.col("all"), op1_pii.KINDS).alias("s")).collect()
+    return [",".join(s for s in r.s.split(",") if s.startswith("iban")) for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
+def test_iban_before_other_words(spark):
+    behind = [" The account", " BIC COBADEFFXXX", " 4 times", " 7", "", ".", " AB12 CDEF", "\nTOTAL 12", " é", " X" * 60]
+    texts = [f"to {n}{b}" for n in (DE, GB, NO) for b in behind]
+    wanted = [f"iban:3:{3 + len(n)}" for n in (DE, GB, NO) for _ in behind]
+    assert ibans_in(spark, texts) == wanted
+    assert ibans_in(spark, [f"{DE}x", f"{DE}4", f"x{DE}", "DE88370400440532013000 The"]) == [""] * 4
+
+
+def test_ibans_side_by_side(spark):
+    many = [random.Random(1).choice((DE, GB, NO)) for _ in range(1500)]
+    places, at = [], 0
+    for n in many:
+        places.append(f"iban:{at}:{at + len(n)}")
+        at += len(n) + 1
+    assert ibans_in(spark, [" ".join(many), f"AB12 {DE} {GB}"]) == [",".join(places), "iban:5:27,iban:28:55"]
