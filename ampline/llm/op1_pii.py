@@ -3,7 +3,7 @@
 Base kinds are email, ip, card and phone; a card passes Luhn, an address has parts up to 255, a phone number 9 to 15
 digits. The method adds iban (of the ends of words within its lengths, mod-97 chooses the one) and ssn (no checksum, so only context words can lift it to the
 threshold). A span's score is its kind's prior, plus CONTEXT_GAIN if a word for its kind is within CONTEXT_CHARS before or
-after, up to the neighbouring match of its pattern. Base spans always stay; an added span stays from THRESHOLD on.
+after it, other spans included. Base spans always stay; an added span stays from THRESHOLD on.
 
 Patterns are written so that a search takes linear time on long texts without separators; they match what the plain
 patterns match. Null texts count as empty and have no spans. Rows are handled one by one, repeated ones too.

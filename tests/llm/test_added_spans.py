@@ -1,11 +1,12 @@
 """Added personal data among other codes, words and numbers."""
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from ampline.llm import op1_pii
-from ampline.llm.spans import spelled
+from ampline.llm.spans import spelled, spans
 from tests.llm.data import frame
 
 DE, GB, NO = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO9386011117947"
@@ -31,3 +32,19 @@ def test_ibans_side_by_side(spark):
         places.append(f"iban:{at}:{at + len(n)}")
         at += len(n) + 1
     assert ibans_in(spark, [" ".join(many), f"AB12 {DE} {GB}"]) == [",".join(places), "iban:5:27,iban:28:55"]
+
+
+def test_context_reaches_over_other_spans(spark):
+    text = "SSNs: 123-45-6789, 234-56-7890, 345-67-8901"
+    rows = op1_pii.personal_data(frame(spark, [(1, text)])).select(spelled(F.col("all"), op1_pii.KINDS).alias("s")).collect()
+    assert rows[0].s == "ssn:6:17,ssn:19:30,ssn:32:43"
+
+
+def test_near_is_the_whole_window(spark):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice(["12", "3", "a", "B ", "\n", "é", "𝒳", "x" * 50]) for _ in range(n)) for n in [0, 1, 5, 30, 200, 4000]] + ["1 " * 1500]
+    found = frame(spark, list(enumerate(texts))).select("doc_id", spans(F.col("text"), "[0-9]++", 0, None, 48).alias("s")).collect()
+    for r in found:
+        text = texts[r.doc_id]
+        wanted = [(m.start(), m.end(), (text[max(0, m.start() - 48) : m.start()] + " " + text[m.end() : m.end() + 48]).lower()) for m in re.finditer("[0-9]+", text)]
+        assert [(s.start, s.end, s.near) for s in r.s] == wanted
