@@ -30,8 +30,8 @@ ASSIGN = r"""(?=[PpSsTtAa])(?i:(password|passwd|secret|token|api_?key))["']? *[:
 ACCESS = r"AKIA[A-Z0-9]{16,}+"
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}+"
 KEY = r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/]{0,39}[a-z])(?=[A-Za-z0-9+/]{0,39}[A-Z])(?=[A-Za-z0-9+/]{0,39}[0-9])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])"
-USER = r"""(?i:\b(user|username|login|client_?id|access_?key_?id|account))["']? {0,4}[:=] {0,4}["']?[A-Za-z0-9+/_.@-]{3,128}+"""
-SERVICE = r"(?i:\b(?:https?|ftp|ssh|postgres|postgresql|mysql|mongodb|redis|amqp)://[^\s\"'<>]{4,512}+)"
+USER = r"""(?i:\b(user|username|login|client_?id|access_?key_?id|account))["']? {0,4}[:=] {0,4}["']?[A-Za-z0-9+/_.@-]{3,}+"""
+SERVICE = r"(?i:\b(?:https?|ftp|ssh|postgres|postgresql|mysql|mongodb|redis|amqp)://[^\s\"'<>]{4,}+)"
 
 
 def long_value(hit: Column) -> Column:
@@ -46,12 +46,13 @@ def find(text: Column) -> tuple[Column, Column]:
 
 def _parts(rows: DataFrame, column: str) -> DataFrame:
     roles = F.array(*[F.lit(r) for r in ROLES])
-    part = rows.select("at", F.explode(column).alias("part")).select("at", "part.*")
+    part = rows.select("at", F.posexplode(column).alias("place", "part"))
+    part = part.select("at", "place", "part.start", "part.end", "part.kind")  # a long hit would go into every bin of its span
     return part.withColumn("role", F.get(roles, F.col("kind"))).withColumn("strong", F.col("kind") < N_BASE)
 
 
 def linked(rows: DataFrame) -> DataFrame:
-    """at, linked: the weak spans of ``rows`` (at, base, weak) that a complementary part in their scope confirms."""
+    """at, linked: places in weak of the spans of ``rows`` (at, base, weak) that a complementary part in their scope confirms."""
     crowded = rows.where(F.size("weak") > 0)
     weak = _parts(crowded, "weak")
     partners = weak.unionByName(_parts(crowded, "base"))
@@ -73,8 +74,8 @@ def linked(rows: DataFrame) -> DataFrame:
         F.col("its_strong") | (F.lit(KINDS.index("key")) + KINDS.index("user") == F.col("kind") + F.col("its_kind"))
     )
     apart = (F.col("end") <= F.col("its_start")) | (F.col("its_end") <= F.col("start"))
-    found = left.join(right, near & complementary & apart, "left_semi").select("at", "start", "kind", "end", "hit", "near").distinct()
-    return found.groupBy("at").agg(F.collect_list(F.struct("start", "kind", "end", "hit", "near")).alias("linked"))
+    found = left.join(right, near & complementary & apart, "left_semi").select("at", "place").distinct()
+    return found.groupBy("at").agg(F.collect_list("place").alias("linked"))
 
 
 def secrets(docs: DataFrame) -> DataFrame:
@@ -86,7 +87,8 @@ def secrets(docs: DataFrame) -> DataFrame:
     rows = stage(rows.withColumn("at", F.monotonically_increasing_id()), "secret-parts")  # fixes ``at``
     links = linked(rows).withColumnRenamed("at", "of")
     joined = rows.join(links, rows["at"] == links["of"], "left")
-    return joined.select("row", "base", merged(F.col("base"), F.coalesce("linked", no_spans())).alias("all"))
+    confirmed = F.transform("linked", lambda place: F.get("weak", place))
+    return joined.select("row", "base", merged(F.col("base"), F.coalesce(confirmed, no_spans())).alias("all"))
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
