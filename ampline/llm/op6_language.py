@@ -11,12 +11,16 @@ Only words with a letter count, lower-cased, with their other characters removed
 get ``und`` with score 0; so does every text if nothing was learnt. Of languages with equal cost the one
 with more labelled texts wins, then the first in alphabetical order. The score is 1 less the ratio of the winner's cost to the next one's; 1 if it is the only one.
 Labels that are null are not learnt from; repeated rows are predicted one by one.
+
+All labels are learnt. Automata of BLOCK_LANGUAGES languages are held at once; with more, all texts are parsed against one
+block after the other, and the lowest and second lowest cost of each are brought together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +34,9 @@ from ampline.staging import stage
 
 TRAIN_TEXTS = 200        # texts learnt from for each language, at most
 SAMPLE_CHARS = 60_000    # characters of each language's automaton, at most
-MAX_LANGUAGES = 200      # languages learnt, those with the most texts
+SHARES = 20              # texts that fill a sample, at least, if the language has so many
+BLOCK_LANGUAGES = 200    # languages whose automata are held at once
+BROADCAST_ROWS = 400_000  # labels or chosen ids that are sent to all executors, at most
 HELD_OUT = (4, 2)        # a document is held out if crc32 of its id modulo the first is the second
 UNDECIDED = "und"
 NOT_LETTERS = r"[^\pL\pM]+"
@@ -47,6 +53,8 @@ class Automaton:
 
 @dataclass
 class Model:
+    """The languages of one block."""
+
     languages: list[str]
     automata: list[Automaton]
     alphabet: np.ndarray  # sorted code points; a code point's symbol is its place here
@@ -130,33 +138,56 @@ def is_held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulo == left, F.lit(False))
 
 
+def _sent(rows: DataFrame) -> DataFrame:
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def training_sample(docs: DataFrame) -> DataFrame:
-    """lang, n (labelled texts), place, text: at most TRAIN_TEXTS texts of each of the MAX_LANGUAGES most frequent labels, by hash of the id.
+    """lang, n (labelled texts), place, text: at most TRAIN_TEXTS texts of each label, by hash of the id.
 
     Ids are chosen without reading texts, and thinned by hash before they are ranked, so that a language with most of the
     rows sends few to its rank.
     """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~is_held_out(F.col("doc_id")))
-    most = labelled.groupBy(F.col("lang").alias("known")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "known").limit(MAX_LANGUAGES)
+    sizes = stage(labelled.groupBy(F.col("lang").alias("known")).agg(F.count(F.lit(1)).alias("n")), "language-sizes")
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = labelled.select("lang", "doc_id").join(F.broadcast(most), F.col("lang") == F.col("known"))  # MAX_LANGUAGES rows
+    ids = labelled.select("lang", "doc_id").join(_sent(sizes), F.col("lang") == F.col("known"))
     ids = ids.where(draw < 1.5 * TRAIN_TEXTS / F.col("n")).withColumn("rank", rank).where(F.col("rank") <= TRAIN_TEXTS)
-    ids = ids.select(F.col("lang").alias("of"), F.col("doc_id").alias("id"), "n").distinct()
-    # The hint holds at most TRAIN_TEXTS rows of each language.
-    return labelled.join(F.broadcast(ids), (F.col("lang") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id"))).select(
+    ids = stage(ids.select(F.col("lang").alias("of"), F.col("doc_id").alias("id"), "n").distinct(), "language-ids")
+    return labelled.join(_sent(ids), (F.col("lang") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id"))).select(
         "lang", "n", F.xxhash64("doc_id").alias("place"), F.substring("text", 1, SAMPLE_CHARS).alias("text")
     )
 
 
-def train(sample: DataFrame) -> Model:
-    """Build the automata on the driver, from at most TRAIN_TEXTS * SAMPLE_CHARS characters of each language.
+@dataclass
+class Trained:
+    """The sample and its languages in blocks, those with more labelled texts first."""
+
+    sample: DataFrame
+    blocks: list[list[str]]
+
+    def model(self, block: int) -> Model:
+        return build_model(self.sample.where(F.col("lang").isin(self.blocks[block]))) if self.blocks else Model([], [], np.array([], np.int64))
+
+
+def train(sample: DataFrame) -> Trained:
+    sizes = {row.lang: row.n for row in sample.select("lang", "n").distinct().collect()}
+    order = sorted(sizes, key=lambda x: (-sizes[x], x))
+    return Trained(sample, [order[i : i + BLOCK_LANGUAGES] for i in range(0, len(order), BLOCK_LANGUAGES)])
+
+
+def build_model(sample: DataFrame) -> Model:
+    """Build the automata of a block on the driver, from at most TRAIN_TEXTS / SHARES * SAMPLE_CHARS characters of each language.
 
     Every text gives an equal share of its language's sample, as far as it has one, so that a few long or copied texts
-    don't fill it; words that a language's texts have once are as good as frequent ones, and each is taken once.
+    don't fill it, and a larger one if the language has few texts; words that a language's texts have once are as good as
+    frequent ones, and each is taken once.
     """
-    share = SAMPLE_CHARS // 20
-    rows = sample.select("lang", "n", "place", F.substring("text", 1, share).alias("text")).dropDuplicates(["lang", "text"]).collect()
+    texts = sample.groupBy(F.col("lang").alias("of")).agg(F.count_distinct(F.xxhash64("text")).alias("texts"))
+    share = F.floor(SAMPLE_CHARS / F.least("texts", F.lit(SHARES))).cast("int")
+    rows = sample.join(F.broadcast(texts), F.col("lang") == F.col("of"))  # BLOCK_LANGUAGES rows
+    rows = rows.select("lang", "n", "place", F.substring("text", F.lit(1), share).alias("text")).dropDuplicates(["lang", "text"]).collect()
     words: dict[str, dict[str, None]] = {}
     for row in sorted(rows, key=lambda r: (r.lang, r.place, r.text)):
         known = words.setdefault(row.lang, {})
@@ -171,8 +202,8 @@ def train(sample: DataFrame) -> Model:
     return Model(list(texts), automata, np.array(alphabet, np.int64))
 
 
-def classify(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray]:
-    """Language and score of each text."""
+def lowest(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Of each text, the language of lowest cost, that cost and the second lowest; infinite if there is none."""
     words = split_words(texts)
     bare = letters(words.distinct)
     points, lengths = code_points(bare)
@@ -182,29 +213,55 @@ def classify(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray]:
     def totals(by_word: np.ndarray) -> np.ndarray:
         return np.diff(np.concatenate(([0], np.cumsum(by_word[words.codes])))[words.bounds])
 
-    decided = (totals(lengths) > 0) & (len(model.languages) > 0)
+    none = np.full(len(texts), np.inf)
     if not model.languages:
-        return [UNDECIDED] * len(texts), np.zeros(len(texts))
+        return [UNDECIDED] * len(texts), none, none
     costs = np.stack([totals(count_phrases(a, len(model.alphabet), symbols, lengths)) * a.phrase_bits for a in model.automata])
-    best = costs.argmin(axis=0)
-    low = costs.min(axis=0)
-    ordered = np.sort(costs, axis=0)
-    score = 1 - low / np.maximum(ordered[1], 1e-9) if len(costs) > 1 else np.ones(len(texts))
-    names = [model.languages[b] if d else UNDECIDED for b, d in zip(best.tolist(), decided.tolist())]
-    return names, np.where(decided, np.clip(score, 0, 1), 0.0)
+    decided = totals(lengths) > 0
+    names = [model.languages[b] if d else UNDECIDED for b, d in zip(costs.argmin(axis=0).tolist(), decided.tolist())]
+    second = np.sort(costs, axis=0)[1] if len(costs) > 1 else none
+    return names, np.where(decided, costs.min(axis=0), np.inf), np.where(decided, second, np.inf)
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
+def predict(docs: DataFrame, trained: Trained) -> DataFrame:
     """doc_id, lang_pred and score of every row; only the text is looked at."""
     ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_LANGUAGES automata of SAMPLE_CHARS characters
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
-            names, score = classify(shared.value, string_column(batch.column(1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, with_fields(docs.select("doc_id"), "lang_pred string, score double"))
+    context = docs.sparkSession.sparkContext
+    some = len(trained.blocks) > 1
+    rows = docs.select("doc_id", "text")
+    if some:
+        rows = stage(rows.withColumn("at", F.monotonically_increasing_id()), "language-texts")  # fixes ``at``
+
+    def parsed(block: int) -> tuple[DataFrame, object]:
+        shared = context.broadcast(trained.model(block))  # at most BLOCK_LANGUAGES automata of SAMPLE_CHARS characters
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in text_slices(batches):
+                names, low, second = lowest(shared.value, string_column(batch.column(1)))
+                keys = {n: batch.column(i) for i, n in enumerate(batch.schema.names) if n != "text"}
+                yield pa.RecordBatch.from_pydict(keys | {"lang_pred": pa.array(names, pa.string()), "low": pa.array(low), "second": pa.array(second)})
+
+        keys = rows.drop("text")
+        return rows.mapInArrow(run, with_fields(keys, "lang_pred string, low double, second double")), shared
+
+    if some:
+        tables = []
+        for block in range(len(trained.blocks)):
+            table, shared = parsed(block)
+            tables.append(stage(table.withColumn("block", F.lit(block)), f"language-costs-{block}"))
+            shared.unpersist()
+        every = reduce(DataFrame.unionByName, tables)
+        ranked = F.array_sort(F.collect_list(F.struct("low", "block", "lang_pred", "second")))  # one entry a block
+        best = every.groupBy("at").agg(F.first("doc_id").alias("doc_id"), ranked.alias("best"))
+        found = best.select("doc_id", F.col("best")[0]["lang_pred"].alias("lang_pred"), F.col("best")[0]["low"].alias("low"),
+                            F.least(F.col("best")[0]["second"], F.col("best")[1]["low"]).alias("second"))
+    else:
+        found, _ = parsed(0)
+    # Infinity over infinity is no number, of texts without a language.
+    score = F.when(F.col("lang_pred") == UNDECIDED, 0.0).when(F.col("second") == float("inf"), 1.0).otherwise(
+        F.greatest(F.lit(0.0), 1 - F.col("low") / F.greatest("second", F.lit(1e-9)))
+    )
+    return found.select("doc_id", "lang_pred", F.when(F.col("low") == float("inf"), 0.0).otherwise(score).alias("score"))
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
