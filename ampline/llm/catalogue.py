@@ -13,6 +13,10 @@ from ampline.llm.op8_simhash import op8_simhash
 from ampline.llm.op9_dedup import ORACLE_SQL as OP9_SQL
 from ampline.llm.op9_dedup import op9_dedup
 from ampline.llm.op10_quality import op10_quality
+from ampline.llm.op11_runs import op11_runs
+from ampline.llm.op12_shards import op12_shards
+from ampline.llm.op13_negatives import ORACLE_SQL as OP13_SQL
+from ampline.llm.op13_negatives import op13_negatives
 
 QUERIES = {
     "op1_pii": op1_pii,
@@ -25,8 +29,12 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_dedup": op9_dedup,
     "op10_quality": op10_quality,
+    "op11_runs": op11_runs,
+    "op12_shards": op12_shards,
+    "op13_negatives": op13_negatives,
 }
 
 ORACLES: dict[str, str] = {
     "op9_dedup": OP9_SQL,
+    "op13_negatives": OP13_SQL,
 }
