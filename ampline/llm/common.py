@@ -48,8 +48,10 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut batches so that a slice holds about SLICE_BYTES of text, but at least one row."""
+def text_slices(
+    batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that a slice holds about ``most`` bytes of text, but at least one row."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -59,7 +61,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iter
         start = 0
         while start < batch.num_rows:
             done = int(ends[start - 1]) if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, done + SLICE_BYTES, "right")))
+            stop = max(start + 1, int(np.searchsorted(ends, done + most, "right")))
             yield batch.slice(start, stop - start)
             start = stop
 

@@ -14,7 +14,7 @@ A run is a longest stretch of words in which words ``period`` apart are equal, w
 
 A stretch whose words have several periods is found with each; the smallest counts.
 
-All rows are handled in one pass without a shuffle, in slices of about SLICE_BYTES of text; a longer text is a slice by
+All rows are handled in one pass without a shuffle, in slices of about RUN_BYTES of text; a longer text is a slice by
 itself. Null and empty texts have no words, no runs and an empty collapsed text. Rows with equal ids are handled one by
 one; all columns of ``docs`` but those of the result are left out, so their names cannot clash.
 """
@@ -36,6 +36,7 @@ from ampline.llm.words import split_words
 LEAST_WORDS = 6
 LEAST_EXPONENT = 4
 FIRST_SCALE = 8
+RUN_BYTES = 2 << 20  # of text in a slice; a word takes some 200 bytes while its slice is searched
 RESULT = "n_words bigint, runs array<struct<start: bigint, length: bigint, period: bigint>>, collapsed string"
 
 
@@ -190,7 +191,7 @@ def collapse_runs(docs: DataFrame, keys: list[str], least_words: int = LEAST_WOR
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, most=RUN_BYTES):
             words = split_words(string_column(batch.column(len(keys))))
             bounds = np.asarray(words.bounds, np.int64)
             runs = find_runs(words.codes, bounds, least_words, least_exponent)
