@@ -23,6 +23,8 @@ class Params:
     # Scale: these change how work is split, never the result.
     slice_sec: int = 3600
     max_slice_rows: int = 2_000_000
+    scan_block_rows: int = 200_000
+    chain_slices: int = 64
     broadcast_rows: int = 500_000
 
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ampline.config import Params
 from ampline.functions.scalars import SECOND, file_chunk, micros, no_chunk, round2, seconds_between
-from ampline.operators.slices import UP_TO_HERE, HotCells, in_slice, over_slices, with_context, with_slice
+from ampline.operators.scan import scanned
+from ampline.operators.slices import UP_TO_HERE, VEHICLE, HotCells, in_slice, scan_block, with_context, with_slice
 from ampline.staging import stage
 
 ORDER = ["us", "kind", "prio", "ord1", "ord2"]
@@ -39,7 +40,10 @@ def charge_pairs(candidates: DataFrame, hot: HotCells | None, p: Params) -> Data
     )
     me = "struct(event_ts, battery_pct)"
     ignition = "if(kind = 0, event, null)"
-    paired = with_context(placed, ORDER, before={"state_before": ignition}, after={"first_after": me}).selectExpr(
+    context = with_context(
+        placed, ORDER, before={"state_before": ignition}, after={"first_after": me}, block_rows=scan_block(hot, p)
+    )
+    paired = context.selectExpr(
         "vehicle_id", "event_ts", "battery_pct",
         f"coalesce(lead({me}) {in_slice(ORDER)}, first_after) as to",
         f"coalesce(last({ignition}) ignore nulls {in_slice(ORDER, frame=UP_TO_HERE)}, state_before, 'unknown') as state",
@@ -81,17 +85,21 @@ def merge_sessions(raw: DataFrame, hot: HotCells | None, p: Params) -> DataFrame
     inner = placed.selectExpr("*", f"lag(end_us) {in_slice(['us'])} as prev_end").selectExpr(
         "*", f"if(us - prev_end > {apart}, us, null) as opens"
     )
+    # A slice is summed up by its first start, last end and last opening; whether its head opens a joined session
+    # hangs on the last end before it, and then the last opening before it is known.
+    block_rows = scan_block(hot, p)
     ends = inner.groupBy("vehicle_id", "slice").agg(
         F.expr("min(us) as first_us"), F.expr("max(end_us) as last_end"), F.expr("max(opens) as last_opens")
     )
-    context = (
-        ends.selectExpr("*", f"lag(last_end) {over_slices()} as carried_end")
-        .selectExpr("*", f"if(carried_end is null or first_us - carried_end > {apart}, first_us, null) as head_opens")
-        .selectExpr(
-            "vehicle_id", "slice", "head_opens",
-            f"last(coalesce(last_opens, head_opens)) ignore nulls "
-            f"{over_slices(frame='rows between unbounded preceding and 1 preceding')} as carried_opens",
-        )
+    if block_rows is not None:
+        ends = stage(ends, "session-ends")
+    heads = scanned(ends, VEHICLE, "slice", {"carried_end": "last_end"}, block_rows=block_rows).selectExpr(
+        "*", f"if(carried_end is null or first_us - carried_end > {apart}, first_us, null) as head_opens"
+    ).selectExpr("*", "coalesce(last_opens, head_opens) as own_opens")
+    if block_rows is not None:
+        heads = stage(heads, "session-heads")
+    context = scanned(heads, VEHICLE, "slice", {"carried_opens": "own_opens"}, block_rows=block_rows).select(
+        "vehicle_id", "slice", "head_opens", "carried_opens"
     )
     seen = f"last(opens) ignore nulls {in_slice(['us'], frame=UP_TO_HERE)}"
     merged = (

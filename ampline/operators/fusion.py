@@ -5,20 +5,28 @@ before: it heads an independent run. The rows of a run less than 10 s after its
 so only the rest of longer runs need a walk from kept event to kept event. Runs are cut at
 slice borders; rows that go on with the run of the previous slice need only the time of the
 last event kept there.
+
+A run that fills whole slices turns each of them into a function from the last kept time before
+it to the last kept time in it. Blocks of neighbouring slices are composed into one function,
+blocks of blocks again, until a run has one block; then the known first time goes back down,
+from each block to the slices in it. No group holds more than ``chain_slices`` slices.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampline.config import Params
 from ampline.functions.scalars import SECOND, file_chunk, micros, no_chunk
-from ampline.operators.slices import UP_TO_HERE, HotCells, in_slice, over_slices, with_context, with_slice
+from ampline.operators.ranking import numbered
+from ampline.operators.scan import scanned
+from ampline.operators.slices import UP_TO_HERE, VEHICLE, HotCells, in_slice, scan_block, with_context, with_slice
 from ampline.staging import stage
 
 # At equal times the source with the lower number comes first.
@@ -56,7 +64,7 @@ def _open_rows(recorded: DataFrame, synthetic: DataFrame, hot: HotCells | None,
     chunk = f"if(source = 'TRG', {no_chunk('prio')}, {file_chunk(single, 'ord2', 'prio')})"
     placed = stage(with_slice(single, chunk, hot, p), "fusion-input")
     rows = (
-        with_context(placed, ORDER, before={"carried": "struct(event, us)"})
+        with_context(placed, ORDER, before={"carried": "struct(event, us)"}, block_rows=scan_block(hot, p))
         .selectExpr(
             "*", f"coalesce(lag(event) {in_slice(ORDER)}, carried.event) as prev_event",
             f"coalesce(lag(us) {in_slice(ORDER)}, carried.us) as prev_us",
@@ -68,84 +76,192 @@ def _open_rows(recorded: DataFrame, synthetic: DataFrame, hot: HotCells | None,
     return stage(rows.drop("carried", "prev_event", "prev_us"), "fusion-rows")
 
 
-def jump_table(us: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray]:
-    """Possible first kept times of a piece, and the last kept time each leads to."""
+# ---- long runs ----------------------------------------------------------------------------------------------------
+
+RUN = ["vehicle_id", "start_us"]  # a vehicle's run by its last kept time before the slices that it fills
+STEPS = "seq bigint, limit_us bigint, entry_us array<bigint>, exit_us array<bigint>"
+SEEDS = "vehicle_id string, start_us bigint, seq bigint, seed_us bigint"
+
+
+@dataclass(frozen=True)
+class Steps:
+    """From the last kept time before a stretch of a run to the last one in it.
+
+    The first of ``entry`` that is at least ``gap`` later than the time before gives the ``exit`` at its place; where
+    there is none, nothing of the stretch is kept. A time before lies before the stretch, so no entry much behind
+    ``limit``, the stretch's first time and the gap, is needed.
+    """
+
+    limit: int
+    entry: np.ndarray
+    exit: np.ndarray
+
+    def __call__(self, before: np.ndarray, gap: int) -> np.ndarray:
+        at = np.searchsorted(self.entry, before + gap)
+        return np.append(self.exit, 0)[at] * (at < len(self.entry)) + before * (at >= len(self.entry))
+
+
+def steps_of(us: np.ndarray, gap: int) -> Steps:
+    """The function of one slice's times."""
     n = len(us)
-    entries = min(n, int(np.searchsorted(us, us[0] + gap)) + 1)
     jump = np.searchsorted(us, us + gap)
     end = np.where(jump < n, jump, np.arange(n))
     while True:  # each round doubles the number of jumps taken
         further = end[end]
         if np.array_equal(further, end):
-            return us[:entries], us[end[:entries]]
+            return _shortened(int(us[0]) + gap, us, us[end])
         end = further
 
 
-def _jump_tables(batches: Iterator[pd.DataFrame], gap: int) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        tables = [jump_table(np.asarray(us, dtype=np.int64), gap) for us in batch["times"]]
-        yield pd.DataFrame({
-            "vehicle_id": batch["vehicle_id"],
-            "seq": batch["seq"],
-            "entry_us": [t[0] for t in tables],
-            "exit_us": [t[1] for t in tables],
-        })
-
-
-def _walk(run: pd.DataFrame, gap: int) -> pd.DataFrame:
-    """Carry the last kept time through the slices of one long run."""
-    run = run.sort_values("seq")
-    last = int(run["start_us"].iloc[0])
-    seeds = []
-    for entries, exits in zip(run["entry_us"], run["exit_us"]):
-        seeds.append(last)
-        if entries is not None:
-            i = int(np.searchsorted(entries, last + gap))
-            if i < len(entries):
-                last = int(exits[i])
-    return pd.DataFrame({"vehicle_id": run["vehicle_id"], "seq": run["seq"], "seed_us": seeds})
-
-
-def _through_covered(chain: DataFrame, groups: DataFrame, gap: int) -> DataFrame:
-    """Seeds behind slices filled by one unbroken run: what leaves them depends on what enters."""
-    chain = stage(chain, "fusion-chain")
-    tables = (
-        chain.where("covered").join(groups, ["vehicle_id", "slice"])
-        .select("vehicle_id", "seq", "times")
-        .mapInPandas(
-            lambda batches: _jump_tables(batches, gap),
-            "vehicle_id string, seq bigint, entry_us array<bigint>, exit_us array<bigint>",
+def _shortened(limit: int, entry: np.ndarray, exit: np.ndarray) -> Steps:
+    """Without entries that no time before can reach, and with the last one only of those that lead to one exit."""
+    n = int(np.searchsorted(entry, limit)) + 1
+    entry, exit = entry[:n], exit[:n]
+    last = np.append(exit[1:] != exit[:-1], True)
+    return Steps(limit, entry[last], exit[last])
+
+
+def composed(steps: list[Steps], gap: int) -> Steps:
+    """The function of a stretch from those of its pieces, in order."""
+    whole = steps[0]
+    for piece in steps[1:]:
+        further = piece.entry > whole.entry[-1]  # reached by a time that keeps nothing of the pieces so far
+        whole = _shortened(
+            whole.limit, np.concatenate((whole.entry, piece.entry[further])),
+            np.concatenate((piece(whole.exit, gap), piece.exit[further])),
         )
+    return whole
+
+
+def walked(steps: list[Steps | None], seed: int, gap: int) -> list[int]:
+    """The last kept time before each piece."""
+    seeds, last = [], np.array([seed])
+    for piece in steps:
+        seeds.append(int(last[0]))
+        if piece is not None:
+            last = piece(last, gap)
+    return seeds
+
+
+def _links(batch: pa.RecordBatch, row: int) -> tuple[list[int], list[Steps | None]]:
+    links = batch.column("links")[row].values
+    seqs, limits, entries, exits = (links.field(name) for name in ("seq", "limit_us", "entry_us", "exit_us"))
+    steps = [
+        Steps(limits[i].as_py(), np.asarray(entries[i].values), np.asarray(exits[i].values)) if limits[i].is_valid else None
+        for i in range(len(links))
+    ]
+    return seqs.to_pylist(), steps
+
+
+def _table(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"string": pa.string(), "bigint": pa.int64(), "array<bigint>": pa.list_(pa.int64())}
+    fields = [f.split(" ") for f in schema.split(", ")]
+    columns = zip(*rows) if rows else [[]] * len(fields)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(column, kinds[kind]) for column, (_, kind) in zip(columns, fields)], names=[name for name, _ in fields]
     )
-    # A group is one run: its covered slices and the one after them, one row each.
-    walked = (
-        chain.where("goes_on and (covered or after_covered)").join(tables, ["vehicle_id", "seq"], "left")
-        .select("vehicle_id", "seq", "start_us", "entry_us", "exit_us")
-        .groupBy("vehicle_id", "start_us")
-        .applyInPandas(lambda run: _walk(run, gap), "vehicle_id string, seq bigint, seed_us bigint")
+
+
+def _each_row(work: Callable[[pa.RecordBatch, int], list[tuple]], schema: str):
+    """An Arrow function that turns each row into the rows that ``work`` gives."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _table([out for row in range(batch.num_rows) for out in work(batch, row)], schema)
+
+    return run
+
+
+def _slice_steps(covered: DataFrame, gap: int) -> DataFrame:
+    def work(batch: pa.RecordBatch, row: int) -> list[tuple]:
+        vehicle, start, seq = (batch.column(i)[row].as_py() for i in range(3))
+        steps = steps_of(np.asarray(batch.column("times")[row].values), gap)
+        return [(vehicle, start, seq, steps.limit, steps.entry, steps.exit)]
+
+    schema = f"vehicle_id string, start_us bigint, {STEPS}"
+    return covered.select(*RUN, "seq", "times").mapInArrow(_each_row(work, schema), schema)
+
+
+def _in_blocks(links: DataFrame, block: str) -> DataFrame:
+    """The links of a run's blocks as one list each."""
+    return links.groupBy(*RUN, F.expr(block).alias("block")).agg(
+        F.expr("sort_array(collect_list(struct(seq, limit_us, entry_us, exit_us))) as links")
     )
-    return chain.where("goes_on and after_covered").join(walked, ["vehicle_id", "seq"]).select(
-        "vehicle_id", "slice", "seed_us"
+
+
+def _composed_blocks(links: DataFrame, size: int, gap: int) -> DataFrame:
+    def work(batch: pa.RecordBatch, row: int) -> list[tuple]:
+        vehicle, start, block = (batch.column(i)[row].as_py() for i in range(3))
+        steps = [s for s in _links(batch, row)[1] if s is not None]
+        whole = composed(steps, gap) if steps else None
+        return [(vehicle, start, block, whole.limit, whole.entry, whole.exit) if whole else (vehicle, start, block, None, None, None)]
+
+    schema = f"vehicle_id string, start_us bigint, {STEPS}"
+    return _in_blocks(links, f"seq div {size}").mapInArrow(_each_row(work, schema), schema)
+
+
+def _walked_blocks(blocks: DataFrame, gap: int) -> DataFrame:
+    """``blocks``: a run's blocks with their links and their ``seed_us``. Returns the seeds of the links."""
+
+    def work(batch: pa.RecordBatch, row: int) -> list[tuple]:
+        vehicle, start, seed = (batch.column(name)[row].as_py() for name in (*RUN, "seed_us"))
+        seqs, steps = _links(batch, row)
+        return [(vehicle, start, seq, last) for seq, last in zip(seqs, walked(steps, seed, gap))]
+
+    return blocks.mapInArrow(_each_row(work, SEEDS), SEEDS)
+
+
+def _chained(links: DataFrame, size: int, gap: int) -> DataFrame:
+    """Seeds of all links of all runs, by rounds of blocks of ``size`` neighbours."""
+    levels = [links]
+    while True:
+        reach = levels[-1].groupBy(*RUN).agg(F.expr("max(seq) - min(seq) as reach")).agg(F.max("reach")).first()[0]
+        if reach is None or reach < size:
+            break
+        levels.append(stage(_composed_blocks(levels[-1], size, gap), "fusion-blocks"))
+    top = _in_blocks(levels[-1], "0L").withColumn("seed_us", F.col("start_us"))
+    seeds = _walked_blocks(top, gap)
+    for level in reversed(levels[:-1]):
+        outer = stage(seeds, "fusion-seeds").withColumnRenamed("seq", "block")
+        seeds = _walked_blocks(_in_blocks(level, f"seq div {size}").join(outer, [*RUN, "block"]), gap)
+    return seeds
+
+
+def _through_covered(chain: DataFrame, groups: DataFrame, p: Params, gap: int) -> DataFrame:
+    """Seeds behind slices filled by one unbroken run: what leaves them depends on what enters."""
+    # The covered slices of a run and the one after them have consecutive numbers.
+    parts = chain.where("covered or after_covered")
+    links = stage(numbered(parts, ["vehicle_id", "slice"], "seq"), "fusion-links")
+    steps = _slice_steps(links.where("covered").join(groups, ["vehicle_id", "slice"]), gap)
+    ends = links.where("not covered").selectExpr(
+        *RUN, "seq", "cast(null as bigint) as limit_us", "cast(null as array<bigint>) as entry_us",
+        "cast(null as array<bigint>) as exit_us",
     )
+    seeds = _chained(stage(steps.unionByName(ends), "fusion-steps"), p.chain_slices, gap)
+    return links.where("after_covered").select("vehicle_id", "slice", "seq").join(
+        seeds.select("seq", "seed_us"), "seq"
+    ).select("vehicle_id", "slice", "seed_us")
 
 
-def _seeds(rows: DataFrame, kept: DataFrame, going_on: DataFrame, gap: int) -> DataFrame:
+def _seeds(rows: DataFrame, kept: DataFrame, going_on: DataFrame, hot: HotCells | None, p: Params, gap: int) -> DataFrame:
     """Last kept time before each slice that goes on with a run: vehicle_id, slice, seed_us."""
     tails = kept.groupBy("vehicle_id", "slice").agg(F.expr("max(us) as tail_us"))
     ends = rows.groupBy("vehicle_id", "slice").agg(
         F.expr("max(head_us is null) as goes_on"), F.expr("not max(opens) as covered")
     )
-    earlier = over_slices(frame="rows between unbounded preceding and 1 preceding")
-    chain = ends.join(tails, ["vehicle_id", "slice"], "left").selectExpr(
-        "vehicle_id", "slice", "goes_on", "covered",
-        f"last(tail_us) ignore nulls {earlier} as start_us",
-        f"cast(row_number() {over_slices()} as bigint) as seq",
-        f"coalesce(lag(covered) {over_slices()}, false) as after_covered",
-    ).where("goes_on")
+    slices, block_rows = ends.join(tails, ["vehicle_id", "slice"], "left"), scan_block(hot, p)
+    if block_rows is not None:
+        slices = stage(slices, "fusion-ends")
+    chain = scanned(
+        slices, VEHICLE, "slice", {"start_us": "tail_us", "before_covered": "covered"}, block_rows=block_rows
+    ).where("goes_on").selectExpr(
+        "vehicle_id", "slice", "covered", "start_us", "coalesce(before_covered, false) as after_covered"
+    )
+    chain = stage(chain, "fusion-chain")
     seeds = chain.where("not after_covered").selectExpr("vehicle_id", "slice", "start_us as seed_us")
     if chain.where("covered").isEmpty():
         return seeds
-    return seeds.unionByName(_through_covered(chain, going_on, gap))
+    return seeds.unionByName(_through_covered(chain, going_on, p, gap))
 
 
 def fuse(recorded: DataFrame, synthetic: DataFrame, hot: HotCells | None, p: Params) -> DataFrame:
@@ -170,6 +286,6 @@ def fuse(recorded: DataFrame, synthetic: DataFrame, hot: HotCells | None, p: Par
     kept = heads.unionByName(walk(groups.where("head_us is not null"), "head_us"))
     if not rows.where("head_us is null").isEmpty():
         going_on = groups.where("head_us is null")
-        seeded = going_on.join(_seeds(rows, kept, going_on, gap), ["vehicle_id", "slice"])
+        seeded = going_on.join(_seeds(rows, kept, going_on, hot, p, gap), ["vehicle_id", "slice"])
         kept = kept.unionByName(walk(seeded, "seed_us"))
     return kept.select("vehicle_id", "event", "event_ts", "source", "prio", "ord1", "ord2")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from ampline.config import Params
 from ampline.functions.scalars import file_chunk, micros, no_chunk
-from ampline.operators.slices import HotCells, in_slice, with_context, with_slice
+from ampline.operators.slices import HotCells, in_slice, scan_block, with_context, with_slice
 from ampline.staging import stage
 
 EVENT_COLUMNS = ["vehicle_id", "event", "event_ts", "source", "ord1", "ord2"]
@@ -45,7 +45,7 @@ def ignition_changes(rows: DataFrame, hot: HotCells | None, p: Params) -> DataFr
         "previous is null or previous <> status"
     )
     kept = stage(local, "status-changes")
-    seen = with_context(kept, order, before={"carried": "status"}, key=SEQUENCE)
+    seen = with_context(kept, order, before={"carried": "status"}, key=SEQUENCE, block_rows=scan_block(hot, p))
     return seen.where("coalesce(previous, carried, '') <> status").selectExpr(
         "vehicle_id", "if(status = 'on', 'ignitionOn', 'ignitionOff') as event", "event_ts", "source", "ord1", "ord2"
     )
