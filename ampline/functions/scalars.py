@@ -15,6 +15,7 @@ LOCAL_ZONE = "Asia/Kolkata"
 
 _NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 _DATE_FIRST = r"^\s*\d{4}(-|\s*$)"
+_OFFSET = r"(?i)(?<=:\d{2}|\.\d{1,9}|[AP]M)\s*(Z|UTC|GMT|[+-]\d{2}(:?\d{2})?)$"
 _TIME_WITH_OFFSET = r"(?i):\d{2}(:\d{2}(\.\d+)?)?\s*(Z|UTC|GMT|[+-]\d{2}(:?\d{2})?)\s*$"
 
 
@@ -59,10 +60,9 @@ def to_number(text: str) -> str:
     return f"case when {text} rlike r'{_NUMBER}' then try_cast(trim({text}) as double) end"
 
 
-def _in_formats(text: str, parsed: str, formats: tuple[str, ...]) -> str:
-    """``parsed``, or else the text read by the first format (a Spark datetime pattern) that fits it."""
-    others = [f"cast(try_to_timestamp({text}, '{f}') as timestamp_ntz)" for f in formats]
-    return f"coalesce({', '.join([parsed, *others])})" if others else parsed
+def _by_formats(text: str, formats: tuple[str, ...]) -> str:
+    """Text read by the first format (a Spark datetime pattern) that fits it."""
+    return "coalesce(" + ", ".join(f'cast(try_to_timestamp({text}, "{f}") as timestamp_ntz)' for f in formats) + ")"
 
 
 def parse_local(text: str, formats: tuple[str, ...] = ()) -> str:
@@ -71,13 +71,23 @@ def parse_local(text: str, formats: tuple[str, ...] = ()) -> str:
         f"case when {text} rlike r'{_DATE_FIRST}' and not {text} rlike r'{_TIME_WITH_OFFSET}' "
         f"then try_cast(trim({text}) as timestamp_ntz) end"
     )
-    return _in_formats(strip(text), parsed, formats)
+    return f"coalesce({parsed}, {_by_formats(strip(text), formats)})" if formats else parsed
+
+
+def _with_colon(text: str) -> str:
+    """Stripped text whose offset, if it has one, is written with a colon."""
+    dated = rf"regexp_replace({strip(text)}, r'\s*IST\+0530', '+05:30')"
+    return rf"regexp_replace({dated}, r'(:\d{{2}}(?:\.\d+)?)\s*([+-]\d{{2}})(\d{{2}})$', '$1$2:$3')"
+
+
+def without_offset(text: str) -> str:
+    """The text of a time without its offset, if it has one."""
+    return rf"regexp_replace({_with_colon(text)}, r'{_OFFSET}', '')"
 
 
 def parse_to_ist(text: str, formats: tuple[str, ...] = ()) -> str:
     """Text read as UTC unless it names an offset, shifted to Indian wall clock."""
-    dated = rf"regexp_replace({strip(text)}, r'\s*IST\+0530', '+05:30')"
-    colon = rf"regexp_replace({dated}, r'(:\d{{2}}(?:\.\d+)?)\s*([+-]\d{{2}})(\d{{2}})$', '$1$2:$3')"
+    colon = _with_colon(text)
     zoned = (
         f"case when {colon} rlike r'{_TIME_WITH_OFFSET}' then {colon} "
         f"when {colon} rlike r':\\d{{2}}' then concat({colon}, 'Z') "
@@ -85,8 +95,11 @@ def parse_to_ist(text: str, formats: tuple[str, ...] = ()) -> str:
         f"else {colon} end"
     )
     instant = f"case when {text} rlike r'{_DATE_FIRST}' then try_cast({zoned} as timestamp) end"
-    utc = _in_formats(strip(text), f"cast({instant} as timestamp_ntz)", formats)
-    return f"convert_timezone('UTC', '{LOCAL_ZONE}', {utc})"
+    if formats:
+        naive = f"date_format({_by_formats(without_offset(text), formats)}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
+        offset = f"coalesce(nullif(trim(regexp_extract({colon}, r'{_OFFSET}', 0)), ''), 'Z')"
+        instant = f"coalesce({instant}, try_cast(concat({naive}, {offset}) as timestamp))"
+    return f"convert_timezone('UTC', '{LOCAL_ZONE}', cast({instant} as timestamp_ntz))"
 
 
 def with_id_list(df: DataFrame, text: str, name: str) -> DataFrame:

@@ -1,4 +1,7 @@
-"""Data-quality findings: one row per finding that fires, and the offending values behind them.
+"""Data-quality findings: one row per finding that fires, and the offending values and rows behind them.
+
+Counts are figures: SQL aggregates by name. They are taken of a table by an aggregate (``figures_of``), or while it is
+written (``staging.measured``), and then no further pass reads its rows.
 
 Columns: stage, k1 and k2 (report order), rule, item (vehicle, PNID or column, else empty),
 n_rows and detail (the report line).
@@ -6,7 +9,7 @@ n_rows and detail (the report line).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampline.config import Params
@@ -14,6 +17,7 @@ from ampline.functions.scalars import as_place, file_chunk, file_place, python_q
 from ampline.operators.cleaning import BATTERY, SPEED, STATUS, TRIGGER_FAULT
 from ampline.operators.mapping import claims
 from ampline.operators.slices import in_slice, with_context
+from ampline.sources.readers import Note, with_faults
 
 # Fixed values, here and in the texts below: checked columns, rule numbers, wording of the report.
 CHECKED_COLUMNS = ["SPEED", "IGNITION_STATUS", "EV_BATTERY_LEVEL", "ODOMETER"]
@@ -45,21 +49,59 @@ def _counted(totals: DataFrame, entries: list[tuple[int, str, str]], more: list[
     return totals.selectExpr(f"inline(array({', '.join([*rows, *more])}))").where("n_rows > 0")
 
 
+def figures_of(df: DataFrame, figures: dict[str, str]) -> DataFrame:
+    """The figures of a table, as one row."""
+    return df.selectExpr(*[f"{value} as {name}" for name, value in figures.items()])
+
+
+def _faulty(kind: str, item: str = "") -> str:
+    return f"exists(faults, f -> f.kind = '{kind}' and f.item = '{item}')"
+
+
+MALFORMED = _faulty("malformed")
+TLM_NUMBERS = ["SPEED", "EV_BATTERY_LEVEL", "ODOMETER"]
+TLM_RAW = {
+    "bad_time": "count_if(TIMESTAMP is null)",
+    "unknown": f"count_if(TIMESTAMP is not null and {STATUS} = 'unknown')",
+    "high": f"count_if(TIMESTAMP is not null and {BATTERY} > 100)",
+    "negative": f"count_if(TIMESTAMP is not null and {BATTERY} < 0)",
+    "slow": f"count_if(TIMESTAMP is not null and {SPEED} < 0)",
+    "timed": "count_if(TIMESTAMP is not null)",
+    "malformed": f"count_if({MALFORMED})",
+    **{f"lost_{name}": f"count_if({_faulty('number', name)})" for name in TLM_NUMBERS},
+}
+TLM_CLEAN = {
+    "n": "count(*)", "no_vehicle": "count_if(VEHICLE_ID is null)", **{name: f"count({name})" for name in CHECKED_COLUMNS},
+}
+TRG_RAW = {
+    "bad_time": "count_if(CTS is null)",
+    "valid": f"count_if(CTS is not null and ({TRIGGER_FAULT}) is null)",
+    "malformed": f"count_if({MALFORMED})",
+    "lost_PNID": f"count_if({_faulty('number', 'PNID')})",
+}
+
+
+def _lost(tag: str, stage: int, names: list[str]) -> list[str]:
+    """Records and cells that could not be read as they should; findings of this engine, behind the others of the feed."""
+    malformed = f"format_string('{tag}: %d malformed records — extra cells dropped, missing ones empty.', malformed)"
+    number = (
+        lambda name: f"""format_string("{tag}: Column '{name}' has %d unreadable numbers — treated as missing.", lost_{name})"""
+    )
+    return [
+        _entry(stage, "malformed", malformed, place=100, rule="MALFORMED"),
+        *[_entry(stage, f"lost_{n}", number(n), n, 101 + i, "NUMBER") for i, n in enumerate(names)],
+    ]
+
+
 def tlm_findings(raw: DataFrame, clean: DataFrame, p: Params) -> DataFrame:
-    """Findings of the telemetry, from one aggregate of the raw rows and one of the cleaned ones."""
-    cleaned = clean.selectExpr(
-        "count(*) as n", "count_if(VEHICLE_ID is null) as no_vehicle", *[f"count({c}) as {c}" for c in CHECKED_COLUMNS]
-    ).selectExpr("struct(*) as c")
-    totals = raw.selectExpr(
-        "TIMESTAMP is not null as timed", f"{STATUS} as status", f"{BATTERY} as battery", f"{SPEED} as speed"
-    ).selectExpr(
-        "count_if(not timed) as bad_time",
-        "count_if(timed and status = 'unknown') as unknown",
-        "count_if(timed and battery > 100) as high",
-        "count_if(timed and battery < 0) as negative",
-        "count_if(timed and speed < 0) as slow",
-        "count_if(timed) as timed",
-    ).select("*", cleaned.scalar().alias("c")).selectExpr("*", "timed - c.n as repeated", "c.no_vehicle as no_vehicle")
+    return tlm_findings_from(figures_of(with_faults(raw), TLM_RAW), figures_of(clean, TLM_CLEAN), p)
+
+
+def tlm_findings_from(raw: DataFrame, clean: DataFrame, p: Params) -> DataFrame:
+    """Findings of the telemetry from the figures of its raw and cleaned rows."""
+    totals = raw.select("*", clean.selectExpr("struct(*) as c").scalar().alias("c")).selectExpr(
+        "*", "timed - c.n as repeated", "c.no_vehicle as no_vehicle"
+    )
     sparse = [
         _entry(
             7, f"if(100 * (c.n - c.{name}) / nullif(c.n, 0) > {p.null_alert_pct}, c.n - c.{name}, 0)",
@@ -76,7 +118,7 @@ def tlm_findings(raw: DataFrame, clean: DataFrame, p: Params) -> DataFrame:
         (4, "negative", "TLM: %d negative battery readings — set to NaN."),
         (5, "slow", "TLM: %d negative speed readings — set to 0."),
         (6, "repeated", "TLM: %d duplicate row IDs — deduplicated."),
-    ], [*sparse, _no_vehicle("TLM", 7)])
+    ], [*sparse, _no_vehicle("TLM", 7), *_lost("TLM", 7, TLM_NUMBERS)])
 
 
 def _no_vehicle(tag: str, stage: int) -> str:
@@ -87,7 +129,10 @@ def _no_vehicle(tag: str, stage: int) -> str:
 
 def null_ratios(clean: DataFrame) -> DataFrame:
     """place, column_name, n_null, n_rows, pct_null for the checked columns of the cleaned telemetry."""
-    totals = clean.selectExpr("count(*) as n", *[f"count({c}) as {c}" for c in CHECKED_COLUMNS])
+    return null_ratios_from(figures_of(clean, TLM_CLEAN))
+
+
+def null_ratios_from(totals: DataFrame) -> DataFrame:
     rows = ", ".join(
         f"named_struct('place', {i}, 'column_name', '{c}', 'n_null', n - {c}, 'n_rows', n)"
         for i, c in enumerate(CHECKED_COLUMNS)
@@ -97,6 +142,17 @@ def null_ratios(clean: DataFrame) -> DataFrame:
     )
 
 
+def rule_totals(offending: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``value_totals`` of the triggers' faults and of the unmapped PNIDs, from the table of all offending values."""
+    fault = " ".join(f"when 'DQ-{number}' then '{name}'" for name, number in FAULT_STAGES.items())
+    totals = value_totals(offending.withColumnRenamed("n_rows", "n"))
+    faults = totals.selectExpr(f"case rule {fault} end as rule", "n_rows", "n_values").where("rule is not null")
+    unmapped = totals.where("rule in ('DQ-18', 'DQ-20')").selectExpr(
+        "if(rule = 'DQ-18', 'IGN_CYL', 'EV_CHARGE_STATE') as rule", "n_rows", "n_values"
+    )
+    return faults, unmapped
+
+
 def value_totals(counts: DataFrame) -> DataFrame:
     """Per rule: n_rows and n_values. ``counts``: rule, value, n; the values themselves stay rows."""
     return counts.groupBy("rule").agg(F.expr("sum(n) as n_rows"), F.expr("count(*) as n_values"))
@@ -113,14 +169,18 @@ def offending_triggers(raw: DataFrame) -> DataFrame:
 
 def trg_findings(raw: DataFrame, clean: DataFrame) -> DataFrame:
     """``clean``: the triggers without bad rows and copies, with or without their vehicles."""
-    rows = raw.selectExpr(
-        "count_if(CTS is null) as bad_time", f"count_if(CTS is not null and ({TRIGGER_FAULT}) is null) as valid"
-    ).select("*", (F.col("valid") - clean.agg(F.expr("count(*)")).scalar()).alias("repeated"))
+    return trg_findings_from(
+        figures_of(with_faults(raw), TRG_RAW), clean.agg(F.expr("count(*) as n")), value_totals(offending_triggers(raw))
+    )
+
+
+def trg_findings_from(raw: DataFrame, clean: DataFrame, totals: DataFrame) -> DataFrame:
+    """Findings of the triggers from figures of raw rows, the number ``n`` of clean ones and totals by rule."""
+    rows = raw.select("*", (F.col("valid") - clean.select("n").scalar()).alias("repeated"))
     found = _counted(rows, [
         (8, "bad_time", f"TRG: %d rows with unparseable timestamps {DROPPED}"),
         (13, "repeated", "TRG: %d exact duplicate rows — deduplicated."),
-    ])
-    totals = value_totals(offending_triggers(raw))
+    ], _lost("TRG", 13, ["PNID"]))
     stage = " ".join(f"when '{name}' then {number}" for name, number in FAULT_STAGES.items())
     text = (
         "case rule when 'name' then format_string('rows with unexpected NAME values (%d different)', n_values) "
@@ -162,12 +222,43 @@ def map_findings(parsed: DataFrame) -> DataFrame:
     return missing.unionByName(unread).unionByName(overwritten)
 
 
+def map_losses(raw: DataFrame) -> DataFrame:
+    """Malformed records of the mapping."""
+    return _counted(figures_of(with_faults(raw), {"malformed": f"count_if({MALFORMED})"}), [], _lost("MAP", 16, []))
+
+
 def syn_findings(raw: DataFrame) -> DataFrame:
-    totals = raw.selectExpr(
-        "count_if(timestamp is null) as bad_time", "count_if(timestamp is not null and vehicleId is null) as no_vehicle"
+    totals = with_faults(raw).selectExpr(
+        f"count_if(timestamp is null and not {MALFORMED}) as bad_time", f"count_if({MALFORMED}) as malformed",
+        "count_if(timestamp is not null and vehicleId is null) as no_vehicle",
     )
     bad = [(17, "bad_time", f"SYN: %d rows with unparseable timestamps {DROPPED}")]
-    return _counted(totals, bad, [_no_vehicle("SYN", 17)])
+    malformed = f"format_string('SYN: %d malformed records {DROPPED}', malformed)"
+    return _counted(totals, bad, [
+        _no_vehicle("SYN", 17), _entry(17, "malformed", malformed, place=100, rule="MALFORMED"),
+    ])
+
+
+def noted(spark: SparkSession, notes: tuple[Note, ...]) -> DataFrame:
+    """What the readers noted, as findings."""
+    rows = spark.createDataFrame(list(notes), "stage int, item string, n_rows bigint, detail string")
+    return rows.selectExpr(
+        "stage", f"{as_place('110')} as k1", "0L as k2", "'FORMAT' as rule", "item", "n_rows", "detail"
+    )
+
+
+def rejected_cells(feeds: dict[str, DataFrame]) -> DataFrame:
+    """Every record and cell that could not be read: feed, kind, item (column), file and value."""
+    rows = [
+        with_faults(feed).selectExpr(
+            f"'{name}' as feed", f"({file_place(feed, 'row_ord')}).file as file", "inline(faults)"
+        ).select("feed", "kind", "item", "file", "value")
+        for name, feed in feeds.items()
+    ]
+    table = rows[0]
+    for more in rows[1:]:
+        table = table.unionByName(more)
+    return table
 
 
 def unmapped_pnids(mapped: DataFrame) -> DataFrame:
@@ -179,7 +270,10 @@ def unmapped_pnids(mapped: DataFrame) -> DataFrame:
 
 
 def unmapped_findings(mapped: DataFrame) -> DataFrame:
-    totals = value_totals(unmapped_pnids(mapped))
+    return unmapped_findings_from(value_totals(unmapped_pnids(mapped)))
+
+
+def unmapped_findings_from(totals: DataFrame) -> DataFrame:
     stage = "if(rule = 'IGN_CYL', 18, 20)"
     tag = "if(rule = 'IGN_CYL', 'IGN', 'ChargeStatus')"
     return totals.selectExpr(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +15,7 @@ from ampline.sinks import writers
 from ampline.sources.derived import DerivedFeeds
 from ampline.sources.readers import read_results
 from ampline.sources.text_feeds import TextFeeds
-from ampline.staging import stage_root
+from ampline.staging import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 FINDING_OUTPUT = ["rule", "item", "n_rows", "detail"]
@@ -39,7 +38,7 @@ def _round_trip(name: str, write: Callable[[Flow, str, str], None], fmt: str) ->
     """A result table written to the shared folder and read back."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        out = f"{stage_root(spark)}/ampline/results-{uuid.uuid4().hex}"
+        out = new_path(spark, "results")
         write(Flow(DerivedFeeds(spark, sf_dir), share=True), f"{out}/{name}", fmt)
         return read_results(spark, out, fmt)[name]
 
@@ -48,7 +47,7 @@ def _round_trip(name: str, write: Callable[[Flow, str, str], None], fmt: str) ->
 
 def _line_from_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A chart table made and written from a result folder, and read back."""
-    out = f"{stage_root(spark)}/ampline/results-{uuid.uuid4().hex}"
+    out = new_path(spark, "results")
     flow = Flow(DerivedFeeds(spark, sf_dir), share=True)
     writers.write_sessions(flow.sessions, f"{out}/ChargingEvents", "parquet")
     writers.write_chart_tables(read_results(spark, out, "parquet"), f"{out}/charts", flow.p, "parquet")

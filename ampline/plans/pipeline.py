@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Callable
+from functools import cached_property, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,17 +13,31 @@ from ampline.operators import battery, charging, cleaning, fusion, ignition, map
 from ampline.operators.slices import HotCells, find_hot_cells
 from ampline.sinks import writers
 from ampline.sources.derived import DerivedFeeds
-from ampline.sources.readers import Feeds, read_feeds
-from ampline.staging import stage
+from ampline.sources.readers import Feeds, read_feeds, with_faults
+from ampline.staging import Staging, measured, stage
 
 __all__ = ["Flow", "read_feeds", "run"]
 
 
+def step(build: Callable[[Flow], DataFrame]) -> cached_property:
+    """A step of a flow, built once; the tables that it writes go to the flow's folder."""
+
+    @wraps(build)
+    def within(flow: Flow):
+        with flow.staging:
+            return build(flow)
+
+    return cached_property(within)
+
+
 class Flow:
     """Lazily built steps of one run.
 
     ``share`` writes the tables that several steps read: of the telemetry the rows and columns
-    later steps need, or with ``whole`` all of the cleaned feed (for the quality findings).
+    later steps need, or with ``whole`` all of the raw and the cleaned feed, of which the quality
+    findings' figures are taken while they are written.
+
+    The written tables lie in a folder of the flow; ``close`` removes it, and no step's table can be read then.
     """
 
     def __init__(self, feeds: Feeds | DerivedFeeds, params: Params | None = None, share: bool = False, whole: bool = False):
@@ -31,16 +46,41 @@ class Flow:
         self._share = share or whole
         self._whole = whole
         require_utc(SparkSession.active())
+        self.staging = Staging(SparkSession.active())
+
+    def close(self) -> None:
+        self.staging.close()
+
+    def __enter__(self) -> Flow:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
 
     def _shared(self, df: DataFrame, label: str) -> DataFrame:
         return stage(df, label) if self._share else df
 
-    @cached_property
+    def _measured(self, df: DataFrame, label: str, figures: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+        return measured(df, label, figures) if self._whole else (df, quality.figures_of(df, figures))
+
+    @step
+    def _raw_tlm(self) -> tuple[DataFrame, DataFrame]:
+        """The raw telemetry and its figures; parsed once, into typed columns that later passes read selectively."""
+        return self._measured(with_faults(self.feeds.tlm), "raw-tlm", quality.TLM_RAW)
+
+    @step
+    def _raw_trg(self) -> tuple[DataFrame, DataFrame]:
+        return self._measured(with_faults(self.feeds.trg), "raw-trg", quality.TRG_RAW)
+
+    @step
+    def _clean_tlm(self) -> tuple[DataFrame, DataFrame]:
+        return self._measured(cleaning.clean_tlm(self._raw_tlm[0]), "tlm", quality.TLM_CLEAN)
+
+    @property
     def tlm(self) -> DataFrame:
-        clean = cleaning.clean_tlm(self.feeds.tlm)
-        return stage(clean, "tlm") if self._whole else clean
+        return self._clean_tlm[0]
 
-    @cached_property
+    @step
     def signals(self) -> DataFrame:
         """What later steps need of the telemetry: rows with an on/off status or a battery level."""
         useful = self.tlm.where(
@@ -49,28 +89,28 @@ class Flow:
         columns = ["row_ord", "VEHICLE_ID", "TIMESTAMP", "IGNITION_STATUS", "EV_BATTERY_LEVEL"]
         return useful.select(columns) if self._whole else self._shared(useful.select(columns), "signals")
 
-    @cached_property
+    @step
     def trg(self) -> DataFrame:
-        return cleaning.clean_trg(self.feeds.trg)
+        return cleaning.clean_trg(self._raw_trg[0])
 
-    @cached_property
+    @step
     def syn(self) -> DataFrame:
         return cleaning.clean_syn(self.feeds.syn)
 
-    @cached_property
+    @step
     def parsed_map(self) -> DataFrame:
         return mapping.parse_map(self.feeds.map)
 
-    @cached_property
+    @step
     def pnid_map(self) -> DataFrame:
         return mapping.pnid_map(self.parsed_map)
 
-    @cached_property
+    @step
     def mapped(self) -> DataFrame:
         """Triggers with their vehicle: one lookup for all three uses."""
         return self._shared(mapping.with_vehicle(self.trg, self.pnid_map), "triggers")
 
-    @cached_property
+    @step
     def hot(self) -> HotCells | None:
         """Crowded vehicle-hours of all rows that are put in order: status rows of both recording sources,
         synthetic events without copies, and plug events. Any cut is right; later steps have fewer rows."""
@@ -81,105 +121,118 @@ class Flow:
         )
         return find_hot_cells(everything, self.p)
 
-    @cached_property
+    @step
     def hot_tlm(self) -> HotCells | None:
         """Of the telemetry alone; counted on raw rows, whose counts are an upper bound."""
-        rows = self.feeds.tlm.where(
+        rows = self._raw_tlm[0].where(
             f"{cleaning.STATUS} in ('on', 'off') and TIMESTAMP is not null and VEHICLE_ID is not null"
         )
         return find_hot_cells(rows.selectExpr("VEHICLE_ID as vehicle_id", "TIMESTAMP as event_ts"), self.p)
 
-    @cached_property
+    @step
     def changes(self) -> DataFrame:
         """Status changes of both recording sources, found in one pass."""
         rows = ignition.tlm_status(self.signals).unionByName(ignition.trg_status(self.mapped))
         return ignition.ignition_changes(rows, self.hot, self.p)
 
-    @cached_property
+    @step
     def tlm_ignition(self) -> DataFrame:
         return ignition.ignition_changes(ignition.tlm_status(self.tlm), self.hot_tlm, self.p)
 
-    @cached_property
+    @step
     def trg_ignition(self) -> DataFrame:
         rows = ignition.trg_status(self.mapped)
         return ignition.ignition_changes(rows, find_hot_cells(rows, self.p), self.p)
 
-    @cached_property
+    @step
     def syn_ignition(self) -> DataFrame:
         return ignition.syn_ignition(self.syn)
 
-    @cached_property
+    @step
     def all_ignition(self) -> DataFrame:
         return self.changes.unionByName(self.syn_ignition)
 
-    @cached_property
+    @step
     def fused(self) -> DataFrame:
         return self._shared(fusion.fuse(self.changes, self.syn_ignition, self.hot, self.p), "fused")
 
-    @cached_property
+    @step
     def status_events(self) -> DataFrame:
         return battery.charging_status(self.mapped)
 
-    @cached_property
+    @step
     def timeline(self) -> DataFrame:
         return battery.battery_timeline(self.signals, self.mapped)
 
-    @cached_property
+    @step
     def ignition_with_battery(self) -> DataFrame:
         return battery.attach_battery(self.fused, self.timeline, self.p)
 
-    @cached_property
+    @step
     def status_with_battery(self) -> DataFrame:
         return battery.attach_battery(self.status_events, self.timeline, self.p)
 
-    @cached_property
+    @step
     def candidates(self) -> DataFrame:
         """Ignition and status events with battery, looked up in one pass over the timeline."""
         sequence = charging.event_sequence(self.fused, self.status_events)
         return battery.attach_battery(sequence, self.timeline, self.p)
 
-    @cached_property
+    @step
     def pairs(self) -> DataFrame:
         return charging.charge_pairs(self.candidates, self.hot, self.p)
 
-    @cached_property
+    @step
     def raw_sessions(self) -> DataFrame:
         return charging.sessions_before_merge(self.pairs, self.p)
 
-    @cached_property
+    @step
     def merged_sessions(self) -> DataFrame:
         return charging.merge_sessions(self.raw_sessions, self.hot, self.p)
 
-    @cached_property
+    @step
     def sessions(self) -> DataFrame:
         return charging.charging_events(self.merged_sessions, self.p)
 
-    @cached_property
+    @step
     def written_sessions(self) -> DataFrame:
         """The sessions for several readers."""
         return stage(self.sessions, "charging-events")
 
-    @cached_property
+    @step
     def findings(self) -> DataFrame:
+        trigger_totals, unmapped_totals = quality.rule_totals(self.offending)
+        n_triggers = self.mapped.agg(F.expr("count(*) as n"))
         parts = [
-            quality.tlm_findings(self.feeds.tlm, self.tlm, self.p),
-            quality.trg_findings(self.feeds.trg, self.mapped),
+            quality.tlm_findings_from(self._raw_tlm[1], self._clean_tlm[1], self.p),
+            quality.trg_findings_from(self._raw_trg[1], n_triggers, trigger_totals),
             quality.map_findings(self.parsed_map),
+            quality.map_losses(self.feeds.map),
             quality.syn_findings(self.feeds.syn),
-            quality.unmapped_findings(self.mapped),
+            quality.unmapped_findings_from(unmapped_totals),
             quality.fusion_findings(self.all_ignition, self.fused),
         ]
+        if notes := getattr(self.feeds, "notes", ()):
+            parts.append(quality.noted(SparkSession.active(), notes))
         everything = parts[0]
         for part in parts[1:]:
             everything = everything.unionByName(part)
         return everything
 
-    @cached_property
+    @step
     def offending(self) -> DataFrame:
-        return self._shared(quality.offending_values(self.feeds.trg, self.mapped), "offending")
+        return self._shared(quality.offending_values(self._raw_trg[0], self.mapped), "offending")
+
+    @step
+    def rejected(self) -> DataFrame:
+        """Records and cells of the feeds that could not be read."""
+        return quality.rejected_cells(
+            {"TLM": self._raw_tlm[0], "TRG": self._raw_trg[0], "MAP": self.feeds.map, "SYN": self.feeds.syn}
+        )
 
     def report(self) -> DataFrame:
-        return writers.report_lines(self.findings, quality.shown_values(self.offending))
+        with self.staging:
+            return writers.report_lines(self.findings, quality.shown_values(self.offending))
 
     def counts(self) -> DataFrame:
         """Rows and distinct entities per step: step, n_rows, n_entities."""
@@ -222,15 +275,16 @@ class Flow:
 
 
 def run(feeds: Feeds, out_dir: str, params: Params | None = None, fmt: str = "csv") -> Flow:
-    """Compute everything once and write the three tables, the report and its values.
+    """Compute everything once and write the three tables, the report, its values and the rejected cells.
 
-    The large text feeds are parsed once, into typed columns that later passes read selectively.
+    The text feeds of telemetry and triggers are read once. ``close`` the returned flow when its tables are not needed any more.
     """
-    feeds = feeds._replace(tlm=stage(feeds.tlm, "raw-tlm"), trg=stage(feeds.trg, "raw-trg"))
     flow = Flow(feeds, params, whole=True)
-    writers.write_events(flow.fused, ["prio", "ord1", "ord2"], f"{out_dir}/IgnitionEvents", fmt)
-    writers.write_sessions(flow.sessions, f"{out_dir}/ChargingEvents", fmt)
-    writers.write_events(flow.status_events, ["ord1", "ord2"], f"{out_dir}/ChargingStatusEvents", fmt)
-    writers.write_report(flow.findings, quality.shown_values(flow.offending), f"{out_dir}/data_quality_report")
-    writers.write_table(flow.offending, f"{out_dir}/offending_values", fmt)
+    with flow.staging:
+        writers.write_events(flow.fused, ["prio", "ord1", "ord2"], f"{out_dir}/IgnitionEvents", fmt)
+        writers.write_sessions(flow.sessions, f"{out_dir}/ChargingEvents", fmt)
+        writers.write_events(flow.status_events, ["ord1", "ord2"], f"{out_dir}/ChargingStatusEvents", fmt)
+        writers.write_report(flow.findings, quality.shown_values(flow.offending), f"{out_dir}/data_quality_report")
+        writers.write_table(flow.offending, f"{out_dir}/offending_values", fmt)
+        writers.write_table(flow.rejected, f"{out_dir}/rejected_cells", fmt)
     return flow

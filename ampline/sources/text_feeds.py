@@ -5,7 +5,6 @@ Rows keep their order: files are written in ranges of it and named by number.
 
 from __future__ import annotations
 
-import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ampline.sources import readers
 from ampline.sources.derived import DerivedFeeds
-from ampline.staging import stage_root
+from ampline.staging import new_path
 
 SLASHED = "yyyy/MM/dd HH:mm:ss.SSSSSS"
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -80,7 +79,7 @@ class TextFeeds:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark, self._typed = spark, DerivedFeeds(spark, sf_dir)
-        self._folder = f"{stage_root(spark)}/ampline/text-{uuid.uuid4().hex}"
+        self._folder = new_path(spark, "text")
 
     def _csv(self, rows: DataFrame, name: str) -> str:
         path = f"{self._folder}/{name}"
