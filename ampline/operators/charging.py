@@ -26,13 +26,19 @@ def event_sequence(ignition: DataFrame, status: DataFrame) -> DataFrame:
     return ign.unionByName(status.selectExpr(*parts, "1 as kind", "0 as prio", "ord1", "ord2"))
 
 
+def with_battery_column(events: DataFrame) -> DataFrame:
+    """Events with ``battery_pct``, NULL in all rows if they have none."""
+    if "battery_pct" in events.columns:
+        return events
+    return events.selectExpr("*", "cast(null as double) as battery_pct")
+
+
 def charge_pairs(candidates: DataFrame, hot: HotCells | None, p: Params) -> DataFrame:
     """Each event with its immediate successor, both with a battery level and later in time.
 
     ``candidates``: an event sequence with ``battery_pct`` attached; without it, all levels are NULL.
     """
-    if "battery_pct" not in candidates.columns:
-        candidates = candidates.selectExpr("*", "cast(null as double) as battery_pct")
+    candidates = with_battery_column(candidates)
     prio = "kind * 4 + prio"
     chunk = f"if(kind = 1 or prio = 1, {no_chunk(prio)}, {file_chunk(candidates, 'ord2', prio)})"
     placed = stage(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampline.config import Params
-from ampline.operators.ranking import numbered
+from ampline.operators.ranking import numbered, quantiles
 
 
 def ignition_timeline(ignition: DataFrame) -> DataFrame:
@@ -61,37 +61,47 @@ def duration_kde(sessions: DataFrame, p: Params) -> DataFrame:
     )
 
 
-def _quartiles(sessions: DataFrame) -> DataFrame:
-    # Deltas have two decimals, so the counted values are few whatever the number of sessions.
-    counted = sessions.groupBy("delta_battery_pct").agg(F.expr("count(*) as n"))
-    return counted.selectExpr("percentile(delta_battery_pct, array(0.25D, 0.5D, 0.75D), n) as q").where(
-        "q is not null"
-    ).selectExpr("q[0] as q1", "q[1] as median", "q[2] as q3", "1.5D * (q[2] - q[0]) as reach")
+def _quartiles(rows: DataFrame, column: str, reach: float) -> DataFrame:
+    return quantiles(rows, column, [0.25, 0.5, 0.75]).selectExpr(
+        "q[0] as q1", "q[1] as median", "q[2] as q3", f"{reach}D * (q[2] - q[0]) as reach"
+    )
 
 
-def _outside(sessions: DataFrame) -> DataFrame:
-    fences = _quartiles(sessions).selectExpr("struct(q1 - reach as low, q3 + reach as high) as fences")
-    return sessions.withColumn("fences", fences.scalar()).selectExpr(
-        "*", "delta_battery_pct < fences.low or delta_battery_pct > fences.high as outside"
+def _outside(rows: DataFrame, column: str, q: DataFrame) -> DataFrame:
+    fences = q.selectExpr("struct(q1 - reach as low, q3 + reach as high) as fences")
+    return rows.withColumn("fences", fences.scalar()).selectExpr(
+        "*", f"{column} < fences.low or {column} > fences.high as outside"
     )
 
 
-def gain_box(sessions: DataFrame) -> DataFrame:
-    """Median, quartiles, whiskers at the outermost values within 1.5 quartile ranges."""
-    q = _quartiles(sessions).selectExpr("struct(q1, median, q3) as q")
+def box(rows: DataFrame, column: str, reach: float = 1.5) -> DataFrame:
+    """Median, quartiles, whiskers at the outermost values within ``reach`` quartile ranges."""
+    quartiles = _quartiles(rows, column, reach)
     return (
-        _outside(sessions)
+        _outside(rows, column, quartiles)
         .selectExpr(
-            "min(if(outside, null, delta_battery_pct)) as whisker_low",
-            "max(if(outside, null, delta_battery_pct)) as whisker_high", "count(*) as n",
+            f"min(if(outside, null, {column})) as whisker_low", f"max(if(outside, null, {column})) as whisker_high", "count(*) as n"
         )
-        .where("n > 0").withColumn("q", q.scalar())
+        .where("n > 0").withColumn("q", quartiles.selectExpr("struct(q1, median, q3) as q").scalar())
         .selectExpr("q.q1", "q.median", "q.q3", "whisker_low", "whisker_high", "n")
     )
 
 
-def gain_outliers(sessions: DataFrame) -> DataFrame:
-    return _outside(sessions).where("outside").select("vehicle_id", "start_ts", "delta_battery_pct")
+def outliers(rows: DataFrame, column: str, reach: float = 1.5) -> DataFrame:
+    """The rows beyond the whiskers."""
+    return _outside(rows, column, _quartiles(rows, column, reach)).where("outside").drop("fences", "outside")
+
+
+def gain_box(sessions: DataFrame) -> DataFrame:
+    return box(sessions, "delta_battery_pct")
+
+
+def gain_outliers(sessions: DataFrame, reach: float = 1.5) -> DataFrame:
+    return outliers(sessions, "delta_battery_pct", reach).select("vehicle_id", "start_ts", "delta_battery_pct")
+
+
+def duration_outliers(sessions: DataFrame) -> DataFrame:
+    return outliers(sessions, "duration_sec").select("vehicle_id", "start_ts", "duration_sec")
 
 
 def sessions_per_vehicle(sessions: DataFrame) -> DataFrame:

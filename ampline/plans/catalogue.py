@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ampline.config import Params
-from ampline.operators import battery, charts, cleaning, mapping, quality
+from ampline.operators import battery, charging, charts, cleaning, mapping, quality
 from ampline.operators.charging import SESSION_COLUMNS
 from ampline.operators.ignition import EVENT_COLUMNS
 from ampline.plans.pipeline import Flow
@@ -54,6 +54,45 @@ def _line_from_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(spark.read.parquet(f"{out}/charts/battery_line"), "battery")
 
 
+def _report_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report as its text file has it, line by line."""
+    path = f"{new_path(spark, 'results')}/data_quality_report"
+    flow = Flow(DerivedFeeds(spark, sf_dir), whole=True)
+    writers.write_report(flow.findings, quality.shown_values(flow.offending), path)
+    return spark.read.text(path)
+
+
+def _empty_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the sessions' file where no battery rises enough: its header."""
+    flow = Flow(DerivedFeeds(spark, sf_dir), Params(rise_ign_on=1e9, rise_ign_off=1e9), share=True)
+    path = f"{new_path(spark, 'results')}/ChargingEvents"
+    writers.write_sessions(flow.sessions, path)
+    return spark.read.text(path).distinct()
+
+
+def _text_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings about records and numbers that could not be read."""
+    feeds = TextFeeds(spark, sf_dir).faulty
+    flow = Flow(feeds)
+    found = quality.tlm_findings(feeds.tlm, flow.tlm, flow.p).unionByName(quality.trg_findings(feeds.trg, flow.trg))
+    return found.where("rule in ('MALFORMED', 'NUMBER')").select(FINDING_OUTPUT)
+
+
+def _rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected cells with their text, and rejected records with their number of commas."""
+    feeds = TextFeeds(spark, sf_dir).faulty
+    commas = "cast(length(value) - length(replace(value, ',', '')) as string)"
+    return quality.rejected_cells({"TLM": feeds.tlm, "TRG": feeds.trg, "MAP": feeds.map, "SYN": feeds.syn}).selectExpr(
+        "feed", "kind", "item", f"if(kind = 'number', value, {commas}) as value"
+    )
+
+
+def _format_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is noted where all dates read the same with day and month swapped."""
+    feeds = TextFeeds(spark, sf_dir).in_form("dd/MM/yyyy HH:mm:ss.SSSSSS")
+    return quality.noted(spark, feeds.notes).select(FINDING_OUTPUT)
+
+
 def _map_parsed(flow: Flow) -> DataFrame:
     return flow.parsed_map.selectExpr(
         "row_ord", "ID as vehicle_id", "IDS", "array_join(cast(pnids as array<string>), ',') as pnids"
@@ -114,6 +153,22 @@ QUERIES: dict[str, Query] = {
     "results_round_trip_parquet": _round_trip(
         "ChargingEvents", lambda f, path, fmt: writers.write_sessions(f.sessions, path, fmt), "parquet"
     ),
+    "status_round_trip_csv": _round_trip(
+        "ChargingStatusEvents", lambda f, path, fmt: writers.write_events(f.status_events, ["ord1", "ord2"], path, fmt), "csv"
+    ),
+    "report_file": _report_file,
+    "empty_sessions_file": _empty_sessions,
+    "status_battery_default": _query(lambda f: charging.with_battery_column(f.status_events)),
+    "tlm_lines_clean": lambda spark, sf_dir: cleaning.clean_tlm(TextFeeds(spark, sf_dir).tlm_lines).drop("row_ord"),
+    "tlm_inferred_clean": lambda spark, sf_dir: cleaning.clean_tlm(
+        TextFeeds(spark, sf_dir).in_form("d MMM yyyy h:mm:ss.SSSSSS a").tlm
+    ).drop("row_ord"),
+    "trg_inferred_clean": lambda spark, sf_dir: cleaning.clean_trg(
+        TextFeeds(spark, sf_dir).in_form("dd.MM.yyyy HH:mm:ss.SSSSSS").trg
+    ).drop("row_ord"),
+    "dq_text_faults": _text_faults,
+    "dq_formats": _format_findings,
+    "rejected_cells": _rejected,
     "charts_from_results": _line_from_results,
     "viz_ignition_timeline": _query(lambda f: charts.ignition_timeline(f.fused), share=True),
     "viz_duration_hist": _on_sessions(
@@ -124,6 +179,8 @@ QUERIES: dict[str, Query] = {
         lambda s, p: _rounded(charts.gain_box(s), "q1", "median", "q3", "whisker_low", "whisker_high"), passes=3
     ),
     "viz_gain_outliers": _on_sessions(lambda s, p: charts.gain_outliers(s), passes=2),
+    "viz_gain_outliers_narrow": _on_sessions(lambda s, p: charts.gain_outliers(s, 0.25), passes=2),
+    "viz_duration_outliers": _on_sessions(lambda s, p: charts.duration_outliers(s), passes=2),
     "viz_sessions_per_vehicle": _on_sessions(lambda s, p: charts.sessions_per_vehicle(s)),
     "viz_duration_vs_gain": _on_sessions(lambda s, p: _rounded(charts.duration_vs_gain(s), "duration_min")),
     "viz_hour_heatmap": _on_sessions(lambda s, p: charts.hour_heatmap(s)),

@@ -275,6 +275,28 @@ STEPS: dict[str, str] = {
         SELECT q1, med, q3, q1 - 1.5 * (q3 - q1) AS low, q3 + 1.5 * (q3 - q1) AS high
         FROM (SELECT quantile_cont(delta_battery_pct, 0.25) AS q1, quantile_cont(delta_battery_pct, 0.5) AS med,
                      quantile_cont(delta_battery_pct, 0.75) AS q3 FROM sessions)""",
+    "duration_fences": """
+        SELECT q1 - 1.5 * (q3 - q1) AS low, q3 + 1.5 * (q3 - q1) AS high
+        FROM (SELECT quantile_cont(duration_sec, 0.25) AS q1, quantile_cont(duration_sec, 0.75) AS q3 FROM sessions)""",
+    "report_lines": """
+        SELECT nth, '' AS shown, nth || '. ' || detail || chr(10) AS value FROM numbered
+        UNION ALL
+        SELECT nth, shown, '    ' || shown || ' (' || v.n_rows || ' rows)' FROM shown_values AS v JOIN numbered USING (rule)""",
+    "text_rejects": """
+        SELECT 'TLM' AS feed, 'number' AS kind, 'SPEED' AS item, CAST(SPEED AS VARCHAR) || ' km/h' AS value
+        FROM tlm_raw WHERE row_ord % 31 = 0 AND SPEED IS NOT NULL
+        UNION ALL
+        SELECT 'TLM', 'number', 'ODOMETER', '12,5' FROM tlm_raw
+        WHERE row_ord % 46 = 0 AND ODOMETER IS NOT NULL AND (row_ord % 59 <> 0 OR row_ord % 53 = 0)
+        UNION ALL
+        SELECT 'TLM', 'malformed', '', CAST(CASE WHEN row_ord % 53 = 0 THEN 8 ELSE 6 END
+               + CASE WHEN row_ord % 46 = 0 AND row_ord % 53 = 0 AND ODOMETER IS NOT NULL THEN 1 ELSE 0 END AS VARCHAR)
+        FROM tlm_raw WHERE row_ord % 53 = 0 OR row_ord % 59 = 0
+        UNION ALL
+        SELECT 'TRG', 'number', 'PNID', 'P' || PNID FROM trg_raw WHERE row_ord % 83 = 0
+        UNION ALL
+        SELECT 'TRG', 'malformed', '', CASE WHEN row_ord % 53 = 0 THEN '4' ELSE '2' END
+        FROM trg_raw WHERE row_ord % 53 = 0 OR row_ord % 59 = 0""",
     "points": """
         SELECT vehicle_id, start_ts AS ts, start_battery_pct AS battery FROM sessions
         UNION ALL SELECT vehicle_id, end_ts, end_battery_pct FROM sessions""",
@@ -348,6 +370,30 @@ FINALS: dict[str, str] = {
     "map_text_parsed": "SELECT vehicle_id, pnids FROM map_parsed",
     "results_round_trip_csv": "SELECT vehicle_id, event, event_ts FROM fused",
     "results_round_trip_parquet": "SELECT * FROM sessions",
+    "status_round_trip_csv": "SELECT vehicle_id, event, event_ts FROM status",
+    "report_file": """
+        SELECT unnest(string_split(value, chr(10))) AS value FROM (
+            SELECT value FROM report_lines
+            UNION ALL SELECT 'DATA QUALITY REPORT' UNION ALL SELECT repeat('=', 60) || chr(10))""",
+    "empty_sessions_file": """
+        SELECT 'vehicle_id,start_ts,end_ts,delta_battery_pct,start_battery_pct,end_battery_pct,duration_sec,ignition_state' AS value
+        FROM ev LIMIT 1""",
+    "status_battery_default": "SELECT *, CAST(NULL AS DOUBLE) AS battery_pct FROM status",
+    "tlm_lines_clean": "SELECT * EXCLUDE (row_ord) FROM tlm",
+    "tlm_inferred_clean": "SELECT * EXCLUDE (row_ord) FROM tlm",
+    "trg_inferred_clean": "SELECT * EXCLUDE (row_ord) FROM trg",
+    "dq_text_faults": """
+        SELECT CASE kind WHEN 'number' THEN 'NUMBER' ELSE 'MALFORMED' END AS rule, item, count(*) AS n_rows,
+               CASE kind WHEN 'number' THEN feed || ': Column ''' || item || ''' has ' || count(*) || ' unreadable numbers — treated as missing.'
+               ELSE feed || ': ' || count(*) || ' malformed records — extra cells dropped, missing ones empty.' END AS detail
+        FROM text_rejects GROUP BY feed, kind, item""",
+    "dq_formats": """
+        SELECT 'FORMAT' AS rule, item, n AS n_rows, feed || ': Day and month of column ''' || item || ''' could be swapped in all '
+               || n || ' values — read as M/d/yyyy[ H:mm[:ss[.SSSSSS]]].' AS detail
+        FROM (SELECT 'TLM' AS feed, 'TIMESTAMP' AS item, count("TIMESTAMP") AS n FROM tlm_raw
+              UNION ALL SELECT 'TRG', 'CTS', count(CTS) FROM trg_raw
+              UNION ALL SELECT 'SYN', 'timestamp', count(event_ts) FROM syn_raw)""",
+    "rejected_cells": "SELECT * FROM text_rejects",
     "charts_from_results": "SELECT vehicle_id, ts, round(avg(battery), 6) AS battery FROM points GROUP BY ALL",
     "viz_ignition_timeline": """
         SELECT event_ts, vehicle_id, dense_rank() OVER (ORDER BY vehicle_id) - 1 AS vehicle_index, event FROM fused""",
@@ -374,6 +420,12 @@ FINALS: dict[str, str] = {
     "viz_gain_outliers": """
         SELECT vehicle_id, start_ts, delta_battery_pct FROM sessions CROSS JOIN fences
         WHERE delta_battery_pct < low OR delta_battery_pct > high""",
+    "viz_gain_outliers_narrow": """
+        SELECT vehicle_id, start_ts, delta_battery_pct FROM sessions CROSS JOIN fences
+        WHERE delta_battery_pct < q1 - 0.25 * (q3 - q1) OR delta_battery_pct > q3 + 0.25 * (q3 - q1)""",
+    "viz_duration_outliers": """
+        SELECT vehicle_id, start_ts, duration_sec FROM sessions CROSS JOIN duration_fences
+        WHERE duration_sec < low OR duration_sec > high""",
     "viz_sessions_per_vehicle": "SELECT vehicle_id, count(*) AS n_sessions FROM sessions GROUP BY vehicle_id",
     "viz_duration_vs_gain": """
         SELECT vehicle_id, round(duration_sec / 60, 6) AS duration_min, delta_battery_pct FROM sessions""",

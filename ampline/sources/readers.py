@@ -71,7 +71,8 @@ def _csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -
     # Columns are picked by name later, so an unnamed index column does no harm.
     names = reader.csv(path).columns
     cells = T.StructType([T.StructField(name, T.StringType()) for name in [*names, MALFORMED]])
-    return reader.schema(cells).option("columnNameOfCorruptRecord", MALFORMED).csv(path)
+    # Cells can only be counted where none are skipped.
+    return reader.schema(cells).option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False).csv(path)
 
 
 def _fault(kind: str, item: str, value: str, when: str) -> str:

@@ -74,6 +74,40 @@ def _syn_text(syn: DataFrame) -> DataFrame:
     return syn.selectExpr("row_ord", "vehicleId", f"{_zoned('timestamp')} as timestamp", "type")
 
 
+#: Rows whose text has a fault, by their number: a unit behind the speed, a decimal comma, a letter before the PNID, a cell
+#: too many, or the last cell missing.
+FAULTS = {"unit": 31, "comma": 46, "letter": 83, "extra": 53, "cut": 59}
+
+
+def _hit(fault: str) -> str:
+    return f"row_ord % {FAULTS[fault]} = 0"
+
+
+def _faulty_tlm(tlm: DataFrame) -> DataFrame:
+    return _tlm_text(tlm).selectExpr(
+        "row_ord", "`Unnamed: 0`", "ID", "VEHICLE_ID", "TIMESTAMP",
+        f"if({_hit('unit')} and SPEED rlike '[0-9]', concat(SPEED, ' km/h'), SPEED) as SPEED", "IGNITION_STATUS", "EV_BATTERY_LEVEL",
+        f"if({_hit('comma')} and ODOMETER rlike '[0-9]', '12,5', ODOMETER) as ODOMETER",
+    )
+
+
+def _faulty_trg(trg: DataFrame) -> DataFrame:
+    return _trg_text(trg).selectExpr(
+        "row_ord", "CTS", f"if({_hit('letter')}, concat('P', PNID), cast(PNID as string)) as PNID", "NAME", "VAL"
+    )
+
+
+def _faulty_lines(rows: DataFrame, names: list[str]) -> DataFrame:
+    """CSV records, some with a cell too many or one too few; the column's name is the header."""
+    options = "map('escape', '\"', 'ignoreLeadingWhiteSpace', 'false', 'ignoreTrailingWhiteSpace', 'false')"
+    record = lambda cells: f"to_csv(struct({', '.join(f'`{c}`' for c in cells)}), {options})"
+    line = (
+        f"case when {_hit('extra')} then concat({record(names)}, ',x') "
+        f"when {_hit('cut')} then {record(names[:-1])} else {record(names)} end"
+    )
+    return rows.selectExpr("row_ord", f"{line} as `{','.join(names)}`")
+
+
 class TextFeeds:
     """The four feeds, each written and read when first asked for."""
 
@@ -95,6 +129,43 @@ class TextFeeds:
     def trg(self) -> DataFrame:
         return readers.read_trg(self._spark, self._csv(_trg_text(self._typed.trg), "trg"))
 
+    @cached_property
+    def tlm_lines(self) -> DataFrame:
+        """Telemetry whose statuses hold line breaks in their quoted cells."""
+        text = _tlm_text(self._typed.tlm).withColumn("IGNITION_STATUS", F.expr(
+            r"if(row_ord div 2 % 3 = 0 and lower(trim(IGNITION_STATUS)) in ('on', 'off', 'unknown'), concat('\n', IGNITION_STATUS, '\n'), IGNITION_STATUS)"
+        ))
+        return readers.read_tlm(self._spark, self._csv(text, "tlm-lines"), (SLASHED,), multi_line=True)
+
+    def in_form(self, form: str) -> readers.Feeds:
+        """Feeds whose times are all written in one form (a Spark pattern) that the readers are not told."""
+        time = lambda name: f"coalesce(date_format({name}, '{form}'), 'never')"
+        zoned = lambda name: f"coalesce(concat(date_format({name}, '{form}'), ' IST+0530'), 'never')"
+        tlm = _tlm_text(self._typed.tlm).drop("TIMESTAMP").join(
+            self._typed.tlm.selectExpr("row_ord", f"{time('TIMESTAMP')} as TIMESTAMP"), "row_ord"
+        )
+        trg = self._typed.trg.selectExpr("row_ord", f"{zoned('CTS')} as CTS", "PNID", "NAME", "VAL")
+        syn = self._typed.syn.selectExpr("row_ord", "vehicleId", f"{zoned('timestamp')} as timestamp", "type")
+        path = f"{self._folder}/syn-form"
+        syn.orderBy("row_ord").drop("row_ord").write.json(path)
+        return readers.read_feeds(
+            self._spark, self._csv(tlm, "tlm-form"), self._csv(trg, "trg-form"),
+            self._csv(_map_text(self._typed.map), "map-form"), path, lines=True,
+        )
+
+    def _records(self, rows: DataFrame, name: str) -> str:
+        path = f"{self._folder}/{name}"
+        lines = _faulty_lines(rows, [c for c in rows.columns if c != "row_ord"]).orderBy("row_ord").drop("row_ord")
+        lines.write.option("header", True).option("sep", "\x01").option("quote", "").csv(path)
+        return path
+
+    @cached_property
+    def faulty(self) -> readers.Feeds:
+        """Telemetry and triggers with faulty records and cells."""
+        tlm = readers.read_tlm(self._spark, self._records(_faulty_tlm(self._typed.tlm), "tlm-faulty"), (SLASHED,))
+        trg = readers.read_trg(self._spark, self._records(_faulty_trg(self._typed.trg), "trg-faulty"))
+        return readers.Feeds(tlm, trg, self.map, self.syn_lines)
+
     @cached_property
     def map(self) -> DataFrame:
         return readers.read_map(self._spark, self._csv(_map_text(self._typed.map), "map"))
