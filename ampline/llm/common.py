@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -48,6 +49,18 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """Arrow batches of at most ``rows`` rows for what is run inside; for rows that are large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def text_slices(
     batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:

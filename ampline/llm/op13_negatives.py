@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampline.llm.common import ship
+from ampline.llm.common import batches_of, ship
 from ampline.staging import stage
 
 CHUNK_ROWS = 8192     # of all labels together; a chunk holds those of one label
@@ -201,13 +201,8 @@ def _met(blocks: DataFrame, chunks: DataFrame, keys: list[str], n_parts: int) ->
 
 def _staged_pairs(met: DataFrame, work: Callable, schema: str, label: str) -> DataFrame:
     """Run ``work`` on the pairs, few at a time as they are large, and write what it returns."""
-    spark, key = met.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(PAIRS_PER_BATCH))
-    try:
+    with batches_of(met.sparkSession, PAIRS_PER_BATCH):
         return stage(met.mapInArrow(work, schema), label)
-    finally:
-        spark.conf.set(key, before)
 
 
 def hard_negatives(rows: DataFrame, is_anchor: str, m: Mining = Mining()) -> DataFrame:

@@ -1,7 +1,8 @@
 """Byte-level BPE of whole texts with a lexicon transducer, and back.
 
 The lexicon holds the most frequent space-led pieces of the corpus with their ids, compiled into a minimal acyclic
-automaton that every worker maps into memory. Pieces outside it are merged by the tokenizer itself, once per worker
+automaton that every worker maps into memory. Pieces above PIECE_BYTES are never in it, so that at most LEXICON_WORDS *
+PIECE_BYTES bytes (4 MB) reach the driver, whatever the corpus has between its spaces. Pieces outside it are merged by the tokenizer itself, once per worker
 while its memo has room. A text is cut before a space only where the tokenizer's own word splitting is sure to cut;
 texts with other white space patterns or special tokens are encoded whole by the tokenizer.
 
@@ -12,7 +13,6 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
-import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -32,6 +32,7 @@ from ampline.staging import stage
 
 TOKENIZER = "byte_bpe_50k.json"
 LEXICON_WORDS = 1 << 16  # capacity of the lexicon; it changes the speed, never the ids
+PIECE_BYTES = 64         # of a piece of the lexicon, at most; alike
 SPECIAL = "<|endoftext|>"
 SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 UNSURE = SPACE + " (" + SPACE + r"|\z)"
@@ -47,7 +48,8 @@ def _pieces(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, Words, np.ndar
 
 
 def lexicon_words(docs: DataFrame, most: int = LEXICON_WORDS) -> DataFrame:
-    """The most frequent pieces over all texts, at most ``most``, those of equal frequency all or none: piece, n."""
+    """The most frequent pieces of at most PIECE_BYTES over all texts, at most ``most``, those of equal frequency all or
+    none: piece, n."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
@@ -55,7 +57,7 @@ def lexicon_words(docs: DataFrame, most: int = LEXICON_WORDS) -> DataFrame:
             n = np.bincount(words.codes, minlength=len(words.distinct)) - np.bincount(
                 words.codes[first], minlength=len(words.distinct)
             )
-            often = n > 0
+            often = (n > 0) & (np.asarray(pc.binary_length(words.distinct)) <= PIECE_BYTES)
             yield pa.RecordBatch.from_arrays(
                 [words.distinct.filter(pa.array(often)), pa.array(n[often], pa.int64())], names=["piece", "n"]
             )
@@ -75,14 +77,29 @@ def lexicon_words(docs: DataFrame, most: int = LEXICON_WORDS) -> DataFrame:
 
 
 def publish_lexicon(docs: DataFrame, path: str, most: int = LEXICON_WORDS) -> str:
-    """Compile the lexicon (at most ``most`` words reach the driver) and add it to the application's files."""
+    """Compile the lexicon (at most ``most`` words reach the driver) and add it to the application's files.
+
+    Equal lexicons of an application are one file; its folder goes when the driver's process ends.
+    """
     words = sorted(" ".encode() + r.piece.encode() for r in lexicon_words(docs, most).collect())
     data = compile_words(words, id_lists(path)([w.decode() for w in words]) if words else [])
-    name = f"lexicon-{uuid.uuid4().hex}.npy"
-    target = Path(tempfile.mkdtemp(prefix="ampline-lexicon-")) / name
-    np.save(target, data)
-    docs.sparkSession.sparkContext.addFile(str(target))
-    return name
+    context = docs.sparkSession.sparkContext
+    name = f"lexicon-{hashlib.sha256(data.tobytes()).hexdigest()[:32]}.npy"
+    if (context.applicationId, name) not in _published:
+        target = Path(_lexicon_folder().name) / f"{context.applicationId}-{name}"
+        np.save(target, data)
+        context.addFile(str(target))
+        _published[context.applicationId, name] = target.name
+    return _published[context.applicationId, name]
+
+
+_published: dict[tuple[str, str], str] = {}
+
+
+@lru_cache(maxsize=1)
+def _lexicon_folder() -> tempfile.TemporaryDirectory:
+    """The driver's own folder, from which Spark serves files to executors; removed at the end."""
+    return tempfile.TemporaryDirectory(prefix="ampline-lexicon-", ignore_cleanup_errors=True)
 
 
 @lru_cache(maxsize=2)

@@ -12,8 +12,10 @@ get ``und`` with score 0; so does every text if nothing was learnt. Of languages
 with more labelled texts wins, then the first in alphabetical order. The score is 1 less the ratio of the winner's cost to the next one's; 1 if it is the only one.
 Labels that are null are not learnt from; repeated rows are predicted one by one.
 
-All labels are learnt. Automata of BLOCK_LANGUAGES languages are held at once; with more, all texts are parsed against one
-block after the other, and the lowest and second lowest cost of each are brought together.
+All labels are learnt. Sampled rows are chosen by their file and row, so that any number of rows of one id, or without one, give
+no more than TRAIN_TEXTS. The automata are built in tasks, a language each, and written. Automata of BLOCK_BYTES are held at once;
+with more, all texts are parsed against one block after the other, and the lowest and second lowest cost of each are brought
+together.
 """
 
 from __future__ import annotations
@@ -28,17 +30,20 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ampline.llm.common import documents, ship, string_column, text_slices, with_fields
+from ampline.llm.common import batches_of, documents, ship, string_column, text_slices, with_fields
+from ampline.llm.op9_dedup import located
 from ampline.llm.words import split_words
 from ampline.staging import stage
 
 TRAIN_TEXTS = 200        # texts learnt from for each language, at most
 SAMPLE_CHARS = 60_000    # characters of each language's automaton, at most
 SHARES = 20              # texts that fill a sample, at least, if the language has so many
-BLOCK_LANGUAGES = 200    # languages whose automata are held at once
+BLOCK_BYTES = 64 << 20   # of automata that are held at once; a language takes some 2 MB
+BUILD_ROWS = 8           # languages sent to a worker at a time
 BROADCAST_ROWS = 400_000  # labels or chosen ids that are sent to all executors, at most
 HELD_OUT = (4, 2)        # a document is held out if crc32 of its id modulo the first is the second
 UNDECIDED = "und"
+AUTOMATA = "lang string, n bigint, keys binary, targets binary, alphabet binary, phrase_bits double, size bigint"
 NOT_LETTERS = r"[^\pL\pM]+"
 
 
@@ -57,7 +62,7 @@ class Model:
 
     languages: list[str]
     automata: list[Automaton]
-    alphabet: np.ndarray  # sorted code points; a code point's symbol is its place here
+    alphabets: list[np.ndarray]  # of each language, sorted code points; a code point's symbol is its place there
 
 
 def build_automaton(symbols: list[int], n_symbols: int) -> Automaton:
@@ -143,63 +148,95 @@ def _sent(rows: DataFrame) -> DataFrame:
 
 
 def training_sample(docs: DataFrame) -> DataFrame:
-    """lang, n (labelled texts), place, text: at most TRAIN_TEXTS texts of each label, by hash of the id.
+    """lang, n (labelled texts), place, text: at most TRAIN_TEXTS rows of each label, by hash of the id and the row's place.
 
-    Ids are chosen without reading texts, and thinned by hash before they are ranked, so that a language with most of the
+    Rows are chosen without reading texts, and thinned by hash before they are ranked, so that a language with most of the
     rows sends few to its rank.
     """
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~is_held_out(F.col("doc_id")))
+    at = F.col("locator")["at"]
+    rows = located(docs)[0].select("locator", "row.doc_id", "row.text", "row.lang")
+    labelled = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~is_held_out(F.col("doc_id")))
     sizes = stage(labelled.groupBy(F.col("lang").alias("known")).agg(F.count(F.lit(1)).alias("n")), "language-sizes")
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = labelled.select("lang", "doc_id").join(_sent(sizes), F.col("lang") == F.col("known"))
-    ids = ids.where(draw < 1.5 * TRAIN_TEXTS / F.col("n")).withColumn("rank", rank).where(F.col("rank") <= TRAIN_TEXTS)
-    ids = stage(ids.select(F.col("lang").alias("of"), F.col("doc_id").alias("id"), "n").distinct(), "language-ids")
-    return labelled.join(_sent(ids), (F.col("lang") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id"))).select(
-        "lang", "n", F.xxhash64("doc_id").alias("place"), F.substring("text", 1, SAMPLE_CHARS).alias("text")
+    draw = F.pmod(F.xxhash64("doc_id", at), F.lit(1 << 30)) / (1 << 30)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", at), "doc_id", "locator"))
+    chosen = labelled.select("lang", "doc_id", "locator").join(_sent(sizes), F.col("lang") == F.col("known"))
+    chosen = chosen.where(draw < 1.5 * TRAIN_TEXTS / F.col("n")).withColumn("rank", rank).where(F.col("rank") <= TRAIN_TEXTS)
+    chosen = stage(chosen.select(F.col("locator").alias("chosen"), "n"), "language-rows")
+    return labelled.join(_sent(chosen), F.col("locator") == F.col("chosen")).select(
+        "lang", "n", F.xxhash64("doc_id", at).alias("place"), F.substring("text", 1, SAMPLE_CHARS).alias("text")
     )
 
 
 @dataclass
 class Trained:
-    """The sample and its languages in blocks, those with more labelled texts first."""
+    """The automata as a table, and its languages in blocks, those with more labelled texts first."""
 
-    sample: DataFrame
+    table: DataFrame
     blocks: list[list[str]]
 
     def model(self, block: int) -> Model:
-        return build_model(self.sample.where(F.col("lang").isin(self.blocks[block]))) if self.blocks else Model([], [], np.array([], np.int64))
+        """The automata of a block, at most BLOCK_BYTES or one language."""
+        if not self.blocks:
+            return Model([], [], [])
+        rows = {r.lang: r for r in self.table.where(F.col("lang").isin(self.blocks[block])).collect()}
+        held = [rows[lang] for lang in self.blocks[block]]
+        whole = lambda data: np.frombuffer(data, np.int64)
+        return Model(
+            [r.lang for r in held], [Automaton(whole(r.keys), whole(r.targets), r.phrase_bits) for r in held],
+            [whole(r.alphabet) for r in held],
+        )
+
+
+def learnt_text(texts: list[str]) -> str:
+    """The distinct words of a language's texts, in order, one on a line."""
+    known: dict[str, None] = {}
+    for text in texts:
+        known.update(dict.fromkeys(letters(split_words(pa.array([text])).distinct).to_pylist()))
+    return ("\n".join(w for w in known if w) + "\n")[:SAMPLE_CHARS]
+
+
+def _built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From the sampled texts of each language its automaton; none of a language without letters."""
+    kinds = [pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.int64()]
+    names = [x.split()[0] for x in AUTOMATA.split(", ")]
+    for batch in batches:
+        rows = []
+        for lang, n, texts in zip(*(column.to_pylist() for column in batch.columns)):
+            text = learnt_text([t["text"] for t in texts])
+            if text.strip():
+                alphabet = sorted(set(map(ord, text)))
+                symbol = {c: i for i, c in enumerate(alphabet)}
+                made = build_automaton([symbol[ord(c)] for c in text], len(alphabet))
+                parts = [x.astype(np.int64).tobytes() for x in (made.keys, made.targets, np.array(alphabet))]
+                rows.append((lang, n, *parts, made.phrase_bits, sum(map(len, parts))))
+        columns = zip(*rows) if rows else [[]] * len(kinds)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
 def train(sample: DataFrame) -> Trained:
-    sizes = {row.lang: row.n for row in sample.select("lang", "n").distinct().collect()}
-    order = sorted(sizes, key=lambda x: (-sizes[x], x))
-    return Trained(sample, [order[i : i + BLOCK_LANGUAGES] for i in range(0, len(order), BLOCK_LANGUAGES)])
-
-
-def build_model(sample: DataFrame) -> Model:
-    """Build the automata of a block on the driver, from at most TRAIN_TEXTS / SHARES * SAMPLE_CHARS characters of each language.
+    """Build the automata in tasks, a language in one, from at most TRAIN_TEXTS / SHARES * SAMPLE_CHARS characters each.
 
     Every text gives an equal share of its language's sample, as far as it has one, so that a few long or copied texts
     don't fill it, and a larger one if the language has few texts; words that a language's texts have once are as good as
     frequent ones, and each is taken once.
     """
+    spark = sample.sparkSession
+    ship(spark)
     texts = sample.groupBy(F.col("lang").alias("of")).agg(F.count_distinct(F.xxhash64("text")).alias("texts"))
     share = F.floor(SAMPLE_CHARS / F.least("texts", F.lit(SHARES))).cast("int")
-    rows = sample.join(F.broadcast(texts), F.col("lang") == F.col("of"))  # BLOCK_LANGUAGES rows
-    rows = rows.select("lang", "n", "place", F.substring("text", F.lit(1), share).alias("text")).dropDuplicates(["lang", "text"]).collect()
-    words: dict[str, dict[str, None]] = {}
-    for row in sorted(rows, key=lambda r: (r.lang, r.place, r.text)):
-        known = words.setdefault(row.lang, {})
-        for word in letters(split_words(pa.array([row.text])).distinct).to_pylist():
-            known[word] = None
-    texts = {lang: ("\n".join(w for w in known if w) + "\n")[:SAMPLE_CHARS] for lang, known in words.items()}
-    sizes = {row.lang: row.n for row in rows}
-    texts = {lang: texts[lang] for lang in sorted(texts, key=lambda x: (-sizes[x], x)) if texts[lang].strip()}
-    alphabet = sorted({ord(c) for text in texts.values() for c in text})
-    place = {c: i for i, c in enumerate(alphabet)}
-    automata = [build_automaton([place[ord(c)] for c in text], len(alphabet)) for text in texts.values()]
-    return Model(list(texts), automata, np.array(alphabet, np.int64))
+    rows = sample.join(_sent(texts), F.col("lang") == F.col("of"))
+    rows = rows.select("lang", "n", "place", F.substring("text", F.lit(1), share).alias("text")).dropDuplicates(["lang", "text"])
+    by_language = rows.groupBy("lang", "n").agg(F.sort_array(F.collect_list(F.struct("place", "text"))).alias("texts"))
+    with batches_of(spark, BUILD_ROWS):
+        table = stage(by_language.mapInArrow(_built, AUTOMATA), "automata")
+    blocks, room = [], 0
+    for row in table.select("lang", "n", "size").orderBy(F.desc("n"), "lang").collect():  # one row per label
+        if room < row.size:
+            blocks.append([])
+            room = BLOCK_BYTES
+        blocks[-1].append(row.lang)
+        room -= row.size
+    return Trained(table, blocks)
 
 
 def lowest(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -207,16 +244,19 @@ def lowest(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray, np.nda
     words = split_words(texts)
     bare = letters(words.distinct)
     points, lengths = code_points(bare)
-    at = np.minimum(np.searchsorted(model.alphabet, points), max(0, len(model.alphabet) - 1))
-    symbols = np.where(model.alphabet[at] == points, at, -1) if len(model.alphabet) else np.full(len(points), -1)
 
     def totals(by_word: np.ndarray) -> np.ndarray:
         return np.diff(np.concatenate(([0], np.cumsum(by_word[words.codes])))[words.bounds])
 
+    def cost(automaton: Automaton, alphabet: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(alphabet, points), len(alphabet) - 1)
+        symbols = np.where(alphabet[at] == points, at, -1)
+        return totals(count_phrases(automaton, len(alphabet), symbols, lengths)) * automaton.phrase_bits
+
     none = np.full(len(texts), np.inf)
     if not model.languages:
         return [UNDECIDED] * len(texts), none, none
-    costs = np.stack([totals(count_phrases(a, len(model.alphabet), symbols, lengths)) * a.phrase_bits for a in model.automata])
+    costs = np.stack([cost(*x) for x in zip(model.automata, model.alphabets)])
     decided = totals(lengths) > 0
     names = [model.languages[b] if d else UNDECIDED for b, d in zip(costs.argmin(axis=0).tolist(), decided.tolist())]
     second = np.sort(costs, axis=0)[1] if len(costs) > 1 else none
@@ -233,7 +273,7 @@ def predict(docs: DataFrame, trained: Trained) -> DataFrame:
         rows = stage(rows.withColumn("at", F.monotonically_increasing_id()), "language-texts")  # fixes ``at``
 
     def parsed(block: int) -> tuple[DataFrame, object]:
-        shared = context.broadcast(trained.model(block))  # at most BLOCK_LANGUAGES automata of SAMPLE_CHARS characters
+        shared = context.broadcast(trained.model(block))  # at most BLOCK_BYTES, or one language
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in text_slices(batches):
@@ -258,7 +298,7 @@ def predict(docs: DataFrame, trained: Trained) -> DataFrame:
     else:
         found, _ = parsed(0)
     # Infinity over infinity is no number, of texts without a language.
-    score = F.when(F.col("lang_pred") == UNDECIDED, 0.0).when(F.col("second") == float("inf"), 1.0).otherwise(
+    score = F.when(F.col("second") == float("inf"), 1.0).otherwise(
         F.greatest(F.lit(0.0), 1 - F.col("low") / F.greatest("second", F.lit(1e-9)))
     )
     return found.select("doc_id", "lang_pred", F.when(F.col("low") == float("inf"), 0.0).otherwise(score).alias("score"))

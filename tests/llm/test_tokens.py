@@ -145,3 +145,21 @@ def test_quality_of_odd_rows(spark):
     kept = op10_quality.keep_good(docs, PIECES)
     assert kept.columns == docs.columns and kept.count() == sum(r.kept for r in report)
     assert op10_quality.keep_good(docs.where("false"), PIECES).count() == 0
+
+
+def test_long_pieces_stay_out_of_the_lexicon(spark):
+    """A frequent piece of a megabyte is merged, not sent to the driver; ids are the tokenizer's."""
+    long = "xyz" * 350_000
+    docs = frame(spark, [(i, f"some words {long} again" if i < 3 else "some words and some") for i in range(6)])
+    pieces = [r.piece for r in op2_bpe.lexicon_words(docs).collect()]
+    assert "words" in pieces and max(len(p.encode()) for p in pieces) <= op2_bpe.PIECE_BYTES
+    path = public_path(op2_bpe.TOKENIZER)
+    rows = {r.doc_id: r for r in op2_bpe.digests(docs, path, ["doc_id"]).collect()}
+    ids = Tokenizer.from_file(path).encode(f"some words {long} again", add_special_tokens=False).ids
+    assert {rows[i].ids_sha256 for i in range(3)} == {hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()}
+
+
+def test_equal_lexicons_are_published_once(spark):
+    docs = frame(spark, [(i, "a few words of a few texts") for i in range(4)])
+    path = public_path(op2_bpe.TOKENIZER)
+    assert op2_bpe.publish_lexicon(docs, path) == op2_bpe.publish_lexicon(docs, path)
