@@ -99,9 +99,11 @@ def _by_sentinels(readings: DataFrame, probes: DataFrame, hot: HotCells, p: Para
     return near.join(prior, ["vehicle_id", "event_us"], "left")
 
 
-def nearest_readings(events: DataFrame, timeline: DataFrame, p: Params) -> DataFrame:
+def nearest_readings(events: DataFrame, timeline: DataFrame, p: Params, crowded: bool | None = None) -> DataFrame:
     """Nearest reading per distinct (vehicle_id, event_ts) that has one in the window.
 
+    ``crowded``: whether a vehicle-hour may have more than ``max_slice_rows`` rows of the timeline; counted if not given.
+
     The distance is the difference floored to seconds, the later reading wins a tie, then the
     first in timeline order. Hence the winner after the event is the first reading at or after
     it; the winner before is the first reading of the whole second (counted back from the
@@ -115,8 +117,9 @@ def nearest_readings(events: DataFrame, timeline: DataFrame, p: Params) -> DataF
         .groupBy("vehicle_id", "us").agg(F.expr("min_by(battery_pct, place) as battery_pct"))
     )
     probes = events.selectExpr("vehicle_id", f"{micros('event_ts')} as event_us").distinct()
-    hot = find_hot_cells(timeline.selectExpr("vehicle_id", "ts as event_ts"), p)
-    if hot is None:
+    if crowded is None:
+        crowded = find_hot_cells(timeline.selectExpr("vehicle_id", "ts as event_ts"), p) is not None
+    if not crowded:
         looked = _in_hours(readings, probes, p)
     else:
         # Crowded by instants: those of readings, and of events, which may be many where readings are few.
@@ -141,9 +144,9 @@ def nearest_readings(events: DataFrame, timeline: DataFrame, p: Params) -> DataF
     )
 
 
-def attach_battery(events: DataFrame, timeline: DataFrame, p: Params) -> DataFrame:
+def attach_battery(events: DataFrame, timeline: DataFrame, p: Params, crowded: bool | None = None) -> DataFrame:
     """Events with battery_pct and battery_ts, NULL where no reading is near."""
-    return events.join(nearest_readings(events, timeline, p), ["vehicle_id", "event_ts"], "left")
+    return events.join(nearest_readings(events, timeline, p, crowded), ["vehicle_id", "event_ts"], "left")
 
 
 def association_rate(events: DataFrame) -> DataFrame:

@@ -113,12 +113,12 @@ class Flow:
     @step
     def hot(self) -> HotCells | None:
         """Crowded vehicle-hours of all rows that are put in order: status rows of both recording sources,
-        synthetic events without copies, and plug events. Any cut is right; later steps have fewer rows."""
+        synthetic events without copies, plug events and battery readings. Any cut is right; later steps have fewer rows."""
         rows = ignition.tlm_status(self.signals).unionByName(ignition.trg_status(self.mapped))
         synthetic = self.syn_ignition.select("vehicle_id", "event_ts").distinct()
         everything = rows.select("vehicle_id", "event_ts").unionByName(synthetic).unionByName(
             self.status_events.select("vehicle_id", "event_ts")
-        )
+        ).unionByName(self.timeline.selectExpr("vehicle_id", "ts as event_ts"))
         return find_hot_cells(everything, self.p)
 
     @step
@@ -166,7 +166,7 @@ class Flow:
 
     @step
     def ignition_with_battery(self) -> DataFrame:
-        return battery.attach_battery(self.fused, self.timeline, self.p)
+        return battery.attach_battery(self.fused, self.timeline, self.p, self.hot is not None)
 
     @step
     def status_with_battery(self) -> DataFrame:
@@ -176,7 +176,7 @@ class Flow:
     def candidates(self) -> DataFrame:
         """Ignition and status events with battery, looked up in one pass over the timeline."""
         sequence = charging.event_sequence(self.fused, self.status_events)
-        return battery.attach_battery(sequence, self.timeline, self.p)
+        return battery.attach_battery(sequence, self.timeline, self.p, self.hot is not None)
 
     @step
     def pairs(self) -> DataFrame:
