@@ -163,3 +163,45 @@ def test_equal_lexicons_are_published_once(spark):
     docs = frame(spark, [(i, "a few words of a few texts") for i in range(4)])
     path = public_path(op2_bpe.TOKENIZER)
     assert op2_bpe.publish_lexicon(docs, path) == op2_bpe.publish_lexicon(docs, path)
+
+
+def plain_verdict(model, doc_id, text):
+    """All columns of the query for one text, word by word."""
+    import unicodedata
+
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    n_words, word_chars, n_symbols, n_dup, n_repeat = plain_counts(text or "")
+    failed = n_words < 50 or 100 * n_repeat > 50 * n_words
+    ids, by_script = [], Counter()
+    for word in words:
+        ids += model.encode(word)
+        letter = next((c for c in word if ord(c) > 127 and c.isalpha()), "a")
+        ends = [(0x24F, 0), (0x36F, 5), (0x3FF, 1), (0x52F, 2), (0x5FF, 5), (0x6FF, 3), (0x2FFF, 5), (0x9FFF, 4), (0x10FFFF, 5)]
+        by_script[next(k for end, k in ends if ord(letter) <= end)] += len(word)
+    weights = [by_script[0] // 4, *(by_script[k] for k in range(1, 6))]
+    script = op10_quality.SCRIPTS[weights.index(max(weights))]
+    n = len(ids)
+    letters = sum(unicodedata.category(c)[0] in "LMN" for w in words for c in w)
+    share = np.array(list(Counter(ids).values())) / max(n, 1)
+    figures = {
+        "chars_per_token": letters / max(n, 1), "byte_share": sum(model.is_byte(i) for i in ids) / max(n, 1),
+        "token_entropy": float(-(share * np.log2(share)).sum() / np.log2(n)) if n > 1 else 0.0,
+    }
+    band = op10_quality.Rules().bands[script]
+    inside = all(getattr(band, k)[0] - 1e-12 <= v <= getattr(band, k)[1] + 1e-12 for k, v in figures.items())
+    kept = not failed and (inside or n < 50)
+    return (doc_id, n_words, word_chars, n_symbols, n_dup, n_repeat, failed, kept, n, script), figures
+
+
+def test_quality_query_equals_plain_verdicts(spark):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    docs = {r.doc_id: r.text for r in documents(spark, SMALL).select("doc_id", "text").collect()}
+    rows = op10_quality.op10_quality(spark, SMALL).collect()
+    assert len(rows) == documents(spark, SMALL).count() and {r.kept for r in rows} == {True, False}
+    for r in rows:
+        want, figures = plain_verdict(model, r.doc_id, docs[r.doc_id])
+        names = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_tokens", "script")
+        assert tuple(r[n] for n in names) == want
+        assert all(r[name] == pytest.approx(value, abs=1e-9) for name, value in figures.items())
