@@ -27,7 +27,7 @@ from ampline.functions.scalars import SECOND, file_chunk, micros, no_chunk
 from ampline.operators.ranking import numbered
 from ampline.operators.scan import scanned
 from ampline.operators.slices import UP_TO_HERE, VEHICLE, HotCells, in_slice, scan_block, with_context, with_slice
-from ampline.staging import stage
+from ampline.staging import counted, stage
 
 # At equal times the source with the lower number comes first.
 PRIORITY = "case source when 'TLM' then 0 when 'TRG' then 1 when 'SYN' then 2 end"
@@ -51,8 +51,8 @@ def keep_spaced(times: str, last_us: str, gap: int) -> str:
     )
 
 
-def _open_rows(recorded: DataFrame, synthetic: DataFrame, hot: HotCells | None, p: Params) -> DataFrame:
-    """Heads of runs, and the rows that a head of their slice does not settle.
+def _open_rows(recorded: DataFrame, synthetic: DataFrame, hot: HotCells | None, p: Params) -> tuple[DataFrame, int]:
+    """Heads of runs and the rows that a head of their slice does not settle, and the number of rows without a head there.
 
     ``opens`` marks heads; ``head_us`` is the time of the run's head, NULL in a run that began
     in an earlier slice.
@@ -73,7 +73,10 @@ def _open_rows(recorded: DataFrame, synthetic: DataFrame, hot: HotCells | None,
         .selectExpr("*", f"last(if(opens, us, null)) ignore nulls {in_slice(ORDER, frame=UP_TO_HERE)} as head_us")
         .where(f"opens or head_us is null or us - head_us >= {gap}")
     )
-    return stage(rows.drop("carried", "prev_event", "prev_us"), "fusion-rows")
+    table, found = counted(
+        rows.drop("carried", "prev_event", "prev_us"), "fusion-rows", {"headless": "count_if(head_us is null)"}
+    )
+    return table, found["headless"]
 
 
 # ---- long runs ----------------------------------------------------------------------------------------------------
@@ -257,9 +260,9 @@ def _seeds(rows: DataFrame, kept: DataFrame, going_on: DataFrame, hot: HotCells
     ).where("goes_on").selectExpr(
         "vehicle_id", "slice", "covered", "start_us", "coalesce(before_covered, false) as after_covered"
     )
-    chain = stage(chain, "fusion-chain")
+    chain, found = counted(chain, "fusion-chain", {"covered": "count_if(covered)"})
     seeds = chain.where("not after_covered").selectExpr("vehicle_id", "slice", "start_us as seed_us")
-    if chain.where("covered").isEmpty():
+    if not found["covered"]:
         return seeds
     return seeds.unionByName(_through_covered(chain, going_on, p, gap))
 
@@ -270,7 +273,7 @@ def fuse(recorded: DataFrame, synthetic: DataFrame, hot: HotCells | None, p: Par
     ``recorded``: events of TLM and TRG; ``synthetic``: those of SYN, all of one kind.
     """
     gap = p.near_dup_gap_sec * SECOND
-    rows = _open_rows(recorded, synthetic, hot, p)
+    rows, headless = _open_rows(recorded, synthetic, hot, p)
     columns = ["vehicle_id", "slice", *ORDER, "event", "event_ts", "source"]
     heads = rows.where("opens").select(columns)
     # Of the rows of one time only the first can be kept, and runs share no time, so times are enough to walk.
@@ -284,7 +287,7 @@ def fuse(recorded: DataFrame, synthetic: DataFrame, hot: HotCells | None, p: Par
         return times.join(firsts, ["vehicle_id", "slice", "us"]).selectExpr("vehicle_id", "slice", "us", "item.*").select(columns)
 
     kept = heads.unionByName(walk(groups.where("head_us is not null"), "head_us"))
-    if not rows.where("head_us is null").isEmpty():
+    if headless:
         going_on = groups.where("head_us is null")
         seeded = going_on.join(_seeds(rows, kept, going_on, hot, p, gap), ["vehicle_id", "slice"])
         kept = kept.unionByName(walk(seeded, "seed_us"))

@@ -84,13 +84,18 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def measured(df: DataFrame, label: str, figures: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    """``stage``, and the ``figures`` (SQL aggregates by name) of all rows as a table of one row.
+def counted(df: DataFrame, label: str, figures: dict[str, str]) -> tuple[DataFrame, dict]:
+    """``stage``, and the ``figures`` (SQL aggregates by name) of all rows.
 
     The figures are taken while the rows are written, in the tasks that write them, so no further pass reads the rows.
     """
-    spark, watch = df.sparkSession, Observation(label)
-    schema = df.selectExpr(*[f"{value} as {name}" for name, value in figures.items()]).schema
+    watch = Observation(label)
     table = stage(df.observe(watch, *[F.expr(value).alias(name) for name, value in figures.items()]), label)
-    found = watch.get
-    return table, spark.createDataFrame([[found[name] for name in figures]], schema)
+    return table, watch.get
+
+
+def measured(df: DataFrame, label: str, figures: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """``counted``, with the figures as a table of one row."""
+    schema = df.selectExpr(*[f"{value} as {name}" for name, value in figures.items()]).schema
+    table, found = counted(df, label, figures)
+    return table, df.sparkSession.createDataFrame([[found[name] for name in figures]], schema)

@@ -187,3 +187,17 @@ def test_quantiles_of_ten_million_distinct_values(spark):
 def test_outliers_beyond_the_whiskers(spark):
     rows = spark.range(100).selectExpr("id", "if(id < 96, id % 10, id * 10) * 1D as x")
     assert sorted(r.id for r in outliers(rows, "x").collect()) == [96, 97, 98, 99]
+
+
+def test_a_flow_runs_few_jobs(spark):
+    """Steps are shared and their figures observed, so a query is a chain of few written tables."""
+    context = spark.sparkContext
+    context.setJobGroup("few-jobs", "all steps up to the sessions")
+    try:
+        with Flow(DerivedFeeds(spark, f"{DATA}/sf0.01"), share=True) as flow:
+            flow.sessions.write.format("noop").mode("overwrite").save()
+            tables = os.listdir(flow.staging.folder)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tables) <= 11
+    assert len(context.statusTracker().getJobIdsForGroup("few-jobs")) <= 60
