@@ -199,5 +199,5 @@ def test_a_flow_runs_few_jobs(spark):
             tables = os.listdir(flow.staging.folder)
     finally:
         context.setLocalProperty("spark.jobGroup.id", None)
-    assert len(tables) <= 11
-    assert len(context.statusTracker().getJobIdsForGroup("few-jobs")) <= 60
+    assert len(tables) <= 14  # some for runs that fill whole slices
+    assert len(context.statusTracker().getJobIdsForGroup("few-jobs")) <= 75
