@@ -2,14 +2,15 @@
 
 One index over all text would have to fit one task, and indexes over shards would have to be streamed past each other, so
 the candidates are brought together first. Every text is cut into runs of windows that share a winnowed k-gram (see
-``windows``); equal windows have equal k-grams. Runs whose k-gram occurs once are done. Runs with equal contexts (the
-bytes of all their windows, compared by 128 bits of hashes) are repeats as a whole, and one of them stands for all. The
-remaining contexts, one of each kind, are dealt to tasks by k-gram and laid into run-length indexes of SHARD_BYTES, whose
-matching statistics tell the windows that occur twice. K-grams with more than CROWD different contexts take an exact way
-that needs no common task: their windows are counted one by one, by hash.
+``windows``); equal windows have equal k-grams. The k-grams' hashes only bring runs together and decide nothing. Runs whose
+k-gram occurs once are done. Runs with equal contexts (the bytes of all their windows, by cryptographic digests of 128 bits)
+are repeats as a whole, and one of them stands for all. The remaining contexts, one of each kind, are dealt to tasks by
+k-gram and laid into run-length indexes of SHARD_BYTES, whose matching statistics tell the windows that occur twice. Contexts
+of a k-gram with more than CROWD of them are too many for one index, so they are split further, into single windows, which
+are contexts of their own and settled like those above, by digests.
 
-Counts and joins work by hash keys with map-side parts, and both sides of joins with hot keys are plain exchanges, so that
-adaptive execution can split them. No text is sent more than to find contexts and to remove bytes.
+Counts by key have map-side parts. Rows of a hot key are dealt into parts before they are joined with it. No text is sent
+more than to find contexts and to remove bytes.
 
 Matches never cross documents; strings are judged on the input. Null and empty texts have no bytes; texts below WINDOW
 bytes and texts that occur once as a whole may still lose nothing. Repeated rows are repeats of each other. Rows are told
@@ -30,14 +31,17 @@ from pyspark.sql import functions as F
 
 from ampline.llm.common import documents, ship, string_column, text_slices, with_fields
 from ampline.llm.run_index import matching_statistics
-from ampline.llm.windows import WINDOW, Hashes, find_runs
-from ampline.staging import stage
+from ampline.llm.windows import WINDOW, Hashes, digests, find_runs
+from ampline.staging import counted, stage
 
 CROWD = 4000             # contexts of a k-gram that one index takes, at most
 SHARD_BYTES = 1 << 20
 BLOCK_BYTES = 2 << 20    # text hashed at a time; longer texts are cut
 SEPARATOR = b"\xff"      # in no UTF-8 text
-RUNS = "file bigint, at bigint, first int, last int, gram bigint, context bigint"
+GRAM_BITS = 64           # of a k-gram's hash
+PART_ROWS = 1000         # rows of a hot key that one part takes, at least
+RUNS = "file bigint, at bigint, first int, last int, gram bigint, context bigint, context2 bigint"
+CONTEXT = ["context", "context2"]
 
 
 def placed(docs: DataFrame) -> DataFrame:
@@ -81,21 +85,23 @@ def _joined(pieces: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarra
 
 
 def runs_of(rows: DataFrame) -> DataFrame:
-    """The runs of all texts: row, first and last window, hashes of k-gram and context."""
+    """The runs of all texts: row, first and last window, hash of the k-gram and digest of the context."""
+    mask = np.uint64((1 << GRAM_BITS) - 1)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
             file, at = np.asarray(batch.column(0)), np.asarray(batch.column(1))
             for row, start, data, bounds in _blocks(batch):
                 runs = find_runs(data, bounds, Hashes(data))
+                context, context2 = digests(data, runs.first, runs.last + WINDOW)
                 owner = np.searchsorted(bounds, runs.first, "right") - 1
                 shift = start[owner] - bounds[owner]
                 columns = [
                     pa.array(file[row[owner]]), pa.array(at[row[owner]]),
                     pa.array((runs.first + shift).astype(np.int32)), pa.array((runs.last + shift).astype(np.int32)),
-                    pa.array(runs.gram.view(np.int64)), pa.array(runs.context.view(np.int64)),
+                    pa.array((runs.gram & mask).view(np.int64)), pa.array(context), pa.array(context2),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["file", "at", "first", "last", "gram", "context"])
+                yield pa.RecordBatch.from_arrays(columns, names=["file", "at", "first", "last", "gram", *CONTEXT])
 
     ship(rows.sparkSession)
     return rows.select("file", "at", F.col("row.text").alias("text")).mapInArrow(cut, RUNS)
@@ -166,7 +172,7 @@ def indexed_repeats(contexts: DataFrame) -> DataFrame:
 
 
 def counted_repeats(contexts: DataFrame) -> DataFrame:
-    """Like ``indexed_repeats``, window by window, counted by hash of k-gram and window."""
+    """Like ``indexed_repeats``, window by window, each a context of its own."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "bytes"):
@@ -176,43 +182,61 @@ def counted_repeats(contexts: DataFrame) -> DataFrame:
             counts = np.diff(bounds) - WINDOW + 1
             owner = np.repeat(np.arange(len(parts)), counts)
             inside = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-            hashes = Hashes(data).of(bounds[owner] + inside, bounds[owner] + inside + WINDOW)
+            context, context2 = digests(data, bounds[owner] + inside, bounds[owner] + inside + WINDOW)
             rows = pa.array(owner)
-            first = np.asarray(batch.column(2)).astype(np.int64)[owner] + inside
+            low = np.asarray(batch.column(2)).astype(np.int64)[owner] + inside
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(first.astype(np.int32)), batch.column(3).take(rows), pa.array(hashes.view(np.int64))],
-                names=["file", "at", "low", "gram", "window"],
+                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(low.astype(np.int32)), pa.array(context), pa.array(context2)],
+                names=["file", "at", "low", *CONTEXT],
             )
 
-    windows = contexts.select("file", "at", "first", "gram", "bytes").mapInArrow(spread, "file bigint, at bigint, low int, gram bigint, window bigint")
+    windows = contexts.select("file", "at", "first", "bytes").mapInArrow(spread, "file bigint, at bigint, low int, context bigint, context2 bigint")
     windows = stage(windows, "windows")
-    often = windows.groupBy(F.col("gram").alias("g"), F.col("window").alias("w")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    often = stage(often.select("g", "w"), "windows-often")
-    found = windows.join(often, (F.col("gram") == F.col("g")) & (F.col("window") == F.col("w")))
+    often = windows.groupBy(CONTEXT).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    often, figures = counted(often, "windows-often", {"total": "sum(n)"})
+    found = joined(windows, often, CONTEXT, ["file", "at", "low"], figures["total"])
     return found.select("file", "at", "low", F.col("low").alias("high"))
 
 
+def joined(rows: DataFrame, keys: DataFrame, on: list[str], place: list[str], total: int | None) -> DataFrame:
+    """``rows`` with the columns of their key, of those that have one.
+
+    ``keys`` has each key once, with ``n``, the number of its rows, and ``total`` is the sum of all ``n``. The rows of a key
+    with over a thousandth of them are dealt by ``place`` into parts that have no more. There are at most 1,000 such keys,
+    so they are broadcast, and at most 2,000 parts of them.
+    """
+    most = max(PART_ROWS, (total or 0) // 1000)
+    parts = F.ceil(F.col("n") / most).cast("int")
+    hot = keys.where(F.col("n") > most).select(*[F.col(c).alias(f"hot_{c}") for c in on], parts.alias("parts"))
+    part = F.coalesce(F.pmod(F.xxhash64(*place), F.col("parts")).cast("int"), F.lit(0)).alias("part")
+    dealt = rows.join(F.broadcast(hot), [F.col(c) == F.col(f"hot_{c}") for c in on], "left").select(*rows.columns, part)
+    spread = keys.withColumn("key_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    spread = spread.select(*[F.col(c).alias(f"key_{c}") if c in on else c for c in spread.columns if c != "n"])
+    found = dealt.join(spread, [F.col(c) == F.col(f"key_{c}") for c in [*on, "part"]])
+    return found.drop("part", "key_part", *[f"key_{c}" for c in on])
+
+
 def repeats(rows: DataFrame) -> DataFrame:
     """file, at, low, high: stretches of windows (first and last start) that occur elsewhere too."""
     runs = runs_of(rows)
-    several = runs.groupBy(F.col("gram").alias("g")).agg(
-        F.count(F.lit(1)).alias("n"), (F.min("context") == F.max("context")).alias("alike")
-    ).where("n > 1").select("g", "alike")
-    several = stage(several, "grams")
-    common = stage(runs.join(several, F.col("gram") == F.col("g")).drop("g"), "runs")
+    same = (F.min("context") == F.max("context")) & (F.min("context2") == F.max("context2"))
+    several = runs.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), same.alias("alike")).where("n > 1")
+    several, figures = counted(several, "grams", {"total": "sum(n)"})
+    common = stage(joined(runs, several, ["gram"], ["file", "at", "first"], figures["total"]), "runs")
     alike = common.where("alike")
-    mixed = common.where("NOT alike")
+    mixed = common.where("NOT alike").drop("alike")
 
     place = F.struct("file", "at", "first", "last").alias("place")
-    kinds = stage(mixed.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("place")), "contexts")
-    twice = kinds.where("n > 1").select(F.col("gram").alias("g"), F.col("context").alias("c"))
-    copied = mixed.join(twice, (F.col("gram") == F.col("g")) & (F.col("context") == F.col("c")))
+    kinds = mixed.groupBy("gram", *CONTEXT).agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("place"))
+    kinds, figures = counted(kinds, "contexts", {"total": "sum(n)", "kinds": "count(1)"})
+    twice = kinds.where("n > 1").drop("place")
+    copied = joined(mixed, twice, ["gram", *CONTEXT], ["file", "at", "first"], figures["total"])
     whole = alike.select("file", "at", "first", "last").unionByName(copied.select("file", "at", "first", "last"))
 
     # Grams all of whose contexts occur twice are done; of the others one context of each kind is looked into.
-    grams = kinds.groupBy(F.col("gram").alias("g")).agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least"))
-    grams = stage(grams.where("least = 1").select("g", "m"), "open-grams")
-    open_kinds = kinds.join(grams, F.col("gram") == F.col("g")).select("place.*", "gram", (F.col("m") > CROWD).alias("crowded"))
+    grams = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("n").alias("least")).where("least = 1")
+    grams = stage(grams.select("gram", "n", (F.col("n") > CROWD).alias("crowded")), "open-grams")
+    open_kinds = joined(kinds.select("gram", "place"), grams, ["gram"], ["place"], figures["kinds"]).select("place.*", "gram", "crowded")
     wanted = open_kinds.groupBy(F.col("file").alias("f"), F.col("at").alias("a")).agg(
         F.collect_list(F.struct("first", "last", "gram", "crowded")).alias("wanted")
     )

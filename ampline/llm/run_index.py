@@ -1,9 +1,9 @@
 """A run-length index of a repetitive text: matching statistics of every position against the rest of the text.
 
 The suffix array is built by prefix doubling on those suffixes only that are not told apart yet. Its Burrows-Wheeler
-transform is kept as runs, with the text position sampled at each run's end. Only at a run's first entry may the longest
-common prefix with the preceding suffix be longer than what the position before it in the text tells (Kärkkäinen, Manzini
-and Puglisi, 2009), so it is compared there and streamed on from there.
+transform is kept as runs, of which only the text positions at both ends are sampled; the array itself is not kept. Only
+at a border of runs may the longest common prefix of neighbours be longer than what the position before tells (Kärkkäinen,
+Manzini and Puglisi, 2009), so bytes are compared there and the lengths streamed on through the text from there.
 """
 
 from __future__ import annotations
@@ -44,19 +44,17 @@ def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class RunIndex:
-    heads: np.ndarray    # the transform's byte in each run
-    starts: np.ndarray   # the suffix array slot at which each run starts
-    samples: np.ndarray  # the text position at each run's first and last slot
-    order: np.ndarray
-    rank: np.ndarray
+    """The runs of the transform by their samples; a run's byte is the one before its samples."""
+
+    starts: np.ndarray  # the text position at each run's first slot
+    ends: np.ndarray    # the text position at each run's last slot
 
 
 def build(data: np.ndarray) -> RunIndex:
-    order, rank = suffix_array(data)
+    order, _ = suffix_array(data)
     before = np.where(order > 0, data[order - 1].astype(np.int16), -1)
-    starts = np.flatnonzero(np.concatenate(([True], before[1:] != before[:-1])))
-    ends = np.concatenate((starts[1:], [len(data)])) - 1
-    return RunIndex(before[starts], starts, np.stack([order[starts], order[ends]]), order, rank)
+    edges = np.flatnonzero(before[1:] != before[:-1])
+    return RunIndex(order[np.concatenate(([0], edges + 1))], order[np.concatenate((edges, [len(data) - 1]))])
 
 
 def common_prefixes(data: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -76,22 +74,25 @@ def common_prefixes(data: np.ndarray, left: np.ndarray, right: np.ndarray) -> np
     return out
 
 
+def _streamed(n: int, samples: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Values by text position: known at the samples, and one less with each position after them."""
+    known = np.full(n, -1, np.int64)
+    known[samples] = values
+    last = np.maximum.accumulate(np.where(known >= 0, np.arange(n), 0))
+    return known[last] - (np.arange(n) - last)
+
+
 def matching_statistics(data: np.ndarray) -> np.ndarray:
-    """Of each position, the length of the longest string from it that also starts at another position."""
+    """Of each position, the length of the longest string from it that also starts at another position.
+
+    The longest match is with the suffix before or after it in order. Both are told by the borders of runs alone; the text's
+    first position is a run by itself, so that a sample precedes every position.
+    """
     n = len(data)
     if n < 2:
         return np.zeros(n, np.int64)
     index = build(data)
-    heads = index.starts[1:]
-    known = np.full(n, -1, np.int64)  # by text position; -1 where the position before tells it
-    known[index.order[0]] = 0
-    # A run's first suffix is compared with the one before it, which is the sample at the end of the run before.
-    known[index.samples[0, 1:]] = common_prefixes(data, index.samples[1, :-1], index.order[heads])
-    if known[0] < 0:
-        slot = index.rank[0]
-        known[0] = common_prefixes(data, index.order[slot - 1 : slot], index.order[slot : slot + 1])[0]
-    last = np.maximum.accumulate(np.where(known >= 0, np.arange(n), 0))
-    before = known[last] - (np.arange(n) - last)
-    after = np.zeros(n, np.int64)
-    after[index.order[:-1]] = before[index.order[1:]]
-    return np.maximum(before, after)
+    borders = common_prefixes(data, index.ends[:-1], index.starts[1:])
+    return np.maximum(
+        _streamed(n, index.starts, np.concatenate(([0], borders))), _streamed(n, index.ends, np.concatenate((borders, [0])))
+    )

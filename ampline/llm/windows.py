@@ -8,6 +8,7 @@ anchor with all its windows.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -63,15 +64,22 @@ class Hashes:
         return mix((self.sums[length:] - self.sums[:-length]) * self.back[: len(self.sums) - length])
 
 
+def digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """BLAKE2 digests of substrings, 128 bits in two halves; other than ``Hashes``, they tell any two strings apart."""
+    view = memoryview(np.ascontiguousarray(data))
+    raw = b"".join([hashlib.blake2b(view[a:b], digest_size=16).digest() for a, b in zip(starts.tolist(), ends.tolist())])
+    halves = np.frombuffer(raw, "<i8").reshape(-1, 2)
+    return halves[:, 0], halves[:, 1]
+
+
 @dataclass
 class Runs:
-    """Of each run: the first and last window start, the anchor, its k-gram's hash and a hash of all its windows' bytes."""
+    """Of each run: the first and last window start, the anchor and its k-gram's hash."""
 
     first: np.ndarray
     last: np.ndarray
     anchor: np.ndarray
     gram: np.ndarray
-    context: np.ndarray
 
 
 def find_runs(data: np.ndarray, bounds: np.ndarray, hashes: Hashes) -> Runs:
@@ -79,7 +87,7 @@ def find_runs(data: np.ndarray, bounds: np.ndarray, hashes: Hashes) -> Runs:
     none = np.zeros(0, np.int64)
     width = WINDOW - GRAM + 1
     if len(data) < WINDOW:
-        return Runs(none, none, none, none.view(np.uint64), none.view(np.uint64))
+        return Runs(none, none, none, none.view(np.uint64))
     if len(data) >> PLACE_BITS:
         raise ValueError(f"cut texts into blocks of less than {1 << PLACE_BITS} bytes")
     mask = np.uint64((1 << PLACE_BITS) - 1)
@@ -99,12 +107,10 @@ def find_runs(data: np.ndarray, bounds: np.ndarray, hashes: Hashes) -> Runs:
     inside[high[some]] -= 1
     places = np.flatnonzero(np.cumsum(inside[:-1]) > 0)
     if not len(places):
-        return Runs(none, none, none, none.view(np.uint64), none.view(np.uint64))
+        return Runs(none, none, none, none.view(np.uint64))
     anchors = anchors[places]
     begins = np.concatenate(([True], anchors[1:] != anchors[:-1]))
     first = places[begins]
     last = places[np.concatenate((begins[1:], [True]))]
     anchor = anchors[begins]
-    shape = ((anchor - first) * (WINDOW + 1) + (last - first)).astype(np.uint64)
-    context = mix(hashes.of(first, last + WINDOW) ^ mix(shape + np.uint64(1)))
-    return Runs(first, last, anchor, grams[anchor], context)
+    return Runs(first, last, anchor, grams[anchor])

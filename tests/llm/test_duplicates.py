@@ -203,9 +203,12 @@ def test_blocks_hold_each_window_once(monkeypatch, size):
     assert len(seen) == sum(max(0, len(t.encode()) - WINDOW + 1) for t in texts)
 
 
-@pytest.mark.parametrize("crowd", [4000, 1])
-def test_repeats_equal_brute_force(spark, monkeypatch, crowd):
+@pytest.mark.parametrize(("crowd", "bits", "part"), [(4000, 64, 1000), (1, 64, 1000), (4000, 2, 1000), (10, 1, 3), (4000, 64, 1)])
+def test_repeats_equal_brute_force(spark, monkeypatch, crowd, bits, part):
+    """Also where k-grams' hashes collide, and where rows of most keys are dealt into parts."""
     monkeypatch.setattr(op3_repeats, "CROWD", crowd)
+    monkeypatch.setattr(op3_repeats, "GRAM_BITS", bits)
+    monkeypatch.setattr(op3_repeats, "PART_ROWS", part)
     rows = passages()
     got = op3_repeats.removal(frame(spark, rows), digest=True)
     got = got.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.col("kept").cast("string")).collect()
@@ -228,6 +231,16 @@ def test_repeats_of_odd_rows(spark):
     assert GRAM < WINDOW
 
 
+def test_hot_keys_are_dealt_into_parts(spark, monkeypatch):
+    monkeypatch.setattr(op3_repeats, "PART_ROWS", 10)
+    rows = spark.range(5000).selectExpr("id as file", "0 as at", "0 as first", "if(id < 4000, 7, id) as gram")
+    keys = spark.createDataFrame([(7, 4000, True), (4500, 1, False)], "gram bigint, n bigint, alike boolean")
+    found = op3_repeats.joined(rows, keys, ["gram"], ["file", "at", "first"], 4001)
+    assert found.columns == ["file", "at", "first", "gram", "alike"]
+    assert Counter((r.gram, r.alike) for r in found.collect()) == {(7, True): 4000, (4500, False): 1}
+    assert found.select("file").distinct().count() == 4001
+
+
 def test_index_equals_plain_search():
     for i, text in texts_of("ab", 150, 50, 7) + texts_of("abcd", 100, 60, 8):
         data = text.encode() * (1 + i % 3)
