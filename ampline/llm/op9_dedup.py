@@ -7,7 +7,8 @@ progress lie in the shared folder; a lost executor's state is loaded again from
 goes on from it.
 
 A digest that several rows share is a hit. Hits are checked on the full bytes: each row's text is compared with the text
-at the entry's locator. Rows that differ (a collision of digests) are grouped by their whole texts instead.
+at the entry's locator. Only texts of hits are shuffled for that, as a Bloom filter of their locators, sized by their count,
+is asked first. Rows that differ (a collision of digests) are grouped by their whole texts instead.
 
 Texts are equal when they are identical after lower-casing A-Z; null counts as empty. Of equal texts, the row with the
 largest document id stays; null ids are the smallest, and of rows with equal ids the one with the largest locator stays.
@@ -16,13 +17,15 @@ largest document id stays; null ids are the smallest, and of rows with equal ids
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampline.llm.common import documents
-from ampline.staging import stage, stage_root
+from ampline.staging import counted, stage, stage_root
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 STATE_CONF = {
@@ -32,6 +35,8 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else each partition reserves megabytes of disk
 }
 BATCH_BYTES = str(64 << 30)  # of digest files in a micro-batch
+FILTER_BITS = 16  # of the Bloom filter by hit
+MOST_FILTER_BITS = 1 << 29  # 64 MB, as it is broadcast; with over 33 million hits it lets more other texts pass, and loses none
 ROWS_PER_COPY = 1000  # a checked text is copied once per so many rows of its group
 
 
@@ -55,12 +60,33 @@ def located(docs: DataFrame) -> tuple[DataFrame, bool]:
         return stage(docs, "content").select(row, place), True
 
 
-def update_state(spark: SparkSession, digests: str, schema, checkpoint: str) -> None:
-    """Run the stream over all digest files that its checkpoint has not seen."""
-    before = {key: spark.conf.get(key, None) for key in STATE_CONF}
-    for key, value in STATE_CONF.items():
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """The session's settings for what is run inside."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
         spark.conf.set(key, value)
     try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)
+
+
+def filter_conf(hits: int) -> dict[str, str]:
+    """Settings that put a Bloom filter of ``hits`` keys before the exchange of a join."""
+    bits = str(min(MOST_FILTER_BITS, max(1 << 16, FILTER_BITS * hits)))
+    prefix = "spark.sql.optimizer.runtime.bloomFilter"
+    return {
+        f"{prefix}.enabled": "true", f"{prefix}.applicationSideScanSizeThreshold": "0", f"{prefix}.creationSideThreshold": "1t",
+        f"{prefix}.expectedNumItems": str(max(1, hits)), f"{prefix}.maxNumItems": str(max(1, hits)),
+        f"{prefix}.numBits": bits, f"{prefix}.maxNumBits": bits,
+    }
+
+
+def update_state(spark: SparkSession, digests: str, schema, checkpoint: str) -> None:
+    """Run the stream over all digest files that its checkpoint has not seen."""
+    with _settings(spark, STATE_CONF):
         rows = spark.readStream.schema(schema).option("maxBytesPerTrigger", BATCH_BYTES).parquet(digests)
         entries = rows.groupBy("digest").agg(
             F.count(F.lit(1)).alias("n"), F.max(F.struct("doc_id", "locator")).alias("last")
@@ -68,9 +94,6 @@ def update_state(spark: SparkSession, digests: str, schema, checkpoint: str) ->
         entries.writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint).trigger(
             availableNow=True
         ).start().awaitTermination()
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value) if value else spark.conf.unset(key)
 
 
 def entries(spark: SparkSession, checkpoint: str) -> DataFrame:
@@ -80,15 +103,19 @@ def entries(spark: SparkSession, checkpoint: str) -> DataFrame:
     return state.select(F.col("key.digest").alias("digest"), F.col(f"value.{count}").alias("n"), F.col(f"value.{last}").alias("last"))
 
 
-def _checked(texts: DataFrame, hits: DataFrame) -> DataFrame:
+def texts_of(hits: DataFrame, texts: DataFrame) -> DataFrame:
+    """``hits`` with ``normal``, their text of ``texts`` (locator, normal); no two rows share a locator."""
+    texts = texts.select(F.col("locator").alias("text_at"), "normal")
+    return hits.join(texts, hits["locator"] == texts["text_at"]).select(*hits.columns, "normal")
+
+
+def _checked(texts: DataFrame, hits: DataFrame, n_hits: int) -> DataFrame:
     """Rows of hits with their group's variant: null if their bytes equal those at the entry's locator, else their text.
 
-    Rows find their text by locator, which no two rows share. The text of an entry goes to its rows in as many copies as
-    the group's size needs, so that no task gets one large group.
+    The text of an entry goes to its rows in as many copies as the group's size needs, so that no task gets one large group.
     """
-    texts = texts.select(F.col("locator").alias("text_at"), "normal")
-    rows = hits.join(texts, hits["locator"] == texts["text_at"]).select("digest", "doc_id", "locator", "n", "last", "normal")
-    rows = stage(rows, "hits")
+    with _settings(hits.sparkSession, filter_conf(n_hits)):
+        rows = stage(texts_of(hits.select("digest", "doc_id", "locator", "n", "last"), texts), "hits")
     copies = F.ceil(F.col("n") / ROWS_PER_COPY).cast("int")
     first = rows.where(F.col("locator") == F.col("last.locator")).select(
         F.col("digest").alias("of"), F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"), F.col("normal").alias("stored")
@@ -109,11 +136,11 @@ def duplicates(rows: DataFrame, digest=sha256) -> DataFrame:
     keyed.write.parquet(f"{folder}/digests")
     update_state(spark, f"{folder}/digests", keyed.schema, f"{folder}/state")
     members = spark.read.schema(keyed.schema).parquet(f"{folder}/digests").join(entries(spark, f"{folder}/state"), "digest")
-    members = stage(members, "members")
+    members, figures = counted(members, "members", {"hits": "count_if(n > 1)"})
     alone = members.where("n = 1").select(
         "doc_id", "locator", F.col("doc_id").alias("keep_id"), F.col("locator").alias("keep_at"), F.lit(1).cast("bigint").alias("group_size"), "digest"
     )
-    hits = stage(_checked(rows.select("locator", normal.alias("normal")), members.where("n > 1")), "checked")
+    hits = stage(_checked(rows.select("locator", normal.alias("normal")), members.where("n > 1"), figures["hits"] or 0), "checked")
     groups = hits.groupBy("digest", "variant").agg(
         F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "locator")).alias("last")
     ).select(F.col("digest").alias("of"), F.col("variant").alias("its"), "group_size", "last")

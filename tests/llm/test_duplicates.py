@@ -14,6 +14,7 @@ from ampline.llm import op3_repeats, op8_simhash, op9_dedup
 from ampline.llm.common import documents
 from ampline.llm.run_index import matching_statistics, suffix_array
 from ampline.llm.windows import GRAM, WINDOW, Hashes, find_runs
+from ampline.staging import stage
 from tests.compare import differences, oracle_rows, spark_rows
 from tests.llm.data import ROWS, SMALL, frame, odd_docs, texts_of
 
@@ -55,6 +56,23 @@ def test_exact_copies_of_one_text_are_checked_in_parts(spark, monkeypatch):
     assert Counter((r.keep_id, r.group_size) for r in found) == {(49, 50): 50, (50, 1): 1}
 
 
+def test_only_texts_of_hits_are_shuffled(spark):
+    """A Bloom filter stands before the exchange of texts and lets all texts of hits pass; the session keeps its settings."""
+    size = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = spark.conf.get(size)
+    rows = op9_dedup.located(documents(spark, SMALL).select("doc_id", "text"))[0]
+    keyed = rows.select("locator", F.col("row.doc_id").alias("doc_id"), F.when(F.col("row.doc_id") % 10 == 0, 2).otherwise(1).alias("n"))
+    hits = stage(keyed, "members").where("n > 1")
+    want = hits.count()
+    conf = op9_dedup.filter_conf(want) | {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+    with op9_dedup._settings(spark, conf):
+        found = op9_dedup.texts_of(hits, rows.select("locator", op9_dedup.normalised(F.col("row.text")).alias("normal")))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert found.count() == want
+    assert "might_contain" in plan
+    assert spark.conf.get(size) == before
+
+
 def test_state_goes_on_from_earlier_rows(spark, tmp_path):
     """A later run over new files sees the entries of the first one."""
     schema = "doc_id bigint, locator struct<file:string,at:bigint>, digest string"
