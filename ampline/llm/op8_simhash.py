@@ -5,9 +5,11 @@ collapse first; links are searched between distinct fingerprints.
 
 Search: a fingerprint is embedded as the bit counts of its SEGMENTS segments. The Manhattan distance of two embeddings is
 at most the Hamming distance, so fingerprints within ``distance`` bits lie within that Manhattan distance too. The grid
-groups the axes into ``distance + EQUAL_GROUPS`` groups: of two points within the distance, at least EQUAL_GROUPS groups
-of axes have equal counts. Every choice of EQUAL_GROUPS groups is a projection of the grid with cells of width one, and
-points that share a cell are compared: Manhattan distance first, then the exact bit distance.
+groups the axes into ``distance + equal`` groups: of two points within the distance, at least ``equal`` groups of axes have
+equal counts. Every choice of ``equal`` groups is a projection of the grid with cells of width one, and points that share a
+cell are compared: Manhattan distance first, then the exact bit distance. More groups mean more projections and smaller
+cells. Their number follows from the number of points and from how often two points agree on each axis, so that a point is
+expected to meet no more than CELL_LOAD others in a cell, however many points there are.
 
 Cells of up to CELL_POINTS points are compared in blocks inside a task, which returns the links that join parts not yet
 joined in the cell, never all pairs. Points of larger cells take an exact way without comparisons: two fingerprints
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +39,7 @@ SHINGLE_WORDS = 4
 DISTANCE = 4
 SEED = 42
 SEGMENTS = 32
-EQUAL_GROUPS = 4
+CELL_LOAD = 1.0  # points by chance that a point is to meet in a cell, on average over the projections
 CELL_POINTS = 20_000
 SMALL_CELL = 64  # cells up to this size are compared many at a time
 BLOCK = 1024  # points of a larger cell compared with each other at a time
@@ -85,12 +88,47 @@ def _fingerprinted(docs: DataFrame, kept: list[str], words_per_shingle: int) ->
 # ---- links between distinct fingerprints --------------------------------------------------------------------------
 
 
-def axis_groups(distance: int) -> list[tuple[int, int]]:
-    """Ranges of segments; the number of groups is such that EQUAL_GROUPS of them stay equal within the distance."""
-    cuts = np.linspace(0, SEGMENTS, distance + EQUAL_GROUPS + 1).round().astype(int)
+def axis_groups(distance: int, equal: int) -> list[tuple[int, int]]:
+    """Ranges of segments; the number of groups is such that ``equal`` of them stay equal within the distance."""
+    cuts = np.linspace(0, SEGMENTS, distance + equal + 1).round().astype(int)
     return list(zip(cuts.tolist(), cuts[1:].tolist()))
 
 
+def cell_load(agreement: np.ndarray, n: float, distance: int, equal: int) -> float:
+    """Points that a point meets by chance in a cell, on average, if two of ``n`` agree on the axes independently."""
+    chances = [agreement[low:high].prod() for low, high in axis_groups(distance, equal)]
+    sums = np.zeros(equal + 1)  # sums of products of so many of the groups seen
+    sums[0] = 1
+    for chance in chances:
+        sums[1:] += chance * sums[:-1].copy()
+    return n * sums[equal] / comb(distance + equal, equal)
+
+
+def equal_groups(agreement: np.ndarray, n: float, distance: int) -> int:
+    """The least number of equal groups that keeps cells within CELL_LOAD.
+
+    Projections never outnumber the values that ``midpoint_links`` makes of a point; points whose cells are still too
+    large with as many go there.
+    """
+    most = sum(comb(64, k) for k in range(distance // 2 + 1))
+    equal = 1
+    while (
+        cell_load(agreement, n, distance, equal) > CELL_LOAD
+        and distance + equal < SEGMENTS and comb(distance + equal + 1, distance) <= most
+    ):
+        equal += 1
+    return equal
+
+
+def measured_agreement(points: DataFrame) -> tuple[np.ndarray, int]:
+    """Of each axis the chance that two of the points agree, and the number of points."""
+    bits = 64 // SEGMENTS
+    counts = [F.expr(f"bit_count(shiftright(fp, {bits * axis}) & {(1 << bits) - 1})") for axis in range(SEGMENTS)]
+    sums = [F.count_if(c == value) for c in counts for value in range(bits + 1)]
+    n, *found = points.agg(F.count(F.lit(1)), *sums).first()
+    return ((np.array(found, float) / max(n, 1)).reshape(SEGMENTS, bits + 1) ** 2).sum(axis=1), n
+
+
 def embed(fps: np.ndarray) -> np.ndarray:
     """Bit counts of the segments of each fingerprint."""
     bits = np.unpackbits(fps.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -102,9 +140,9 @@ def _dealt(points: DataFrame) -> DataFrame:
     return points.select("fp").repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
 
 
-def grid_cells(points: DataFrame, distance: int) -> DataFrame:
+def grid_cells(points: DataFrame, distance: int, equal: int) -> DataFrame:
     """Each fp with the cells of all projections: the projection's number and the counts on its axes, packed."""
-    groups = axis_groups(distance)
+    groups = axis_groups(distance, equal)
     width = (64 // SEGMENTS).bit_length()
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +155,7 @@ def grid_cells(points: DataFrame, distance: int) -> DataFrame:
                 for axis in range(low, high):
                     key = key << width | counts[:, axis]
                 packed.append(key)
-            for number, chosen in enumerate(combinations(range(len(groups)), EQUAL_GROUPS)):
+            for number, chosen in enumerate(combinations(range(len(groups)), equal)):
                 cell = np.full(len(fps), number, np.int64)
                 for g in chosen:
                     cell = cell << width * (groups[g][1] - groups[g][0]) | packed[g]
@@ -233,7 +271,7 @@ def links(points: DataFrame, distance: int = DISTANCE) -> DataFrame:
     if distance % 2:
         raise ValueError("an even distance is needed, as points of large cells meet half way")
     ship(points.sparkSession)
-    cells = grid_cells(points, distance)
+    cells = grid_cells(points, distance, equal_groups(*measured_agreement(points), distance))
     sizes = cells.groupBy(F.col("cell").alias("of")).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = stage(cells.join(sizes, F.col("cell") == F.col("of")).select("cell", "fp", "size"), "cells")
     dense = shared.where(F.col("size") > CELL_POINTS).select("fp").distinct()

@@ -1,6 +1,7 @@
 """Exact and near duplicates and repeated passages against brute force."""
 
 import hashlib
+import itertools
 import re
 from collections import Counter
 
@@ -122,6 +123,35 @@ def test_near_query(spark):
     assert {r.doc_id: (r.fingerprint, r.component_id) for r in op8_simhash.op8_simhash(spark, SMALL).collect()} == want
 
 
+def test_cells_stay_small_at_any_size():
+    """The expected load of a cell keeps its bound, keys fit 63 bits, and projections stay below the midpoints."""
+    even = np.full(op8_simhash.SEGMENTS, 0.375)
+    chosen = [op8_simhash.equal_groups(even, 10.0**k, 4) for k in range(1, 11)]
+    assert chosen == sorted(chosen)
+    assert chosen[0] == 1
+    for k, equal in zip(range(1, 11), chosen):
+        assert op8_simhash.cell_load(even, 10.0**k, 4, equal) <= op8_simhash.CELL_LOAD
+        assert equal == 1 or op8_simhash.cell_load(even, 10.0**k, 4, equal - 1) > op8_simhash.CELL_LOAD
+    for equal in range(1, op8_simhash.equal_groups(np.ones(op8_simhash.SEGMENTS), 1e12, 4) + 1):
+        sizes = sorted(high - low for low, high in op8_simhash.axis_groups(4, equal))
+        projections = len(list(itertools.combinations(sizes, equal)))
+        assert projections <= 2081
+        assert 2 * sum(sizes[-equal:]) + projections.bit_length() <= 63
+
+
+def test_cell_load_is_the_mean_over_projections(spark):
+    fps = np.random.default_rng(1).integers(0, 1 << 63, 3000)
+    points = spark.createDataFrame([(int(f),) for f in fps], "fp bigint")
+    agreement, n = op8_simhash.measured_agreement(points)
+    counts = op8_simhash.embed(fps.view(np.uint64))
+    plain = [sum((counts[:, a] == v).mean() ** 2 for v in range(3)) for a in range(op8_simhash.SEGMENTS)]
+    assert n == 3000
+    assert np.allclose(agreement, plain)
+    groups = op8_simhash.axis_groups(4, 3)
+    chances = [np.prod([np.prod(agreement[low:high]) for low, high in c]) for c in itertools.combinations(groups, 3)]
+    assert np.isclose(op8_simhash.cell_load(agreement, n, 4, 3), n * np.mean(chances))
+
+
 def clusters():
     rng = np.random.default_rng(0)
     points = {int(x) for x in rng.integers(0, 1 << 63, 100)}
@@ -135,8 +165,9 @@ def clusters():
     return sorted(points)
 
 
-@pytest.mark.parametrize(("crowd", "small"), [(20_000, 64), (20_000, 2), (4, 64)])
-def test_near_links_by_cells_blocks_and_midpoints(spark, monkeypatch, crowd, small):
+@pytest.mark.parametrize(("crowd", "small", "load"), [(20_000, 64, 1), (20_000, 2, 1), (4, 64, 1), (20_000, 64, 1e-4), (20_000, 64, 1e-12)])
+def test_near_links_by_cells_blocks_and_midpoints(spark, monkeypatch, crowd, small, load):
+    monkeypatch.setattr(op8_simhash, "CELL_LOAD", load)
     monkeypatch.setattr(op8_simhash, "CELL_POINTS", crowd)
     monkeypatch.setattr(op8_simhash, "SMALL_CELL", small)
     points = clusters()
@@ -151,7 +182,7 @@ def test_segment_counts_bound_the_distance():
     a, b = rng.integers(0, 1 << 63, (2, 1000)).astype(np.uint64)
     manhattan = np.abs(op8_simhash.embed(a).astype(int) - op8_simhash.embed(b).astype(int)).sum(axis=1)
     assert (manhattan <= np.bitwise_count(a ^ b)).all()
-    assert [h - low for low, h in op8_simhash.axis_groups(4)] == [4] * 8
+    assert [h - low for low, h in op8_simhash.axis_groups(4, 4)] == [4] * 8
 
 
 def test_components_of_a_long_chain(spark):
