@@ -9,7 +9,8 @@ groups the axes into ``distance + equal`` groups: of two points within the dista
 equal counts. Every choice of ``equal`` groups is a projection of the grid with cells of width one, and points that share a
 cell are compared: Manhattan distance first, then the exact bit distance. More groups mean more projections and smaller
 cells. Their number follows from the number of points and from how often two points agree on each axis, so that a point is
-expected to meet no more than CELL_LOAD others in a cell, however many points there are.
+expected to meet no more than MEETINGS others by chance, in all projections together, as long as projections stay fewer
+than the values around a point (2,081 for four bits; about ten million points with even bits).
 
 Cells of up to CELL_POINTS points are compared in blocks inside a task, which returns the links that join parts not yet
 joined in the cell, never all pairs. Points of larger cells take an exact way without comparisons: two fingerprints
@@ -39,7 +40,7 @@ SHINGLE_WORDS = 4
 DISTANCE = 4
 SEED = 42
 SEGMENTS = 32
-CELL_LOAD = 1.0  # points by chance that a point is to meet in a cell, on average over the projections
+MEETINGS = 1.0  # points that a point is to meet by chance, in all projections together
 CELL_POINTS = 20_000
 SMALL_CELL = 64  # cells up to this size are compared many at a time
 BLOCK = 1024  # points of a larger cell compared with each other at a time
@@ -94,18 +95,18 @@ def axis_groups(distance: int, equal: int) -> list[tuple[int, int]]:
     return list(zip(cuts.tolist(), cuts[1:].tolist()))
 
 
-def cell_load(agreement: np.ndarray, n: float, distance: int, equal: int) -> float:
-    """Points that a point meets by chance in a cell, on average, if two of ``n`` agree on the axes independently."""
+def chance_meetings(agreement: np.ndarray, n: float, distance: int, equal: int) -> float:
+    """Points that a point meets by chance in all projections, if two of ``n`` agree on the axes independently."""
     chances = [agreement[low:high].prod() for low, high in axis_groups(distance, equal)]
     sums = np.zeros(equal + 1)  # sums of products of so many of the groups seen
     sums[0] = 1
     for chance in chances:
         sums[1:] += chance * sums[:-1].copy()
-    return n * sums[equal] / comb(distance + equal, equal)
+    return n * sums[equal]
 
 
 def equal_groups(agreement: np.ndarray, n: float, distance: int) -> int:
-    """The least number of equal groups that keeps cells within CELL_LOAD.
+    """The least number of equal groups that keeps chance meetings within MEETINGS.
 
     Projections never outnumber the values that ``midpoint_links`` makes of a point; points whose cells are still too
     large with as many go there.
@@ -113,7 +114,7 @@ def equal_groups(agreement: np.ndarray, n: float, distance: int) -> int:
     most = sum(comb(64, k) for k in range(distance // 2 + 1))
     equal = 1
     while (
-        cell_load(agreement, n, distance, equal) > CELL_LOAD
+        chance_meetings(agreement, n, distance, equal) > MEETINGS
         and distance + equal < SEGMENTS and comb(distance + equal + 1, distance) <= most
     ):
         equal += 1

@@ -123,23 +123,23 @@ def test_near_query(spark):
     assert {r.doc_id: (r.fingerprint, r.component_id) for r in op8_simhash.op8_simhash(spark, SMALL).collect()} == want
 
 
-def test_cells_stay_small_at_any_size():
-    """The expected load of a cell keeps its bound, keys fit 63 bits, and projections stay below the midpoints."""
+def test_chance_meetings_keep_their_bound():
+    """From a hundred points to millions; keys fit 63 bits, and projections stay below the values around a point."""
     even = np.full(op8_simhash.SEGMENTS, 0.375)
-    chosen = [op8_simhash.equal_groups(even, 10.0**k, 4) for k in range(1, 11)]
+    sizes = [100, 1000, 10_000, 100_000, 1_000_000, 5_000_000]
+    chosen = [op8_simhash.equal_groups(even, n, 4) for n in sizes]
     assert chosen == sorted(chosen)
-    assert chosen[0] == 1
-    for k, equal in zip(range(1, 11), chosen):
-        assert op8_simhash.cell_load(even, 10.0**k, 4, equal) <= op8_simhash.CELL_LOAD
-        assert equal == 1 or op8_simhash.cell_load(even, 10.0**k, 4, equal - 1) > op8_simhash.CELL_LOAD
+    for n, equal in zip(sizes, chosen):
+        assert op8_simhash.chance_meetings(even, n, 4, equal) <= op8_simhash.MEETINGS
+        assert op8_simhash.chance_meetings(even, n, 4, equal - 1) > op8_simhash.MEETINGS
     for equal in range(1, op8_simhash.equal_groups(np.ones(op8_simhash.SEGMENTS), 1e12, 4) + 1):
-        sizes = sorted(high - low for low, high in op8_simhash.axis_groups(4, equal))
-        projections = len(list(itertools.combinations(sizes, equal)))
+        axes = sorted(high - low for low, high in op8_simhash.axis_groups(4, equal))
+        projections = len(list(itertools.combinations(axes, equal)))
         assert projections <= 2081
-        assert 2 * sum(sizes[-equal:]) + projections.bit_length() <= 63
+        assert 2 * sum(axes[-equal:]) + projections.bit_length() <= 63
 
 
-def test_cell_load_is_the_mean_over_projections(spark):
+def test_chance_meetings_are_a_sum_over_projections(spark):
     fps = np.random.default_rng(1).integers(0, 1 << 63, 3000)
     points = spark.createDataFrame([(int(f),) for f in fps], "fp bigint")
     agreement, n = op8_simhash.measured_agreement(points)
@@ -149,7 +149,7 @@ def test_cell_load_is_the_mean_over_projections(spark):
     assert np.allclose(agreement, plain)
     groups = op8_simhash.axis_groups(4, 3)
     chances = [np.prod([np.prod(agreement[low:high]) for low, high in c]) for c in itertools.combinations(groups, 3)]
-    assert np.isclose(op8_simhash.cell_load(agreement, n, 4, 3), n * np.mean(chances))
+    assert np.isclose(op8_simhash.chance_meetings(agreement, n, 4, 3), n * sum(chances))
 
 
 def clusters():
@@ -165,9 +165,9 @@ def clusters():
     return sorted(points)
 
 
-@pytest.mark.parametrize(("crowd", "small", "load"), [(20_000, 64, 1), (20_000, 2, 1), (4, 64, 1), (20_000, 64, 1e-4), (20_000, 64, 1e-12)])
-def test_near_links_by_cells_blocks_and_midpoints(spark, monkeypatch, crowd, small, load):
-    monkeypatch.setattr(op8_simhash, "CELL_LOAD", load)
+@pytest.mark.parametrize(("crowd", "small", "meetings"), [(20_000, 64, 1), (20_000, 2, 1), (4, 64, 1), (20_000, 64, 1e-4), (20_000, 64, 1e-12)])
+def test_near_links_by_cells_blocks_and_midpoints(spark, monkeypatch, crowd, small, meetings):
+    monkeypatch.setattr(op8_simhash, "MEETINGS", meetings)
     monkeypatch.setattr(op8_simhash, "CELL_POINTS", crowd)
     monkeypatch.setattr(op8_simhash, "SMALL_CELL", small)
     points = clusters()
