@@ -1,16 +1,21 @@
 """Which form the times of a column have, found from the column itself.
 
 Each form is one bit. A value's bits are the forms that read it; the bits of all values and-ed are the forms that read the
-whole column. One map-side aggregate finds them with the number of values that each form reads. If several forms are left
-that differ in the order of day and month, the column does not tell them apart; month first is taken then, and noted.
+whole column. One map-side count of the values by their bits finds them with the number of values that each form reads. If
+several forms are left that differ in the order of day and month, the column does not tell them apart; month first is taken
+then, and noted.
+
+A text that a form does not read costs it an exception, so a value is only given to the forms that its shape admits: where
+digits, words and separators stand. Every text that a form reads has its shape, and the form itself decides.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ampline.functions.scalars import strip
 
@@ -37,32 +42,53 @@ def _order(form: str) -> tuple[bool, str]:
     return form.index("M") < form.index("d"), form.replace("M", "x").replace("d", "x")
 
 
+def _field(letters: str) -> str:
+    if letters == "a" or letters.startswith("MMM"):
+        return r"\D+"
+    return rf"[+-]?\d{{{4 if letters == 'yyyy' else 1},}}"
+
+
+def shape(pattern: str) -> str:
+    """A regular expression that all texts match which the Spark pattern reads, and others of like shape."""
+    parts = {"[": "(?:", "]": ")?", "'T'": r"[^\d ]"}
+    return re.sub(
+        r"'T'|[A-Za-z]+|.", lambda m: parts.get(m[0]) or (_field(m[0]) if m[0].isalpha() else re.escape(m[0])), pattern
+    )
+
+
+def bits_of(v: str) -> str:
+    """The bits of the forms that read the text ``v``, as SQL: first by the shape of its date, then by that of the whole."""
+    read = lambda date, time: f'if(try_to_timestamp({v}, "{date}{time}") is not null, {1 << FORMS.index(date + time)}L, 0L)'
+    cases = []
+    for like in dict.fromkeys(map(shape, DATES)):
+        dates = [date for date in DATES if shape(date) == like]
+        whole = [
+            f"if({v} rlike r'^{like}{shape(time)}$', {' | '.join(read(date, time) for date in dates)}, 0L)" for time in TIMES
+        ]
+        cases.append(f"if({v} rlike r'^{like}', {' | '.join(whole)}, 0L)")
+    return " | ".join(cases)
+
+
 def infer_formats(texts: DataFrame, text: str) -> Inferred:
     """Forms of the times that ``text`` (a text column, or SQL) holds; none where its first value has an ISO form, as those are read anyway.
 
     Only a column whose first value has another form is read as a whole.
     """
-    values = texts.selectExpr(f"{strip(text)} as v").where("v <> ''")
-    first = values.first()
-    if first is None or values.limit(1).where(f"v rlike r'{ISO}'").count():
+    values = texts.selectExpr(f"{strip(text)} as v")
+    first = values.where("v <> ''").selectExpr(f"v rlike r'{ISO}' as iso").first()
+    if first is None or first.iso:
         return Inferred(())
-    fits = values.selectExpr(
-        "array(" + ", ".join(f'try_to_timestamp(v, "{form}") is not null' for form in FORMS) + ") as fit"
-    ).selectExpr(
-        "fit", "aggregate(transform(fit, (x, i) -> if(x, shiftleft(1L, i), 0L)), 0L, (a, x) -> a | x) as bits"
-    ).where("bits <> 0")
-    found = fits.agg(
-        F.expr("count(*) as n"), F.expr("bit_and(bits) as common"),
-        *[F.expr(f"count_if(fit[{i}]) as n{i}") for i in range(len(FORMS))],
-    ).first()
-    if not found.n:
+    # At most as many rows as there are sets of forms that read one text.
+    found = {r.bits: r["count"] for r in values.selectExpr(f"{bits_of('v')} as bits").groupBy("bits").count().collect() if r.bits}
+    if not found:
         return Inferred(())
-    if found.common:
-        common = [form for i, form in enumerate(FORMS) if found.common >> i & 1]
-        best = common[0]
+    n_values, common = sum(found.values()), reduce(int.__and__, found)
+    if common:
+        forms = [form for i, form in enumerate(FORMS) if common >> i & 1]
+        best = forms[0]
         month_first, rest = _order(best)
-        ambiguous = any(_order(form) == (not month_first, rest) for form in common)
-        return Inferred((best,), ambiguous=ambiguous, n_values=found.n)
-    counts = [(found[f"n{i}"], form) for i, form in enumerate(FORMS)]
+        ambiguous = any(_order(form) == (not month_first, rest) for form in forms)
+        return Inferred((best,), ambiguous=ambiguous, n_values=n_values)
+    counts = [(sum(n for bits, n in found.items() if bits >> i & 1), form) for i, form in enumerate(FORMS)]
     ranked = sorted((x for x in counts if x[0]), key=lambda x: (-x[0], FORMS.index(x[1])))
-    return Inferred(tuple(form for _, form in ranked), mixed=True, n_values=found.n)
+    return Inferred(tuple(form for _, form in ranked), mixed=True, n_values=n_values)
